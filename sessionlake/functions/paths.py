@@ -1,0 +1,30 @@
+"""Path-derived columns."""
+
+from __future__ import annotations
+
+import re
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def decode_project_path(enc: Column) -> Column:
+    """``-home-dev-app`` → ``/home/dev/app``; without a leading dash every dash
+    becomes a slash. Lossy by design: dashes inside names come back as slashes,
+    which is why the real ``cwd`` of the file is back-filled later."""
+    slashed = F.regexp_replace(enc, "-", "/")
+    return F.when(enc.startswith("-"), F.concat(F.lit("/"), F.substring(slashed, 2, 1 << 30))).otherwise(slashed)
+
+
+def base_name(path: Column) -> Column:
+    return F.regexp_extract(path, r"([^/]*)$", 1)
+
+
+def parent_name(path: Column, up: int = 1) -> Column:
+    """Name of the ``up``-th ancestor directory (1 = the containing directory)."""
+    return F.regexp_extract(path, r"([^/]*)" + r"/[^/]*" * up + r"$", 1)
+
+
+def stem(path: Column, suffix: str) -> Column:
+    """File name without ``suffix`` (kept whole when it does not end in it)."""
+    return F.regexp_replace(base_name(path), re.escape(suffix) + "$", "")

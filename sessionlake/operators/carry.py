@@ -1,0 +1,41 @@
+"""Order-dependent per-file state without a window over the file's lines.
+
+Session streams set metadata on a few *marker* lines (a session start, a model
+change, a turn context) and every later line inherits it. Instead of a running
+``last(..., ignorenulls)`` window over every line of a file — which puts a
+whole file in one task — the state is computed on the markers alone (a small
+table: a handful of markers per file), turned into ``[line, next_marker_line)``
+intervals, and joined back to the lines on ``file_path`` with a range
+condition. AQE broadcasts the interval table when its measured size is small
+and otherwise runs a shuffle join whose skewed partitions it splits."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+
+def carry_forward(rows: DataFrame, markers: DataFrame, state: list[str], key: str = "file_path",
+                  order: str = "line_number") -> DataFrame:
+    """Attach, to every row, each ``state`` column's latest non-null value on a
+    marker at or before the row (NULL before the first marker).
+
+    ``markers`` has ``key``, ``order`` and the ``state`` columns (NULL = the
+    marker does not change that column)."""
+    w = Window.partitionBy(key).orderBy(order)
+    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    m = markers.select(
+        F.col(key).alias("_mk"), F.col(order).alias("_from"),
+        F.lead(order).over(w).alias("_to"),
+        *[F.last(c, ignorenulls=True).over(running).alias(c) for c in state],
+    )
+    cond = (F.col(key) == F.col("_mk")) & (F.col(order) >= F.col("_from")) & \
+        (F.col("_to").isNull() | (F.col(order) < F.col("_to")))
+    return rows.join(m, cond, "left").drop("_mk", "_from", "_to")
+
+
+def file_facts(rows: DataFrame, key: str = "file_path", **aggs) -> DataFrame:
+    """Join per-file aggregates (``name=Column``) back to every row. Partial
+    aggregation keeps the aggregate at one row per file before any shuffle."""
+    facts = rows.groupBy(key).agg(*[c.alias(n) for n, c in aggs.items()])
+    return rows.join(facts, key, "left")
