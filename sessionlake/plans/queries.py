@@ -66,7 +66,7 @@ def q_daily_activity(t: Tables) -> DataFrame:
 def q_daily_pivot(t: Tables, sources: tuple[str, ...] = ("claude", "copilot")) -> DataFrame:
     """Day × source message counts, missing cells 0. The pivot values are
     given, so Spark does not run an extra job to discover them."""
-    return (_with_day(t.conv).groupBy("day").pivot("source", list(sources)).agg(F.count("*"))
+    return (_with_day(t.conv).groupBy("day").pivot("source", list(sources)).agg(F.count(F.lit(1)))
             .fillna(0, subset=list(sources)))
 
 

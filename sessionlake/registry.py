@@ -142,7 +142,7 @@ _Q: dict[str, tuple[Callable[[Tables], DataFrame], str | None]] = {
                        "SELECT source, CAST(sum(i) AS BIGINT) AS input_tokens, CAST(sum(o) AS BIGINT) AS output_tokens FROM ("
                        "SELECT source, session_id, CASE WHEN source = 'grok' THEN max(coalesce(input_tokens, 0)) "
                        "ELSE sum(coalesce(input_tokens, 0)) END AS i, CASE WHEN source = 'grok' THEN max(coalesce(output_tokens, 0)) "
-                       "ELSE sum(coalesce(output_tokens, 0)) END AS o FROM x_conv_all GROUP BY ALL) GROUP BY source"),
+                       "ELSE sum(coalesce(output_tokens, 0)) END AS o FROM x_conv_all GROUP BY source, session_id) GROUP BY source"),
     "q_top_tools": (Q.q_top_tools,
                     "SELECT tool_name, count(*) AS uses FROM x_conv WHERE tool_name IS NOT NULL AND tool_name <> '' GROUP BY 1 "
                     "ORDER BY uses DESC, tool_name LIMIT 15"),
