@@ -30,39 +30,49 @@ class Tables:
         return self._memo[name]
 
     # canonical tables ------------------------------------------------------
+    def _union_of(self, name: str, parts: list[str], schema) -> DataFrame:
+        if name not in self._memo:
+            self._memo[name] = _union([self.get(k) for k in parts if k in self.builders], self.spark, schema)
+        return self._memo[name]
+
     @property
     def conv(self) -> DataFrame:
         """Conversations of the two primary assistants (Claude ∪ Copilot)."""
-        return self.get("conv_claude").unionByName(self.get("conv_copilot"))
+        return self._union_of("conv", ["conv_claude", "conv_copilot"], CONVERSATIONS)
 
     @property
     def conv_all(self) -> DataFrame:
-        out = None
-        for s in CONV_SOURCES:
-            if f"conv_{s}" in self.builders:
-                df = self.get(f"conv_{s}")
-                out = df if out is None else out.unionByName(df)
-        return out if out is not None else empty(self.spark, CONVERSATIONS)
+        return self._union_of("conv_all", [f"conv_{s}" for s in CONV_SOURCES], CONVERSATIONS)
 
     @property
     def plans(self) -> DataFrame:
-        return _union([self.get(k) for k in ("plans_claude", "plans_copilot", "plans_grok") if k in self.builders], self.spark, PLANS)
+        return self._union_of("plans", ["plans_claude", "plans_copilot", "plans_grok"], PLANS)
 
     @property
     def todos(self) -> DataFrame:
-        return _union([self.get(k) for k in ("todos_claude", "todos_copilot") if k in self.builders], self.spark, TODOS)
+        return self._union_of("todos", ["todos_claude", "todos_copilot"], TODOS)
 
     @property
     def history(self) -> DataFrame:
-        return _union([self.get(k) for k in ("history_claude", "history_copilot") if k in self.builders], self.spark, HISTORY)
+        return self._union_of("history", ["history_claude", "history_copilot"], HISTORY)
 
     @property
     def stats(self) -> DataFrame:
-        return _union([self.get(k) for k in ("stats_claude", "stats_grok") if k in self.builders], self.spark, STATS)
+        return self._union_of("stats", ["stats_claude", "stats_grok"], STATS)
 
     # construction ------------------------------------------------------------
     @classmethod
     def from_benchmark(cls, spark: SparkSession, sf_dir: str) -> "Tables":
+        """Logical plans over the benchmark tables. The *plans* are memoised per
+        session and directory (building them is Python-side work); no data is
+        cached, so every query still reads and parses its input."""
+        key = (id(spark), sf_dir)
+        if key not in _PLANS:
+            _PLANS[key] = cls._build_benchmark(spark, sf_dir)
+        return _PLANS[key]
+
+    @classmethod
+    def _build_benchmark(cls, spark: SparkSession, sf_dir: str) -> "Tables":
         from sessionlake.sources import adapters as A
         from sessionlake.operators import claude, codex, copilot, side
 
@@ -81,6 +91,8 @@ class Tables:
         return cls(spark, b)
 
 
+_PLANS: dict[tuple[int, str], "Tables"] = {}
+
 CONV_SOURCES = ["claude", "claude_desktop", "copilot", "codex", "gemini", "cursor", "grok"]
 
 _EMPTY = {f"conv_{s}": CONVERSATIONS for s in CONV_SOURCES}
