@@ -70,15 +70,25 @@ def normalise(lines: DataFrame, workspace: DataFrame | None = None) -> DataFrame
         .select("file_path", "line_number", typ.alias("typ"), valid.alias("valid"),
                 J.get_string(v, "$.id").alias("id"), J.get_string(v, "$.parentId").alias("parent_id"),
                 J.get_string(v, "$.timestamp").alias("ts"), J.field(v, "$.data").alias("d"))
-    parsed = J.with_fields(parsed, "d", {
-        "d_sid": "$.sessionId", "d_ver": "$.copilotVersion", "d_ctx": "$.context", "d_cwd": "$.context.cwd",
-        "d_root": "$.context.gitRoot", "d_branch": "$.context.branch", "d_repo": "$.context.repository",
-        "d_model": "$.newModel", "d_content": "$.content", "d_msgid": "$.messageId", "d_reqs": "$.toolRequests",
-        "d_req0": "$.toolRequests[0]", "d_callid": "$.toolCallId", "d_tool": "$.toolName", "d_args": "$.arguments",
-        "d_success": "$.success", "d_result": "$.result", "d_rcontent": "$.result.content",
-        "d_limit": "$.tokenLimit", "d_pre": "$.preTruncationTokensInMessages",
-        "d_post": "$.postTruncationTokensInMessages", "d_etype": "$.errorType", "d_message": "$.message",
-    })
+    # each member is read only on the event types that use it
+    start, model, msg = ["session.start"], ["session.model_change"], ["user.message", "assistant.reasoning", "assistant.message"]
+    tools = ["tool.execution_start", "tool.execution_complete"]
+    members = {
+        "d_sid": ("$.sessionId", start), "d_ver": ("$.copilotVersion", start), "d_ctx": ("$.context", start),
+        "d_cwd": ("$.context.cwd", start), "d_root": ("$.context.gitRoot", start),
+        "d_branch": ("$.context.branch", start), "d_repo": ("$.context.repository", start),
+        "d_model": ("$.newModel", model), "d_content": ("$.content", msg),
+        "d_msgid": ("$.messageId", ["assistant.message"]), "d_reqs": ("$.toolRequests", ["assistant.message"]),
+        "d_req0": ("$.toolRequests[0]", ["assistant.message"]), "d_callid": ("$.toolCallId", tools),
+        "d_tool": ("$.toolName", ["tool.execution_start"]), "d_args": ("$.arguments", ["tool.execution_start"]),
+        "d_success": ("$.success", ["tool.execution_complete"]), "d_result": ("$.result", ["tool.execution_complete"]),
+        "d_rcontent": ("$.result.content", ["tool.execution_complete"]),
+        "d_limit": ("$.tokenLimit", ["session.truncation"]), "d_pre": ("$.preTruncationTokensInMessages", ["session.truncation"]),
+        "d_post": ("$.postTruncationTokensInMessages", ["session.truncation"]),
+        "d_etype": ("$.errorType", ["session.error"]), "d_message": ("$.message", ["session.error"]),
+    }
+    parsed = parsed.select("*", *[F.when(F.col("typ").isin(*types), F.try_variant_get(F.col("d"), path, "variant")).alias(n)
+                                  for n, (path, types) in members.items()])
     c = F.col
     typ = c("typ")
 
