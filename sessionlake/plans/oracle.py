@@ -174,6 +174,80 @@ x_codex AS (
   FROM x_codex_r WHERE mtype IS NOT NULL
 )"""
 
+
+S_GEMINI = "printf('%08d-6e00-4000-8000-%012d', {0}, {0})"
+ISO_CT = ISO.format("TIMESTAMP '2024-01-01 00:00:00' + to_seconds(c * 3600 + t * 37)")
+X_GEMINI = f"""
+x_gemini_b AS (
+  SELECT conv_id AS c, turn AS t, role AS r, text AS x,
+    CASE WHEN conv_id % 4 <> 3 THEN 'proj' || (conv_id % 5) ELSE 'h' || conv_id END AS dir,
+    CASE WHEN conv_id % 4 <> 3 THEN '/home/dev/gem' || (conv_id % 5) ELSE '' END AS proj,
+    conv_id % 13 = 6 AS bad
+  FROM conversations
+),
+x_gemini AS (
+  SELECT 'gemini' AS source, {S_GEMINI.format('c')} AS session_id, proj AS project_path, dir AS project_dir,
+    'session-' || c || '.json' AS file_name, c % 6 = 5 AS is_agent, CAST(t + 1 AS BIGINT) AS line_number,
+    CASE WHEN r = 'user' THEN 'user' WHEN r = 'assistant' THEN 'assistant' ELSE 'info' END AS message_type,
+    'm' || c || '-' || t AS uuid, CAST(NULL AS VARCHAR) AS parent_uuid,
+    CASE WHEN t % 5 <> 4 THEN {ISO_CT} ELSE {ISO.format("TIMESTAMP '2024-01-01 00:00:00' + to_seconds(c * 3600)")} END AS timestamp,
+    CASE WHEN r IN ('user', 'assistant') THEN r END AS message_role,
+    CASE WHEN r = 'system' AND c % 7 = 0 THEN NULL ELSE NULLIF(x, '') END AS message_content,
+    CASE WHEN r = 'assistant' THEN 'gemini-' || (c % 2) END AS model,
+    CAST(NULL AS VARCHAR) AS tool_name, CAST(NULL AS VARCHAR) AS tool_use_id, CAST(NULL AS VARCHAR) AS tool_input,
+    CASE WHEN r = 'assistant' THEN CAST(length(x) AS BIGINT) END AS input_tokens,
+    CASE WHEN r = 'assistant' THEN CAST(length(x) // 3 AS BIGINT) END AS output_tokens,
+    CAST(NULL AS BIGINT) AS cache_creation_tokens,
+    CASE WHEN r = 'assistant' THEN CAST(t * 100 AS BIGINT) END AS cache_read_tokens,
+    CAST(NULL AS BIGINT) AS reasoning_tokens, CAST(NULL AS VARCHAR) AS slug, CAST(NULL AS VARCHAR) AS git_branch,
+    NULLIF(proj, '') AS cwd, CAST(NULL AS VARCHAR) AS version, CAST(NULL AS VARCHAR) AS stop_reason,
+    CAST(NULL AS VARCHAR) AS reasoning_effort, CAST(NULL AS VARCHAR) AS repository
+  FROM x_gemini_b WHERE NOT bad
+  UNION ALL
+  SELECT 'gemini', {S_GEMINI.format('c')}, proj, dir, 'session-' || c || '.json', c % 6 = 5, CAST(t + 1 AS BIGINT),
+    'tool_call', 'tc' || c || '-' || t || '-' || i, 'm' || c || '-' || t,
+    CASE WHEN t % 5 <> 4 THEN {ISO_CT} END, 'tool', 'success', 'gemini-' || (c % 2),
+    list_extract({TOOLS}, CAST(i + 1 AS INTEGER)), 'tc' || c || '-' || t || '-' || i, '{{"q":' || i || '}}',
+    NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULLIF(proj, ''), NULL, NULL, NULL, NULL
+  FROM x_gemini_b, (SELECT unnest(range(0, 2)) AS i) k WHERE NOT bad AND r = 'assistant' AND i < t % 3
+  UNION ALL
+  SELECT 'gemini', dir, '', dir, 'session-' || c || '.json', false, CAST(1 AS BIGINT), '_parse_error', NULL, NULL, NULL,
+    NULL, 'Parse error: invalid session file', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+    NULL, NULL, NULL, NULL
+  FROM x_gemini_b WHERE bad AND t = 0
+)"""
+
+S_CURSOR = "printf('%08d-cc00-4000-8000-%012d', {0}, {0})"
+X_CURSOR = f"""
+x_cursor_b AS (
+  SELECT conv_id AS c, turn AS t, role AS r, text AS x,
+    turn % 5 <> 4 AND NOT (conv_id % 11 = 10 AND turn = 0) AS has_b
+  FROM conversations
+),
+x_cursor AS (
+  SELECT 'cursor' AS source, {S_CURSOR.format('c')} AS session_id, '' AS project_path, '' AS project_dir,
+    'state.vscdb' AS file_name, has_b AND c % 6 = 5 AS is_agent,
+    CAST(t + 1 + CASE WHEN c % 4 = 1 AND t > 0 THEN 1 ELSE 0 END AS BIGINT) AS line_number,
+    CASE WHEN r IN ('user', 'assistant') THEN r ELSE 'unknown' END AS message_type,
+    'b' || c || '-' || t AS uuid, CASE WHEN t > 0 THEN 'b' || c || '-' || (t - 1) END AS parent_uuid,
+    CASE WHEN has_b THEN strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(c * 3600 + t * 37), '%Y-%m-%dT%H:%M:%SZ') END AS timestamp,
+    CASE WHEN r IN ('user', 'assistant') THEN r END AS message_role,
+    CASE WHEN has_b THEN x END AS message_content,
+    'cursor-' || (c % 2) AS model,
+    CASE WHEN has_b AND r = 'assistant' AND t % 3 = 1 THEN list_extract({TOOLS}, CAST((c + t) % 5 + 1 AS INTEGER))
+         WHEN has_b AND r = 'assistant' AND t % 3 = 0 THEN 'search' END AS tool_name,
+    CASE WHEN has_b AND r = 'assistant' AND t % 3 = 1 THEN 'tc' || c || '-' || t END AS tool_use_id,
+    CASE WHEN has_b AND r = 'assistant' AND t % 3 = 1 THEN '"{{\\"q\\":\\"' || t || '\\"}}"'
+         WHEN has_b AND r = 'assistant' AND t % 3 = 0 THEN '{{"q":' || t || '}}' END AS tool_input,
+    CASE WHEN has_b AND r = 'assistant' THEN CAST(length(x) AS BIGINT) END AS input_tokens,
+    CASE WHEN has_b AND r = 'assistant' THEN CAST(length(x) // 3 AS BIGINT) END AS output_tokens,
+    CAST(NULL AS BIGINT) AS cache_creation_tokens, CAST(NULL AS BIGINT) AS cache_read_tokens,
+    CAST(NULL AS BIGINT) AS reasoning_tokens, CAST(NULL AS VARCHAR) AS slug, CAST(NULL AS VARCHAR) AS git_branch,
+    CAST(NULL AS VARCHAR) AS cwd, CAST(NULL AS VARCHAR) AS version, CAST(NULL AS VARCHAR) AS stop_reason,
+    CAST(NULL AS VARCHAR) AS reasoning_effort, CAST(NULL AS VARCHAR) AS repository
+  FROM x_cursor_b
+)"""
+
 X_SIDE = f"""
 x_history AS (
   SELECT 'claude' AS source, CAST(c * 10 + t + 1 AS BIGINT) AS line_number,
@@ -216,9 +290,10 @@ x_stats AS (
   FROM events GROUP BY user_id % 4, CAST(ts AS DATE)
 ),
 x_conv AS (SELECT * FROM x_claude UNION ALL SELECT * FROM x_copilot),
-x_conv_all AS (SELECT * FROM x_claude UNION ALL SELECT * FROM x_copilot UNION ALL SELECT * FROM x_codex)"""
+x_conv_all AS (SELECT * FROM x_claude UNION ALL SELECT * FROM x_copilot UNION ALL SELECT * FROM x_codex
+  UNION ALL SELECT * FROM x_gemini UNION ALL SELECT * FROM x_cursor)"""
 
-PRELUDE = "WITH " + ",".join(s.strip() for s in (X_CLAUDE, X_COPILOT, X_CODEX, X_SIDE))
+PRELUDE = "WITH " + ",".join(s.strip() for s in (X_CLAUDE, X_COPILOT, X_CODEX, X_GEMINI, X_CURSOR, X_SIDE))
 
 
 def sql(body: str) -> str:

@@ -74,7 +74,7 @@ class Tables:
     @classmethod
     def _build_benchmark(cls, spark: SparkSession, sf_dir: str) -> "Tables":
         from sessionlake.sources import adapters as A
-        from sessionlake.operators import claude, codex, copilot, side
+        from sessionlake.operators import claude, codex, copilot, cursor, gemini, side
 
         def read(name: str) -> DataFrame:
             return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -83,6 +83,9 @@ class Tables:
             "conv_claude": lambda: claude.normalise(A.claude_lines(read("conversations"))),
             "conv_copilot": lambda: copilot.normalise(A.copilot_lines(read("events"))),
             "conv_codex": lambda: codex.normalise(A.codex_lines(read("events"))),
+            "conv_gemini": lambda: gemini.normalise(A.gemini_files(read("conversations")),
+                                                    A.gemini_projects(read("conversations"))),
+            "conv_cursor": lambda: cursor.normalise(A.cursor_kv(read("conversations"))),
             "history_claude": lambda: side.claude_history(A.claude_history_lines(read("conversations"))),
             "todos_claude": lambda: side.claude_todos(A.claude_todo_files(read("conversations"))),
             "plans_claude": lambda: side.claude_plans(A.claude_plan_files(read("documents"))),

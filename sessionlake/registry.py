@@ -53,6 +53,8 @@ _Q: dict[str, tuple[Callable[[Tables], DataFrame], str | None]] = {
     "ingest_claude": (lambda t: t.get("conv_claude"), f"SELECT {O.CONV_COLS} FROM x_claude"),
     "ingest_copilot": (lambda t: t.get("conv_copilot"), f"SELECT {O.CONV_COLS} FROM x_copilot"),
     "ingest_codex": (lambda t: t.get("conv_codex"), f"SELECT {O.CONV_COLS} FROM x_codex"),
+    "ingest_gemini": (lambda t: t.get("conv_gemini"), f"SELECT {O.CONV_COLS} FROM x_gemini"),
+    "ingest_cursor": (lambda t: t.get("conv_cursor"), f"SELECT {O.CONV_COLS} FROM x_cursor"),
     "ingest_conversations_all": (lambda t: t.conv_all, f"SELECT {O.CONV_COLS} FROM x_conv_all"),
     "ingest_history_all": (lambda t: t.history, "SELECT * FROM x_history"),
     "ingest_todos_all": (lambda t: t.todos, "SELECT * FROM x_todos"),
@@ -111,6 +113,22 @@ _Q: dict[str, tuple[Callable[[Tables], DataFrame], str | None]] = {
                                             "message_content", "tool_name", "tool_use_id", "tool_input"),
         "SELECT session_id, line_number, message_type, message_role, message_content, tool_name, tool_use_id, tool_input "
         "FROM x_codex"),
+    "norm_gemini_fanout": (
+        lambda t: t.get("conv_gemini").where(F.col("message_type") == "tool_call").select(
+            "session_id", "line_number", "uuid", "parent_uuid", "timestamp", "tool_name", "tool_input", "message_content"),
+        "SELECT session_id, line_number, uuid, parent_uuid, timestamp, tool_name, tool_input, message_content "
+        "FROM x_gemini WHERE message_type = 'tool_call'"),
+    "norm_gemini_alias": (
+        lambda t: t.get("conv_gemini").select("project_dir", "project_path", "cwd").distinct(),
+        "SELECT DISTINCT project_dir, project_path, cwd FROM x_gemini"),
+    "norm_cursor_join": (
+        lambda t: t.get("conv_cursor").select("session_id", "line_number", "uuid", "message_type", "message_content",
+                                             "timestamp", "tool_name", "tool_input", "is_agent"),
+        "SELECT session_id, line_number, uuid, message_type, message_content, timestamp, tool_name, tool_input, is_agent "
+        "FROM x_cursor"),
+    "norm_cursor_parent": (
+        lambda t: t.get("conv_cursor").select("session_id", "line_number", "uuid", "parent_uuid"),
+        "SELECT session_id, line_number, uuid, parent_uuid FROM x_cursor"),
     # ── overview aggregates ──
     "q_source_metrics": (Q.q_source_metrics,
                          "SELECT source, count(DISTINCT session_id) AS sessions, count(*) AS messages FROM x_conv GROUP BY source"),

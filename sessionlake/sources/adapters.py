@@ -304,3 +304,111 @@ def claude_stats_files(events: DataFrame) -> DataFrame:
         F.date_format("d", "yyyy-MM-dd").alias("date"), "messageCount", "sessionCount", "toolCallCount"))).alias("days"))\
         .select(F.concat(F.lit("/lake/claude/u"), F.col("r").cast("string"), F.lit("/stats-cache.json")).alias("file_path"),
                 F.to_json(F.struct(F.col("days").alias("dailyActivity"))).alias("content"))
+
+
+GEMINI_ROOT = "/lake/gemini"
+CURSOR_DB = "/lake/cursor/state.vscdb"
+
+
+def gemini_dir(c: Column) -> Column:
+    """Project directory under ``tmp/``: an alias known to ``projects.json``
+    (``proj<conv_id % 5>``) except for ``conv_id % 4 == 3`` (an unknown hash)."""
+    return F.when(c % 4 != 3, F.concat(F.lit("proj"), (c % 5).cast("string"))).otherwise(F.concat(F.lit("h"), c.cast("string")))
+
+
+def gemini_session_id(c: Column) -> Column:
+    return _fmt("%08d-6e00-4000-8000-%012d", c, c)
+
+
+def _gemini_message(C: Column, T: Column, R: Column, X: Column) -> Column:
+    ts = iso_millis(F.timestamp_add("SECOND", F.lit(BASE_EPOCH_S) + C * 3600 + T * 37, epoch()))
+    calls = F.transform(F.sequence(F.lit(0), (T % 3).cast("int")), lambda i: _obj(
+        id=F.concat(F.lit("tc"), C.cast("string"), F.lit("-"), T.cast("string"), F.lit("-"), i.cast("string")),
+        name=_pick(TOOLS, i.cast("bigint")), args=_obj(q=i.cast("bigint")), status=F.lit("success")))
+    calls = F.slice(calls, 1, (T % 3).cast("int"))
+    return _obj(
+        id=F.concat(F.lit("m"), C.cast("string"), F.lit("-"), T.cast("string")),
+        timestamp=F.when(T % 5 != 4, ts),
+        type=F.when(R == "user", F.lit("user")).when(R == "assistant", F.lit("gemini")).otherwise(F.lit("info")),
+        content=F.when((R == "system") & (C % 7 == 0), F.lit("")).otherwise(X),
+        model=F.when(R == "assistant", F.concat(F.lit("gemini-"), (C % 2).cast("string"))),
+        tokens=F.when(R == "assistant", _obj(input=F.length(X).cast("bigint"), output=F.floor(F.length(X) / 3).cast("bigint"),
+                                             cached=(T * 100).cast("bigint"))),
+        toolCalls=F.when(R == "assistant", F.to_variant_object(calls)),
+    )
+
+
+def gemini_files(conversations: DataFrame) -> DataFrame:
+    """One ``tmp/<dir>/chats/session-<conv_id>.json`` document per
+    conversation (the format stores a whole session in one JSON file, so its
+    turns are gathered per conversation, in turn order). Assistant turns carry
+    ``turn % 3`` tool calls; every fifth message has no timestamp (it falls
+    back to the session start); ``conv_id % 13 == 6`` files are malformed."""
+    C, T, R, X = F.col("conv_id"), F.col("turn"), F.col("role"), F.col("text")
+    per_turn = conversations.select(C, F.struct(T.alias("t"), F.to_json(_gemini_message(C, T, R, X)).alias("m")).alias("tm"))
+    docs = per_turn.groupBy("conv_id").agg(F.sort_array(F.collect_list("tm")).alias("tms"))
+    start = iso_millis(F.timestamp_add("SECOND", F.lit(BASE_EPOCH_S) + C * 3600, epoch()))
+    body = F.concat(
+        F.lit('{"sessionId":"'), gemini_session_id(C), F.lit('","startTime":"'), start,
+        F.lit('","kind":"'), F.when(C % 6 == 5, F.lit("subagent")).otherwise(F.lit("main")),
+        F.lit('","messages":['), F.array_join(F.transform(F.col("tms"), lambda x: x.m), ","), F.lit("]}"))
+    return docs.select(C, body.alias("__b")).select(
+        F.concat(F.lit(GEMINI_ROOT + "/tmp/"), gemini_dir(C), F.lit("/chats/session-"), C.cast("string"), F.lit(".json")).alias("file_path"),
+        F.when(C % 13 == 6, F.expr("substring(__b, 1, length(__b) - 3)")).otherwise(F.col("__b")).alias("content"))
+
+
+def gemini_projects(conversations: DataFrame) -> DataFrame:
+    """``projects.json``: ``{abs path: alias}`` for every alias in use (at most
+    five entries, aggregated before they are gathered)."""
+    k = (F.col("conv_id") % 5)
+    aliases = conversations.where(F.col("conv_id") % 4 != 3).select(k.alias("k")).distinct()
+    return aliases.agg(F.map_from_entries(F.collect_list(F.struct(
+        F.concat(F.lit("/home/dev/gem"), F.col("k").cast("string")), F.concat(F.lit("proj"), F.col("k").cast("string"))))).alias("m"))\
+        .select(F.lit(GEMINI_ROOT + "/projects.json").alias("file_path"),
+                F.to_json(F.struct(F.col("m").alias("projects"))).alias("content"))
+
+
+def cursor_composer_id(c: Column) -> Column:
+    return _fmt("%08d-cc00-4000-8000-%012d", c, c)
+
+
+def cursor_kv(conversations: DataFrame) -> DataFrame:
+    """``cursorDiskKV`` rows: one ``composerData:<id>`` per conversation whose
+    ordered headers list its turns (bubble type 1 user, 2 assistant, 3 other;
+    ``conv_id % 4 == 1`` has an id-less header after turn 0), one
+    ``bubbleId:<id>:<bubble>`` per turn except ``turn % 5 == 4`` (missing
+    bubbles), and one unrelated key per conversation."""
+    C, T, R, X = F.col("conv_id"), F.col("turn"), F.col("role"), F.col("text")
+    cid = cursor_composer_id(C)
+    bid = F.concat(F.lit("b"), C.cast("string"), F.lit("-"), T.cast("string"))
+    ms = (F.lit(BASE_EPOCH_S) + C * 3600 + T * 37) * 1000 + 250
+    tool = (F.when((R == "assistant") & (T % 3 == 1), _obj(
+                name=_pick(TOOLS, (C + T) % 5), toolCallId=F.concat(F.lit("tc"), C.cast("string"), F.lit("-"), T.cast("string")),
+                rawArgs=F.to_json(F.struct(T.cast("string").alias("q")))))
+            .when((R == "assistant") & (T % 3 == 0), _obj(tool=F.lit("search"), params=_obj(q=T.cast("bigint")))))
+    bubble = F.to_json(_obj(
+        text=X,
+        createdAt=F.when(T % 3 != 2, ms.cast("bigint")),
+        timingInfo=F.when(T % 3 == 2, _obj(clientStartTime=ms.cast("bigint"))),
+        isAgentic=F.when(C % 6 == 5, F.lit(True)),
+        tokenCount=F.when(R == "assistant", _obj(inputTokens=F.length(X).cast("bigint"),
+                                                 outputTokens=F.floor(F.length(X) / 3).cast("bigint"))),
+        toolFormerData=tool,
+    ))
+    bubbles = conversations.where(T % 5 != 4).select(
+        F.concat(F.lit("bubbleId:"), cid, F.lit(":"), bid).alias("key"),
+        F.when((C % 11 == 10) & (T == 0), F.lit('{"text":')).otherwise(bubble).alias("value"))
+    htype = F.when(R == "user", F.lit(1)).when(R == "assistant", F.lit(2)).otherwise(F.lit(3)).cast("bigint")
+    headers = conversations.select(C, F.explode(F.when((C % 4 == 1) & (T == 0), F.array(
+        F.struct((T * 2).alias("pos"), bid.alias("bubbleId"), htype.alias("type")),
+        F.struct((T * 2 + 1).alias("pos"), F.lit(None).cast("string").alias("bubbleId"), F.lit(1).cast("bigint").alias("type"))))
+        .otherwise(F.array(F.struct((T * 2).alias("pos"), bid.alias("bubbleId"), htype.alias("type"))))).alias("h"))
+    composers = headers.groupBy("conv_id").agg(F.sort_array(F.collect_list("h")).alias("hs")).select(
+        F.concat(F.lit("composerData:"), cursor_composer_id(C)).alias("key"),
+        F.to_json(F.struct(cursor_composer_id(C).alias("composerId"),
+                           F.transform(F.col("hs"), lambda h: F.struct(h.bubbleId.alias("bubbleId"), h.type.alias("type")))
+                           .alias("fullConversationHeadersOnly"),
+                           F.struct(F.concat(F.lit("cursor-"), (C % 2).cast("string")).alias("modelName")).alias("modelConfig")))
+        .alias("value"))
+    noise = conversations.where(T == 0).select(F.concat(F.lit("checkpointId:"), cid).alias("key"), F.lit("{}").alias("value"))
+    return bubbles.unionByName(composers).unionByName(noise)
