@@ -112,3 +112,43 @@ def _union(dfs: list[DataFrame], spark: SparkSession, schema) -> DataFrame:
     for d in dfs[1:]:
         out = out.unionByName(d)
     return out
+
+
+def from_roots(spark: SparkSession, claude: str | None = None, copilot: str | None = None, codex: str | None = None,
+               gemini: str | None = None, cursor: str | None = None, claude_desktop: str | None = None) -> Tables:
+    """Canonical tables over real session trees (each argument is the root
+    of one assistant's data directory; a glob matches many users' roots)."""
+    from sessionlake.operators import claude as cl, codex as cx, copilot as cp, cursor as cu, gemini as ge, side
+    from sessionlake.sources import raw as R
+
+    b: dict[str, Callable[[], DataFrame]] = {}
+    if claude:
+        b["conv_claude"] = lambda: cl.normalise(R.raw_lines(spark, [R.join(claude, "projects/*/*.jsonl"),
+                                                                     R.join(claude, "projects/*/*/subagents/*.jsonl")]))
+        b["history_claude"] = lambda: side.claude_history(R.raw_lines(spark, [R.join(claude, "history.jsonl")]))
+        b["todos_claude"] = lambda: side.claude_todos(R.raw_files(spark, [R.join(claude, "todos/*.json")]))
+        b["plans_claude"] = lambda: side.claude_plans(R.raw_files(spark, [R.join(claude, "plans/*.md")]))
+        b["stats_claude"] = lambda: side.claude_stats(R.raw_files(spark, [R.join(claude, "stats-cache.json")]))
+    if claude_desktop:
+        # explicit globs per depth: Hadoop globs have no "**" and recursive listing skips hidden directories
+        pats = [R.join(claude_desktop, "local-agent-mode-sessions", *(["*"] * d), ".claude/projects", sub)
+                for d in range(0, 4) for sub in ("*/*.jsonl", "*/*/subagents/*.jsonl")]
+        b["conv_claude_desktop"] = lambda: cl.normalise(R.raw_lines(spark, pats), source="claude-desktop")
+    if copilot:
+        ws = lambda: R.workspace_yaml(R.raw_files(spark, [R.join(copilot, "session-state/*/workspace.yaml"),
+                                                          R.join(copilot, "session-state/workspace.yaml")]))
+        b["conv_copilot"] = lambda: cp.normalise(R.raw_lines(spark, [R.join(copilot, "session-state/*/events.jsonl"),
+                                                                      R.join(copilot, "session-state/*.jsonl")]), ws())
+        b["plans_copilot"] = lambda: side.copilot_plans(R.raw_files(spark, [R.join(copilot, "session-state/*/plan.md")]), ws())
+        b["todos_copilot"] = lambda: side.copilot_todos(R.raw_lines(spark, [R.join(copilot, "session-state/*/checkpoints/*.md")]))
+        b["history_copilot"] = lambda: side.copilot_history(R.raw_files(spark, [R.join(copilot, "command-history-state.json")]))
+    if codex:
+        pats = [R.join(codex, "sessions", *(["*"] * d), "rollout-*.jsonl") for d in range(0, 5)]
+        b["conv_codex"] = lambda: cx.normalise(R.raw_lines(spark, pats))
+    if gemini:
+        b["conv_gemini"] = lambda: ge.normalise(R.raw_files(spark, [R.join(gemini, "tmp/*/chats/session-*.json")]),
+                                                R.raw_files(spark, [R.join(gemini, "projects.json")]))
+    if cursor:
+        db = cursor if cursor.endswith(".vscdb") else R.join(cursor, "state.vscdb")
+        b["conv_cursor"] = lambda: cu.normalise(R.sqlite_kv(spark, [db]))
+    return Tables(spark, b)
