@@ -19,17 +19,13 @@ def project_two_parts(path: Column) -> Column:
     return F.when(n >= 2, F.concat_ws("/", F.element_at(parts, n - 1), F.element_at(parts, n))).otherwise(path)
 
 
-def _one_decimal(x: Column) -> Column:
-    return F.format_string("%.1f", x)
-
-
 def delta_label(ms: Column) -> Column:
     """``+12ms`` / ``+1.2s`` / ``+1m 05s``; empty for NULL or non-positive."""
     m = F.floor(ms / 60000).cast("bigint")
     s = F.floor((ms % 60000) / 1000).cast("bigint")
     return (F.when(ms.isNull() | (ms <= 0), F.lit(""))
             .when(ms < 1000, F.concat(F.lit("+"), ms.cast("bigint").cast("string"), F.lit("ms")))
-            .when(ms < 60000, F.concat(F.lit("+"), F.format_string("%.1f", ms / 1000.0), F.lit("s")))
+            .when(ms < 60000, F.concat(F.lit("+"), tenths_label(ms), F.lit("s")))
             .otherwise(F.format_string("+%dm %02ds", m, s)))
 
 
@@ -40,7 +36,7 @@ def duration_label(ms: Column) -> Column:
     h = F.floor(ms / 3600000).cast("bigint")
     hm = F.floor((ms % 3600000) / 60000).cast("bigint")
     return (F.when(ms.isNull() | (ms <= 0), F.lit(""))
-            .when(ms < 60000, F.concat(F.format_string("%.1f", ms / 1000.0), F.lit("s")))
+            .when(ms < 60000, F.concat(tenths_label(ms), F.lit("s")))
             .when(ms < 3600000, F.format_string("%dm %02ds", m, s))
             .otherwise(F.format_string("%dh %dm", h, hm)))
 
@@ -49,3 +45,43 @@ def truncate(s: Column, n: int) -> Column:
     """One line, at most ``n`` characters, ``…`` marks a cut."""
     flat = F.replace(F.replace(s, F.lit("\r"), F.lit(" ")), F.lit("\n"), F.lit(" "))
     return F.when(F.length(flat) > n, F.concat(F.left(flat, F.lit(n - 1)), F.lit("…"))).otherwise(flat)
+
+
+# Summary texts of the event list.
+CALLS, STARTED, TURN_START, TURN_END = "calls ", "Session started", "Turn started", "Turn ended"
+TOOL_MARK, DONE_MARK = "⚡ ", "✓ "
+
+
+def tenths_label(ms: Column) -> Column:
+    """``ms / 1000`` with one decimal, rounded half up on the exact value."""
+    t = F.floor((ms + 50) / 100).cast("bigint")
+    return F.concat(F.floor(t / 10).cast("bigint").cast("string"), F.lit("."), (t % 10).cast("string"))
+
+
+def event_summary(max_len: int = 300) -> Column:
+    """One-line summary of an event by its type, cut at ``max_len`` with ``…``."""
+    c = F.col
+    content = F.regexp_replace(F.replace(F.coalesce(c("message_content"), F.lit("")), F.lit("\n"), F.lit(" ")), r"^\s+|\s+$", "")
+    tool = F.coalesce(c("tool_name"), F.lit(""))
+    keys = F.json_object_keys(c("tool_input"))
+    args = F.when(c("tool_input").isNull() | (c("tool_input") == ""), F.lit("")) \
+        .when(keys.isNull(), F.lit("…")) \
+        .otherwise(F.array_join(F.transform(F.slice(keys, 1, 2), lambda k: F.concat(k, F.lit("=…"))), ", "))
+    t = c("message_type")
+    nz = lambda x, alt: F.when(x != "", x).otherwise(F.lit(alt))
+    text = (F.when(t == "user", nz(content, "(empty)"))
+            .when(t == "assistant", F.when(tool != "", F.concat(F.lit(CALLS), tool)).otherwise(nz(content, "(no content)")))
+            .when(t == "tool_start", F.concat(F.lit(TOOL_MARK), tool, F.lit("("), args, F.lit(")")))
+            .when(t == "tool_result", F.concat(F.lit(DONE_MARK), tool, F.lit(" completed")))
+            .when(t == "session_start", F.when(c("version").isNotNull(), F.concat(F.lit(STARTED + " — v"), c("version")))
+                  .otherwise(F.lit(STARTED)))
+            .when(t == "session_info", nz(content, "Session info"))
+            .when(t == "session_error", nz(content, "Error"))
+            .when(t == "turn_start", F.lit(TURN_START))
+            .when(t == "turn_end", F.lit(TURN_END))
+            .when(t == "truncation", F.when(c("input_tokens").isNotNull(),
+                                            F.concat(F.lit("Truncation: "), c("input_tokens").cast("string"), F.lit(" tokens")))
+                  .otherwise(F.lit("Truncation")))
+            .when(t == "reasoning", nz(content, "Reasoning"))
+            .otherwise(F.when(content != "", content).otherwise(F.coalesce(t, F.lit("")))))
+    return F.when(F.length(text) > max_len, F.concat(F.substring(text, 1, max_len), F.lit("…"))).otherwise(text)

@@ -28,3 +28,42 @@ def parent_name(path: Column, up: int = 1) -> Column:
 def stem(path: Column, suffix: str) -> Column:
     """File name without ``suffix`` (kept whole when it does not end in it)."""
     return F.regexp_replace(base_name(path), re.escape(suffix) + "$", "")
+
+
+def url_decode(s: Column) -> Column:
+    """Percent-decoding where ``+`` stays a plus; undecodable text is kept."""
+    return F.coalesce(F.try_url_decode(F.regexp_replace(s, r"\+", "%2B")), s)
+
+
+# Which assistant and table a session-tree file belongs to, in
+# detection precedence (desktop, claude, copilot, cursor, codex, grok, gemini).
+PATH_RULES = [
+    ("claude-desktop", "conversations", r"/local-agent-mode-sessions/.*/\.claude/projects/[^/]+/([^/]+/subagents/)?[^/]+\.jsonl$"),
+    ("claude", "conversations", r"/projects/[^/]+/([^/]+/subagents/)?[^/]+\.jsonl$"),
+    ("claude", "history", r"/history\.jsonl$"),
+    ("claude", "todos", r"/todos/[^/]+-agent-[^/]+\.json$"),
+    ("claude", "plans", r"/plans/[^/]+\.md$"),
+    ("claude", "stats", r"/stats-cache\.json$"),
+    ("copilot", "conversations", r"/session-state/([^/]+/events|[^/]+)\.jsonl$"),
+    ("copilot", "plans", r"/session-state/[^/]+/plan\.md$"),
+    ("copilot", "todos", r"/session-state/[^/]+/checkpoints/[^/]+\.md$"),
+    ("copilot", "history", r"/command-history-state\.json$"),
+    ("copilot", "metadata", r"/session-state/([^/]+/)?workspace\.yaml$"),
+    ("cursor", "conversations", r"/state\.vscdb$"),
+    ("codex", "conversations", r"/sessions/(.+/)?rollout-[^/]*\.jsonl$"),
+    ("grok", "conversations", r"/sessions/[^/]+/[^/]+/chat_history\.jsonl$"),
+    ("grok", "plans", r"/sessions/[^/]+/[^/]+/plan\.md$"),
+    ("grok", "metadata", r"/sessions/[^/]+/[^/]+/(summary|signals|meta)\.json$|/updates\.jsonl$"),
+    ("gemini", "conversations", r"/tmp/[^/]+/chats/session-[^/]*\.json$"),
+    ("gemini", "metadata", r"/projects\.json$"),
+]
+
+
+def classify(path: Column) -> tuple[Column, Column]:
+    """``(source, kind)`` of a file path by the first matching rule; NULL when
+    no rule matches."""
+    src = kind = None
+    for s, k, rx in reversed(PATH_RULES):
+        src = F.when(path.rlike(rx), F.lit(s)) if src is None else F.when(path.rlike(rx), F.lit(s)).otherwise(src)
+        kind = F.when(path.rlike(rx), F.lit(k)) if kind is None else F.when(path.rlike(rx), F.lit(k)).otherwise(kind)
+    return src, kind

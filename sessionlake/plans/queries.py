@@ -438,3 +438,146 @@ def q_session_collisions(t: Tables) -> DataFrame:
 
 def q_distinct_sessions(t: Tables) -> DataFrame:
     return t.conv_all.select("source", "session_id", "project_path", "file_name").distinct()
+
+
+# ── ad-hoc builder (F1) ──────────────────────────────────────────────────────
+def q_builder(t: Tables, table: str = "conversations", columns: tuple[str, ...] = ("*",), where: str | None = None,
+              order_by: tuple[str, ...] = (), limit: int | None = 100) -> DataFrame:
+    """Columns / WHERE (SQL text) / ORDER BY / LIMIT over one of the five tables."""
+    src = {"conversations": t.conv_all, "plans": t.plans, "todos": t.todos, "history": t.history, "stats": t.stats}[table]
+    df = src.select(*columns)
+    if where:
+        df = df.where(F.expr(where))
+    if order_by:
+        df = df.orderBy(*[F.expr(o) for o in order_by])
+    return df.limit(limit) if limit else df
+
+
+# ── data quality (A18) ───────────────────────────────────────────────────────
+def _checks(table: str, df: DataFrame, checks: dict[str, Column]) -> DataFrame:
+    return _label_counts(df, checks).select(F.lit(table).alias("table"), c("label").alias("check"), c("n").alias("violations"))
+
+
+def q_quality_report(t: Tables) -> DataFrame:
+    """Invariant violations per table, each table in one aggregate pass."""
+    conv = t.conv_all
+    tok = [c(x) < 0 for x in ("input_tokens", "output_tokens", "cache_creation_tokens", "cache_read_tokens", "reasoning_tokens")]
+    neg = tok[0]
+    for x in tok[1:]:
+        neg = neg | x
+    files = conv.groupBy("source", "session_id", "project_dir", "file_name").agg(
+        F.min("line_number").alias("lo"), F.max("line_number").alias("hi"), F.count("*").alias("n"))
+    parts = [
+        _checks("conversations", conv, {
+            "empty_session_id": c("session_id") == "",
+            "negative_tokens": neg,
+            "line_number_below_1": c("line_number") < 1,
+            "uuid_not_uuid_shaped": c("uuid").isNotNull() & ~c("uuid").rlike(UUID_RE),
+            "timestamp_not_iso": c("timestamp").isNotNull() & ~c("timestamp").rlike(ISO_RE),
+            "parse_errors": c("message_type") == "_parse_error",
+            "role_without_type": c("message_role").isNotNull() & c("message_type").isNull(),
+        }),
+        _checks("conversations", files, {"file_min_line_not_1": c("lo") != 1, "file_max_line_not_count": c("hi") != c("n")}),
+        _checks("plans", t.plans, {"empty_content": c("content") == "", "non_positive_size": c("file_size") <= 0}),
+        _checks("plans", t.plans.groupBy("source", "plan_name").agg(F.count("*").alias("k")),
+                {"duplicate_plan_name": c("k") > 1}),
+        _checks("todos", t.todos, {"empty_content": c("content") == "",
+                                   "unknown_status": ~c("status").isin("pending", "in_progress", "completed")}),
+        _checks("history", t.history, {"null_display": c("display").isNull(), "null_timestamp": c("timestamp_ms").isNull()}),
+        _checks("stats", t.stats, {"negative_counts": (c("message_count") < 0) | (c("session_count") < 0)
+                                   | (c("tool_call_count") < 0), "empty_date": c("date") == ""}),
+        _checks("stats", t.stats.groupBy("source", "date").agg(F.count("*").alias("k")), {"duplicate_date": c("k") > 1}),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+# ── scalar functions (X1–X9) ─────────────────────────────────────────────────
+def x_epoch_iso(t: Tables) -> DataFrame:
+    from sessionlake.functions.time import epoch_ms_to_iso
+    return t.history.select("source", "line_number", "timestamp_ms", epoch_ms_to_iso(c("timestamp_ms")).alias("iso"))
+
+
+def x_date_prefix(t: Tables) -> DataFrame:
+    from sessionlake.functions.time import date_prefix
+    return t.conv_all.select("source", "session_id", "file_name", "line_number", date_prefix(c("timestamp")).alias("date"))
+
+
+def x_parse_ts(t: Tables) -> DataFrame:
+    return t.conv_all.select("source", "session_id", "file_name", "line_number", epoch_millis(c("timestamp")).alias("ts_ms"))
+
+
+def x_duration_labels(t: Tables) -> DataFrame:
+    d = q_session_duration(t)
+    return d.select("session_id", "duration_ms", LB.duration_label(c("duration_ms")).alias("duration"),
+                    LB.delta_label(c("duration_ms")).alias("delta"))
+
+
+def x_event_summary(t: Tables) -> DataFrame:
+    return t.conv.select("source", "session_id", "file_name", "line_number", LB.event_summary().alias("summary"))
+
+
+def x_project_label(t: Tables) -> DataFrame:
+    """Short project names; when two paths share a last component, the first
+    path (in sorted order) keeps it and later ones get two components."""
+    p = t.conv_all.where(c("project_path") != "").select("project_path").distinct()
+    short = LB.project_short(c("project_path"))
+    w = Window.partitionBy("short").orderBy("project_path")
+    return p.select("project_path", short.alias("short")).select(
+        "project_path", F.when(F.row_number().over(w) == 1, c("short")).otherwise(LB.project_two_parts(c("project_path"))).alias("label"))
+
+
+def x_string_basics(t: Tables) -> DataFrame:
+    return t.conv.select(
+        "source", "session_id", "file_name", "line_number",
+        F.left(c("message_content"), F.lit(10)).alias("head"), F.right(c("message_content"), F.lit(5)).alias("tail"),
+        F.length("message_content").alias("chars"), F.lower("message_type").alias("kind"),
+        F.coalesce(c("model"), F.lit("none")).alias("model_or_none"),
+        F.split_part(c("project_path"), F.lit("/"), F.lit(-1)).alias("project"),
+        F.replace(c("session_id"), F.lit("-"), F.lit("")).alias("compact_id"),
+        c("line_number").cast("string").alias("line_text"),
+        F.when(c("input_tokens") > 300, F.lit("big")).when(c("input_tokens").isNotNull(), F.lit("small")).alias("size"))
+
+
+def x_url_decode(t: Tables) -> DataFrame:
+    from sessionlake.functions.paths import url_decode
+    enc = F.url_encode(c("project_path"))
+    return t.conv_all.where(c("project_path") != "").select("project_path").distinct().select(
+        "project_path", enc.alias("encoded"), url_decode(enc).alias("decoded"))
+
+
+def x_event_json(t: Tables) -> DataFrame:
+    """Each event as one JSON object without NULL members; ``tool_input`` is
+    nested as JSON, not quoted text."""
+    cols = [x for x in SESSION_EVENT_COLUMNS if x != "tool_input"]
+    return t.conv.select("session_id", "file_name", "line_number", F.to_json(F.struct(
+        *cols, F.try_parse_json(c("tool_input")).alias("tool_input"))).alias("json"))
+
+
+# ── sources (S17, S18) ───────────────────────────────────────────────────────
+def classify_paths(files: DataFrame) -> DataFrame:
+    from sessionlake.functions.paths import classify
+    src, kind = classify(c("file_path"))
+    return files.select("file_path", src.alias("source"), kind.alias("kind"))
+
+
+def benchmark_file_listing(spark, sf_dir: str) -> DataFrame:
+    """Every file path the benchmark adapters write, once."""
+    from sessionlake.sources import adapters as A
+    read = lambda n: spark.read.parquet(f"{sf_dir}/{n}.parquet")
+    conv, ev, docs = read("conversations"), read("events"), read("documents")
+    parts = [A.claude_lines(conv), A.copilot_lines(ev), A.codex_lines(ev), A.claude_history_lines(conv),
+             A.claude_todo_files(conv), A.claude_plan_files(docs), A.claude_stats_files(ev), A.gemini_files(conv),
+             A.gemini_projects(conv)]
+    out = None
+    for p in parts:
+        q = p.select("file_path")
+        out = q if out is None else out.unionByName(q)
+    return out.distinct()
+
+
+def sink_csv_roundtrip(t: Tables) -> DataFrame:
+    from sessionlake.sources.sinks import csv_roundtrip
+    return csv_roundtrip(t.spark, q_source_metrics(t))

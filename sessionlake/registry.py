@@ -302,6 +302,121 @@ _Q: dict[str, tuple[Callable[[Tables], DataFrame], str | None]] = {
 }
 
 
+_TOOLS = "['Read','Edit','Bash','Grep','Write']"
+_Q.update({
+    "q_builder": (
+        lambda t: Q.q_builder(t, "conversations", ("source", "session_id", "file_name", "line_number", "tool_name"),
+                              "tool_name IS NOT NULL AND source IN ('claude', 'copilot')",
+                              ("session_id", "file_name", "line_number"), 100),
+        "SELECT source, session_id, file_name, line_number, tool_name FROM x_conv_all WHERE tool_name IS NOT NULL "
+        "AND source IN ('claude', 'copilot') ORDER BY session_id, file_name, line_number LIMIT 100"),
+    "q_quality_report": (Q.q_quality_report, """SELECT * FROM (
+  WITH cv AS (SELECT * FROM x_conv_all),
+  f AS (SELECT min(line_number) AS lo, max(line_number) AS hi, count(*) AS n FROM cv GROUP BY source, session_id, project_dir, file_name),
+  pn AS (SELECT count(*) AS k FROM x_plans GROUP BY source, plan_name),
+  sd AS (SELECT count(*) AS k FROM x_stats GROUP BY source, date)
+  SELECT 'conversations' AS "table", 'empty_session_id' AS "check", count(*) FILTER (WHERE session_id = '') AS violations FROM cv
+  UNION ALL SELECT 'conversations', 'negative_tokens', count(*) FILTER (WHERE input_tokens < 0 OR output_tokens < 0
+    OR cache_creation_tokens < 0 OR cache_read_tokens < 0 OR reasoning_tokens < 0) FROM cv
+  UNION ALL SELECT 'conversations', 'line_number_below_1', count(*) FILTER (WHERE line_number < 1) FROM cv
+  UNION ALL SELECT 'conversations', 'uuid_not_uuid_shaped', count(*) FILTER (WHERE uuid IS NOT NULL
+    AND NOT regexp_full_match(uuid, '""" + UUID_RE + """')) FROM cv
+  UNION ALL SELECT 'conversations', 'timestamp_not_iso', count(*) FILTER (WHERE timestamp IS NOT NULL
+    AND NOT regexp_full_match(timestamp, '""" + ISO_RE + """')) FROM cv
+  UNION ALL SELECT 'conversations', 'parse_errors', count(*) FILTER (WHERE message_type = '_parse_error') FROM cv
+  UNION ALL SELECT 'conversations', 'role_without_type', count(*) FILTER (WHERE message_role IS NOT NULL AND message_type IS NULL) FROM cv
+  UNION ALL SELECT 'conversations', 'file_min_line_not_1', count(*) FILTER (WHERE lo <> 1) FROM f
+  UNION ALL SELECT 'conversations', 'file_max_line_not_count', count(*) FILTER (WHERE hi <> n) FROM f
+  UNION ALL SELECT 'plans', 'empty_content', count(*) FILTER (WHERE content = '') FROM x_plans
+  UNION ALL SELECT 'plans', 'non_positive_size', count(*) FILTER (WHERE file_size <= 0) FROM x_plans
+  UNION ALL SELECT 'plans', 'duplicate_plan_name', count(*) FILTER (WHERE k > 1) FROM pn
+  UNION ALL SELECT 'todos', 'empty_content', count(*) FILTER (WHERE content = '') FROM x_todos
+  UNION ALL SELECT 'todos', 'unknown_status', count(*) FILTER (WHERE status NOT IN ('pending', 'in_progress', 'completed')) FROM x_todos
+  UNION ALL SELECT 'history', 'null_display', count(*) FILTER (WHERE display IS NULL) FROM x_history
+  UNION ALL SELECT 'history', 'null_timestamp', count(*) FILTER (WHERE timestamp_ms IS NULL) FROM x_history
+  UNION ALL SELECT 'stats', 'negative_counts', count(*) FILTER (WHERE message_count < 0 OR session_count < 0 OR tool_call_count < 0) FROM x_stats
+  UNION ALL SELECT 'stats', 'empty_date', count(*) FILTER (WHERE date = '') FROM x_stats
+  UNION ALL SELECT 'stats', 'duplicate_date', count(*) FILTER (WHERE k > 1) FROM sd)"""),
+    "x_epoch_iso": (Q.x_epoch_iso,
+                    "SELECT source, line_number, timestamp_ms, strftime(make_timestamp((timestamp_ms // 1000) * 1000000), "
+                    "'%Y-%m-%dT%H:%M:%SZ') AS iso FROM x_history"),
+    "x_date_prefix": (Q.x_date_prefix,
+                      "SELECT source, session_id, file_name, line_number, CASE WHEN regexp_matches(timestamp, '^.{4}-.{2}-.{2}') "
+                      "THEN left(timestamp, 10) END AS date FROM x_conv_all"),
+    "x_parse_ts": (Q.x_parse_ts, f"SELECT source, session_id, file_name, line_number, {TS_MS} AS ts_ms FROM x_conv_all"),
+    "x_duration_labels": (Q.x_duration_labels, """SELECT session_id, duration_ms,
+  CASE WHEN duration_ms IS NULL OR duration_ms <= 0 THEN ''
+       WHEN duration_ms < 60000 THEN ((duration_ms + 50) // 100 // 10) || '.' || ((duration_ms + 50) // 100 % 10) || 's'
+       WHEN duration_ms < 3600000 THEN (duration_ms // 60000) || 'm ' || lpad(CAST((duration_ms % 60000) // 1000 AS VARCHAR), 2, '0') || 's'
+       ELSE (duration_ms // 3600000) || 'h ' || ((duration_ms % 3600000) // 60000) || 'm' END AS duration,
+  CASE WHEN duration_ms IS NULL OR duration_ms <= 0 THEN ''
+       WHEN duration_ms < 1000 THEN '+' || duration_ms || 'ms'
+       WHEN duration_ms < 60000 THEN '+' || ((duration_ms + 50) // 100 // 10) || '.' || ((duration_ms + 50) // 100 % 10) || 's'
+       ELSE '+' || (duration_ms // 60000) || 'm ' || lpad(CAST((duration_ms % 60000) // 1000 AS VARCHAR), 2, '0') || 's' END AS delta
+FROM (""" + f"SELECT session_id, arg_max(ts_ms, ({TL})) - arg_min(ts_ms, ({TL})) AS duration_ms FROM ("
+        f"SELECT session_id, file_name, line_number, is_agent, {TS_MS} AS ts_ms FROM x_conv "
+        "WHERE message_type <> '_parse_error') WHERE ts_ms IS NOT NULL GROUP BY 1)"),
+    "x_event_summary": (Q.x_event_summary, """SELECT source, session_id, file_name, line_number,
+  CASE WHEN length(s) > 300 THEN left(s, 300) || '…' ELSE s END AS summary FROM (
+  SELECT *, CASE
+    WHEN message_type = 'user' THEN CASE WHEN ct <> '' THEN ct ELSE '(empty)' END
+    WHEN message_type = 'assistant' THEN CASE WHEN tl <> '' THEN 'calls ' || tl WHEN ct <> '' THEN ct ELSE '(no content)' END
+    WHEN message_type = 'tool_start' THEN '⚡ ' || tl || '(' || CASE WHEN tool_input IS NULL OR tool_input = '' THEN ''
+         WHEN json_type(tool_input) <> 'OBJECT' THEN '…'
+         ELSE array_to_string(list_transform(json_keys(tool_input)[1:2], lambda k: k || '=…'), ', ') END || ')'
+    WHEN message_type = 'tool_result' THEN '✓ ' || tl || ' completed'
+    WHEN message_type = 'session_start' THEN CASE WHEN version IS NOT NULL THEN 'Session started — v' || version ELSE 'Session started' END
+    WHEN message_type = 'session_info' THEN CASE WHEN ct <> '' THEN ct ELSE 'Session info' END
+    WHEN message_type = 'session_error' THEN CASE WHEN ct <> '' THEN ct ELSE 'Error' END
+    WHEN message_type = 'turn_start' THEN 'Turn started'
+    WHEN message_type = 'turn_end' THEN 'Turn ended'
+    WHEN message_type = 'truncation' THEN CASE WHEN input_tokens IS NOT NULL THEN 'Truncation: ' || input_tokens || ' tokens' ELSE 'Truncation' END
+    WHEN message_type = 'reasoning' THEN CASE WHEN ct <> '' THEN ct ELSE 'Reasoning' END
+    ELSE CASE WHEN ct <> '' THEN ct ELSE coalesce(message_type, '') END END AS s
+  FROM (SELECT *, trim(replace(coalesce(message_content, ''), chr(10), ' ')) AS ct, coalesce(tool_name, '') AS tl FROM x_conv))"""),
+    "x_project_label": (Q.x_project_label,
+                        "SELECT project_path, CASE WHEN row_number() OVER (PARTITION BY short ORDER BY project_path) = 1 THEN short "
+                        "WHEN len(string_split(project_path, '/')) >= 2 THEN array_to_string(string_split(project_path, '/')[-2:], '/') "
+                        "ELSE project_path END AS label FROM (SELECT DISTINCT project_path, CASE WHEN project_path LIKE '%/%' "
+                        "THEN split_part(project_path, '/', -1) ELSE project_path END AS short FROM x_conv_all WHERE project_path <> '')"),
+    "x_string_basics": (Q.x_string_basics,
+                        "SELECT source, session_id, file_name, line_number, left(message_content, 10) AS head, "
+                        "right(message_content, 5) AS tail, CAST(length(message_content) AS INTEGER) AS chars, lower(message_type) AS kind, "
+                        "coalesce(model, 'none') AS model_or_none, split_part(project_path, '/', -1) AS project, "
+                        "replace(session_id, '-', '') AS compact_id, CAST(line_number AS VARCHAR) AS line_text, "
+                        "CASE WHEN input_tokens > 300 THEN 'big' WHEN input_tokens IS NOT NULL THEN 'small' END AS size FROM x_conv"),
+    "x_url_decode": (Q.x_url_decode, None),
+    "x_event_json": (Q.x_event_json, None),
+    "sink_csv_roundtrip": (Q.sink_csv_roundtrip,
+                           "SELECT source, CAST(count(DISTINCT session_id) AS VARCHAR) AS sessions, CAST(count(*) AS VARCHAR) AS messages "
+                           "FROM x_conv GROUP BY source"),
+})
+
+
+def _classify_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.classify_paths(Q.benchmark_file_listing(spark, sf_dir))
+
+
+_CLASSIFY_SQL = """SELECT DISTINCT file_path, source, kind FROM (
+  SELECT CASE WHEN conv_id % 6 = 5 THEN '/lake/claude/projects/-home-dev-my-app' || ((conv_id - 1) % 7) || '/'
+      || printf('%08d-0000-4000-8000-000000000000', conv_id - 1) || '/subagents/agent-a' || conv_id || '.jsonl'
+    ELSE '/lake/claude/projects/-home-dev-my-app' || (conv_id % 7) || '/' || printf('%08d-0000-4000-8000-000000000000', conv_id)
+      || '.jsonl' END AS file_path, 'claude' AS source, 'conversations' AS kind FROM conversations
+  UNION ALL SELECT '/lake/copilot/session-state/' || printf('%08d-c0c0-4000-8000-%012d', user_id, user_id) || '/events.jsonl',
+    'copilot', 'conversations' FROM events
+  UNION ALL SELECT '/lake/codex/sessions/2024/01/01/rollout-2024-01-01T00-00-00-' || printf('%08d-c0de-4000-8000-%012d', user_id, user_id)
+    || '.jsonl', 'codex', 'conversations' FROM events
+  UNION ALL SELECT '/lake/claude/history.jsonl', 'claude', 'history' FROM conversations WHERE role = 'user' AND turn <= 2
+  UNION ALL SELECT '/lake/claude/todos/' || printf('%08d-0000-4000-8000-000000000000', CASE WHEN conv_id % 6 = 5 THEN conv_id - 1
+    ELSE conv_id END) || '-agent-a' || conv_id || 't' || turn || '.json', 'claude', 'todos' FROM conversations
+    WHERE role = 'assistant' AND turn % 3 = 1
+  UNION ALL SELECT '/lake/claude/plans/plan-' || doc_id || '.md', 'claude', 'plans' FROM documents
+  UNION ALL SELECT '/lake/claude/u' || (user_id % 4) || '/stats-cache.json', 'claude', 'stats' FROM events
+  UNION ALL SELECT '/lake/gemini/tmp/' || CASE WHEN conv_id % 4 <> 3 THEN 'proj' || (conv_id % 5) ELSE 'h' || conv_id END
+    || '/chats/session-' || conv_id || '.json', 'gemini', 'conversations' FROM conversations
+  UNION ALL SELECT '/lake/gemini/projects.json', 'gemini', 'metadata' FROM conversations WHERE conv_id % 4 <> 3)"""
+
+
 def _runner(fn: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(Tables.from_benchmark(spark, sf_dir))
@@ -309,8 +424,12 @@ def _runner(fn: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str],
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: _runner(fn) for k, (fn, _) in _Q.items()}
+    out = {k: _runner(fn) for k, (fn, _) in _Q.items()}
+    out["classify_paths"] = _classify_run
+    return out
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: O.sql(body) for k, (_, body) in _Q.items() if body is not None}
+    out = {k: O.sql(body) for k, (_, body) in _Q.items() if body is not None}
+    out["classify_paths"] = _CLASSIFY_SQL
+    return out
