@@ -248,6 +248,82 @@ x_cursor AS (
   FROM x_cursor_b
 )"""
 
+S_GROK = "printf('%08d-6b00-4000-8000-%012d', {0}, {0})"
+GROK_TS0 = ISO.format("TIMESTAMP '2024-01-01 00:00:00' + to_seconds(c * 3600)")
+GROK_TS1 = ISO.format("TIMESTAMP '2024-01-01 00:00:00' + to_seconds(c * 3600 + 999)")
+X_GROK = f"""
+x_grok_b AS (
+  SELECT conv_id AS c, turn AS t, role AS r, text AS x,
+    CASE WHEN role = 'system' THEN 'system' WHEN role = 'user' AND turn % 5 = 3 THEN 'tool_result'
+         WHEN role = 'user' THEN 'user' WHEN turn % 4 = 1 THEN 'reasoning' ELSE 'assistant' END AS k,
+    conv_id % 9 = 2 AND turn = 1 AS bad,
+    bool_or(conv_id % 9 = 2 AND turn = 1) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS exhausted,
+    arg_max(CASE WHEN role = 'assistant' THEN text END, CASE WHEN role = 'assistant' THEN turn END) OVER (PARTITION BY conv_id) AS ux,
+    max(CASE WHEN role = 'assistant' THEN turn END) OVER (PARTITION BY conv_id) AS ut
+  FROM conversations
+),
+x_grok_r AS (
+  SELECT *, {S_GROK.format('c')} AS sid, '/home/dev/grok' || (c % 3) AS cwd0, '%2Fhome%2Fdev%2Fgrok' || (c % 3) AS enc,
+    CASE WHEN c % 2 = 0 THEN '/repo/g' || (c % 3) END AS groot, {GROK_TS1} AS sts,
+    CASE WHEN k = 'system' THEN {GROK_TS0} WHEN exhausted THEN {GROK_TS1}
+         ELSE strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(c * 3600 + t * 37), '%Y-%m-%dT%H:%M:%SZ') END AS ts,
+    CASE WHEN c % 6 = 5 THEN {S_GROK.format('c - 1')} END AS parent
+  FROM x_grok_b
+),
+x_grok_rows AS (
+  SELECT *, CASE WHEN bad THEN '_parse_error' ELSE k END AS mtype, -1 AS i FROM x_grok_r WHERE NOT (k = 'assistant' AND NOT bad) 
+  UNION ALL SELECT *, 'assistant', -1 FROM x_grok_r WHERE k = 'assistant' AND NOT bad
+  UNION ALL SELECT x_grok_r.*, 'tool_call', i FROM x_grok_r, (SELECT unnest(range(0, 2)) AS i) q
+    WHERE k = 'assistant' AND NOT bad AND i < t % 3
+),
+x_grok AS (
+  SELECT 'grok' AS source, sid AS session_id, coalesce(groot, cwd0) AS project_path, enc AS project_dir,
+    'chat_history.jsonl' AS file_name, parent IS NOT NULL AS is_agent, CAST(t + 1 AS BIGINT) AS line_number,
+    mtype AS message_type,
+    CASE WHEN mtype = 'reasoning' THEN 'r' || c || '-' || t ELSE sid || ':' || (t + 1) END AS uuid,
+    parent AS parent_uuid, ts AS timestamp,
+    CASE WHEN mtype = 'user' THEN 'user' WHEN mtype IN ('tool_result', 'tool_call') THEN 'tool'
+         WHEN mtype IN ('reasoning', 'assistant') THEN 'assistant' END AS message_role,
+    CASE WHEN mtype = '_parse_error' THEN 'Parse error: invalid chat line' WHEN mtype = 'tool_call' THEN NULL
+         WHEN mtype = 'assistant' AND t % 6 = 0 THEN NULL ELSE x END AS message_content,
+    CASE WHEN mtype = 'reasoning' THEN 'grok-code'
+         WHEN mtype IN ('assistant', 'tool_call') THEN CASE WHEN t % 2 = 0 THEN 'grok-fast' ELSE 'grok-code' END END AS model,
+    CASE WHEN mtype = 'tool_call' THEN list_extract({TOOLS}, CAST(i + 1 AS INTEGER)) END AS tool_name,
+    CASE WHEN mtype = 'tool_call' THEN 'call' || c || '-' || t || '-' || i
+         WHEN mtype = 'tool_result' THEN 'call' || c || '-' || (t - 1) || '-0' END AS tool_use_id,
+    CASE WHEN mtype = 'tool_call' THEN '{{"n":' || t || '}}' END AS tool_input,
+    CAST(length(ux) AS BIGINT) AS input_tokens, CAST(length(ux) // 3 AS BIGINT) AS output_tokens,
+    CAST(NULL AS BIGINT) AS cache_creation_tokens, CAST(ut AS BIGINT) AS cache_read_tokens,
+    CASE WHEN ut IS NOT NULL THEN CAST(5 AS BIGINT) END AS reasoning_tokens,
+    CASE WHEN c % 5 <> 0 THEN 'Grok task ' || c END AS slug, 'main' AS git_branch, cwd0 AS cwd,
+    CASE WHEN c % 2 = 1 THEN '2' ELSE 'v2' END AS version, CAST(NULL AS VARCHAR) AS stop_reason,
+    CASE WHEN mtype = 'reasoning' THEN CASE WHEN t % 2 = 1 THEN 'high' ELSE 'medium' END
+         WHEN mtype IN ('assistant', 'tool_call') THEN 'medium' END AS reasoning_effort,
+    'git@host:r' || (c % 3) || '.git' AS repository
+  FROM x_grok_rows
+),
+x_grok_sessions AS (
+  SELECT conv_id AS c, count(*) AS n, count(*) FILTER (WHERE role = 'user') AS users,
+    count(*) FILTER (WHERE role = 'assistant') AS assts,
+    sum(CASE WHEN role = 'assistant' AND turn % 4 <> 1 THEN turn % 3 ELSE 0 END) AS calls,
+    arg_min(text, turn) AS first_text
+  FROM conversations GROUP BY conv_id
+),
+x_grok_plans AS (
+  SELECT 'grok' AS source, {S_GROK.format('c')} AS session_id, coalesce(CASE WHEN c % 5 <> 0 THEN 'Grok task ' || c END,
+    {S_GROK.format('c')}) AS plan_name, 'plan.md' AS file_name,
+    '/lake/grok/sessions/%2Fhome%2Fdev%2Fgrok' || (c % 3) || '/' || {S_GROK.format('c')} || '/plan.md' AS file_path,
+    first_text AS content, CAST(strlen(first_text) AS BIGINT) AS file_size
+  FROM x_grok_sessions WHERE c % 4 = 0
+),
+x_grok_stats AS (
+  SELECT 'grok' AS source, left({GROK_TS0}, 10) AS date,
+    CAST(sum(CASE WHEN c % 7 = 3 THEN n WHEN users > 0 OR assts > 0 THEN users + assts WHEN n > 0 THEN n ELSE n END) AS BIGINT) AS message_count,
+    CAST(count(*) AS BIGINT) AS session_count,
+    CAST(sum(CASE WHEN c % 7 = 3 THEN 0 ELSE calls END) AS BIGINT) AS tool_call_count
+  FROM x_grok_sessions GROUP BY 2
+)"""
+
 X_SIDE = f"""
 x_history AS (
   SELECT 'claude' AS source, CAST(c * 10 + t + 1 AS BIGINT) AS line_number,
@@ -282,18 +358,20 @@ x_plans AS (
     'plan-' || doc_id || '.md' AS file_name, '/lake/claude/plans/plan-' || doc_id || '.md' AS file_path,
     text AS content, CAST(strlen(text) AS BIGINT) AS file_size
   FROM documents
+  UNION ALL SELECT * FROM x_grok_plans
 ),
 x_stats AS (
   SELECT 'claude' AS source, strftime(CAST(ts AS DATE), '%Y-%m-%d') AS date, CAST(count(*) AS BIGINT) AS message_count,
     CAST(count(DISTINCT user_id) AS BIGINT) AS session_count,
     CAST(count(*) FILTER (WHERE event_type = 'click') AS BIGINT) AS tool_call_count
   FROM events GROUP BY user_id % 4, CAST(ts AS DATE)
+  UNION ALL SELECT * FROM x_grok_stats
 ),
 x_conv AS (SELECT * FROM x_claude UNION ALL SELECT * FROM x_copilot),
 x_conv_all AS (SELECT * FROM x_claude UNION ALL SELECT * FROM x_copilot UNION ALL SELECT * FROM x_codex
-  UNION ALL SELECT * FROM x_gemini UNION ALL SELECT * FROM x_cursor)"""
+  UNION ALL SELECT * FROM x_gemini UNION ALL SELECT * FROM x_cursor UNION ALL SELECT * FROM x_grok)"""
 
-PRELUDE = "WITH " + ",".join(s.strip() for s in (X_CLAUDE, X_COPILOT, X_CODEX, X_GEMINI, X_CURSOR, X_SIDE))
+PRELUDE = "WITH " + ",".join(s.strip() for s in (X_CLAUDE, X_COPILOT, X_CODEX, X_GEMINI, X_CURSOR, X_GROK, X_SIDE))
 
 
 def sql(body: str) -> str:

@@ -74,7 +74,7 @@ class Tables:
     @classmethod
     def _build_benchmark(cls, spark: SparkSession, sf_dir: str) -> "Tables":
         from sessionlake.sources import adapters as A
-        from sessionlake.operators import claude, codex, copilot, cursor, gemini, side
+        from sessionlake.operators import claude, codex, copilot, cursor, gemini, grok, side
 
         def read(name: str) -> DataFrame:
             return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -86,6 +86,11 @@ class Tables:
             "conv_gemini": lambda: gemini.normalise(A.gemini_files(read("conversations")),
                                                     A.gemini_projects(read("conversations"))),
             "conv_cursor": lambda: cursor.normalise(A.cursor_kv(read("conversations"))),
+            "conv_grok": lambda: grok.normalise(A.grok_chat_lines(read("conversations")),
+                                                A.grok_update_lines(read("conversations")),
+                                                A.grok_side_files(read("conversations"))),
+            "plans_grok": lambda: grok.plans(A.grok_chat_lines(read("conversations")), A.grok_side_files(read("conversations"))),
+            "stats_grok": lambda: grok.stats(A.grok_chat_lines(read("conversations")), A.grok_side_files(read("conversations"))),
             "history_claude": lambda: side.claude_history(A.claude_history_lines(read("conversations"))),
             "todos_claude": lambda: side.claude_todos(A.claude_todo_files(read("conversations"))),
             "plans_claude": lambda: side.claude_plans(A.claude_plan_files(read("documents"))),

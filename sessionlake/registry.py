@@ -55,6 +55,9 @@ _Q: dict[str, tuple[Callable[[Tables], DataFrame], str | None]] = {
     "ingest_codex": (lambda t: t.get("conv_codex"), f"SELECT {O.CONV_COLS} FROM x_codex"),
     "ingest_gemini": (lambda t: t.get("conv_gemini"), f"SELECT {O.CONV_COLS} FROM x_gemini"),
     "ingest_cursor": (lambda t: t.get("conv_cursor"), f"SELECT {O.CONV_COLS} FROM x_cursor"),
+    "ingest_grok": (lambda t: t.get("conv_grok"), f"SELECT {O.CONV_COLS} FROM x_grok"),
+    "ingest_plans_grok": (lambda t: t.get("plans_grok"), "SELECT * FROM x_grok_plans"),
+    "ingest_stats_grok": (lambda t: t.get("stats_grok"), "SELECT * FROM x_grok_stats"),
     "ingest_conversations_all": (lambda t: t.conv_all, f"SELECT {O.CONV_COLS} FROM x_conv_all"),
     "ingest_history_all": (lambda t: t.history, "SELECT * FROM x_history"),
     "ingest_todos_all": (lambda t: t.todos, "SELECT * FROM x_todos"),
@@ -129,6 +132,25 @@ _Q: dict[str, tuple[Callable[[Tables], DataFrame], str | None]] = {
     "norm_cursor_parent": (
         lambda t: t.get("conv_cursor").select("session_id", "line_number", "uuid", "parent_uuid"),
         "SELECT session_id, line_number, uuid, parent_uuid FROM x_cursor"),
+    "norm_grok_summary": (
+        lambda t: t.get("conv_grok").select("session_id", "project_path", "slug", "git_branch", "version", "repository",
+                                           "cwd").distinct(),
+        "SELECT DISTINCT session_id, project_path, slug, git_branch, version, repository, cwd FROM x_grok"),
+    "norm_grok_usage": (
+        lambda t: t.get("conv_grok").select("session_id", "input_tokens", "output_tokens", "cache_read_tokens",
+                                           "reasoning_tokens").distinct(),
+        "SELECT DISTINCT session_id, input_tokens, output_tokens, cache_read_tokens, reasoning_tokens FROM x_grok"),
+    "norm_grok_timeline": (
+        lambda t: t.get("conv_grok").select("session_id", "line_number", "message_type", "timestamp").distinct(),
+        "SELECT DISTINCT session_id, line_number, message_type, timestamp FROM x_grok"),
+    "norm_grok_subagents": (
+        lambda t: t.get("conv_grok").select("session_id", "is_agent", "parent_uuid").distinct(),
+        "SELECT DISTINCT session_id, is_agent, parent_uuid FROM x_grok"),
+    "norm_grok_fanout": (
+        lambda t: t.get("conv_grok").select("session_id", "line_number", "message_type", "uuid", "message_content", "model",
+                                           "reasoning_effort", "tool_name", "tool_use_id", "tool_input"),
+        "SELECT session_id, line_number, message_type, uuid, message_content, model, reasoning_effort, tool_name, "
+        "tool_use_id, tool_input FROM x_grok"),
     # ── overview aggregates ──
     "q_source_metrics": (Q.q_source_metrics,
                          "SELECT source, count(DISTINCT session_id) AS sessions, count(*) AS messages FROM x_conv GROUP BY source"),

@@ -412,3 +412,118 @@ def cursor_kv(conversations: DataFrame) -> DataFrame:
         .alias("value"))
     noise = conversations.where(T == 0).select(F.concat(F.lit("checkpointId:"), cid).alias("key"), F.lit("{}").alias("value"))
     return bubbles.unionByName(composers).unionByName(noise)
+
+
+GROK_ROOT = "/lake/grok"
+
+
+def grok_session_id(c: Column) -> Column:
+    return _fmt("%08d-6b00-4000-8000-%012d", c, c)
+
+
+def grok_cwd(c: Column) -> Column:
+    return F.concat(F.lit("/home/dev/grok"), (c % 3).cast("string"))
+
+
+def _grok_dir(c: Column) -> Column:
+    return F.concat(F.lit(GROK_ROOT + "/sessions/"), F.url_encode(grok_cwd(c)), F.lit("/"), grok_session_id(c))
+
+
+def _grok_kind(T: Column, R: Column) -> Column:
+    """Chat line type of a turn."""
+    return (F.when(R == "system", F.lit("system")).when((R == "user") & (T % 5 == 3), F.lit("tool_result"))
+            .when(R == "user", F.lit("user")).when(T % 4 == 1, F.lit("reasoning")).otherwise(F.lit("assistant")))
+
+
+def grok_chat_lines(conversations: DataFrame) -> DataFrame:
+    """``sessions/<%cwd>/<session>/chat_history.jsonl``: one line per turn at
+    ``line = turn + 1``. Assistant turns are reasoning (``turn % 4 == 1``) or
+    assistant messages with ``turn % 3`` tool calls (empty text when
+    ``turn % 6 == 0``); some user turns (``turn % 5 == 3``) are tool results;
+    ``conv_id % 9 == 2`` writes turn 1 malformed."""
+    C, T, R, X = F.col("conv_id"), F.col("turn"), F.col("role"), F.col("text")
+    kind = _grok_kind(T, R)
+    n_calls = (T % 3).cast("int")
+    calls = F.slice(F.transform(F.sequence(F.lit(0), F.lit(2)), lambda i: _obj(
+        id=F.concat(F.lit("call"), C.cast("string"), F.lit("-"), T.cast("string"), F.lit("-"), i.cast("string")),
+        name=_pick(TOOLS, i.cast("bigint")),
+        arguments=F.when(i == 0, F.to_json(F.struct(T.cast("bigint").alias("n"))).cast("variant"))
+        .otherwise(_obj(n=T.cast("bigint"))))), 1, n_calls)
+    msg = (F.when(kind == "system", _obj(type=kind, content=X))
+           .when(kind == "user", _obj(type=kind, content=X))
+           .when(kind == "tool_result", _obj(type=kind, tool_call_id=F.concat(F.lit("call"), C.cast("string"), F.lit("-"),
+                                                                          (T - 1).cast("string"), F.lit("-0")), content=X))
+           .when(kind == "reasoning", _obj(type=kind, id=F.concat(F.lit("r"), C.cast("string"), F.lit("-"), T.cast("string")),
+                                           summary=F.to_variant_object(F.array(_obj(text=X))),
+                                           reasoning_effort=F.when(T % 2 == 1, F.lit("high"))))
+           .otherwise(_obj(type=kind, content=F.when(T % 6 == 0, F.lit("")).otherwise(X),
+                           model_id=F.when(T % 2 == 0, F.lit("grok-fast")), tool_calls=F.to_variant_object(calls))))
+    j = F.to_json(msg)
+    value = F.when((C % 9 == 2) & (T == 1), F.expr("substring(__j, 1, length(__j) - 1)")).otherwise(F.col("__j"))
+    return conversations.select(F.concat(_grok_dir(C), F.lit("/chat_history.jsonl")).alias("file_path"),
+                                (T + 1).cast("bigint").alias("line_number"), j.alias("__j"), C, T) \
+        .select("file_path", "line_number", value.alias("value"))
+
+
+def grok_update_lines(conversations: DataFrame) -> DataFrame:
+    """``updates.jsonl``: per turn, at lines ``3 * turn + 1..3``: the update
+    that times the turn's chat line (none for system lines), a
+    ``turn_completed`` with usage after assistant turns, and an unrelated
+    update kind."""
+    C, T, R, X = F.col("conv_id"), F.col("turn"), F.col("role"), F.col("text")
+    kind = _grok_kind(T, R)
+    ev = (F.when(kind == "user", F.lit("user_message_chunk")).when(kind == "reasoning", F.lit("agent_thought_chunk"))
+          .when(kind == "tool_result", F.lit("tool_call_update"))
+          .when(kind == "assistant", F.when(T % 6 == 0, F.lit("tool_call")).otherwise(F.lit("agent_message_chunk"))))
+    secs = (F.lit(BASE_EPOCH_S) + C * 3600 + T * 37).cast("bigint")
+    usage = _obj(inputTokens=F.length(X).cast("bigint"), outputTokens=F.floor(F.length(X) / 3).cast("bigint"),
+                 cachedReadTokens=T.cast("bigint"), reasoningTokens=F.lit(5).cast("bigint"))
+
+    def upd(k: Column, with_usage: bool = False) -> Column:
+        u = _obj(sessionUpdate=k, usage=usage) if with_usage else _obj(sessionUpdate=k)
+        return F.to_json(F.struct(secs.alias("timestamp"), F.struct(u.alias("update")).alias("params")))
+
+    items = F.array(
+        F.struct(F.lit(1).alias("k"), F.when(ev.isNotNull(), upd(ev)).alias("v")),
+        F.struct(F.lit(2).alias("k"), F.when(kind.isin("assistant", "reasoning"), upd(F.lit("turn_completed"), True)).alias("v")),
+        F.struct(F.lit(3).alias("k"), upd(F.lit("available_commands_update")).alias("v")))
+    return conversations.select(F.concat(_grok_dir(C), F.lit("/updates.jsonl")).alias("file_path"), T,
+                                F.explode(items).alias("x")) \
+        .where(F.col("x.v").isNotNull()) \
+        .select("file_path", (T * 3 + F.col("x.k")).cast("bigint").alias("line_number"), F.col("x.v").alias("value"))
+
+
+def grok_side_files(conversations: DataFrame) -> DataFrame:
+    """Per session: ``summary.json``, ``signals.json`` (not for
+    ``conv_id % 7 == 3``), ``plan.md`` (for ``conv_id % 4 == 0``) and, for
+    sub-agent sessions (``conv_id % 6 == 5``), the parent's
+    ``subagents/<child>/meta.json``. Counts come from one aggregate per
+    conversation."""
+    C, T, R = F.col("conv_id"), F.col("turn"), F.col("role")
+    per = conversations.groupBy("conv_id").agg(
+        F.count("*").alias("n"), F.count_if(R == "user").alias("users"), F.count_if(R == "assistant").alias("assts"),
+        F.sum(F.when((R == "assistant") & (T % 4 != 1), T % 3).otherwise(0)).alias("calls"),
+        F.min_by("text", "turn").alias("first_text"))
+    start = iso_millis(F.timestamp_add("SECOND", F.lit(BASE_EPOCH_S) + C * 3600, epoch()))
+    later = iso_millis(F.timestamp_add("SECOND", F.lit(BASE_EPOCH_S) + C * 3600 + 999, epoch()))
+    summary = F.to_json(_obj(
+        created_at=start, updated_at=later, last_active_at=F.when(C % 4 != 0, later),
+        current_model_id=F.lit("grok-code"), head_branch=F.lit("main"),
+        git_root_dir=F.when(C % 2 == 0, F.concat(F.lit("/repo/g"), (C % 3).cast("string"))),
+        git_remotes=F.to_variant_object(F.array(F.concat(F.lit("git@host:r"), (C % 3).cast("string"), F.lit(".git")))),
+        generated_title=F.when(C % 5 != 0, F.concat(F.lit("Grok task "), C.cast("string"))),
+        chat_format_version=F.when(C % 2 == 1, F.lit(2).cast("bigint").cast("variant")).otherwise(F.lit("v2").cast("variant")),
+        reasoning_effort=F.lit("medium"), num_messages=F.col("n").cast("bigint")))
+    signals = F.to_json(_obj(userMessageCount=F.col("users").cast("bigint"), assistantMessageCount=F.col("assts").cast("bigint"),
+                             toolCallCount=F.col("calls").cast("bigint"), turnCount=F.col("n").cast("bigint")))
+    meta = F.to_json(_obj(parent_session_id=grok_session_id(C - 1), child_session_id=grok_session_id(C)))
+    parent_dir = F.concat(F.lit(GROK_ROOT + "/sessions/"), F.url_encode(grok_cwd(C - 1)), F.lit("/"), grok_session_id(C - 1))
+    def f(path: Column, content: Column) -> Column:
+        return F.struct(path.alias("file_path"), content.alias("content"))
+    files = F.array(
+        f(F.concat(_grok_dir(C), F.lit("/summary.json")), summary),
+        f(F.concat(_grok_dir(C), F.lit("/signals.json")), F.when(C % 7 != 3, signals)),
+        f(F.concat(_grok_dir(C), F.lit("/plan.md")), F.when(C % 4 == 0, F.col("first_text"))),
+        f(F.concat(parent_dir, F.lit("/subagents/"), grok_session_id(C), F.lit("/meta.json")), F.when(C % 6 == 5, meta)))
+    return per.select(F.explode(files).alias("f")).where(F.col("f.content").isNotNull()).select(
+        "f.file_path", "f.content", F.octet_length("f.content").cast("bigint").alias("file_size"))
