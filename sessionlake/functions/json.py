@@ -156,3 +156,14 @@ def parse_lines(lines, *keep: str):
     value is computed once per line however many columns read it."""
     parsed = F.when(F.spark_partition_id() >= 0, F.try_parse_json(F.col("value")))
     return lines.select(*keep, parsed.alias("v"))
+
+
+def may_contain(value, *needles: str):
+    """Cheap text pre-selection before parsing: true when the raw line contains
+    any needle — or any ``\\u`` escape, since an escaped key or value could
+    spell a needle without containing it literally. Always a superset of the
+    lines the exact (parsed) condition keeps."""
+    cond = F.col(value).contains("\\u") if isinstance(value, str) else value.contains("\\u")
+    for n in needles:
+        cond = cond | (F.col(value).contains(n) if isinstance(value, str) else value.contains(n))
+    return cond

@@ -134,14 +134,15 @@ def parse_lines(lines: DataFrame, source: str = "claude") -> DataFrame:
     )
 
 
-def backfill_cwd(rows: DataFrame) -> DataFrame:
+def backfill_cwd(rows: DataFrame, cwd_rows: DataFrame | None = None) -> DataFrame:
     """The first non-null ``cwd`` of a file (in line order) replaces every
     ``project_path`` of that file equal to the decoded directory name.
 
     The per-file value is a small aggregate (partial aggregation map-side, one
-    row per file) joined back on ``file_path``."""
+    row per file) joined back on ``file_path``. ``cwd_rows`` may be the parse
+    of only those lines that can carry a ``cwd``."""
     first_cwd = (
-        rows.where(F.col("cwd").isNotNull())
+        (rows if cwd_rows is None else cwd_rows).where(F.col("cwd").isNotNull())
         .groupBy("file_path")
         .agg(F.min(F.struct("line_number", "cwd")).getField("cwd").alias("file_cwd"))
     )
@@ -155,4 +156,5 @@ def backfill_cwd(rows: DataFrame) -> DataFrame:
 def normalise(lines: DataFrame, source: str = "claude") -> DataFrame:
     """lines (non-blank, numbered; see :mod:`sessionlake.sources.raw`) →
     conversations (29 columns)."""
-    return align(backfill_cwd(parse_lines(lines, source)), CONVERSATIONS)
+    cwd_rows = parse_lines(lines.where(J.may_contain("value", '"cwd"')), source)
+    return align(backfill_cwd(parse_lines(lines, source), cwd_rows), CONVERSATIONS)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sessionlake.functions import json as J
-from sessionlake.operators.carry import carry_forward, file_facts
+from sessionlake.operators.carry import carry_forward
 from sessionlake.schemas import CONVERSATIONS, align
 
 
@@ -24,14 +24,17 @@ def session_from_file(file_path: Column) -> Column:
     return F.when(F.size(F.split(stem, "-")) >= 5, last5).otherwise(stem)
 
 
+def _parsed(lines: DataFrame) -> DataFrame:
+    v = F.col("v")
+    valid = J.all_ok(v.isNotNull(), J.is_string(J.field(v, "$.type")), J.opt_string_ok(J.field(v, "$.timestamp")))
+    return (J.parse_lines(lines, "file_path", "line_number")
+            .select("*", valid.alias("valid"), J.field(v, "$.payload").alias("p"), J.get_string(v, "$.type").alias("typ")))
+
+
 def normalise(lines: DataFrame) -> DataFrame:
     v, p = F.col("v"), F.col("p")
-    typ = J.get_string(v, "$.type")
-    valid = J.all_ok(v.isNotNull(), J.is_string(J.field(v, "$.type")), J.opt_string_ok(J.field(v, "$.timestamp")))
-    parsed = (
-        J.parse_lines(lines, "file_path", "line_number")
-        .select("*", valid.alias("valid"), J.field(v, "$.payload").alias("p"))
-    )
+    typ = F.col("typ")
+    parsed = _parsed(lines)
     ok = F.col("valid")
     git = J.field(p, "$.git")
     meta_ok = J.all_ok(J.opt_object_ok(p) | ~J.present(p),
@@ -41,7 +44,9 @@ def normalise(lines: DataFrame) -> DataFrame:
                        *[J.opt_string_ok(J.field(p, f"$.git.{f}")) for f in ("branch", "commit_hash", "repository_url")])
     is_meta = ok & (typ == "session_meta") & meta_ok
     is_ctx = ok & (typ == "turn_context") & J.opt_string_ok(J.field(p, "$.model")) & J.opt_string_ok(J.field(p, "$.cwd"))
-    markers = parsed.where(is_meta | (is_ctx & J.is_string(J.field(p, "$.model")))).select(
+    # state lines come from a second parse of only the lines that can be state lines
+    markers = _parsed(lines.where(J.may_contain("value", "session_meta", "turn_context"))).where(
+        is_meta | (is_ctx & J.is_string(J.field(p, "$.model")))).select(
         "file_path", "line_number",
         # a session_meta replaces the whole struct, so carry it as one value
         F.when(is_meta, F.struct(J.get_string(p, "$.cwd").alias("cwd"),
@@ -77,17 +82,22 @@ def normalise(lines: DataFrame) -> DataFrame:
     fc = is_item & (itype == "function_call")
     tool_use_id = F.when(is_item & itype.isin("function_call", "function_call_output"), J.get_string(p, "$.call_id"))
 
-    rows = parsed.select(
-        "file_path", "line_number", "valid",
-        mtype.alias("message_type"), mrole.alias("message_role"), content.alias("message_content"),
-        F.when(ok, J.get_string(v, "$.timestamp")).alias("timestamp"),
-        F.when(fc, J.get_string(p, "$.name")).alias("tool_name"), tool_use_id.alias("tool_use_id"),
-        F.when(fc, J.json_text(J.field(p, "$.arguments"))).alias("tool_input"),
-        is_ev.alias("is_fallback"),
-        (is_item & (itype == "message")).alias("is_resp_msg"),
-    ).where(F.col("message_type").isNotNull())
-    # per-file: does any response_item message exist?
-    rows = file_facts(rows, has_resp=F.max(F.col("is_resp_msg").cast("int")))
+    def row_view(df: DataFrame) -> DataFrame:
+        return df.select(
+            "file_path", "line_number", "valid",
+            mtype.alias("message_type"), mrole.alias("message_role"), content.alias("message_content"),
+            F.when(ok, J.get_string(v, "$.timestamp")).alias("timestamp"),
+            F.when(fc, J.get_string(p, "$.name")).alias("tool_name"), tool_use_id.alias("tool_use_id"),
+            F.when(fc, J.json_text(J.field(p, "$.arguments"))).alias("tool_input"),
+            is_ev.alias("is_fallback"),
+            (is_item & (itype == "message")).alias("is_resp_msg"),
+        ).where(F.col("message_type").isNotNull())
+
+    rows = row_view(parsed)
+    # per-file: does any response_item message exist? (from the lines that can be one)
+    facts = row_view(_parsed(lines.where(J.may_contain("value", "response_item")))).groupBy("file_path").agg(
+        F.max(F.col("is_resp_msg").cast("int")).alias("has_resp"))
+    rows = rows.join(facts, "file_path", "left")
     rows = rows.where(~F.col("is_fallback") | (F.coalesce(F.col("has_resp"), F.lit(0)) == 0))
     rows = carry_forward(rows, markers, ["m_meta", "m_model"])
     meta = F.col("m_meta")

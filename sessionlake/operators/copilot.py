@@ -60,7 +60,8 @@ def _s(d: Column, path: str) -> Column:
     return J.field(d, path)
 
 
-def normalise(lines: DataFrame, workspace: DataFrame | None = None) -> DataFrame:
+def _parsed(lines: DataFrame) -> DataFrame:
+    """Per-line parse with event members and the marker flags."""
     v, d = F.col("v"), F.col("d")
     typ = J.get_string(v, "$.type")
     valid = J.all_ok(v.isNotNull(), J.is_string(J.field(v, "$.type")),
@@ -98,8 +99,15 @@ def normalise(lines: DataFrame, workspace: DataFrame | None = None) -> DataFrame
                         *[J.opt_string_ok(c(f)) for f in ("d_cwd", "d_root", "d_branch", "d_repo")])
     is_start = c("valid") & (typ == "session.start") & start_ok
     is_model = c("valid") & (typ == "session.model_change") & J.is_object(d) & J.opt_string_ok(c("d_model"))
-    parsed = parsed.select("*", is_start.alias("is_start"), is_model.alias("is_model"), start_ok.alias("start_ok"))
-    markers = parsed.where(c("is_start") | c("is_model")).select(
+    return parsed.select("*", is_start.alias("is_start"), is_model.alias("is_model"), start_ok.alias("start_ok"))
+
+
+def normalise(lines: DataFrame, workspace: DataFrame | None = None) -> DataFrame:
+    c, d = F.col, F.col("d")
+    typ = c("typ")
+    parsed = _parsed(lines)
+    # markers come from a second parse of only the lines that can be markers
+    markers = _parsed(lines.where(J.may_contain("value", "session.start", "session.model_change"))).where(c("is_start") | c("is_model")).select(
         "file_path", "line_number",
         F.when(c("is_start"), J.as_string(c("d_sid"))).alias("m_sid"),
         F.when(c("is_start"), J.as_string(c("d_ver"))).alias("m_version"),
@@ -110,6 +118,7 @@ def normalise(lines: DataFrame, workspace: DataFrame | None = None) -> DataFrame
     )
     rows = carry_forward(parsed, markers, ["m_sid", "m_version", "m_cwd", "m_branch", "m_repo", "m_model"])
     rows = rows.withColumn("_dir", session_dir(F.col("file_path")))
+    start_ok = c("start_ok")
     if workspace is not None:
         ws = workspace.select(F.col("dir_path").alias("_dir"), F.col("id").alias("w_id"), F.col("cwd").alias("w_cwd"),
                               F.col("branch").alias("w_branch"), F.col("repository").alias("w_repo"))

@@ -55,10 +55,15 @@ def raw_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     paths = _existing(paths)
     if not paths:
         return spark.createDataFrame([], LINES)
-    text = (spark.read.option("lineSep", "\n").text(paths)
-            .select(decode_path(F.col("_metadata.file_path")).alias("file_path"),
-                    F.col("_metadata.file_block_start").alias("block"),
-                    F.monotonically_increasing_id().alias("rid"), "value"))
+    return number_lines(spark.read.option("lineSep", "\n").text(paths).select("value", "_metadata"))
+
+
+def number_lines(text: DataFrame) -> DataFrame:
+    """``text(value, _metadata)`` as read by the text source → numbered,
+    non-blank lines (see the module notes)."""
+    text = text.select(decode_path(F.col("_metadata.file_path")).alias("file_path"),
+                       F.col("_metadata.file_block_start").alias("block"),
+                       F.monotonically_increasing_id().alias("rid"), "value")
     blocks = text.groupBy("file_path", "block").agg(F.min("rid").alias("rid0"), F.count("*").alias("n"))
     w = Window.partitionBy("file_path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select("file_path", "block", "rid0", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("first"))
