@@ -95,3 +95,16 @@ def test_side_tables(spark, tmp_path):
     assert (p.plan_name, p.file_name, p.file_size, p.session_id) == ("my-plan", "my-plan.md", 11, None)
     s = sorted(tuple(r) for r in t.stats.collect())
     assert s == [("claude", "", 0, 2, 0), ("claude", "2026-01-01", 5, 0, 0)]
+
+
+def test_claude_desktop_tree(spark, tmp_path):
+    root = str(tmp_path)
+    base = f"{root}/local-agent-mode-sessions/acct-1/ws-2/.claude/projects/-Users-me-proj"
+    write(f"{base}/d-1.jsonl", line(type="user", sessionId="d-1", cwd="/Users/me/proj", message={"content": "hi"}) + "\n")
+    write(f"{base}/d-1/subagents/agent-z.jsonl", line(type="user", message={"content": "sub"}) + "\n")
+    write(f"{root}/local-agent-mode-sessions/.claude/projects/-top/t.jsonl", line(type="summary", summary="top") + "\n")
+    t = from_roots(spark, claude_desktop=root)
+    rows = sorted((r.source, r.session_id, r.file_name, r.is_agent, r.project_path) for r in t.get("conv_claude_desktop").collect())
+    assert rows == [("claude-desktop", "d-1", "agent-z.jsonl", True, "/Users/me/proj"),
+                    ("claude-desktop", "d-1", "d-1.jsonl", False, "/Users/me/proj"),
+                    ("claude-desktop", "t", "t.jsonl", False, "/top")]
