@@ -106,33 +106,37 @@ def subagent_parents(files: DataFrame) -> DataFrame:
 
 
 # ── timeline alignment (N28) ─────────────────────────────────────────────────
-def _fold(lines: pd.DataFrame, events: pd.DataFrame) -> pd.DataFrame:
-    """Greedy cursor over one session: each non-system line takes the next
-    update whose kind fits its type; updates passed over are consumed, so a
-    line whose type fits nothing consumes the rest of the stream."""
-    lines = lines.sort_values("line_number")
-    events = events.sort_values("line_number")
-    kinds, times = events["kind"].tolist(), events["iso"].tolist()
-    i, out = 0, []
-    for t in lines["peek"].tolist():
-        ts = None
-        if t != "system":
-            cands = CANDIDATES.get(t, ())
-            while i < len(kinds):
-                k, i = kinds[i], i + 1
-                if k in cands:
-                    ts = times[i - 1]
-                    break
-        out.append(ts)
-    sdir = lines["sdir"].iloc[0] if len(lines) else None
-    return pd.DataFrame({"sdir": sdir, "line_number": lines["line_number"].to_numpy(), "matched": out})
-
-
 def align_times(line_types: DataFrame, upd: DataFrame) -> DataFrame:
+    """Timestamp of each chat line from the session's update stream."""
+    candidates = {k: tuple(v) for k, v in CANDIDATES.items()}
+
+    # Defined here so it travels to the Python workers by value (with its
+    # lookup table) and needs nothing from this package installed there.
+    def fold(lines: pd.DataFrame, events: pd.DataFrame) -> pd.DataFrame:
+        """Greedy cursor over one session: each non-system line takes the next
+        update whose kind fits its type; updates passed over are consumed, so a
+        line whose type fits nothing consumes the rest of the stream."""
+        lines = lines.sort_values("line_number")
+        events = events.sort_values("line_number")
+        kinds, times = events["kind"].tolist(), events["iso"].tolist()
+        i, out = 0, []
+        for t in lines["peek"].tolist():
+            ts = None
+            if t != "system":
+                cands = candidates.get(t, ())
+                while i < len(kinds):
+                    k, i = kinds[i], i + 1
+                    if k in cands:
+                        ts = times[i - 1]
+                        break
+            out.append(ts)
+        sdir = lines["sdir"].iloc[0] if len(lines) else None
+        return pd.DataFrame({"sdir": sdir, "line_number": lines["line_number"].to_numpy(), "matched": out})
+
     events = upd.where(F.col("secs").isNotNull() & F.col("kind").isin(*TIMELINE_KINDS)).select(
         "sdir", "line_number", "kind", epoch_s_to_iso(F.col("secs")).alias("iso"))
     return (line_types.groupBy("sdir").cogroup(events.groupBy("sdir"))
-            .applyInPandas(_fold, "sdir string, line_number long, matched string"))
+            .applyInPandas(fold, "sdir string, line_number long, matched string"))
 
 
 # ── conversations ────────────────────────────────────────────────────────────

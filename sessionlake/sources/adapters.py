@@ -29,6 +29,15 @@ COPILOT_ROOT = "/lake/copilot"
 CODEX_ROOT = "/lake/codex"
 
 
+def _materialised(df: DataFrame, text_col: str) -> DataFrame:
+    """Guard the built text with an always-true, non-deterministic condition so
+    the optimizer cannot push a later filter on it (e.g. a normaliser's
+    pre-selection) into this projection, which would build every line twice.
+    The adapter's output then behaves like text read from a file."""
+    return df.select(*[F.when(F.spark_partition_id() >= 0, F.col(c)).alias(c) if c == text_col else F.col(c)
+                       for c in df.columns])
+
+
 def _fmt(pattern: str, *cols: Column) -> Column:
     return F.format_string(pattern, *cols)
 
@@ -50,7 +59,7 @@ def _obj(**fields: Column) -> Column:
     return F.to_variant_object(F.struct(*[c.alias(n) for n, c in fields.items()]))
 
 
-def claude_lines(conversations: DataFrame) -> DataFrame:
+def _claude_lines(conversations: DataFrame) -> DataFrame:
     """One transcript file per conversation (every sixth one is a sub-agent
     transcript of the previous conversation's session); one JSON line per
     turn at ``line = turn + 2``; line 1 is a summary (or a file-history
@@ -114,6 +123,9 @@ def claude_lines(conversations: DataFrame) -> DataFrame:
     )
 
 
+def claude_lines(conversations: DataFrame) -> DataFrame:
+    return _materialised(_claude_lines(conversations), "value")
+
 def _iso_ts(ts: Column) -> Column:
     return iso_millis(ts.cast("timestamp_ntz"))
 
@@ -122,7 +134,7 @@ def copilot_session_id(u: Column) -> Column:
     return _fmt("%08d-c0c0-4000-8000-%012d", u, u)
 
 
-def copilot_lines(events: DataFrame) -> DataFrame:
+def _copilot_lines(events: DataFrame) -> DataFrame:
     """One ``session-state/<id>/events.jsonl`` per user: line 1 is a
     ``session.start`` (from the user's first event time), then one event line
     per row at ``line = event_id + 2`` (event ids grow with time, so line order
@@ -182,11 +194,14 @@ def copilot_lines(events: DataFrame) -> DataFrame:
     return ev.unionByName(starts)
 
 
+def copilot_lines(events: DataFrame) -> DataFrame:
+    return _materialised(_copilot_lines(events), "value")
+
 def codex_session_id(u: Column) -> Column:
     return _fmt("%08d-c0de-4000-8000-%012d", u, u)
 
 
-def codex_lines(events: DataFrame) -> DataFrame:
+def _codex_lines(events: DataFrame) -> DataFrame:
     """One rollout file per user: line 1 ``session_meta``; then per event at
     ``line = event_id + 2``: signup → turn context (even ids) or reasoning;
     view → ``response_item`` message, or for users with ``user_id % 7 == 0``
@@ -241,7 +256,10 @@ def codex_lines(events: DataFrame) -> DataFrame:
     return ev.unionByName(metas)
 
 
-def claude_history_lines(conversations: DataFrame) -> DataFrame:
+def codex_lines(events: DataFrame) -> DataFrame:
+    return _materialised(_codex_lines(events), "value")
+
+def _claude_history_lines(conversations: DataFrame) -> DataFrame:
     """``history.jsonl``: one prompt line per user turn with ``turn <= 2`` at
     ``line = conv_id * 10 + turn + 1``. Turn-2 prompts point at archived
     projects, and for odd conversations at a session with no transcript
@@ -267,7 +285,10 @@ def claude_history_lines(conversations: DataFrame) -> DataFrame:
 _STATUSES = ["pending", "in_progress", "completed"]
 
 
-def claude_todo_files(conversations: DataFrame) -> DataFrame:
+def claude_history_lines(conversations: DataFrame) -> DataFrame:
+    return _materialised(_claude_history_lines(conversations), "value")
+
+def _claude_todo_files(conversations: DataFrame) -> DataFrame:
     """One ``todos/<session>-agent-a<conv>t<turn>.json`` per tool-using
     assistant turn (``turn % 3 == 1``), holding ``1 + (conv_id + turn) % 3``
     items; files of ``conv_id % 9 == 4`` are malformed."""
@@ -285,14 +306,20 @@ def claude_todo_files(conversations: DataFrame) -> DataFrame:
         content.alias("content"))
 
 
-def claude_plan_files(documents: DataFrame) -> DataFrame:
+def claude_todo_files(conversations: DataFrame) -> DataFrame:
+    return _materialised(_claude_todo_files(conversations), "content")
+
+def _claude_plan_files(documents: DataFrame) -> DataFrame:
     """Every document becomes ``plans/plan-<doc_id>.md`` (whole text)."""
     return documents.select(
         F.concat(F.lit(CLAUDE_ROOT + "/plans/plan-"), F.col("doc_id").cast("string"), F.lit(".md")).alias("file_path"),
         F.col("text").alias("content"), F.octet_length("text").cast("bigint").alias("file_size"))
 
 
-def claude_stats_files(events: DataFrame) -> DataFrame:
+def claude_plan_files(documents: DataFrame) -> DataFrame:
+    return _materialised(_claude_plan_files(documents), "content")
+
+def _claude_stats_files(events: DataFrame) -> DataFrame:
     """One ``stats-cache.json`` per user root (``user_id % 4``) whose
     ``dailyActivity`` has a day entry per active day: events, distinct users
     and clicks. Days are aggregated first (partial aggregation), so the one
@@ -310,6 +337,9 @@ GEMINI_ROOT = "/lake/gemini"
 CURSOR_DB = "/lake/cursor/state.vscdb"
 
 
+def claude_stats_files(events: DataFrame) -> DataFrame:
+    return _materialised(_claude_stats_files(events), "content")
+
 def gemini_dir(c: Column) -> Column:
     """Project directory under ``tmp/``: an alias known to ``projects.json``
     (``proj<conv_id % 5>``) except for ``conv_id % 4 == 3`` (an unknown hash)."""
@@ -338,7 +368,7 @@ def _gemini_message(C: Column, T: Column, R: Column, X: Column) -> Column:
     )
 
 
-def gemini_files(conversations: DataFrame) -> DataFrame:
+def _gemini_files(conversations: DataFrame) -> DataFrame:
     """One ``tmp/<dir>/chats/session-<conv_id>.json`` document per
     conversation (the format stores a whole session in one JSON file, so its
     turns are gathered per conversation, in turn order). Assistant turns carry
@@ -357,7 +387,10 @@ def gemini_files(conversations: DataFrame) -> DataFrame:
         F.when(C % 13 == 6, F.expr("substring(__b, 1, length(__b) - 3)")).otherwise(F.col("__b")).alias("content"))
 
 
-def gemini_projects(conversations: DataFrame) -> DataFrame:
+def gemini_files(conversations: DataFrame) -> DataFrame:
+    return _materialised(_gemini_files(conversations), "content")
+
+def _gemini_projects(conversations: DataFrame) -> DataFrame:
     """``projects.json``: ``{abs path: alias}`` for every alias in use (at most
     five entries, aggregated before they are gathered)."""
     k = (F.col("conv_id") % 5)
@@ -368,11 +401,14 @@ def gemini_projects(conversations: DataFrame) -> DataFrame:
                 F.to_json(F.struct(F.col("m").alias("projects"))).alias("content"))
 
 
+def gemini_projects(conversations: DataFrame) -> DataFrame:
+    return _materialised(_gemini_projects(conversations), "content")
+
 def cursor_composer_id(c: Column) -> Column:
     return _fmt("%08d-cc00-4000-8000-%012d", c, c)
 
 
-def cursor_kv(conversations: DataFrame) -> DataFrame:
+def _cursor_kv(conversations: DataFrame) -> DataFrame:
     """``cursorDiskKV`` rows: one ``composerData:<id>`` per conversation whose
     ordered headers list its turns (bubble type 1 user, 2 assistant, 3 other;
     ``conv_id % 4 == 1`` has an id-less header after turn 0), one
@@ -417,6 +453,9 @@ def cursor_kv(conversations: DataFrame) -> DataFrame:
 GROK_ROOT = "/lake/grok"
 
 
+def cursor_kv(conversations: DataFrame) -> DataFrame:
+    return _materialised(_cursor_kv(conversations), "value")
+
 def grok_session_id(c: Column) -> Column:
     return _fmt("%08d-6b00-4000-8000-%012d", c, c)
 
@@ -435,7 +474,7 @@ def _grok_kind(T: Column, R: Column) -> Column:
             .when(R == "user", F.lit("user")).when(T % 4 == 1, F.lit("reasoning")).otherwise(F.lit("assistant")))
 
 
-def grok_chat_lines(conversations: DataFrame) -> DataFrame:
+def _grok_chat_lines(conversations: DataFrame) -> DataFrame:
     """``sessions/<%cwd>/<session>/chat_history.jsonl``: one line per turn at
     ``line = turn + 1``. Assistant turns are reasoning (``turn % 4 == 1``) or
     assistant messages with ``turn % 3`` tool calls (empty text when
@@ -465,7 +504,10 @@ def grok_chat_lines(conversations: DataFrame) -> DataFrame:
         .select("file_path", "line_number", value.alias("value"))
 
 
-def grok_update_lines(conversations: DataFrame) -> DataFrame:
+def grok_chat_lines(conversations: DataFrame) -> DataFrame:
+    return _materialised(_grok_chat_lines(conversations), "value")
+
+def _grok_update_lines(conversations: DataFrame) -> DataFrame:
     """``updates.jsonl``: per turn, at lines ``3 * turn + 1..3``: the update
     that times the turn's chat line (none for system lines), a
     ``turn_completed`` with usage after assistant turns, and an unrelated
@@ -493,7 +535,10 @@ def grok_update_lines(conversations: DataFrame) -> DataFrame:
         .select("file_path", (T * 3 + F.col("x.k")).cast("bigint").alias("line_number"), F.col("x.v").alias("value"))
 
 
-def grok_side_files(conversations: DataFrame) -> DataFrame:
+def grok_update_lines(conversations: DataFrame) -> DataFrame:
+    return _materialised(_grok_update_lines(conversations), "value")
+
+def _grok_side_files(conversations: DataFrame) -> DataFrame:
     """Per session: ``summary.json``, ``signals.json`` (not for
     ``conv_id % 7 == 3``), ``plan.md`` (for ``conv_id % 4 == 0``) and, for
     sub-agent sessions (``conv_id % 6 == 5``), the parent's
@@ -527,3 +572,7 @@ def grok_side_files(conversations: DataFrame) -> DataFrame:
         f(F.concat(parent_dir, F.lit("/subagents/"), grok_session_id(C), F.lit("/meta.json")), F.when(C % 6 == 5, meta)))
     return per.select(F.explode(files).alias("f")).where(F.col("f.content").isNotNull()).select(
         "f.file_path", "f.content", F.octet_length("f.content").cast("bigint").alias("file_size"))
+
+
+def grok_side_files(conversations: DataFrame) -> DataFrame:
+    return _materialised(_grok_side_files(conversations), "content")
