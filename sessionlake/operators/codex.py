@@ -56,15 +56,22 @@ def normalise(lines: DataFrame) -> DataFrame:
         F.when(is_ctx, J.get_string(p, "$.model")).alias("m_model"),
     )
 
-    # response_item payload decoding
-    itype = J.get_string(p, "$.type")
+    # response_item payload decoding; the members and flags used by several
+    # rules are computed once, in their own projection
     item_ok = J.all_ok(J.opt_object_ok(p) | ~J.present(p),
                        *[J.opt_string_ok(J.field(p, f"$.{f}")) for f in ("type", "role", "name", "call_id")])
     ev_ok = J.all_ok(J.opt_object_ok(p) | ~J.present(p),
                      *[J.opt_string_ok(J.field(p, f"$.{f}")) for f in ("type", "message", "phase", "last_agent_message")])
-    is_item = ok & (typ == "response_item") & item_ok & itype.isNotNull()
-    is_ev = ok & (typ == "event_msg") & ev_ok & itype.isin("user_message", "agent_message")
-    role = J.get_string(p, "$.role")
+    itype_e = J.get_string(p, "$.type")
+
+    def flags(df: DataFrame) -> DataFrame:
+        staged = df.select("*", itype_e.alias("itype"), J.get_string(p, "$.role").alias("role"),
+                           item_ok.alias("item_ok"), ev_ok.alias("ev_ok"))
+        it = F.col("itype")
+        return staged.select("*", (ok & (typ == "response_item") & F.col("item_ok") & it.isNotNull()).alias("is_item"),
+                             (ok & (typ == "event_msg") & F.col("ev_ok") & it.isin("user_message", "agent_message")).alias("is_ev"))
+
+    itype, role, is_item, is_ev = F.col("itype"), F.col("role"), F.col("is_item"), F.col("is_ev")
 
     mtype = (F.when(~ok, F.lit("_parse_error"))
              .when(is_item & (itype == "message"), F.coalesce(role, F.lit("message")))
@@ -83,7 +90,7 @@ def normalise(lines: DataFrame) -> DataFrame:
     tool_use_id = F.when(is_item & itype.isin("function_call", "function_call_output"), J.get_string(p, "$.call_id"))
 
     def row_view(df: DataFrame) -> DataFrame:
-        return df.select(
+        return flags(df).select(
             "file_path", "line_number", "valid",
             mtype.alias("message_type"), mrole.alias("message_role"), content.alias("message_content"),
             F.when(ok, J.get_string(v, "$.timestamp")).alias("timestamp"),
