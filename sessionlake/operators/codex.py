@@ -102,8 +102,8 @@ def normalise(lines: DataFrame) -> DataFrame:
 
     rows = row_view(parsed)
     # per-file: does any response_item message exist? (from the lines that can be one)
-    facts = row_view(_parsed(lines.where(J.may_contain("value", "response_item")))).groupBy("file_path").agg(
-        F.max(F.col("is_resp_msg").cast("int")).alias("has_resp"))
+    facts = (flags(_parsed(lines.where(J.may_contain("value", "response_item"))))
+             .where(is_item & (itype == "message")).groupBy("file_path").agg(F.lit(1).alias("has_resp")))
     rows = rows.join(facts, "file_path", "left")
     rows = rows.where(~F.col("is_fallback") | (F.coalesce(F.col("has_resp"), F.lit(0)) == 0))
     rows = carry_forward(rows, markers, ["m_meta", "m_model"])
