@@ -3,11 +3,12 @@
 The original tool re-reads every file on each query. Here a Structured
 Streaming file source picks up *new* files, and each micro-batch runs exactly
 the batch normaliser over them (``foreachBatch``), appending to a parquet
-table partitioned by ``source``. A micro-batch holds whole files, so
-per-file rules (line numbers, back-fill, carry-forward) see complete files.
-Progress lives in the checkpoint folder below the cluster's shared
-``spark.checkpoint.dir``, so a restarted or failed query resumes where it
-stopped and a batch is never half-applied (the sink is written per batch id).
+table. A micro-batch holds whole files, so per-file rules (line numbers,
+back-fill, carry-forward) see complete files. Progress lives in the
+checkpoint folder below the cluster's shared ``spark.checkpoint.dir``, so a
+restarted or failed query resumes where it stopped. Each batch overwrites its
+own ``batch=<id>`` folder, so a batch that is run again after a failure
+replaces its earlier partial output instead of adding to it.
 Files that grow after they were picked up are not re-read — session logs are
 treated as complete when they appear."""
 
@@ -31,8 +32,7 @@ def ingest_transcripts(spark: SparkSession, input_glob: str, output: str, normal
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         rows = normalise(number_lines(batch))
-        (rows.write.mode("append").partitionBy("source")
-         .option("txnAppId", f"sessionlake-{name}").option("txnVersion", batch_id).parquet(output))
+        rows.write.mode("overwrite").partitionBy("source").parquet(f"{output.rstrip('/')}/batch={batch_id}")
 
     w = (stream.writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", f"{checkpoint_dir(spark).rstrip('/')}/stream-{name}"))
