@@ -30,6 +30,13 @@ class Tables:
         return self._memo[name]
 
     # canonical tables ------------------------------------------------------
+    def materialise_lake(self) -> None:
+        """Build every table's plan once, which writes any benchmark provider
+        files not yet materialised (see ``_lake_files``); nothing is executed
+        beyond writing those files."""
+        for name in self.builders:
+            self.get(name)
+
     def _union_of(self, name: str, parts: list[str], schema) -> DataFrame:
         if name not in self._memo:
             self._memo[name] = _union([self.get(k) for k in parts if k in self.builders], self.spark, schema)
