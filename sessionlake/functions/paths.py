@@ -17,7 +17,7 @@ def decode_project_path(enc: Column) -> Column:
 
 
 def base_name(path: Column) -> Column:
-    return F.regexp_extract(path, r"([^/]*)$", 1)
+    return F.substring_index(path, "/", -1)
 
 
 def parent_name(path: Column, up: int = 1) -> Column:

@@ -25,7 +25,7 @@ def path_columns(file_path: Column) -> dict[str, Column]:
     """project_dir, file_name, is_agent and the file's fallback session id."""
     is_sub = file_path.rlike(_SUB)
     project_dir = F.when(is_sub, F.regexp_extract(file_path, _SUB, 1)).otherwise(F.regexp_extract(file_path, _MAIN, 1))
-    file_name = F.regexp_extract(file_path, r"([^/]*)$", 1)
+    file_name = F.substring_index(file_path, "/", -1)
     is_agent = is_sub | file_name.startswith("agent-")
     file_session = F.when(is_sub, F.regexp_extract(file_path, _SUB, 2)).otherwise(
         F.regexp_replace(file_name, r"\.jsonl$", ""))

@@ -18,10 +18,12 @@ from sessionlake.schemas import CONVERSATIONS, align
 
 def session_from_file(file_path: Column) -> Column:
     """The last five dash-separated groups of the file stem (a UUID); the
-    whole stem when it has fewer groups."""
-    stem = F.regexp_replace(F.regexp_extract(file_path, r"([^/]*)$", 1), r"\.jsonl$", "")
-    last5 = F.regexp_extract(stem, r"([^-]*-[^-]*-[^-]*-[^-]*-[^-]*)$", 1)
-    return F.when(F.size(F.split(stem, "-")) >= 5, last5).otherwise(stem)
+    whole stem when it has fewer groups. Split-based: an end-anchored regex
+    over the groups backtracks on every row."""
+    stem = F.regexp_replace(F.substring_index(file_path, "/", -1), r"\.jsonl$", "")
+    parts = F.split(stem, "-")
+    n = F.size(parts)
+    return F.when(n >= 5, F.array_join(F.slice(parts, n - 4, 5), "-")).otherwise(stem)
 
 
 def _parsed(lines: DataFrame) -> DataFrame:
@@ -90,7 +92,9 @@ def normalise(lines: DataFrame) -> DataFrame:
     tool_use_id = F.when(is_item & itype.isin("function_call", "function_call_output"), J.get_string(p, "$.call_id"))
 
     def row_view(df: DataFrame) -> DataFrame:
-        return flags(df).select(
+        # the guard keeps the row filter below from being pushed under this
+        # projection (which would evaluate the row rules twice)
+        return flags(df).select(F.spark_partition_id().alias("_part"),
             "file_path", "line_number", "valid",
             mtype.alias("message_type"), mrole.alias("message_role"), content.alias("message_content"),
             F.when(ok, J.get_string(v, "$.timestamp")).alias("timestamp"),
@@ -112,7 +116,7 @@ def normalise(lines: DataFrame) -> DataFrame:
         F.lit("codex").alias("source"),
         session_from_file(F.col("file_path")).alias("session_id"),
         F.when(ok, F.coalesce(meta.cwd, F.lit(""))).otherwise(F.lit("")).alias("project_path"),
-        F.regexp_extract("file_path", r"([^/]*)$", 1).alias("file_name"),
+        F.substring_index("file_path", "/", -1).alias("file_name"),
         "line_number", "message_type", "timestamp", "message_role", "message_content",
         F.when(ok, F.col("m_model")).alias("model"),
         "tool_name", "tool_use_id", "tool_input",

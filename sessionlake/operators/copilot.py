@@ -169,7 +169,7 @@ def normalise(lines: DataFrame, workspace: DataFrame | None = None) -> DataFrame
         sid.alias("session_id"),
         F.when(ok, project).otherwise(F.lit("")).alias("project_path"),
         F.lit("").alias("project_dir"),
-        F.regexp_extract("file_path", r"([^/]*)$", 1).alias("file_name"),
+        F.substring_index("file_path", "/", -1).alias("file_name"),
         F.lit(False).alias("is_agent"),
         "line_number",
         F.when(ok, _map_type(typ, 0)).otherwise(F.lit("_parse_error")).alias("message_type"),

@@ -10,7 +10,7 @@ from sessionlake.schemas import HISTORY, PLANS, STATS, TODOS, align
 
 
 def _name(path: Column) -> Column:
-    return F.regexp_extract(path, r"([^/]*)$", 1)
+    return F.substring_index(path, "/", -1)
 
 
 # ── history ──────────────────────────────────────────────────────────────────
