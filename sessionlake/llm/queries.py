@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sessionlake.llm import exact_dedup, line_dedup, quality_rules
+from sessionlake.llm import exact_dedup, line_dedup, piece_bpe, quality_rules
 from sessionlake.llm.common import documents
 
 
@@ -23,8 +23,19 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.digest(documents(spark, sf_dir))
 
 
+def tokenizer_path(name: str = "piece_bpe_32k.model") -> str:
+    """Where a public vocabulary file lies on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_bpe.digest(documents(spark, sf_dir), tokenizer_path())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op4_exact_dedup, op5_quality_rules)}
+    return {f.__name__: f for f in (op1_line_dedup, op4_exact_dedup, op5_quality_rules, op10_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
