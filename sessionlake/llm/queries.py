@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sessionlake.llm import exact_dedup, line_dedup, piece_bpe, quality_rules
+from sessionlake.llm import exact_dedup, line_dedup, pii, piece_bpe, quality_rules, secret_scan
 from sessionlake.llm.common import documents
 
 
@@ -23,6 +23,14 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.digest(documents(spark, sf_dir))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(documents(spark, sf_dir))
+
+
+def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(documents(spark, sf_dir))
+
+
 def tokenizer_path(name: str = "piece_bpe_32k.model") -> str:
     """Where a public vocabulary file lies on every machine."""
     import public_tokenizers
@@ -35,7 +43,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op4_exact_dedup, op5_quality_rules, op10_sentencepiece)}
+    return {f.__name__: f for f in (op1_line_dedup, op4_exact_dedup, op5_quality_rules, op8_pii, op9_secret_scans, op10_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
