@@ -38,11 +38,11 @@ from pyspark.sql.types import ArrayType, DataType, IntegerType, StringType, Stru
 MARK = "▁"
 #: Chunks in each of the two generations of a worker's cache, and the longest
 #: chunk that is kept there.
-CACHE_CHUNKS = 300_000
+CACHE_CHUNKS = 100_000
 CHECK_EVERY = 16
 CACHE_CHARS = 48
 #: Characters of text that are turned to Arrow arrays at a time.
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 1_000_000
 
 
 class Vocabulary:

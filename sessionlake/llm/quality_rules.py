@@ -117,10 +117,11 @@ def _measured(rows: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that stay, all columns, with the failing lines removed."""
-    row = fresh(docs, "row_")[0]
+    row, barrier = fresh(docs, "row_", "barrier_")
     d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row), F.col(id_col).alias("doc_id"),
                     F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    d = _measured(d).filter("kept")
+    # The id column keeps the filter above the rules, so they aren't evaluated once more inside it.
+    d = _measured(d).withColumn(barrier, F.monotonically_increasing_id()).filter("kept")
     return d.select(*[F.col("text_left").alias(c) if c.lower() == text_col.lower() else F.col(f"{row}.`{c}`")
                       for c in docs.columns])
 
