@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,3 +46,18 @@ def cut(df: DataFrame) -> DataFrame:
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         checkpoint_dir(spark)
     return df.checkpoint(eager=True)
+
+
+def ship(df: DataFrame) -> DataFrame:
+    """Hand this package's modules to the Python workers of ``df``'s session,
+    once per application, through Spark's own file service; ``df`` itself."""
+    sc = df.sparkSession.sparkContext
+    if not getattr(sc, "_sessionlake_shipped", False):
+        root = Path(__file__).resolve().parent.parent
+        path = Path(tempfile.mkdtemp(prefix="sessionlake-")) / "sessionlake_modules.zip"
+        with zipfile.ZipFile(path, "w") as z:
+            for f in sorted(root.rglob("*.py")):
+                z.write(f, f.relative_to(root.parent))
+        sc.addPyFile(str(path))
+        sc._sessionlake_shipped = True
+    return df

@@ -35,6 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, IntegerType, StringType, StructType
 
+from sessionlake.llm.common import ship
+
 MARK = "▁"
 #: Chunks in each of the two generations of a worker's cache, and the longest
 #: chunk that is kept there.
@@ -319,13 +321,13 @@ def _decoder(model_path: str, ids_col: str, text_col: str):
 def encode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """``docs`` with the ids of its texts (the end id last)."""
     docs = docs.drop(*[c for c in docs.columns if c.lower() == ids_col.lower()])
-    return docs.mapInArrow(_encoder(model_path, text_col, ids_col), _with(docs, ids_col, ArrayType(IntegerType())))
+    return ship(docs).mapInArrow(_encoder(model_path, text_col, ids_col), _with(docs, ids_col, ArrayType(IntegerType())))
 
 
 def decode(tokens: DataFrame, model_path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
     """``tokens`` with the text of its ids; null ids have a null text."""
     tokens = tokens.drop(*[c for c in tokens.columns if c.lower() == text_col.lower()])
-    return tokens.mapInArrow(_decoder(model_path, ids_col, text_col), _with(tokens, text_col, StringType()))
+    return ship(tokens).mapInArrow(_decoder(model_path, ids_col, text_col), _with(tokens, text_col, StringType()))
 
 
 def _with(df: DataFrame, name: str, kind: DataType) -> StructType:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from sessionlake.llm.common import cut
+from sessionlake.llm.common import cut, ship
 from sessionlake.llm.spans import SPAN_TYPE, arrow_scan, joined, n_of
 
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -153,7 +153,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limi
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     out = StructType([docs.schema["doc_id"], *StructType.fromDDL(
         f"base {SPAN_TYPE}, tokens array<struct<kind:string,start:int,end:int,instance:bigint,patterns:array<string>>>").fields])
-    rows = cut(docs.mapInArrow(arrow_scan(scan_text, "text", _SCHEMA, ["doc_id"]), out)
+    rows = cut(ship(docs).mapInArrow(arrow_scan(scan_text, "text", _SCHEMA, ["doc_id"]), out)
                .withColumn("row", F.monotonically_increasing_id()))
     tokens = rows.select("row", F.inline("tokens"))
     good = pattern_scores(tokens, **limits)

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from sessionlake.llm.common import ship
 from sessionlake.llm.spans import SPAN_TYPE, arrow_scan, joined, n_of
 
 BASE_KINDS = ("assign", "access", "hex")
@@ -191,7 +192,7 @@ def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
     keep = [c for c in docs.columns if c.lower() != "spans"]
     docs = docs.select(*[F.col(f"`{c}`") for c in keep])
     out = StructType([*docs.schema.fields, *StructType.fromDDL(f"spans {SPAN_TYPE}").fields])
-    return docs.mapInArrow(arrow_scan(_row, text_col, pa.schema([("spans", _SPANS)]), keep), out)
+    return ship(docs).mapInArrow(arrow_scan(_row, text_col, pa.schema([("spans", _SPANS)]), keep), out)
 
 
 def digest(docs: DataFrame) -> DataFrame:
