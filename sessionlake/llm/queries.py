@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sessionlake.llm import exact_dedup, language_id, line_dedup, pii, piece_bpe, quality_rules, secret_scan
+from sessionlake.llm import exact_dedup, language_id, line_dedup, mixing, pii, piece_bpe, quality_rules, secret_scan
 from sessionlake.llm.common import documents
 
 
@@ -23,6 +23,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.digest(documents(spark, sf_dir))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.digest(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.digest(documents(spark, sf_dir))
 
@@ -47,7 +51,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op4_exact_dedup, op5_quality_rules, op7_language_id, op8_pii, op9_secret_scans, op10_sentencepiece)}
+    return {f.__name__: f for f in (op1_line_dedup, op4_exact_dedup, op5_quality_rules, op6_mixing, op7_language_id, op8_pii, op9_secret_scans, op10_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
