@@ -40,7 +40,7 @@ from sessionlake.llm.common import ship
 MARK = "▁"
 #: Chunks in each of the two generations of a worker's cache, and the longest
 #: chunk that is kept there.
-CACHE_CHUNKS = 100_000
+CACHE_CHUNKS = 160_000
 CHECK_EVERY = 16
 CACHE_CHARS = 48
 #: Characters of text that are turned to Arrow arrays at a time.
@@ -174,13 +174,13 @@ class Vocabulary:
             best = np.minimum.reduceat(rank << 32 | np.arange(len(sym)), first)
             over = (best >> 32) == _NONE
             ends = np.r_[first[1:], len(sym)]
+            stay = np.repeat(~over, ends - first)
             if over.any():
-                flat = sym.tolist()
-                for r, a, b in zip(row[first[over]].tolist(), first[over].tolist(), ends[over].tolist()):
+                flat, stop = sym[~stay].tolist(), np.cumsum((ends - first)[over]).tolist()
+                for r, a, b in zip(row[first[over]].tolist(), [0, *stop], stop):
                     done[r] = tuple(flat[a:b])
             spot = (best & 0xFFFFFFFF)[~over]
             sym[spot] = into[spot]
-            stay = np.repeat(~over, ends - first)
             stay[spot + 1] = False
             moved = np.cumsum(stay) - 1
             spot = moved[spot]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sessionlake.llm import exact_dedup, language_id, line_dedup, mixing, pii, piece_bpe, quality_rules, secret_scan
+from sessionlake.llm import exact_dedup, jaccard_join, language_id, license_scan, line_dedup, mixing, pii, piece_bpe, quality_rules, secret_scan
 from sessionlake.llm.common import documents
 
 
@@ -15,6 +15,14 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(documents(spark, sf_dir))
 
 
+def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.digest(documents(spark, sf_dir))
+
+
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.groups(documents(spark, sf_dir))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decisions(documents(spark, sf_dir))
 
@@ -51,7 +59,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op4_exact_dedup, op5_quality_rules, op6_mixing, op7_language_id, op8_pii, op9_secret_scans, op10_sentencepiece)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_license_scans, op3_ngram_jaccard, op4_exact_dedup, op5_quality_rules, op6_mixing, op7_language_id, op8_pii, op9_secret_scans, op10_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
