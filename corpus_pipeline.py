@@ -1,22 +1,68 @@
-"""Corpus pipeline over ``documents``."""
+"""Corpus pipeline over ``documents``: keep what is in a known language, once,
+without near copies, mixed to target weights, and tokenised.
+
+Each stage takes (spark, docs, sf_dir) and works on all rows of the stage
+before; all but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sessionlake.llm import exact_dedup, jaccard_join, language_id, mixing, piece_bpe
+from sessionlake.llm.common import cut
+from sessionlake.llm.queries import tokenizer_path
+
+#: No document more often than once; clean prose is used up, junk and toxic text is thinned.
+MAX_RATE = 1.0
 
-from sessionlake.llm import exact_dedup
 
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Language ID: rejected documents go."""
+    return language_id.identified(docs)
 
-def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+
+def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Exact dedup: of equal texts the largest id stays."""
     return exact_dedup.dedup(docs)
 
 
-STAGES = [("exact dedup", exact)]
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """N-gram Jaccard join: of each group of linked documents the least id stays."""
+    return jaccard_join.one_of_each(docs)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Mixing to target weights, with domains learned from the labelled table."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = mixing.learn(mixing.labelled(docs, labels))
+    return mixing.mix(docs, model, mixing.WEIGHTS, MAX_RATE)
+
+
+def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """SentencePiece ids, their count, and digests of ids and decoded text."""
+    model = tokenizer_path()
+    both = piece_bpe.decode(piece_bpe.encode(docs.select("doc_id", "lang", "source", "text"), model).drop("text"), model)
+    return both.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
+                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+STAGES = [
+    ("language ID", known_language),
+    ("exact dedup", exact_copies),
+    ("n-gram Jaccard join", near_copies),
+    ("mixing sources to target weights", mixed),
+    ("SentencePiece encoding and decoding", tokenised),
+]
+
+#: The stages learn models and tokenise, which SQL can't express; tests hold them against brute-force versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = cut(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -20,7 +20,7 @@ def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.groups(documents(spark, sf_dir))
+    return jaccard_join.digest(documents(spark, sf_dir))
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
