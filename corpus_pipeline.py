@@ -36,7 +36,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mixing to target weights, with domains learned from the labelled table."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    model = mixing.learn(mixing.labelled(docs, labels))
+    model = mixing.learn(docs, mixing.domains_of(labels))
     return mixing.mix(docs, model, mixing.WEIGHTS, MAX_RATE)
 
 

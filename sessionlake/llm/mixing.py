@@ -120,22 +120,27 @@ def fit(x: np.ndarray, y: np.ndarray, classes: int, rounds: int = 300, rate: flo
     return w
 
 
-def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain") -> Model:
-    """Fit the classifier on rows with a domain."""
-    rows = labelled.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(domain_col).alias("domain")) \
-        .filter("domain IS NOT NULL AND text IS NOT NULL")
-    sizes = rows.groupBy("domain").count().orderBy(F.desc("count"), "domain").limit(MAX_DOMAINS).collect()
+def learn(docs: DataFrame, domains_of: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
+    """Fit the classifier. ``domains_of``: doc_id and domain of labelled rows,
+    each id once. The sample is chosen from that table, so only its ids, at most
+    MAX_DOMAINS * SAMPLE of them, are broadcast and no text is shuffled."""
+    known_rows = domains_of.select("doc_id", "domain").filter("doc_id IS NOT NULL AND domain IS NOT NULL")
+    sizes = known_rows.groupBy("domain").count().orderBy(F.desc("count"), "domain").limit(MAX_DOMAINS).collect()
     domains = sorted(r["domain"] for r in sizes)
     if len(domains) < 2:
         return Model(domains or ["all"], np.zeros(0, np.uint64), np.zeros((N_STYLE + 1, 1), np.float32))
     total = {r["domain"]: r["count"] for r in sizes}
     share = F.create_map(*[x for d in domains for x in (F.lit(d), F.lit(min(1.0, 2 * SAMPLE / total[d])))])
     order = F.xxhash64("doc_id")
-    best = Window.partitionBy("domain").orderBy("order", "doc_id", F.xxhash64("text"))
-    sample = cut(rows.filter(F.pmod(order, F.lit(1_000_000)) < F.element_at(share, F.col("domain")) * 1_000_000)
-                 .withColumn("order", order).withColumn("at", F.row_number().over(best)).filter(F.col("at") <= SAMPLE)
-                 .select("domain", "text"))
+    best = Window.partitionBy("domain").orderBy("order", "doc_id")
+    chosen = (known_rows.filter(F.pmod(order, F.lit(1_000_000)) < F.element_at(share, F.col("domain")) * 1_000_000)
+              .withColumn("order", order).withColumn("at", F.row_number().over(best)).filter(F.col("at") <= SAMPLE)
+              .select(F.col("doc_id").alias("chosen_id"), "domain"))
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).filter("text IS NOT NULL")
+    sample = cut(texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("chosen_id")).select("domain", "text"))
     picked = {r["domain"]: r["count"] for r in sample.groupBy("domain").count().collect()}
+    if not picked:
+        return Model(["all"], np.zeros(0, np.uint64), np.zeros((N_STYLE + 1, 1), np.float32))
 
     def distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _parts(batches):
@@ -241,12 +246,11 @@ def mix(docs: DataFrame, model: Model, weights: dict[str, float] | None = None,
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
-def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, text and domain of the labelled documents."""
-    known = labels.select(F.col("doc_id").alias("label_id"), domain_of().alias("domain")).filter("domain IS NOT NULL") \
-        .dropDuplicates(["label_id"])
-    return docs.select("doc_id", "text").join(known, F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "domain")
+def domains_of(labels: DataFrame) -> DataFrame:
+    """doc_id and domain of the labelled ids; of repeated ids the least domain."""
+    return labels.select("doc_id", domain_of().alias("domain")).filter("doc_id IS NOT NULL AND domain IS NOT NULL") \
+        .groupBy("doc_id").agg(F.min("domain").alias("domain"))
 
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    return rated(docs, learn(labelled(docs, labels)), WEIGHTS).drop("text_hash")
+    return rated(docs, learn(docs, domains_of(labels)), WEIGHTS).drop("text_hash")
