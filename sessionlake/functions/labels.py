@@ -41,21 +41,21 @@ def duration_label(ms: Column) -> Column:
             .otherwise(F.format_string("%dh %dm", h, hm)))
 
 
-def truncate(s: Column, n: int) -> Column:
-    """One line, at most ``n`` characters, ``…`` marks a cut."""
-    flat = F.replace(F.replace(s, F.lit("\r"), F.lit(" ")), F.lit("\n"), F.lit(" "))
-    return F.when(F.length(flat) > n, F.concat(F.left(flat, F.lit(n - 1)), F.lit("…"))).otherwise(flat)
-
-
 # Summary texts of the event list.
 CALLS, STARTED, TURN_START, TURN_END = "calls ", "Session started", "Turn started", "Turn ended"
 TOOL_MARK, DONE_MARK = "⚡ ", "✓ "
 
 
 def tenths_label(ms: Column) -> Column:
-    """``ms / 1000`` with one decimal, rounded half up on the exact value."""
-    t = F.floor((ms + 50) / 100).cast("bigint")
-    return F.concat(F.floor(t / 10).cast("bigint").cast("string"), F.lit("."), (t % 10).cast("string"))
+    """``ms / 1000`` with one decimal, as binary floats print: a tie goes where
+    the nearest float lies, an exact tie to the even digit. For 0 < ms < 60000."""
+    whole, rest = F.call_function("div", ms.cast("bigint"), F.lit(100).cast("bigint")), ms.cast("bigint") % 100
+    # The float scaled by 2**57 is a whole number, so it can be compared with the exact quotient.
+    scaled = ((ms / 1000.0) * F.lit(float(1 << 57))).cast("bigint").cast("decimal(20,0)") * F.lit(1000).cast("decimal(4,0)")
+    exact = ms.cast("decimal(5,0)") * F.lit(str(1 << 57)).cast("decimal(18,0)")
+    up = F.when(rest != 50, rest > 50).when(scaled != exact, scaled > exact).otherwise(whole % 2 == 1)
+    t = whole + up.cast("bigint")
+    return F.concat(F.call_function("div", t, F.lit(10).cast("bigint")).cast("string"), F.lit("."), (t % 10).cast("string"))
 
 
 def event_summary(max_len: int = 300) -> Column:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,23 +14,11 @@ def decode_project_path(enc: Column) -> Column:
     return F.when(enc.startswith("-"), F.concat(F.lit("/"), F.substring(slashed, 2, 1 << 30))).otherwise(slashed)
 
 
-def base_name(path: Column) -> Column:
-    return F.substring_index(path, "/", -1)
-
-
-def parent_name(path: Column, up: int = 1) -> Column:
-    """Name of the ``up``-th ancestor directory (1 = the containing directory)."""
-    return F.regexp_extract(path, r"([^/]*)" + r"/[^/]*" * up + r"$", 1)
-
-
-def stem(path: Column, suffix: str) -> Column:
-    """File name without ``suffix`` (kept whole when it does not end in it)."""
-    return F.regexp_replace(base_name(path), re.escape(suffix) + "$", "")
-
-
 def url_decode(s: Column) -> Column:
-    """Percent-decoding where ``+`` stays a plus; undecodable text is kept."""
-    return F.coalesce(F.try_url_decode(F.regexp_replace(s, r"\+", "%2B")), s)
+    """Percent-decoding where ``+`` stays a plus and a ``%`` that begins no
+    escape stays as it is."""
+    kept = F.regexp_replace(F.regexp_replace(s, "%(?![0-9A-Fa-f]{2})", "%25"), r"\+", "%2B")
+    return F.coalesce(F.try_url_decode(kept), s)
 
 
 # Which assistant and table a session-tree file belongs to, in

@@ -35,7 +35,7 @@ def iso_millis(ts_ntz: Column) -> Column:
 def epoch_ms_to_iso(ms: Column) -> Column:
     """Epoch milliseconds → ISO string at second precision (sub-second part
     dropped, as the session tools print it)."""
-    return iso_seconds(ntz_from_epoch_seconds(F.floor(ms / 1000)))
+    return iso_seconds(ntz_from_epoch_seconds(F.call_function("div", ms.cast("bigint"), F.lit(1000).cast("bigint"))))
 
 
 def epoch_s_to_iso(sec: Column) -> Column:

@@ -39,13 +39,14 @@ def normalise(lines: DataFrame) -> DataFrame:
     parsed = _parsed(lines)
     ok = F.col("valid")
     git = J.field(p, "$.git")
-    meta_ok = J.all_ok(J.opt_object_ok(p) | ~J.present(p),
+    # an absent or null payload decodes to nothing and keeps the state
+    meta_ok = J.all_ok(J.is_object(p),
                        *[J.opt_string_ok(J.field(p, f"$.{f}")) for f in
                          ("id", "cwd", "cli_version", "model_provider", "originator", "source")],
                        J.opt_object_ok(git),
                        *[J.opt_string_ok(J.field(p, f"$.git.{f}")) for f in ("branch", "commit_hash", "repository_url")])
     is_meta = ok & (typ == "session_meta") & meta_ok
-    is_ctx = ok & (typ == "turn_context") & J.opt_string_ok(J.field(p, "$.model")) & J.opt_string_ok(J.field(p, "$.cwd"))
+    is_ctx = ok & (typ == "turn_context") & J.is_object(p) & J.opt_string_ok(J.field(p, "$.model")) & J.opt_string_ok(J.field(p, "$.cwd"))
     # state lines come from a second parse of only the lines that can be state lines
     markers = _parsed(lines.where(J.may_contain("value", "session_meta", "turn_context"))).where(
         is_meta | (is_ctx & J.is_string(J.field(p, "$.model")))).select(

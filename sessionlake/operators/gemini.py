@@ -19,12 +19,13 @@ TYPE_MAP = {"user": ("user", "user"), "gemini": ("assistant", "assistant"), "inf
 
 
 def alias_map(projects: DataFrame) -> DataFrame:
-    """``projects.json`` → ``(alias, abs_path)``; non-string aliases are
-    skipped and, for an alias listed twice, the last path in key order wins."""
+    """``projects.json`` → ``(root, alias, abs_path)``; aliases belong to the
+    root whose file lists them, non-string ones are skipped and, for an alias
+    listed twice, the last path in key order wins."""
     m = F.try_variant_get(J.parse("content"), "$.projects", "map<string,variant>")
-    return (projects.select(F.explode(m).alias("abs_path", "a"))
-            .select(J.as_string(F.col("a")).alias("alias"), "abs_path").where(F.col("alias").isNotNull())
-            .groupBy("alias").agg(F.max("abs_path").alias("abs_path")))
+    return (projects.select(F.regexp_replace("file_path", r"/projects\.json$", "").alias("root"), F.explode(m).alias("abs_path", "a"))
+            .select("root", J.as_string(F.col("a")).alias("alias"), "abs_path").where(F.col("alias").isNotNull())
+            .groupBy("root", "alias").agg(F.max("abs_path").alias("abs_path")))
 
 
 def _msg_ok(m: Column) -> Column:
@@ -45,10 +46,11 @@ def normalise(files: DataFrame, projects: DataFrame | None = None) -> DataFrame:
                      *[J.opt_string_ok(J.field(c("v"), f"$.{k}")) for k in ("sessionId", "startTime", "kind")])
     docs = docs.select(
         "v", F.regexp_extract("file_path", _PATH, 1).alias("project_dir"),
-        F.regexp_extract("file_path", _PATH, 2).alias("file_name"), valid.alias("ok"))
+        F.regexp_extract("file_path", _PATH, 2).alias("file_name"), valid.alias("ok"),
+        F.regexp_replace("file_path", _PATH, "").alias("file_root"))
     if projects is not None:
         docs = docs.join(alias_map(projects),
-                         c("project_dir") == c("alias"), "left")
+                         (c("project_dir") == c("alias")) & (c("file_root") == c("root")), "left")
     else:
         docs = docs.withColumn("abs_path", F.lit(None).cast("string"))
     project = F.coalesce(c("abs_path"), F.lit(""))

@@ -87,7 +87,7 @@ def copilot_todos(lines: DataFrame) -> DataFrame:
     """Checkpoint checklists (``session-state/<id>/checkpoints/*.md``, not
     ``index.md``): trimmed lines starting ``- [x] ``/``- [X] `` are completed,
     ``- [ ] `` pending; the index counts matched lines only."""
-    t = F.trim(F.col("value"))
+    t = F.regexp_replace("value", r"(?U)^\s+|\s+$", "")
     done = t.startswith("- [x] ") | t.startswith("- [X] ")
     todo = t.startswith("- [ ] ")
     m = (

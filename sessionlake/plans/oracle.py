@@ -314,7 +314,7 @@ x_grok_plans AS (
     {S_GROK.format('c')}) AS plan_name, 'plan.md' AS file_name,
     '/lake/grok/sessions/%2Fhome%2Fdev%2Fgrok' || (c % 3) || '/' || {S_GROK.format('c')} || '/plan.md' AS file_path,
     first_text AS content, CAST(strlen(first_text) AS BIGINT) AS file_size
-  FROM x_grok_sessions WHERE c % 4 = 0
+  FROM x_grok_sessions
 ),
 x_grok_stats AS (
   SELECT 'grok' AS source, left({GROK_TS0}, 10) AS date,
@@ -326,7 +326,7 @@ x_grok_stats AS (
 
 X_SIDE = f"""
 x_history AS (
-  SELECT 'claude' AS source, CAST(c * 10 + t + 1 AS BIGINT) AS line_number,
+  SELECT 'claude' AS source, CAST(c * 1000 + t + 1 AS BIGINT) AS line_number,
     CASE WHEN NOT bad THEN CAST((1704067200 + c * 3600 + t * 37) * 1000 AS BIGINT) END AS timestamp_ms,
     CASE WHEN bad THEN NULL WHEN t = 2 THEN '/home/dev/archived' || (c % 3) ELSE '/home/dev/my-app' || (sc % 7) END AS project,
     CASE WHEN bad THEN NULL WHEN t = 2 AND c % 2 = 1 THEN {S_CLAUDE.format('c + 1000000')} ELSE {S_CLAUDE.format('sc')} END AS session_id,
@@ -334,12 +334,13 @@ x_history AS (
     CASE WHEN bad THEN NULL WHEN c % 4 = 0 THEN '{{"1":{{"content":"snippet ' || c || '","id":1,"type":"text"}}}}' ELSE '{{}}' END AS pasted_contents
   FROM (SELECT conv_id AS c, turn AS t, text AS x, CASE WHEN conv_id % 6 = 5 THEN conv_id - 1 ELSE conv_id END AS sc,
                (conv_id % 10 = 9 AND turn = 1) AS bad
-        FROM conversations WHERE role = 'user' AND turn <= 2)
+        FROM conversations WHERE role = 'user')
 ),
 x_todo_files AS (
-  SELECT conv_id AS c, turn AS t, CASE WHEN conv_id % 6 = 5 THEN conv_id - 1 ELSE conv_id END AS sc,
+  SELECT conv_id AS c, turn AS t,
+         CASE WHEN conv_id % 8 = 3 THEN conv_id + 2000000 WHEN conv_id % 6 = 5 THEN conv_id - 1 ELSE conv_id END AS sc,
          (conv_id + turn) % 3 + 1 AS n, conv_id % 9 = 4 AS bad
-  FROM conversations WHERE role = 'assistant' AND turn % 3 = 1
+  FROM conversations WHERE role = 'assistant'
 ),
 x_todos AS (
   SELECT 'claude' AS source, {S_CLAUDE.format('sc')} AS session_id, 'a' || c || 't' || t AS agent_id,
@@ -367,9 +368,9 @@ x_stats AS (
   FROM events GROUP BY user_id % 4, CAST(ts AS DATE)
   UNION ALL SELECT * FROM x_grok_stats
 ),
-x_conv AS (SELECT * FROM x_claude UNION ALL SELECT * FROM x_copilot),
 x_conv_all AS (SELECT * FROM x_claude UNION ALL SELECT * FROM x_copilot UNION ALL SELECT * FROM x_codex
-  UNION ALL SELECT * FROM x_gemini UNION ALL SELECT * FROM x_cursor UNION ALL SELECT * FROM x_grok)"""
+  UNION ALL SELECT * FROM x_gemini UNION ALL SELECT * FROM x_cursor UNION ALL SELECT * FROM x_grok),
+x_conv AS (SELECT * FROM x_conv_all)"""
 
 PRELUDE = "WITH " + ",".join(s.strip() for s in (X_CLAUDE, X_COPILOT, X_CODEX, X_GEMINI, X_CURSOR, X_GROK, X_SIDE))
 

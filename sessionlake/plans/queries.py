@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from sessionlake.functions import labels as LB
 from sessionlake.functions.time import day_of, epoch_millis
-from sessionlake.plans.tables import Tables
+from sessionlake.plans.tables import PROVIDERS, Tables
 
 c = F.col
 
@@ -63,7 +63,7 @@ def q_daily_activity(t: Tables) -> DataFrame:
     return _with_day(t.conv).groupBy("day", "source").agg(F.count("*").alias("messages"))
 
 
-def q_daily_pivot(t: Tables, sources: tuple[str, ...] = ("claude", "copilot")) -> DataFrame:
+def q_daily_pivot(t: Tables, sources: tuple[str, ...] = tuple(PROVIDERS)) -> DataFrame:
     """Day × source message counts, missing cells 0. The pivot values are
     given, so Spark does not run an extra job to discover them."""
     return (_with_day(t.conv).groupBy("day").pivot("source", list(sources)).agg(F.count(F.lit(1)))
@@ -295,7 +295,8 @@ def q_plans_overview(t: Tables) -> DataFrame:
 
 
 def q_recent_commands(t: Tables, limit: int = 50) -> DataFrame:
-    return (t.history.orderBy(c("line_number").desc(), c("source")).limit(limit)
+    return (t.history.orderBy(c("line_number").desc(), "source", c("session_id").asc_nulls_last(), c("project").asc_nulls_last(),
+                              c("timestamp_ms").asc_nulls_last(), c("display").asc_nulls_last()).limit(limit)
             .select("source", "display", "timestamp_ms", "project", "session_id"))
 
 
@@ -341,17 +342,18 @@ def q_stats_totals(t: Tables) -> DataFrame:
 
 # ── joins (J1–J8) ────────────────────────────────────────────────────────────
 def q_conv_history(t: Tables) -> DataFrame:
-    h = t.history.where(c("session_id").isNotNull()).select("session_id", "display")
-    return t.conv.select("session_id", "uuid").join(h, "session_id", "inner")
+    h = t.history.where(c("session_id").isNotNull()).select("source", "session_id", "display")
+    return t.conv.select("source", "session_id", "uuid").join(h, ["source", "session_id"], "inner").drop("source")
 
 
 def q_conv_history_project(t: Tables) -> DataFrame:
-    h = t.history.where(c("project").isNotNull()).select(c("project").alias("project_path")).distinct()
-    return t.conv.select("project_path").distinct().join(h, "project_path", "inner")
+    h = t.history.where(c("project").isNotNull()).select("source", c("project").alias("project_path")).distinct()
+    return t.conv.select("source", "project_path").distinct().join(h, ["source", "project_path"], "inner").select("project_path").distinct()
 
 
 def q_conv_todos(t: Tables) -> DataFrame:
-    return t.conv.select("session_id").distinct().join(t.todos.select("session_id").distinct(), "session_id", "inner")
+    key = ["source", "session_id"]
+    return t.conv.select(*key).distinct().join(t.todos.select(*key).distinct(), key, "inner").select("session_id").distinct()
 
 
 def _sessions_todos(t: Tables) -> DataFrame:
@@ -380,15 +382,15 @@ def q_sessions_with_plans(t: Tables) -> DataFrame:
 
 
 def q_orphan_projects(t: Tables) -> DataFrame:
-    """History projects no conversation ran in (``NOT IN`` as an anti join;
-    ``project_path`` is never NULL, so the null-aware form is not needed)."""
-    h = t.history.where(c("project").isNotNull()).select("project").distinct()
-    return h.join(t.conv.select(c("project_path").alias("project")), "project", "left_anti")
+    """History projects that no conversation of the same source ran in."""
+    h = t.history.where(c("project").isNotNull()).select("source", "project").distinct()
+    ran = t.conv.select("source", c("project_path").alias("project")).distinct()
+    return h.join(ran, ["source", "project"], "left_anti").select("project").distinct()
 
 
 def q_orphan_todos(t: Tables) -> DataFrame:
-    s = t.todos.select("session_id").distinct()
-    return s.join(t.conv.select("session_id"), "session_id", "left_anti")
+    key = ["source", "session_id"]
+    return t.todos.select(*key).distinct().join(t.conv.select(*key).distinct(), key, "left_anti").select("session_id").distinct()
 
 
 # ── windows over a session timeline (W2–W4) ──────────────────────────────────
@@ -431,8 +433,8 @@ def q_union_counts(t: Tables) -> DataFrame:
 
 def q_session_collisions(t: Tables) -> DataFrame:
     conv = t.conv_all
-    a = conv.where(c("source") == "claude").select("session_id")
-    b = conv.where(c("source") != "claude").select("session_id")
+    a = conv.where(c("source") == "claude").select("session_id").distinct()
+    b = conv.where(c("source") != "claude").select("session_id").distinct()
     return a.intersect(b)
 
 
@@ -524,9 +526,10 @@ def x_project_label(t: Tables) -> DataFrame:
     path (in sorted order) keeps it and later ones get two components."""
     p = t.conv_all.where(c("project_path") != "").select("project_path").distinct()
     short = LB.project_short(c("project_path"))
-    w = Window.partitionBy("short").orderBy("project_path")
-    return p.select("project_path", short.alias("short")).select(
-        "project_path", F.when(F.row_number().over(w) == 1, c("short")).otherwise(LB.project_two_parts(c("project_path"))).alias("label"))
+    p = p.select("project_path", short.alias("short"))
+    first = p.groupBy("short").agg(F.min("project_path").alias("owner"))
+    return p.join(first, "short").select("project_path", F.when(c("project_path") == c("owner"), c("short"))
+                                         .otherwise(LB.project_two_parts(c("project_path"))).alias("label"))
 
 
 def x_string_basics(t: Tables) -> DataFrame:
@@ -544,8 +547,10 @@ def x_string_basics(t: Tables) -> DataFrame:
 def x_url_decode(t: Tables) -> DataFrame:
     from sessionlake.functions.paths import url_decode
     enc = F.url_encode(c("project_path"))
+    damaged = F.concat(F.lit("%2FU%2F%zz+"), enc, F.lit("%"))
     return t.conv_all.where(c("project_path") != "").select("project_path").distinct().select(
-        "project_path", enc.alias("encoded"), url_decode(enc).alias("decoded"))
+        "project_path", enc.alias("encoded"), url_decode(enc).alias("decoded"), damaged.alias("damaged"),
+        url_decode(damaged).alias("damaged_decoded"))
 
 
 def x_event_json(t: Tables) -> DataFrame:

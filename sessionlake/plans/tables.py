@@ -20,6 +20,8 @@ class Tables:
     spark: SparkSession
     builders: dict[str, Callable[[], DataFrame]] = field(default_factory=dict)
     _memo: dict[str, DataFrame] = field(default_factory=dict)
+    #: Values of ``source`` that ``conv`` holds; None for all.
+    sources: tuple[str, ...] | None = None
 
     def get(self, name: str) -> DataFrame:
         if name not in self._memo:
@@ -44,8 +46,9 @@ class Tables:
 
     @property
     def conv(self) -> DataFrame:
-        """Conversations of the two primary assistants (Claude ∪ Copilot)."""
-        return self._union_of("conv", ["conv_claude", "conv_copilot"], CONVERSATIONS)
+        """Conversations of the sources asked for (default: of all)."""
+        wanted = CONV_SOURCES if self.sources is None else [s for s in CONV_SOURCES if s.replace("_", "-") in self.sources]
+        return self._union_of("conv", [f"conv_{s}" for s in wanted], CONVERSATIONS)
 
     @property
     def conv_all(self) -> DataFrame:
@@ -73,7 +76,7 @@ class Tables:
         """Logical plans over the benchmark tables. The *plans* are memoised per
         session and directory (building them is Python-side work); no data is
         cached, so every query still reads and parses its input."""
-        key = (id(spark), sf_dir)
+        key = (spark.sparkContext.applicationId, id(spark), sf_dir)
         if key not in _PLANS:
             _PLANS[key] = cls._build_benchmark(spark, sf_dir)
         return _PLANS[key]
@@ -134,9 +137,11 @@ def _lake_files(spark: SparkSession, sf_dir: str, name: str, build: Callable[[],
     return spark.read.parquet(path)
 
 
-_PLANS: dict[tuple[int, str], "Tables"] = {}
+_PLANS: dict[tuple[str, int, str], "Tables"] = {}
 
 CONV_SOURCES = ["claude", "claude_desktop", "copilot", "codex", "gemini", "cursor", "grok"]
+#: The same as values of the column ``source``.
+PROVIDERS = [s.replace("_", "-") for s in CONV_SOURCES]
 
 _EMPTY = {f"conv_{s}": CONVERSATIONS for s in CONV_SOURCES}
 _EMPTY.update({f"plans_{s}": PLANS for s in ("claude", "copilot", "grok")})
@@ -155,10 +160,12 @@ def _union(dfs: list[DataFrame], spark: SparkSession, schema) -> DataFrame:
 
 
 def from_roots(spark: SparkSession, claude: str | None = None, copilot: str | None = None, codex: str | None = None,
-               gemini: str | None = None, cursor: str | None = None, claude_desktop: str | None = None) -> Tables:
+               gemini: str | None = None, cursor: str | None = None, claude_desktop: str | None = None,
+               grok: str | None = None, sources: tuple[str, ...] | None = None) -> Tables:
     """Canonical tables over real session trees (each argument is the root
-    of one assistant's data directory; a glob matches many users' roots)."""
-    from sessionlake.operators import claude as cl, codex as cx, copilot as cp, cursor as cu, gemini as ge, side
+    of one assistant's data directory; a glob matches many users' roots).
+    ``sources`` narrows what the catalogue queries read (default: all)."""
+    from sessionlake.operators import claude as cl, codex as cx, copilot as cp, cursor as cu, gemini as ge, grok as gr, side
     from sessionlake.sources import raw as R
 
     b: dict[str, Callable[[], DataFrame]] = {}
@@ -170,9 +177,9 @@ def from_roots(spark: SparkSession, claude: str | None = None, copilot: str | No
         b["plans_claude"] = lambda: side.claude_plans(R.raw_files(spark, [R.join(claude, "plans/*.md")]))
         b["stats_claude"] = lambda: side.claude_stats(R.raw_files(spark, [R.join(claude, "stats-cache.json")]))
     if claude_desktop:
-        # explicit globs per depth: Hadoop globs have no "**" and recursive listing skips hidden directories
-        pats = [R.join(claude_desktop, "local-agent-mode-sessions", *(["*"] * d), ".claude/projects", sub)
-                for d in range(0, 4) for sub in ("*/*.jsonl", "*/*/subagents/*.jsonl")]
+        # recursive listing skips hidden directories, so the ".claude" folders are found first, at any depth
+        pats = [R.join(d, "projects", sub) for d in R.folders_named(spark, R.join(claude_desktop, "local-agent-mode-sessions"), ".claude")
+                for sub in ("*/*.jsonl", "*/*/subagents/*.jsonl")]
         b["conv_claude_desktop"] = lambda: cl.normalise(R.raw_lines(spark, pats), source="claude-desktop")
     if copilot:
         ws = lambda: R.workspace_yaml(R.raw_files(spark, [R.join(copilot, "session-state/*/workspace.yaml"),
@@ -183,12 +190,19 @@ def from_roots(spark: SparkSession, claude: str | None = None, copilot: str | No
         b["todos_copilot"] = lambda: side.copilot_todos(R.raw_lines(spark, [R.join(copilot, "session-state/*/checkpoints/*.md")]))
         b["history_copilot"] = lambda: side.copilot_history(R.raw_files(spark, [R.join(copilot, "command-history-state.json")]))
     if codex:
-        pats = [R.join(codex, "sessions", *(["*"] * d), "rollout-*.jsonl") for d in range(0, 5)]
-        b["conv_codex"] = lambda: cx.normalise(R.raw_lines(spark, pats))
+        b["conv_codex"] = lambda: cx.normalise(R.raw_lines(spark, [R.join(codex, "sessions")], below="rollout-*.jsonl"))
     if gemini:
         b["conv_gemini"] = lambda: ge.normalise(R.raw_files(spark, [R.join(gemini, "tmp/*/chats/session-*.json")]),
                                                 R.raw_files(spark, [R.join(gemini, "projects.json")]))
+    if grok:
+        chat = lambda: R.raw_lines(spark, [R.join(grok, "sessions/*/*/chat_history.jsonl")])
+        side_files = lambda: R.raw_files(spark, [R.join(grok, "sessions/*/*", f) for f in (
+            "summary.json", "signals.json", "plan.md", "subagents/*/meta.json")])
+        updates = lambda: R.raw_lines(spark, [R.join(grok, "sessions/*/*/updates.jsonl")])
+        b["conv_grok"] = lambda: gr.normalise(chat(), updates(), side_files())
+        b["plans_grok"] = lambda: gr.plans(chat(), side_files())
+        b["stats_grok"] = lambda: gr.stats(chat(), side_files())
     if cursor:
         db = cursor if cursor.endswith(".vscdb") else R.join(cursor, "state.vscdb")
         b["conv_cursor"] = lambda: cu.normalise(R.sqlite_kv(spark, [db]))
-    return Tables(spark, b)
+    return Tables(spark, b, sources=sources)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from sessionlake.plans import oracle as O
 from sessionlake.plans import queries as Q
-from sessionlake.plans.tables import Tables
+from sessionlake.plans.tables import PROVIDERS, Tables
 
 SESSION = "00000003-0000-4000-8000-000000000000"
 COPILOT_SESSION = "00000007-c0c0-4000-8000-000000000007"
@@ -56,6 +56,11 @@ _Q: dict[str, tuple[Callable[[Tables], DataFrame], str | None]] = {
     "ingest_gemini": (lambda t: t.get("conv_gemini"), f"SELECT {O.CONV_COLS} FROM x_gemini"),
     "ingest_cursor": (lambda t: t.get("conv_cursor"), f"SELECT {O.CONV_COLS} FROM x_cursor"),
     "ingest_grok": (lambda t: t.get("conv_grok"), f"SELECT {O.CONV_COLS} FROM x_grok"),
+    "ingest_claude_subagents": (lambda t: t.get("conv_claude").where("is_agent"), f"SELECT {O.CONV_COLS} FROM x_claude WHERE is_agent"),
+    "ingest_plans_claude": (lambda t: t.get("plans_claude"), "SELECT * FROM x_plans WHERE source = 'claude'"),
+    "ingest_todos_claude": (lambda t: t.get("todos_claude"), "SELECT * FROM x_todos WHERE source = 'claude'"),
+    "ingest_history_claude": (lambda t: t.get("history_claude"), "SELECT * FROM x_history WHERE source = 'claude'"),
+    "ingest_stats_claude": (lambda t: t.get("stats_claude"), "SELECT * FROM x_stats WHERE source = 'claude'"),
     "ingest_plans_grok": (lambda t: t.get("plans_grok"), "SELECT * FROM x_grok_plans"),
     "ingest_stats_grok": (lambda t: t.get("stats_grok"), "SELECT * FROM x_grok_stats"),
     "ingest_conversations_all": (lambda t: t.conv_all, f"SELECT {O.CONV_COLS} FROM x_conv_all"),
@@ -164,8 +169,8 @@ _Q: dict[str, tuple[Callable[[Tables], DataFrame], str | None]] = {
     "q_daily_activity": (Q.q_daily_activity,
                          f"SELECT {DAY} AS day, source, count(*) AS messages FROM x_conv WHERE timestamp IS NOT NULL GROUP BY ALL"),
     "q_daily_pivot": (Q.q_daily_pivot,
-                      f"SELECT {DAY} AS day, count(*) FILTER (WHERE source = 'claude') AS claude, "
-                      f"count(*) FILTER (WHERE source = 'copilot') AS copilot FROM x_conv WHERE timestamp IS NOT NULL GROUP BY 1"),
+                      f"SELECT {DAY} AS day, " + ", ".join(f"count(*) FILTER (WHERE source = '{s}') AS \"{s}\"" for s in PROVIDERS)
+                      + " FROM x_conv WHERE timestamp IS NOT NULL GROUP BY 1"),
     "q_activity_14d": (Q.q_activity_14d,
                        f"SELECT {DAY} AS day, count(*) AS messages FROM x_conv WHERE timestamp IS NOT NULL GROUP BY 1 "
                        "ORDER BY day LIMIT 14"),
@@ -257,7 +262,7 @@ _Q: dict[str, tuple[Callable[[Tables], DataFrame], str | None]] = {
     "q_plans_overview": (Q.q_plans_overview, "SELECT source, session_id, plan_name, file_name, file_size FROM x_plans"),
     "q_recent_commands": (Q.q_recent_commands,
                           "SELECT source, display, timestamp_ms, project, session_id FROM x_history "
-                          "ORDER BY line_number DESC, source LIMIT 50"),
+                          "ORDER BY line_number DESC, source, session_id, project, timestamp_ms, display LIMIT 50"),
     "q_history_view": (Q.q_history_view,
                        "SELECT source, strftime(make_timestamp(timestamp_ms * 1000), '%Y-%m-%d %H:%M:%S') AS ts, display, project "
                        "FROM x_history"),
@@ -279,10 +284,10 @@ _Q: dict[str, tuple[Callable[[Tables], DataFrame], str | None]] = {
                        "CAST(sum(tool_call_count) AS BIGINT) AS tool_calls FROM x_stats"),
     # ── joins ──
     "q_conv_history": (Q.q_conv_history,
-                       "SELECT c.session_id, c.uuid, h.display FROM x_conv c JOIN x_history h ON c.session_id = h.session_id"),
+                       "SELECT c.session_id, c.uuid, h.display FROM x_conv c JOIN x_history h ON c.session_id = h.session_id AND c.source = h.source"),
     "q_conv_history_project": (Q.q_conv_history_project,
-                               "SELECT DISTINCT c.project_path FROM x_conv c JOIN x_history h ON c.project_path = h.project"),
-    "q_conv_todos": (Q.q_conv_todos, "SELECT DISTINCT c.session_id FROM x_conv c JOIN x_todos t ON c.session_id = t.session_id"),
+                               "SELECT DISTINCT c.project_path FROM x_conv c JOIN x_history h ON c.project_path = h.project AND c.source = h.source"),
+    "q_conv_todos": (Q.q_conv_todos, "SELECT DISTINCT c.session_id FROM x_conv c JOIN x_todos t ON c.session_id = t.session_id AND c.source = t.source"),
     "q_sessions_with_todos": (Q.q_sessions_with_todos,
                               "SELECT c.source, c.session_id, c.project_path, count(DISTINCT c.uuid) AS messages, "
                               "count(DISTINCT t.content) AS todos FROM x_conv c LEFT JOIN x_todos t "
@@ -295,9 +300,11 @@ _Q: dict[str, tuple[Callable[[Tables], DataFrame], str | None]] = {
                               "SELECT c.source, c.session_id, c.slug, p.plan_name, p.file_size, count(*) AS messages "
                               "FROM x_conv c JOIN x_plans p ON c.slug = p.plan_name AND c.source = p.source GROUP BY ALL"),
     "q_orphan_projects": (Q.q_orphan_projects,
-                          "SELECT DISTINCT project FROM x_history WHERE project NOT IN (SELECT project_path FROM x_conv)"),
+                          "SELECT DISTINCT project FROM x_history h WHERE project IS NOT NULL AND NOT EXISTS (SELECT 1 FROM x_conv c "
+                          "WHERE c.source = h.source AND c.project_path = h.project)"),
     "q_orphan_todos": (Q.q_orphan_todos,
-                       "SELECT DISTINCT session_id FROM x_todos WHERE session_id NOT IN (SELECT session_id FROM x_conv)"),
+                       "SELECT DISTINCT session_id FROM x_todos t WHERE NOT EXISTS (SELECT 1 FROM x_conv c "
+                       "WHERE c.source = t.source AND c.session_id = t.session_id)"),
     # ── timeline windows ──
     "q_timeline_deltas": (Q.q_timeline_deltas,
                           f"SELECT session_id, file_name, line_number, CASE WHEN ts_ms IS NOT NULL THEN coalesce(ts_ms - "
@@ -368,12 +375,12 @@ _Q.update({
     "x_parse_ts": (Q.x_parse_ts, f"SELECT source, session_id, file_name, line_number, {TS_MS} AS ts_ms FROM x_conv_all"),
     "x_duration_labels": (Q.x_duration_labels, """SELECT session_id, duration_ms,
   CASE WHEN duration_ms IS NULL OR duration_ms <= 0 THEN ''
-       WHEN duration_ms < 60000 THEN ((duration_ms + 50) // 100 // 10) || '.' || ((duration_ms + 50) // 100 % 10) || 's'
+       WHEN duration_ms < 60000 THEN printf('%.1f', duration_ms / 1000.0) || 's'
        WHEN duration_ms < 3600000 THEN (duration_ms // 60000) || 'm ' || lpad(CAST((duration_ms % 60000) // 1000 AS VARCHAR), 2, '0') || 's'
        ELSE (duration_ms // 3600000) || 'h ' || ((duration_ms % 3600000) // 60000) || 'm' END AS duration,
   CASE WHEN duration_ms IS NULL OR duration_ms <= 0 THEN ''
        WHEN duration_ms < 1000 THEN '+' || duration_ms || 'ms'
-       WHEN duration_ms < 60000 THEN '+' || ((duration_ms + 50) // 100 // 10) || '.' || ((duration_ms + 50) // 100 % 10) || 's'
+       WHEN duration_ms < 60000 THEN '+' || printf('%.1f', duration_ms / 1000.0) || 's'
        ELSE '+' || (duration_ms // 60000) || 'm ' || lpad(CAST((duration_ms % 60000) // 1000 AS VARCHAR), 2, '0') || 's' END AS delta
 FROM (""" + f"SELECT session_id, arg_max(ts_ms, ({TL})) - arg_min(ts_ms, ({TL})) AS duration_ms FROM ("
         f"SELECT session_id, file_name, line_number, is_agent, {TS_MS} AS ts_ms FROM x_conv "
@@ -407,7 +414,11 @@ FROM (""" + f"SELECT session_id, arg_max(ts_ms, ({TL})) - arg_min(ts_ms, ({TL}))
                         "coalesce(model, 'none') AS model_or_none, split_part(project_path, '/', -1) AS project, "
                         "replace(session_id, '-', '') AS compact_id, CAST(line_number AS VARCHAR) AS line_text, "
                         "CASE WHEN input_tokens > 300 THEN 'big' WHEN input_tokens IS NOT NULL THEN 'small' END AS size FROM x_conv"),
-    "x_url_decode": (Q.x_url_decode, None),
+    "x_url_decode": (Q.x_url_decode,
+                     "SELECT project_path, replace(url_encode(project_path), '%20', '+') AS encoded, project_path AS decoded, "
+                     "'%2FU%2F' || chr(37) || 'zz+' || url_encode(project_path) || chr(37) AS damaged, "
+                     "'/U/' || chr(37) || 'zz+' || project_path || chr(37) AS damaged_decoded "
+                     "FROM (SELECT DISTINCT project_path FROM x_conv_all WHERE project_path <> '')"),
     "x_event_json": (Q.x_event_json, None),
     "sink_csv_roundtrip": (Q.sink_csv_roundtrip,
                            "SELECT source, CAST(count(DISTINCT session_id) AS VARCHAR) AS sessions, CAST(count(*) AS VARCHAR) AS messages "
@@ -428,10 +439,10 @@ _CLASSIFY_SQL = """SELECT DISTINCT file_path, source, kind FROM (
     'copilot', 'conversations' FROM events
   UNION ALL SELECT '/lake/codex/sessions/2024/01/01/rollout-2024-01-01T00-00-00-' || printf('%08d-c0de-4000-8000-%012d', user_id, user_id)
     || '.jsonl', 'codex', 'conversations' FROM events
-  UNION ALL SELECT '/lake/claude/history.jsonl', 'claude', 'history' FROM conversations WHERE role = 'user' AND turn <= 2
-  UNION ALL SELECT '/lake/claude/todos/' || printf('%08d-0000-4000-8000-000000000000', CASE WHEN conv_id % 6 = 5 THEN conv_id - 1
-    ELSE conv_id END) || '-agent-a' || conv_id || 't' || turn || '.json', 'claude', 'todos' FROM conversations
-    WHERE role = 'assistant' AND turn % 3 = 1
+  UNION ALL SELECT '/lake/claude/history.jsonl', 'claude', 'history' FROM conversations WHERE role = 'user'
+  UNION ALL SELECT '/lake/claude/todos/' || printf('%08d-0000-4000-8000-000000000000', CASE WHEN conv_id % 8 = 3 THEN conv_id + 2000000
+    WHEN conv_id % 6 = 5 THEN conv_id - 1 ELSE conv_id END) || '-agent-a' || conv_id || 't' || turn || '.json', 'claude', 'todos' FROM conversations
+    WHERE role = 'assistant'
   UNION ALL SELECT '/lake/claude/plans/plan-' || doc_id || '.md', 'claude', 'plans' FROM documents
   UNION ALL SELECT '/lake/claude/u' || (user_id % 4) || '/stats-cache.json', 'claude', 'stats' FROM events
   UNION ALL SELECT '/lake/gemini/tmp/' || CASE WHEN conv_id % 4 <> 3 THEN 'proj' || (conv_id % 5) ELSE 'h' || conv_id END

@@ -260,8 +260,8 @@ def codex_lines(events: DataFrame) -> DataFrame:
     return _materialised(_codex_lines(events), "value")
 
 def _claude_history_lines(conversations: DataFrame) -> DataFrame:
-    """``history.jsonl``: one prompt line per user turn with ``turn <= 2`` at
-    ``line = conv_id * 10 + turn + 1``. Turn-2 prompts point at archived
+    """``history.jsonl``: one prompt line per user turn at
+    ``line = conv_id * 1000 + turn + 1``. Turn-2 prompts point at archived
     projects, and for odd conversations at a session with no transcript
     (orphans). ``conv_id % 10 == 9`` turn-1 lines are malformed."""
     C, T, X = F.col("conv_id"), F.col("turn"), F.col("text")
@@ -277,8 +277,8 @@ def _claude_history_lines(conversations: DataFrame) -> DataFrame:
         F.when((T == 2) & (C % 2 == 1), claude_session_id(C + 1000000)).otherwise(claude_session_id(sc)).alias("sessionId"),
     ))
     value = F.when((C % 10 == 9) & (T == 1), F.expr("substring(__j, 1, length(__j) - 1)")).otherwise(F.col("__j"))
-    return conversations.where((F.col("role") == "user") & (T <= 2)).select(
-        F.lit(CLAUDE_ROOT + "/history.jsonl").alias("file_path"), (C * 10 + T + 1).cast("bigint").alias("line_number"),
+    return conversations.where(F.col("role") == "user").select(
+        F.lit(CLAUDE_ROOT + "/history.jsonl").alias("file_path"), (C * 1000 + T + 1).cast("bigint").alias("line_number"),
         j.alias("__j"), C, T).select("file_path", "line_number", value.alias("value"))
 
 
@@ -289,18 +289,19 @@ def claude_history_lines(conversations: DataFrame) -> DataFrame:
     return _materialised(_claude_history_lines(conversations), "value")
 
 def _claude_todo_files(conversations: DataFrame) -> DataFrame:
-    """One ``todos/<session>-agent-a<conv>t<turn>.json`` per tool-using
-    assistant turn (``turn % 3 == 1``), holding ``1 + (conv_id + turn) % 3``
-    items; files of ``conv_id % 9 == 4`` are malformed."""
+    """One ``todos/<session>-agent-a<conv>t<turn>.json`` per assistant turn,
+    holding ``1 + (conv_id + turn) % 3`` items; files of ``conv_id % 9 == 4``
+    are malformed, those of ``conv_id % 8 == 3`` belong to sessions without a
+    transcript (orphans)."""
     C, T = F.col("conv_id"), F.col("turn")
-    sc = F.when(C % 6 == 5, C - 1).otherwise(C)
+    sc = F.when(C % 8 == 3, C + 2000000).when(C % 6 == 5, C - 1).otherwise(C)
     n = (C + T) % 3 + 1
     items = F.transform(F.sequence(F.lit(0).cast("bigint"), (n - 1).cast("bigint")), lambda i: F.struct(
         F.concat(F.lit("step "), i.cast("string"), F.lit(" of turn "), T.cast("string")).alias("content"),
         _pick(_STATUSES, (C + T + i) % 3).alias("status"),
         F.when((C + T + i) % 3 == 1, F.concat(F.lit("Working on step "), i.cast("string"))).alias("activeForm")))
     content = F.when(C % 9 == 4, F.lit('[{"content":')).otherwise(F.to_json(items))
-    return conversations.where((F.col("role") == "assistant") & (T % 3 == 1)).select(
+    return conversations.where(F.col("role") == "assistant").select(
         F.concat(F.lit(CLAUDE_ROOT + "/todos/"), claude_session_id(sc), F.lit("-agent-a"), C.cast("string"),
                  F.lit("t"), T.cast("string"), F.lit(".json")).alias("file_path"),
         content.alias("content"))
@@ -540,7 +541,7 @@ def grok_update_lines(conversations: DataFrame) -> DataFrame:
 
 def _grok_side_files(conversations: DataFrame) -> DataFrame:
     """Per session: ``summary.json``, ``signals.json`` (not for
-    ``conv_id % 7 == 3``), ``plan.md`` (for ``conv_id % 4 == 0``) and, for
+    ``conv_id % 7 == 3``), ``plan.md`` and, for
     sub-agent sessions (``conv_id % 6 == 5``), the parent's
     ``subagents/<child>/meta.json``. Counts come from one aggregate per
     conversation."""
@@ -568,7 +569,7 @@ def _grok_side_files(conversations: DataFrame) -> DataFrame:
     files = F.array(
         f(F.concat(_grok_dir(C), F.lit("/summary.json")), summary),
         f(F.concat(_grok_dir(C), F.lit("/signals.json")), F.when(C % 7 != 3, signals)),
-        f(F.concat(_grok_dir(C), F.lit("/plan.md")), F.when(C % 4 == 0, F.col("first_text"))),
+        f(F.concat(_grok_dir(C), F.lit("/plan.md")), F.col("first_text")),
         f(F.concat(parent_dir, F.lit("/subagents/"), grok_session_id(C), F.lit("/meta.json")), F.when(C % 6 == 5, meta)))
     return per.select(F.explode(files).alias("f")).where(F.col("f.content").isNotNull()).select(
         "f.file_path", "f.content", F.octet_length("f.content").cast("bigint").alias("file_size"))

@@ -18,7 +18,6 @@ simply means "no sessions"."""
 
 from __future__ import annotations
 
-import glob as _glob
 import os
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -39,23 +38,43 @@ def decode_path(uri):
     return F.coalesce(F.try_url_decode(F.regexp_replace(p, r"\+", "%2B")), p)
 
 
-def _existing(paths: list[str]) -> list[str]:
-    """Keep patterns that match something. Local paths are checked here; other
-    file systems are left to Spark."""
-    out = []
-    for p in paths:
-        if "://" in p and not p.startswith("file:"):
-            out.append(p)
-        elif _glob.glob(p.removeprefix("file:")):
-            out.append(p)
-    return out
+def _matches(spark: SparkSession, pattern: str) -> list:
+    """File states that a path pattern matches, on any file system Spark reads;
+    nothing for a missing one."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return list(found) if found is not None else []
 
 
-def raw_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    paths = _existing(paths)
+def _existing(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Keep the patterns that match something: a missing root means no rows."""
+    return [p for p in paths if _matches(spark, p)]
+
+
+def folders_named(spark: SparkSession, root: str, name: str) -> list[str]:
+    """Folders of a name below a root (a pattern), at any depth; only folders
+    are visited, and none below a match."""
+    out, todo = [], [s for s in _matches(spark, root) if s.isDirectory()]
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while todo:
+        path = todo.pop().getPath()
+        if path.getName() == name:
+            out.append(path.toString())
+        else:
+            todo += [s for s in path.getFileSystem(conf).listStatus(path) if s.isDirectory()]
+    return sorted(out)
+
+
+def raw_lines(spark: SparkSession, paths: list[str], below: str | None = None) -> DataFrame:
+    """Numbered lines of the files that the patterns match or, with ``below``,
+    of the files of that name at any depth below the folders they match."""
+    paths = _existing(spark, paths)
     if not paths:
         return spark.createDataFrame([], LINES)
-    return number_lines(spark.read.option("lineSep", "\n").text(paths).select("value", "_metadata"))
+    reader = spark.read.option("lineSep", "\n")
+    if below:
+        reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", below)
+    return number_lines(reader.text(paths).select("value", "_metadata"))
 
 
 def number_lines(text: DataFrame) -> DataFrame:
@@ -70,11 +89,11 @@ def number_lines(text: DataFrame) -> DataFrame:
     value = F.regexp_replace("value", "\r$", "")
     return (text.join(offsets, ["file_path", "block"])
             .select("file_path", (F.col("first") + F.col("rid") - F.col("rid0") + 1).alias("line_number"), value.alias("value"))
-            .where(F.trim(F.col("value")) != ""))
+            .where(F.col("value").rlike(r"(?U)\S")))
 
 
 def raw_files(spark: SparkSession, paths: list[str]) -> DataFrame:
-    paths = _existing(paths)
+    paths = _existing(spark, paths)
     if not paths:
         return spark.createDataFrame([], FILES)
     return spark.read.text(paths, wholetext=True).select(
@@ -86,7 +105,7 @@ def sqlite_kv(spark: SparkSession, paths: list[str], table: str = "cursorDiskKV"
     """Rows of a key/value table inside SQLite database files. Each database
     is one binary file row; a Python task opens it in memory with the
     standard library and streams its rows out in Arrow batches."""
-    paths = _existing(paths)
+    paths = _existing(spark, paths)
     if not paths:
         return spark.createDataFrame([], KV)
 
@@ -107,8 +126,6 @@ def sqlite_kv(spark: SparkSession, paths: list[str], table: str = "cursorDiskKV"
                         yield pd.DataFrame({
                             "key": [k.decode("utf-8", "replace") if isinstance(k, bytes) else k for k, _ in chunk],
                             "value": [v.decode("utf-8", "replace") if isinstance(v, bytes) else v for _, v in chunk]})
-                except sqlite3.Error:
-                    continue
                 finally:
                     con.close()
 
