@@ -132,3 +132,31 @@ def digest(docs: DataFrame) -> DataFrame:
     return measures(docs).drop("text", "text_left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "n_lines", "n_failed_lines", "words_left")
+
+
+_PHRASES = " OR ".join(f"contains(lower(x), '{p}')" for p in BOILERPLATE)
+SQL = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+m AS (SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+             list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+g AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS k
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM m)),
+r AS (SELECT doc_id, sum(least(3, coalesce(nxt - i, 3))) AS n
+      FROM (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS nxt FROM g WHERE k > 1) GROUP BY doc_id),
+x AS (SELECT doc_id, x, regexp_extract_all(x, '[^\x20\x09-\x0D]+') AS xw
+      FROM (SELECT doc_id, unnest(list_distinct(lines)) AS x FROM m)),
+p AS (SELECT doc_id, count(*) AS n_passing, sum(len(xw)) AS words_left FROM x
+      WHERE regexp_matches(right(trim(x, ' ' || chr(9) || chr(11) || chr(12) || chr(13)), 3), '[.!?…。！？;:]["''»”’)\]]*$')
+        AND len(regexp_extract_all(x, '!!|[#*$%&<>]{{2}}[#*$%&<>]*')) * 100 <= len(xw) * {MAX_DECORATED}
+        AND NOT (len(regexp_extract_all(x, '[\x20\t][|»›·•→][\x20\t]')) >= 2
+                 AND len(regexp_extract_all(x, '[\x20\t][|»›·•→][\x20\t]')) * 100 >= len(xw) * {MIN_SEPARATORS})
+        AND NOT ({_PHRASES}) AND NOT (len(xw) >= 5 AND len(list_distinct(xw)) * 4 < len(xw))
+      GROUP BY doc_id),
+f AS (SELECT m.doc_id, len(w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+             len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+             CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words, len(lines) AS n_lines,
+             len(lines) - coalesce(n_passing, 0) AS n_failed_lines, CAST(coalesce(words_left, 0) AS BIGINT) AS words_left
+      FROM m LEFT JOIN r USING (doc_id) LEFT JOIN p USING (doc_id)),
+b AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT} * n_words AS base_failed FROM f)
+SELECT *, NOT base_failed AND words_left * 100 >= n_words * {MIN_LEFT} AS kept FROM b
+"""

@@ -63,4 +63,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": line_dedup.SQL, "op4_exact_dedup": exact_dedup.SQL}
+    return {"op1_line_dedup": line_dedup.SQL, "op3_ngram_jaccard": jaccard_join.SQL, "op4_exact_dedup": exact_dedup.SQL,
+            "op5_quality_rules": quality_rules.SQL}
