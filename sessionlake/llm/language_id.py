@@ -54,12 +54,15 @@ def counts(texts: list[str]) -> np.ndarray:
     def flush() -> None:
         if group:
             b = np.concatenate(group)
-            row = np.repeat(np.array(owner), [len(g) for g in group])
+            size = np.array([len(g) for g in group])
+            part, row = np.repeat(np.arange(len(group)), size), np.repeat(np.array(owner), size)
+            # What begins beyond a piece belongs to the next one.
+            begins = np.arange(len(b)) - np.repeat(np.cumsum(size) - size, size) < PIECE
             for n, salt in ((2, 0x9E3779B1), (3, 0x85EBCA6B)):
                 code = b[:len(b) - n + 1].astype(np.uint32)
                 for k in range(1, n):
                     code = code << np.uint32(8) | b[k:len(b) - n + 1 + k]
-                same = (row[:len(code)] == row[n - 1:]) & ((b[:len(code)] != 32) | (b[1:len(code) + 1] != 32))
+                same = (part[:len(code)] == part[n - 1:]) & begins[:len(code)] & ((b[:len(code)] != 32) | (b[1:len(code) + 1] != 32))
                 bucket = (code[same] * np.uint32(salt)) >> np.uint32(20)
                 low = min(owner)
                 got = np.bincount((row[:len(code)][same] - low) * DIM + bucket, minlength=(max(owner) - low + 1) * DIM)
