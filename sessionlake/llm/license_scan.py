@@ -1,20 +1,20 @@
 """Licence scans by a trained paragraph classifier.
 
-Paragraphs (the lines of a text) are scored by a sparse logistic regression over
+Word windows of a text are scored by a sparse logistic regression over
 hashed word n-grams (one to three words) with one class per licence family and
 an ``unknown`` class. It is trained here: families from the template texts below
 and their word-window variants, ``unknown`` from a bounded sample of lines of
 the corpus that share no rare licence word with a template, and from decoys in
 which licence words stand in other order. The softmax is calibrated by one
-temperature fitted on held-out variants, so a paragraph is ``unknown`` unless its
+temperature fitted on held-out variants, so a window is ``unknown`` unless its
 family's probability reaches ``MIN_PROBABILITY``. A prediction is confirmed by
 comparison with the templates of its family: the share of a template's word
-pairs that the paragraph holds must reach ``MIN_MATCH``.
+pairs that the window holds must reach ``MIN_MATCH``.
 
-The weights are few and sparse: a paragraph without any weighted n-gram has only
-the intercepts, which is ``unknown``, so only paragraphs that hold a word of the
-templates are scored; all scoring is DataFrame functions over one small,
-bounded table of weights.
+Windows are bounded by the length of the template and begin and end with one of
+its pairs, so how long the line is does not matter. All scoring is DataFrame
+functions over small, bounded tables of weights and template pairs.
+Notices are numbered by the line of their first word (``paragraph``).
 
 Defined results: a null or empty text has no paragraph and no licence; rows are
 scanned one by one, so repeated rows, ties and null ids do not matter; an empty
@@ -27,7 +27,7 @@ import random
 import re
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionlake.llm.common import cut
@@ -83,6 +83,9 @@ BUCKETS = 1 << 14
 MAX_GRAM = 3
 MIN_PROBABILITY = 0.6
 MIN_MATCH = 0.6
+#: Of a template's length: how far its pairs may be off their places; further words a window may hold.
+SHIFT = 0.25
+LOOSE = 16
 
 #: A word: letters, digits, and joined versions such as by-nc and 2.0.
 TOKEN = r"[\p{L}\p{N}]+(?:[.-][\p{L}\p{N}]+)*"
@@ -175,50 +178,89 @@ def _signal_words() -> list[str]:
 
 
 def template_pairs(spark) -> DataFrame:
-    """family, template number and its distinct hashed word pairs."""
-    rows = [(k, i, t) for k, f in enumerate(FAMILIES[:-1]) for i, t in enumerate(TEMPLATES[f])]
-    return spark.createDataFrame(rows, "family int, template int, text string").select(
-        "family", "template", pairs(tokens(F.col("text"))).alias("template_pairs"))
-
-
-def pairs(words: Column) -> Column:
-    """Distinct hashed word pairs, with the ends of the text left open."""
-    return F.array_distinct(F.when(F.size(words) >= 2, F.transform(
-        F.sequence(F.lit(0), F.size(words) - 2), lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1))))
-        .otherwise(F.transform(words, lambda w: F.xxhash64(w))))
+    """Hashed word pairs of the templates: pair, family, template, its words and
+    distinct pairs, and the places at which the pair stands."""
+    rows = [(k, 100 * k + i, t) for k, f in enumerate(FAMILIES[:-1]) for i, t in enumerate(TEMPLATES[f])]
+    made = spark.createDataFrame(rows, "family int, template int, text string").withColumn("words", tokens(F.col("text")))
+    made = made.select("family", "template", F.size("words").alias("n"),
+                       F.posexplode(F.zip_with("words", F.slice("words", 2, F.size("words")), lambda a, b: F.struct(
+                           F.xxhash64(a, b).alias("pair"), b.alias("next")))).alias("at", "x")).filter("x.next IS NOT NULL")
+    sizes = made.groupBy("template").agg(F.countDistinct("x.pair").alias("n_pairs"))
+    return made.join(sizes, "template").select(F.col("x.pair").alias("pair"), "family", "template", "n", "n_pairs", "at")
+
+
+def numbered_words(text: Column) -> Column:
+    """The words of a text with the number of their line."""
+    return F.flatten(F.transform(F.split(text, "\n", -1), lambda x, i: F.transform(
+        tokens(x), lambda w: F.named_struct(F.lit("line"), i, F.lit("word"), w))))
+
+
+def windows(rows: DataFrame) -> DataFrame:
+    """Word windows of (row, text) that hold MIN_MATCH of the pairs of a
+    template: row, start, stop (word numbers, inclusive), line of the first
+    word, family, match. A window is either aligned with the template (pairs at
+    most SHIFT of its length off their places) or, for notices with words put in
+    or moved, any span of at most LOOSE further words; it begins and ends with a
+    pair, so words around a notice are not part of it."""
+    words = numbered_words(F.col("text"))
+    pairs = F.zip_with(words, F.slice(words, 2, F.size(words)), lambda a, b: F.named_struct(
+        F.lit("line"), a["line"], F.lit("same"), a["line"] == b["line"], F.lit("pair"), F.xxhash64(a["word"], b["word"])))
+    held = (rows.select("row", F.posexplode(pairs).alias("p", "x")).filter("x.same").select("row", "p", "x.line", "x.pair")
+            .join(F.broadcast(template_pairs(rows.sparkSession)), "pair"))
+    aligned = (F.col("p") - F.col("at")) / (F.floor(F.col("n") * SHIFT) + 0.5)
+    loose = F.col("p") / (F.col("n") + F.greatest(F.col("n"), F.lit(LOOSE)) - 1.5)
+
+    def over(order: Column) -> Column:
+        # In units of the reach, so that one frame serves templates of all lengths.
+        w = Window.partitionBy("row", "line", "template").orderBy(order).rangeBetween(0, 1)
+        return F.struct(F.min(F.struct("p", "line")).over(w).alias("first"), F.max("p").over(w).alias("last"),
+                        F.size(F.collect_set("pair").over(w)).alias("n_held"))
+
+    spans = (held.withColumn("aligned", over(aligned)).withColumn("loose", over(loose))
+             .select("row", "family", "n_pairs", F.explode(F.array("aligned", "loose")).alias("w")))
+    return (spans.select("row", F.col("w.first.p").alias("start"), (F.col("w.last") + 1).alias("stop"),
+                         F.col("w.first.line").alias("line"), "family", (F.col("w.n_held") / F.col("n_pairs")).alias("match"))
+            .filter(F.col("match") >= MIN_MATCH).groupBy("row", "start", "stop", "line", "family").agg(F.max("match").alias("match")))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id and licences, an array of (paragraph,
-    family, probability, match) of the confirmed paragraphs."""
+    family, probability, match) of the confirmed notices."""
     spark = docs.sparkSession
     weights, temperature = train(docs, id_col, text_col)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    # A paragraph without a template word that marks licences can't be confirmed.
+    # A text without a template word that marks licences can't be confirmed.
     hit = rf"(?i)\b({'|'.join(w.replace('.', '[.]') for w in _signal_words())})\b"
-    lines = F.filter(F.transform(F.split("text", "\n", -1), lambda x, i: F.struct(i.alias("paragraph"), x.alias("line"))),
-                     lambda s: F.regexp(s["line"], F.lit(hit)))
-    rows = cut(rows.select("doc_id", lines.alias("lines")).withColumn("row", F.monotonically_increasing_id()))
-    found = cut(rows.select("row", F.inline("lines")).select("row", "paragraph", tokens(F.col("line")).alias("words"))
-                .filter(F.size("words") > 0))
-    gram = found.select("row", "paragraph", F.explode(grams(F.col("words"))).alias("bucket")).unionByName(
-        found.select("row", "paragraph", F.lit(-1).alias("bucket")))
+    text = F.col(text_col)
+    rows = cut(docs.select(F.col(id_col).alias("doc_id"), F.when(F.regexp(text, F.lit(hit)), text).alias("text"))
+               .withColumn("row", F.monotonically_increasing_id()))
+    some = rows.filter("text IS NOT NULL").select("row", "text")
+    held = cut(windows(some))
+    asked = held.groupBy("row").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+    found = cut(some.join(asked, "row").select("row", numbered_words(F.col("text"))["word"].alias("words"), F.explode("spans").alias("w"))
+                .select("row", "w.start", "w.stop", F.slice("words", F.col("w.start") + 1, F.col("w.stop") - F.col("w.start") + 1).alias("words")))
+    key = ["row", "start", "stop"]
+    gram = found.select(*key, F.explode(grams(F.col("words"))).alias("bucket")).unionByName(
+        found.select(*key, F.lit(-1).alias("bucket")))
     sums = [F.sum(F.get(F.col("weights"), k)).alias(f"z{k}") for k in range(len(FAMILIES))]
-    z = gram.join(F.broadcast(weights), "bucket").groupBy("row", "paragraph").agg(*sums)
+    z = gram.join(F.broadcast(weights), "bucket").groupBy(*key).agg(*sums)
     scores = F.array(*[F.col(f"z{k}") / temperature for k in range(len(FAMILIES))])
-    top = (z.select("row", "paragraph", scores.alias("z")).withColumn("best", F.array_max("z"))
-           .select("row", "paragraph", (F.array_position("z", F.col("best")) - 1).cast("int").alias("family"),
+    top = (z.select(*key, scores.alias("z")).withColumn("best", F.array_max("z"))
+           .select(*key, (F.array_position("z", F.col("best")) - 1).cast("int").alias("family"),
                    (1 / F.aggregate("z", F.lit(0.0), lambda a, v: a + F.exp(v - F.col("best")))).alias("probability"))
            .filter((F.col("family") != UNKNOWN) & (F.col("probability") >= MIN_PROBABILITY)))
-    compared = (top.join(found, ["row", "paragraph"]).withColumn("pairs", pairs(F.col("words")))
-                .join(F.broadcast(template_pairs(spark)), "family")
-                .withColumn("match", F.size(F.array_intersect("template_pairs", "pairs")) / F.size("template_pairs"))
-                .groupBy("row", "paragraph", "family", "probability").agg(F.max("match").alias("match"))
-                .filter(F.col("match") >= MIN_MATCH))
     names = F.array(*[F.lit(f) for f in FAMILIES])
-    per_row = compared.groupBy("row").agg(F.array_sort(F.collect_list(F.struct(
-        "paragraph", F.get(names, F.col("family")).alias("family"), F.round("probability", 4).alias("probability"),
-        F.round("match", 4).alias("match")))).alias("licences"))
+    # Of windows that overlap, the best match, then the shortest one.
+    found = F.struct((-F.col("match")).alias("rank"), (F.col("stop") - F.col("start")).alias("size"), "start", "stop", F.struct(
+        F.col("line").alias("paragraph"), F.get(names, F.col("family")).alias("family"), F.round("probability", 4).alias("probability"),
+        F.round("match", 4).alias("match")).alias("licence"))
+    per_row = top.join(held, [*key, "family"]).groupBy("row").agg(F.array_sort(F.collect_list(found)).alias("found"))
+    kept = F.aggregate("found", F.slice("found", 1, 0), lambda done, x: F.when(
+        F.exists(done, lambda y: (y["start"] <= x["stop"]) & (x["start"] <= y["stop"])), done).otherwise(F.concat(done, F.array(x))))
+    # Notices of one family that begin in the same line count once: the best one.
+    kept = F.aggregate(F.transform(kept, lambda x: x["licence"]), F.slice(F.transform("found", lambda x: x["licence"]), 1, 0),
+                       lambda done, x: F.when(F.exists(done, lambda y: (y["paragraph"] == x["paragraph"]) & (y["family"] == x["family"])), done)
+                       .otherwise(F.concat(done, F.array(x))))
+    per_row = per_row.select("row", F.array_sort(kept).alias("licences"))
     return rows.select("row", "doc_id").join(per_row, "row", "left").select(
         "doc_id", F.coalesce("licences", F.array().cast(
             "array<struct<paragraph:int,family:string,probability:double,match:double>>")).alias("licences"))

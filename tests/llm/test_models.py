@@ -125,3 +125,22 @@ def test_native_operators_run_no_python(edge):
     for out in (exact_dedup.decisions(edge), exact_dedup.dedup(edge), line_dedup.digest(edge), quality_rules.digest(edge)):
         plan = out.withColumn("x", F.lit(1))._jdf.queryExecution().executedPlan().toString()
         assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_licence_notices_inside_long_lines(spark):
+    prose = "the car of the reader was standing by the river in a version of the public house when all rights were sold".split()
+    notices = {"Licensed under the Apache License, Version 2.0.": "apache-2.0", "Released under the MIT License.": "mit",
+               license_scan.TEMPLATES["gpl"][1]: "gpl", license_scan.TEMPLATES["bsd"][0]: "bsd", "All rights reserved.": "proprietary",
+               "SPDX-License-Identifier: MPL-2.0": "mpl", license_scan.TEMPLATES["cc-by-sa"][1]: "cc-by-sa"}
+    rows, want = [], {}
+    for n in (100, 1000, 10000):
+        for notice, family in notices.items():
+            words = [prose[i * 7 % len(prose)] + ("" if i % 3 else "s") for i in range(n)]
+            want[len(rows)] = [family]
+            rows.append((len(rows), " ".join(["A line before.\n", *words[:n // 2], notice, *words[n // 2:], "\nAnd after."])))
+    want[len(rows)] = []
+    rows.append((len(rows), " ".join(prose * 500)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.licences for r in license_scan.scan(docs).collect()}
+    assert {i: [x.family for x in ls] for i, ls in got.items()} == want
+    assert all(x.paragraph == 1 for ls in got.values() for x in ls)
