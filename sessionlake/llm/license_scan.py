@@ -12,7 +12,7 @@ comparison with the templates of its family: the share of a template's word
 pairs that the window holds must reach ``MIN_MATCH``.
 
 Windows are bounded by the length of the template and begin and end with one of
-its pairs, so how long the line is does not matter. All scoring is DataFrame
+its pairs, so how long the line is, or how a notice is wrapped, does not matter. All scoring is DataFrame
 functions over small, bounded tables of weights and template pairs.
 Notices are numbered by the line of their first word (``paragraph``).
 
@@ -198,29 +198,31 @@ def numbered_words(text: Column) -> Column:
 def windows(rows: DataFrame) -> DataFrame:
     """Word windows of (row, text) that hold MIN_MATCH of the pairs of a
     template: row, start, stop (word numbers, inclusive), line of the first
-    word, family, match. A window is either aligned with the template (pairs at
+    word, family, pairs held, match. A window is either aligned with the template (pairs at
     most SHIFT of its length off their places) or, for notices with words put in
     or moved, any span of at most LOOSE further words; it begins and ends with a
-    pair, so words around a notice are not part of it."""
+    pair, so words around a notice are not part of it. Windows run across line
+    breaks: marks of comments and blank lines hold no word."""
     words = numbered_words(F.col("text"))
     pairs = F.zip_with(words, F.slice(words, 2, F.size(words)), lambda a, b: F.named_struct(
-        F.lit("line"), a["line"], F.lit("same"), a["line"] == b["line"], F.lit("pair"), F.xxhash64(a["word"], b["word"])))
-    held = (rows.select("row", F.posexplode(pairs).alias("p", "x")).filter("x.same").select("row", "p", "x.line", "x.pair")
+        F.lit("line"), a["line"], F.lit("last"), b.isNull(), F.lit("pair"), F.xxhash64(a["word"], b["word"])))
+    held = (rows.select("row", F.posexplode(pairs).alias("p", "x")).filter("NOT x.last").select("row", "p", "x.line", "x.pair")
             .join(F.broadcast(template_pairs(rows.sparkSession)), "pair"))
     aligned = (F.col("p") - F.col("at")) / (F.floor(F.col("n") * SHIFT) + 0.5)
     loose = F.col("p") / (F.col("n") + F.greatest(F.col("n"), F.lit(LOOSE)) - 1.5)
 
     def over(order: Column) -> Column:
         # In units of the reach, so that one frame serves templates of all lengths.
-        w = Window.partitionBy("row", "line", "template").orderBy(order).rangeBetween(0, 1)
+        w = Window.partitionBy("row", "template").orderBy(order).rangeBetween(0, 1)
         return F.struct(F.min(F.struct("p", "line")).over(w).alias("first"), F.max("p").over(w).alias("last"),
                         F.size(F.collect_set("pair").over(w)).alias("n_held"))
 
     spans = (held.withColumn("aligned", over(aligned)).withColumn("loose", over(loose))
              .select("row", "family", "n_pairs", F.explode(F.array("aligned", "loose")).alias("w")))
     return (spans.select("row", F.col("w.first.p").alias("start"), (F.col("w.last") + 1).alias("stop"),
-                         F.col("w.first.line").alias("line"), "family", (F.col("w.n_held") / F.col("n_pairs")).alias("match"))
-            .filter(F.col("match") >= MIN_MATCH).groupBy("row", "start", "stop", "line", "family").agg(F.max("match").alias("match")))
+                         F.col("w.first.line").alias("line"), "family", "w.n_held", (F.col("w.n_held") / F.col("n_pairs")).alias("match"))
+            .filter(F.col("match") >= MIN_MATCH).groupBy("row", "start", "stop", "line", "family")
+            .agg(F.max("n_held").alias("n_held"), F.max("match").alias("match")))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -249,8 +251,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
                    (1 / F.aggregate("z", F.lit(0.0), lambda a, v: a + F.exp(v - F.col("best")))).alias("probability"))
            .filter((F.col("family") != UNKNOWN) & (F.col("probability") >= MIN_PROBABILITY)))
     names = F.array(*[F.lit(f) for f in FAMILIES])
-    # Of windows that overlap, the best match, then the shortest one.
-    found = F.struct((-F.col("match")).alias("rank"), (F.col("stop") - F.col("start")).alias("size"), "start", "stop", F.struct(
+    # Of windows that overlap, the one that holds most pairs, then the shortest.
+    found = F.struct((-F.col("n_held")).alias("rank"), (F.col("stop") - F.col("start")).alias("size"), "start", "stop", F.struct(
         F.col("line").alias("paragraph"), F.get(names, F.col("family")).alias("family"), F.round("probability", 4).alias("probability"),
         F.round("match", 4).alias("match")).alias("licence"))
     per_row = top.join(held, [*key, "family"]).groupBy("row").agg(F.array_sort(F.collect_list(found)).alias("found"))

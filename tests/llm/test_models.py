@@ -144,3 +144,21 @@ def test_licence_notices_inside_long_lines(spark):
     got = {r.doc_id: r.licences for r in license_scan.scan(docs).collect()}
     assert {i: [x.family for x in ls] for i, ls in got.items()} == want
     assert all(x.paragraph == 1 for ls in got.values() for x in ls)
+
+
+def test_wrapped_licence_notices(spark):
+    import textwrap
+
+    rows, want = [], {}
+    for family, texts in license_scan.TEMPLATES.items():
+        for t in texts:
+            for width, mark in ((40, " * "), (72, "# "), (80, "")):
+                if len(t) > width:
+                    lines = textwrap.wrap(t, width, break_on_hyphens=False)
+                    want[len(rows)] = [(2, family)]
+                    rows.append((len(rows), "\n".join(["Some words.", "", *(mark + x for x in lines), "", "More words."])))
+    want[len(rows)] = [(0, "proprietary"), (1, "proprietary"), (2, "mit"), (2, "proprietary")]
+    rows.append((len(rows), "All rights reserved.\nAll rights reserved.\nReleased under the MIT License. All rights\nreserved."))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: sorted((x.paragraph, x.family) for x in r.licences) for r in license_scan.scan(docs).collect()}
+    assert got == want
