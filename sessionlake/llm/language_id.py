@@ -4,8 +4,11 @@ Texts become normalised TF-IDF vectors over hashed byte pairs and triples of
 their letters. Each language has several centroids, clustered (spherical
 k-means) from a bounded sample of labelled rows; a text gets the language of
 the centroid with the largest cosine, and is rejected when that cosine is below
-the limit learned for the language. Document frequencies are counted over all
-labelled rows.
+the limit learned for the language and the length of the text. Limits lie
+halfway between the cosines of a language's own rows (measured on centroids of
+the other half of its rows) and those of rows of all other languages, for
+beginnings of several lengths; where the two overlap, own rows are kept.
+Document frequencies are counted over all labelled rows.
 
 Learned only from text and lang of rows whose crc32(doc_id as text) mod 4 is
 not 2; a prediction reads nothing but the text. Sample: ``SAMPLE`` rows of each
@@ -29,13 +32,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructType
 
-from sessionlake.llm.common import fresh, ship
+from sessionlake.llm.common import cut, fresh, ship
 
 DIM = 4096
 CLUSTERS = 4
 SAMPLE = 400
 MAX_LANGUAGES = 200
-#: A text is rejected below this share of the sample's 1st percentile cosine.
+#: Limits are learned for beginnings of that many characters and for whole texts,
+#: from these quantiles of the cosines of own and of foreign rows.
+LENGTHS = (6, 16, 40, 100, 400, 1600)
+OWN, FOREIGN = 0.01, 0.95
+#: Without an own row to measure, a text is rejected below this share of the one row's cosine.
 REJECT = 0.3
 UNKNOWN = "und"
 PIECE = 1 << 20
@@ -81,11 +88,20 @@ def counts(texts: list[str]) -> np.ndarray:
     return out
 
 
-def vectors(texts: list[str], idf: np.ndarray) -> np.ndarray:
-    v = np.log1p(counts(texts)) * idf
+def weighted(c: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    v = np.log1p(c) * idf
     return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
 
 
+def vectors(texts: list[str], idf: np.ndarray) -> np.ndarray:
+    return weighted(counts(texts), idf)
+
+
+def lengths(c: np.ndarray) -> np.ndarray:
+    """Logarithms of the numbers of n-grams."""
+    return np.log1p(c.sum(axis=1, dtype=np.float64))
+
+
 def has_letter(text: str | None) -> bool:
     return bool(text) and any(c.isalpha() for c in text)
 
@@ -96,19 +112,21 @@ class Model:
     idf: np.ndarray
     centroids: np.ndarray  # one row per centroid
     owner: np.ndarray  # language of each centroid
-    limits: np.ndarray  # least cosine of each language
+    limits: list[tuple[np.ndarray, np.ndarray]]  # lengths and least cosines of each language
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Languages, cosines and whether rejected."""
         lettered = np.array([has_letter(t) for t in texts], bool)
         if not self.languages:
             return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
-        cosine = vectors([t if k else "" for t, k in zip(texts, lettered)], self.idf) @ self.centroids.T
+        c = counts([t if k else "" for t, k in zip(texts, lettered)])
+        cosine = weighted(c, self.idf) @ self.centroids.T
         best = cosine.argmax(axis=1)
         score = np.where(lettered, np.clip(cosine[np.arange(len(texts)), best], 0, 1), 0.0)
         which = self.owner[best]
+        limit = np.array([np.interp(n, *self.limits[w]) for n, w in zip(lengths(c), which)])
         return ([self.languages[w] if k else UNKNOWN for w, k in zip(which, lettered)], score.astype(float),
-                ~lettered | (score < self.limits[which]))
+                ~lettered | (score < limit))
 
 
 def learnable(id_col: str) -> Column:
@@ -147,7 +165,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     sizes = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
     languages = sorted(r["lang"] for r in sizes)
     if not languages:
-        return Model([], np.ones(DIM, np.float32), np.zeros((0, DIM), np.float32), np.zeros(0, int), np.zeros(0))
+        return Model([], np.ones(DIM, np.float32), np.zeros((0, DIM), np.float32), np.zeros(0, int), [])
     n = sum(r["count"] for r in sizes)
     df = np.ones(DIM)
     for r in (ship(labelled).select("text").mapInArrow(_document_frequencies, "bucket int, df long")
@@ -157,22 +175,67 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     # Twice the wanted share by hash, then at most SAMPLE rows in hash order of each language.
     share = F.create_map(*[x for r in sizes for x in (F.lit(r["lang"]), F.lit(min(1.0, 2 * SAMPLE / r["count"])))])
     order = F.xxhash64("doc_id")
-    picked = (labelled.filter(F.pmod(order, F.lit(1_000_000)) < F.element_at(share, F.col("lang")) * 1_000_000)
-              .withColumn("order", order).withColumn("at", F.row_number().over(_by_language())).filter(F.col("at") <= SAMPLE)
-              .select("lang", "text"))
-    sample = ship(picked).mapInArrow(_vectoriser(idf), "lang string, vector array<float>").toArrow()
+    picked = cut(labelled.filter(F.pmod(order, F.lit(1_000_000)) < F.element_at(share, F.col("lang")) * 1_000_000)
+                 .withColumn("order", order).withColumn("at", F.row_number().over(_by_language())).filter(F.col("at") <= SAMPLE)
+                 .select("lang", "text", (F.col("at") % 2).alias("half")))
+    sample = ship(picked).mapInArrow(_vectoriser(idf), "lang string, half int, vector array<float>").toArrow()
     v = np.stack(sample.column("vector").to_numpy(zero_copy_only=False)) if sample.num_rows else np.zeros((0, DIM), np.float32)
-    lang = np.array(sample.column("lang").to_pylist(), object)
+    lang, half = np.array(sample.column("lang").to_pylist(), object), np.array(sample.column("half").to_pylist(), int)
     order_ = np.lexsort([v[:, 0], v[:, 7], v.sum(axis=1)]) if len(v) else np.zeros(0, int)
-    v, lang = v[order_], lang[order_]
-    centroids, owner, limits = [], [], []
+    v, lang, half = v[order_], lang[order_], half[order_]
+    centroids, owner, halves = [], [], {}
     for i, name in enumerate(languages):
-        own = v[(lang == name) & (np.abs(v).sum(axis=1) > 0)] if len(v) else v
-        c = cluster(own, CLUSTERS) if len(own) else np.zeros((1, DIM), np.float32)
+        mine = (lang == name) & (np.abs(v).sum(axis=1) > 0)
+        c = cluster(v[mine], CLUSTERS) if mine.any() else np.zeros((1, DIM), np.float32)
         centroids.append(c)
         owner += [i] * len(c)
-        limits.append(REJECT * float(np.quantile((own @ c.T).max(axis=1), 0.01)) if len(own) else 2.0)
-    return Model(languages, idf, np.vstack(centroids), np.array(owner), np.array(limits))
+        halves |= {(name, h): cluster(v[mine & (half == h)], CLUSTERS) for h in (0, 1) if (mine & (half == h)).any()}
+    model = Model(languages, idf, np.vstack(centroids), np.array(owner), [])
+    model.limits = _limits(picked, model, halves, {n: np.abs(v[lang == n]).sum() > 0 for n in languages})
+    return model
+
+
+def _limits(picked: DataFrame, model: Model, halves: dict, known: dict) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Lengths and least cosines of each language, from beginnings of the sampled rows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = np.searchsorted(model.owner, np.arange(len(model.languages)))
+        for part, texts in _rows(batches, "text"):
+            rows = list(zip(part.column("lang").to_pylist(), part.column("half").to_pylist(), texts))
+            for level, size in enumerate((*LENGTHS, None)):
+                some = [(n, h, t[:size]) for n, h, t in rows if has_letter(t[:size]) and (size is None or len(t) >= size)]
+                if not some:
+                    continue
+                c = counts([t for _, _, t in some])
+                w = weighted(c, model.idf)
+                cosine = np.maximum.reduceat(w @ model.centroids.T, first, axis=1)
+                own = [float((halves[n, 1 - h] @ x).max()) if (n, 1 - h) in halves else None for (n, h, _), x in zip(some, w)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([n for n, _, _ in some], pa.string()), pa.array([level] * len(some), pa.int32()), pa.array(lengths(c)),
+                     pa.array(own, pa.float64()), pa.array(list(cosine.astype(np.float32)), pa.list_(pa.float32()))],
+                    ["lang", "level", "length", "own", "cosine"])
+
+    got = ship(picked).mapInArrow(run, "lang string, level int, length double, own double, cosine array<float>").toArrow()
+    lang, level = np.array(got.column("lang").to_pylist(), object), np.array(got.column("level").to_pylist(), int)
+    length, own = np.array(got.column("length").to_pylist(), float), np.array(got.column("own").to_pylist(), float)
+    cosine = np.array(got.column("cosine").to_pylist(), float).reshape(-1, len(model.languages))
+    out = []
+    for i, name in enumerate(model.languages):
+        points = []
+        for k in range(len(LENGTHS) + 1):
+            at, mine = level == k, (level == k) & (lang == name)
+            if not mine.any():
+                continue
+            foreign = cosine[at & (lang != name), i]
+            measured = own[mine][~np.isnan(own[mine])]
+            if len(measured):
+                low = float(np.quantile(measured, OWN))
+                limit = min(low, (low + (float(np.quantile(foreign, FOREIGN)) if len(foreign) else 0.0)) / 2)
+            else:
+                limit = REJECT * float(cosine[mine, i].min())
+            points.append((float(np.median(length[mine])), limit))
+        points = sorted(points) if known[name] and points else [(0.0, 2.0)]
+        out.append((np.array([p[0] for p in points]), np.array([p[1] for p in points])))
+    return out
 
 
 def _by_language():
@@ -184,8 +247,8 @@ def _vectoriser(idf: np.ndarray):
         for part, texts in _rows(batches, "text"):
             v = vectors(texts, idf)
             yield pa.RecordBatch.from_arrays(
-                [part.column("lang"), pa.ListArray.from_arrays(pa.array(np.arange(0, v.size + 1, DIM), pa.int32()), pa.array(v.ravel()))],
-                ["lang", "vector"])
+                [part.column("lang"), part.column("half"), pa.ListArray.from_arrays(pa.array(np.arange(0, v.size + 1, DIM), pa.int32()), pa.array(v.ravel()))],
+                ["lang", "half", "vector"])
     return run
 
 

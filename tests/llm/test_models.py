@@ -162,3 +162,11 @@ def test_wrapped_licence_notices(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: sorted((x.paragraph, x.family) for x in r.licences) for r in license_scan.scan(docs).collect()}
     assert got == want
+
+
+def test_unseen_language_is_rejected(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text", "lang").filter("text RLIKE '[A-Za-z]{3}'").cache()
+    for unseen in ("de", "en"):
+        out = language_id.predict(docs, language_id.learn(docs.filter(F.col("lang") != unseen)))
+        share = {r.u: r.s for r in out.groupBy((F.col("lang") == unseen).alias("u")).agg(F.avg(F.col("rejected").cast("int")).alias("s")).collect()}
+        assert share[True] >= 0.9 and share[False] <= 0.05, (unseen, share)
