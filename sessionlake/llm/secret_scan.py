@@ -4,8 +4,10 @@ Base rules find assignments, access ids and long hex strings. Beyond them, a
 base64 or hex candidate is reported only if its bytes parse: private keys in
 DER (every nested length must fit, and the outer shape must be that of a key),
 the OpenSSH key container, PEM blocks around either, and signed tokens whose
-header and payload are JSON with a named algorithm. One further layer of
-base64 is opened.
+header and payload are JSON with a named algorithm, also inside base64 or hex.
+One further layer of base64 is opened. A candidate is an unbroken run, or lines
+of one width (the last may be shorter) joined over line breaks, indents and
+``\\n`` escapes.
 
 Defined results: a null text counts as empty; rows are scanned one by one, so
 repeated rows, ties and null ids do not matter; an empty table gives no rows;
@@ -37,6 +39,10 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 JWT = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
 ENCODED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
+#: Runs on consecutive lines, the first one of 16 characters at least.
+BREAK = r"(?:\r?\n|(?:\\r)?\\n)[\x20\t]*+"
+LINES = re.compile(rf"(?:(?<![A-Za-z0-9+/_\\-])|(?<=\\n))[A-Za-z0-9+/_-]{{16,}}+(?:{BREAK}[A-Za-z0-9+/_-]++)++(?:={{1,2}}(?!=))?")
+BREAKS = re.compile(BREAK)
 HEX_ANY = re.compile(r"[0-9A-Fa-f]+")
 BEGIN = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----")
 
@@ -116,17 +122,52 @@ def is_openssh_key(data: bytes) -> bool:
     return 1 <= n <= 64 and all(field() is not None for _ in range(n + 1))
 
 
-def holds_key(data: bytes | None, depth: int = 1) -> bool:
+def is_key(data: bytes | None) -> bool:
+    return bool(data) and len(data) >= 24 and (data[0] == SEQUENCE and is_der_key(data) or is_openssh_key(data))
+
+
+def held(data: bytes | None, depth: int = 1) -> str | None:
+    """``key`` or ``jwt`` if decoded bytes are or hold one."""
     if not data or len(data) < 24:
-        return False
-    if data[0] == SEQUENCE and is_der_key(data) or is_openssh_key(data):
-        return True
-    if depth and data.isascii():
+        return None
+    if is_key(data):
+        return "key"
+    if data.isascii():
         text = data.decode().strip()
-        if BEGIN.search(text):
-            return any(pem_spans(text))
-        return bool(ENCODED.fullmatch(text)) and holds_key(decode64(text), depth - 1)
-    return False
+        if depth and BEGIN.search(text) and any(pem_spans(text)):
+            return "key"
+        if "eyJ" in text and any(is_signed_token(*m.groups()) for m in JWT.finditer(text)):
+            return "jwt"
+        if depth and ENCODED.fullmatch(joined_lines := BREAKS.sub("", text)):
+            return held(decode64(joined_lines), depth - 1)
+    return None
+
+
+def encoded_kind(c: str) -> str | None:
+    return held(bytes.fromhex(c) if len(c) % 2 == 0 and HEX_ANY.fullmatch(c) else None) or held(decode64(c))
+
+
+def wrapped(text: str):
+    """Kind and span of secrets encoded on several lines of one width."""
+    for m in LINES.finditer(text):
+        lines, at = [], m.start()
+        for b in BREAKS.finditer(text, m.start(), m.end()):
+            lines.append((at, b.start()))
+            at = b.end()
+        lines.append((at, m.end()))
+        i = 0
+        while i < len(lines):
+            j, width = i + 1, lines[i][1] - lines[i][0]
+            while j < len(lines) and lines[j][1] - lines[j][0] == width:
+                j += 1
+            # The next line may be the short end, or no part of it.
+            ends = [j + 1] if j < len(lines) and lines[j][1] - lines[j][0] < width else []
+            for end in (*ends, j):
+                if end - i > 1 and (kind := encoded_kind("".join(text[a:b] for a, b in lines[i:end]))):
+                    yield kind, lines[i][0], lines[end - 1][1]
+                    j = end
+                    break
+            i = j
 
 
 def pem_spans(text: str):
@@ -142,7 +183,7 @@ def pem_spans(text: str):
         head, blank, rest = body.replace("\r", "").partition("\n\n")
         sealed = bool(blank) and "ENCRYPTED" in head and "DEK-Info" in head
         data = decode64("".join((rest if sealed else body).split()))
-        if data and (len(data) % 8 == 0 if sealed else holds_key(data, 0)):
+        if data and (len(data) % 8 == 0 if sealed else is_key(data)):
             yield m.start(), end + len(mark)
             at = end + len(mark)
 
@@ -171,12 +212,15 @@ def find(text: str) -> list[tuple[str, int, int]]:
     blocks = [s[1:] for s in found if s[0] == "pem"]
     if "eyJ" in text:
         found += [("jwt", *m.span()) for m in JWT.finditer(text) if is_signed_token(*m.groups())]
+    if "\n" in text or "\\n" in text:
+        lines = [x for x in wrapped(text) if not any(a <= x[1] < b for a, b in blocks)]
+        found += lines
+        blocks += [x[1:] for x in lines]
     for m in ENCODED.finditer(text):
-        c = m[0]
         if any(a <= m.start() < b for a, b in blocks):
             continue
-        if holds_key(bytes.fromhex(c) if len(c) % 2 == 0 and HEX_ANY.fullmatch(c) else None) or holds_key(decode64(c)):
-            found.append(("key", *m.span()))
+        if kind := encoded_kind(m[0]):
+            found.append((kind, *m.span()))
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 

@@ -135,3 +135,29 @@ def test_edge_cases(spark, edge, nothing):
     assert pii.digest(nothing).count() == 0
     long = pii.base_spans("1" * 300000 + " " + "a" * 300000 + "@" * 1000 + "+1" + " " * 100000)
     assert long == []
+
+
+def test_wrapped_keys_and_encoded_tokens():
+    def others(text):
+        return [s for s in secret_scan.find(text) if s[0] not in secret_scan.BASE_KINDS]
+
+    for key in (RSA, PKCS8, OPENSSH):
+        for code in (base64.b64encode(key).decode(), key.hex().upper()):
+            for width in (64, 76):
+                for cut in ("\n", "\r\n", "\\n", "\n    "):
+                    body = cut.join(code[i:i + width] for i in range(0, len(code), width))
+                    for front, back in (("data: ", " end"), (f"a{cut}", f"{cut}b and more"), (f"internationalization{cut}", "")):
+                        assert others(front + body + back) == [("key", len(front), len(front) + len(body))], (width, cut, front)
+            assert others("\n".join(code[i:i + 64] for i in range(0, len(code) - 70, 64))) == []
+
+    def part(x):
+        return base64.urlsafe_b64encode(json.dumps(x).encode()).decode().rstrip("=")
+
+    jwt = f"{part({'alg': 'HS256', 'typ': 'JWT'})}.{part({'sub': '1'})}.c2lnbmF0dXJl"
+    b = base64.b64encode(jwt.encode()).decode()
+    for code in (b, jwt.encode().hex().upper(), base64.b64encode(b.encode()).decode()):
+        assert others(f"token {code} end") == [("jwt", 6, 6 + len(code))]
+    assert others("x: " + "\n".join(b[i:i + 32] for i in range(0, len(b), 32))) == [("jwt", 3, 3 + len(b) + (len(b) - 1) // 32)]
+    assert others(base64.b64encode(jwt.replace("eyJ", "eyK").encode()).decode()) == []
+    for text in ("x" * 300000, ("y" * 64 + "\n") * 20000, "\\n" * 100000):
+        assert others(text) == []
