@@ -4,8 +4,12 @@ Base rules find mail addresses, IP addresses, payment cards and phone numbers.
 They are the seeds. The words around a seed make lexical patterns; the patterns
 and the identifier-like tokens they stand next to form a graph that Spark scores
 in rounds: a pattern is worth the mean score of its distinct instances, an
-instance the noisy-or of its patterns. Tokens outside the base spans that stand
-in a pattern of high confidence are reported as ``ctx_<kind>``.
+instance the noisy-or of its patterns. What stands in a pattern of high
+confidence outside the base spans is reported as ``ctx_<kind>``: tokens with a
+digit, groups of digits joined by blanks, dots, hyphens or brackets, account
+numbers in blocks, and tokens that hold an @, (at) or a dot between letters, of
+``MIN_TOKEN`` characters (groups: digits) at least. A group and a token in it
+are candidates each, so spans may overlap.
 
 Instances are kept as hashes only. Edges are made distinct and aggregated
 before any join, so a pattern at a third of all tokens is one row per task.
@@ -43,6 +47,11 @@ CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 TOKEN = re.compile(r"(?<!\S)[^\s0-9]*[0-9]\S*")
+#: Groups of digits joined by blanks, dots, hyphens or brackets, capitals before them; account numbers in blocks.
+GROUPS = re.compile(r"(?<!\w)[A-Z]{0,4}+[(\[]?+[0-9]++(?:[\x20.()\[\]-]{1,3}+[0-9]++)++")
+BLOCKS = re.compile(r"(?<!\w)[A-Z]{2}[0-9]{2}(?:\x20[A-Z0-9]{4}(?!\w)){2,}+(?:\x20[0-9]{1,3}(?!\w))?")
+#: Tokens like mail addresses or hosts: an @, an (at), or a dot between letters.
+MAIL_LIKE = re.compile(r"(?<!\S)(?=\S*(?:@|[(\[{<]at[>})\]]|[^\W\d_]\.[^\W\d_]))\S+", re.I)
 TRIM = ".,;:!?()[]{}<>\"'"
 MIN_TOKEN = 5
 CONTEXT_CHARS = 80
@@ -99,22 +108,38 @@ def instance(value: str) -> int:
     return int.from_bytes(hashlib.blake2b(value.lower().encode(), digest_size=8).digest(), "big", signed=True)
 
 
+def candidates(text: str) -> list[tuple[int, int]]:
+    """Identifier-like spans, by start: tokens with a digit, groups of digits of
+    at least MIN_TOKEN digits in all, and tokens like mail addresses."""
+    out = set()
+    if digits := DIGIT.search(text):
+        for p in (GROUPS, BLOCKS):
+            for m in p.finditer(text):
+                a, b = m.span()
+                if m[0][0] in "([" and not any(c in m[0] for c in ")]"):
+                    a += 1
+                if sum(map(str.isdigit, m[0])) >= MIN_TOKEN:
+                    out.add((a, b))
+    low = text.lower()
+    for p in ((TOKEN,) if digits else ()) + ((MAIL_LIKE,) if "@" in text or "." in text or "at" in low else ()):
+        for m in p.finditer(text):
+            word, (a, b) = m[0], m.span()
+            a, b = a + len(word) - len(word.lstrip(TRIM)), b - len(word) + len(word.rstrip(TRIM))
+            if b - a >= MIN_TOKEN:
+                out.add((a, b))
+    return sorted(out)
+
+
 def scan_text(text: str) -> dict:
     base = base_spans(text)
     found = [(k, a, b) for k, a, b in base]
-    if DIGIT.search(text):
-        taken = sorted((a, b) for _, a, b in base)
-        i = 0
-        for m in TOKEN.finditer(text):
-            while i < len(taken) and taken[i][1] <= m.start():
-                i += 1
-            a, b = m.span()
-            if any(x < b and y > a for x, y in taken[i:i + 4]):
-                continue
-            word = m[0]
-            a, b = a + len(word) - len(word.lstrip(TRIM)), b - len(word) + len(word.rstrip(TRIM))
-            if b - a >= MIN_TOKEN:
-                found.append((None, a, b))
+    taken = sorted((a, b) for _, a, b in base)
+    i = 0
+    for a, b in candidates(text):
+        while i < len(taken) and taken[i][1] <= a:
+            i += 1
+        if not any(x < b and y > a for x, y in taken[i:i + 4]):
+            found.append((None, a, b))
     return {"base": [{"kind": k, "start": a, "end": b} for k, a, b in base],
             "tokens": [{"kind": k, "start": a, "end": b, "instance": instance(text[a:b]), "patterns": patterns(text, a, b)}
                        for k, a, b in found]}

@@ -161,3 +161,26 @@ def test_wrapped_keys_and_encoded_tokens():
     assert others(base64.b64encode(jwt.replace("eyJ", "eyK").encode()).decode()) == []
     for text in ("x" * 300000, ("y" * 64 + "\n") * 20000, "\\n" * 100000):
         assert others(text) == []
+
+
+def test_patterns_find_identifiers_of_other_forms(spark):
+    def card(i):
+        n = f"4111111111{i:05d}"
+        n += str(next(c for c in range(10) if luhn(n + str(c))))
+        return " ".join(n[k:k + 4] for k in range(0, 16, 4))
+
+    rows = [(i, f"please call us: phone no: +1 (555) 010-{i:04d} today") for i in range(20)]
+    rows += [(100 + i, f"pay by account number: {card(i)} thanks") for i in range(20)]
+    rows += [(200 + i, f"please write to {'abcdefghijklmnopqrst'[i]}.smith@mail.org soon") for i in range(20)]
+    planted = [("please call us: phone no: ", "030 123 4567", " today", "ctx_phone"), ("please call us: phone no: ", "(030) 123-4567", " today", "ctx_phone"),
+               ("pay by account number: ", "DE89 3704 0044 0532 0130 00", " thanks", "ctx_card"),
+               ("pay by account number: ", "GB29 NWBK 6016 1331 9268 19", " thanks", "ctx_card"),
+               ("please write to ", "jane(at)mail.org", " soon", "ctx_email"), ("please write to ", "jane.doe", " soon", "ctx_email")]
+    rows += [(300 + i, a + b + c) for i, (a, b, c, _) in enumerate(planted)]
+    rows += [(400 + i, f"the rooms 12 {i:03d} 4567 and e.g.so on are listed") for i in range(10)]
+    got = {r.doc_id: [tuple(s) for s in r.extra] for r in pii.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, (a, b, _, kind) in enumerate(planted):
+        assert (kind, len(a), len(a) + len(b)) in got[300 + i], (b, got[300 + i])
+    assert all(not x for i, x in got.items() if not 300 <= i < 400)
+    for text in ("1 " * 200000, "a." * 200000, "(" * 200000 + "1", "A1" * 100000, "x@" * 100000):
+        pii.candidates(text)
