@@ -21,6 +21,7 @@ empty table gives no rows; extra columns are kept by ``mix``.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -189,7 +190,8 @@ def rates(rows: DataFrame, domains: list[str], weights: dict[str, float], max_ra
     """``rows`` (with n_tokens and posteriors; checkpointed) and their ``rate``.
     The targets are shares of the tokens of all rows. With ``max_rate`` they are
     shares of the total at which the domain of the largest weight is used up,
-    each at most what its rows can give at that rate."""
+    each at most what its rows can give at that rate. Warns with the remaining
+    distances if MAX_ROUNDS rounds don't meet the targets."""
     d = len(domains)
     p = [F.get(F.col("posteriors"), k) for k in range(d)]
     n = F.col("n_tokens").cast("double")
@@ -206,11 +208,15 @@ def rates(rows: DataFrame, domains: list[str], weights: dict[str, float], max_ra
         target = np.minimum(want * total, max_rate * mass)
     inverse = np.linalg.pinv(gram, rcond=1e-9, hermitian=True)
     rows = rows.withColumn("rate", F.lit(1.0 if max_rate is None else min(1.0, max_rate)))
-    for k in range(MAX_ROUNDS):
+    for k in range(MAX_ROUNDS + 1):
         got = rows.agg(*[F.sum(n * p[j] * F.col("rate")).alias(f"t{j}") for j in range(d)]).first()
         rest = target - np.array([x or 0.0 for x in got])
         if np.abs(rest).max(initial=0.0) <= TOLERANCE * max(total, 1.0):
             break
+        if k == MAX_ROUNDS:
+            left = ", ".join(f"{x} {r:.1f}" for x, r in zip(domains, rest))
+            warnings.warn(f"mixing targets missed after {MAX_ROUNDS} rounds by tokens: {left}", stacklevel=2)
+            break
         step = inverse @ rest
         moved = F.greatest(F.lit(0.0), sum((p[j] * float(step[j]) for j in range(d)), F.col("rate")))
         rows = rows.withColumn("rate", moved if max_rate is None else F.least(F.lit(float(max_rate)), moved))

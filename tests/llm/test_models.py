@@ -3,6 +3,7 @@
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from sessionlake.llm import language_id, license_scan, mixing
@@ -170,3 +171,18 @@ def test_unseen_language_is_rejected(spark, small):
         out = language_id.predict(docs, language_id.learn(docs.filter(F.col("lang") != unseen)))
         share = {r.u: r.s for r in out.groupBy((F.col("lang") == unseen).alias("u")).agg(F.avg(F.col("rejected").cast("int")).alias("s")).collect()}
         assert share[True] >= 0.9 and share[False] <= 0.05, (unseen, share)
+
+
+def test_limits_of_rounds_are_told(spark, monkeypatch):
+    from sessionlake.llm import components
+
+    chain = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")
+    monkeypatch.setattr(components, "MAX_ROUNDS", 1)
+    with pytest.raises(RuntimeError, match="1 rounds"):
+        components.components(chain)
+    rng = np.random.default_rng(3)
+    rows = spark.createDataFrame([(i, int(t), [float(x) for x in q]) for i, (t, q) in enumerate(
+        zip(rng.integers(1, 500, 50), rng.dirichlet([0.3, 0.3, 0.3], 50)))], "doc_id long, n_tokens long, posteriors array<double>")
+    monkeypatch.setattr(mixing, "MAX_ROUNDS", 1)
+    with pytest.warns(UserWarning, match="missed after 1 rounds"):
+        mixing.rates(rows, ["a", "b", "c"], {"a": 0.9, "b": 0.1, "c": 0.0})
