@@ -33,13 +33,16 @@ def get_spark(app: str = "sessionlake", cpus: str | int = "*", shuffle_partition
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``). Only
-    when the session names none (local runs, tests) is a private temporary
-    folder set; on a cluster that setting always comes from the deployment."""
+    when the deployment names none (local runs, tests) is a private temporary
+    folder used, one per application; on a cluster that is an error."""
     d = spark.conf.get("spark.checkpoint.dir", None)
+    current = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if not d and current.isDefined():
+        return current.get()
     if not d:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="sessionlake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if current.isEmpty():
+        spark.sparkContext.setCheckpointDir(d)
     return d

@@ -13,9 +13,3 @@ def spark():
     yield s
     s.stop()
 
-
-def write(path, text, mode="w"):
-    os.makedirs(os.path.dirname(path), exist_ok=True)
-    with open(path, mode, newline="") as f:
-        f.write(text)
-    return path

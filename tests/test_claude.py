@@ -1,6 +1,6 @@
 import json
 
-from conftest import write
+from trees import write
 from pyspark.sql import functions as F
 
 from sessionlake.plans.tables import from_roots

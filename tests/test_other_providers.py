@@ -1,7 +1,7 @@
 import json
 import sqlite3
 
-from conftest import write
+from trees import write
 
 from sessionlake.plans.tables import from_roots
 

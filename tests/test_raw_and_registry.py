@@ -1,7 +1,7 @@
 import os
 
 import pytest
-from conftest import write
+from trees import write
 
 from sessionlake.sources.raw import raw_lines
 

@@ -3,7 +3,7 @@ roots, damaged escapes, negative times, float labels, deep folders, Grok trees."
 
 import json
 
-from conftest import write
+from trees import write
 from pyspark.sql import functions as F
 
 from sessionlake.functions import labels, time as T

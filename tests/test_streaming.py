@@ -1,6 +1,6 @@
 import json
 
-from conftest import write
+from trees import write
 
 from sessionlake.operators import claude
 from sessionlake.streaming.incremental import ingest_transcripts
