@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -48,6 +49,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def kept_table(df: DataFrame) -> DataFrame:
+    """The rows as a compressed table in the shared folder, for what is read more
+    than once and is large. The folder goes when the application ends."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def ship(df: DataFrame) -> DataFrame:
     """Hand this package's modules to the Python workers of ``df``'s session,
     once per application, through Spark's own file service; ``df`` itself."""

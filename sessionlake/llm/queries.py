@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sessionlake.llm import exact_dedup, jaccard_join, language_id, license_scan, line_dedup, mixing, pii, piece_bpe, quality_rules, secret_scan
+from sessionlake.llm import exact_dedup, jaccard_join, language_id, license_scan, line_dedup, mixing, pii, piece_bpe, quality_rules, secret_scan, token_align, url_filter, whitening
 from sessionlake.llm.common import documents
 
 
@@ -58,8 +58,21 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.digest(documents(spark, sf_dir), tokenizer_path())
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op13_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.alignment(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), tokenizer_path())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_license_scans, op3_ngram_jaccard, op4_exact_dedup, op5_quality_rules, op6_mixing, op7_language_id, op8_pii, op9_secret_scans, op10_sentencepiece)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_license_scans, op3_ngram_jaccard, op4_exact_dedup, op5_quality_rules, op6_mixing, op7_language_id, op8_pii,
+                                    op9_secret_scans, op10_sentencepiece, op11_whitening, op12_url_filter, op13_token_align)}
 
 
 def oracle_sql() -> dict[str, str]:
