@@ -1,6 +1,6 @@
 """Claude (and Claude Desktop) JSONL transcripts → conversations.
 
-Input: ``lines(file_path, line_number, value)`` where ``file_path`` ends in
+Input: a stream ``(file_path, block, ord, value)`` where ``file_path`` ends in
 ``projects/<encoded-cwd>/<file>.jsonl`` or
 ``projects/<encoded-cwd>/<session>/subagents/<file>.jsonl``."""
 
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from sessionlake.functions import json as J
 from sessionlake.functions.paths import decode_project_path
+from sessionlake.operators.blocks import KEY, as_stream, attach, not_blank, state_table
 from sessionlake.schemas import CONVERSATIONS, align
 
 # The line kinds of the transcript format and its content-block kinds.
@@ -47,8 +48,9 @@ def _blocks_ok(blocks: Column) -> Column:
 
 
 def parse_lines(lines: DataFrame, source: str = "claude") -> DataFrame:
-    """Per-line parse (no cross-line state). Keeps ``file_path`` and
+    """Per-line parse (no cross-line state). Keeps the line's place and
     ``fallback_path`` for the file-level back-fill."""
+    place = [k for k in (*KEY, "ord", "line_number") if k in lines.columns]
     v = F.col("v")
     typ = J.get_string(v, "$.type")
     msg = J.field(v, "$.message")
@@ -106,13 +108,13 @@ def parse_lines(lines: DataFrame, source: str = "claude") -> DataFrame:
         .when(typ == "queue-operation", J.get_string(v, "$.content"))
     )
     return (
-        J.parse_lines(lines, "file_path", "line_number")
+        J.parse_lines(lines, *place)
         .select("*", valid.alias("valid"), *[c.alias(k) for k, c in p.items()])
         .select(
             F.lit(source).alias("source"),
             session.alias("session_id"),
             F.coalesce(cwd, decode_project_path(F.col("project_dir"))).alias("project_path"),
-            "project_dir", "file_name", "is_agent", "line_number",
+            "project_dir", "file_name", "is_agent", *place,
             mtype.alias("message_type"),
             b("uuid").alias("uuid"), b("parentUuid").alias("parent_uuid"),
             F.when(base | (F.col("valid") & (typ == "queue-operation")), J.get_string(v, "$.timestamp")).alias("timestamp"),
@@ -128,33 +130,19 @@ def parse_lines(lines: DataFrame, source: str = "claude") -> DataFrame:
             b("slug").alias("slug"), b("gitBranch").alias("git_branch"), cwd.alias("cwd"),
             b("version").alias("version"),
             F.when(is_asst, J.get_string(v, "$.message.stop_reason")).alias("stop_reason"),
-            "file_path",
             decode_project_path(F.col("project_dir")).alias("fallback_path"),
         )
     )
 
 
-def backfill_cwd(rows: DataFrame, cwd_rows: DataFrame | None = None) -> DataFrame:
-    """The first non-null ``cwd`` of a file (in line order) replaces every
-    ``project_path`` of that file equal to the decoded directory name.
-
-    The per-file value is a small aggregate (partial aggregation map-side, one
-    row per file) joined back on ``file_path``. ``cwd_rows`` may be the parse
-    of only those lines that can carry a ``cwd``."""
-    first_cwd = (
-        (rows if cwd_rows is None else cwd_rows).where(F.col("cwd").isNotNull())
-        .groupBy("file_path")
-        .agg(F.min(F.struct("line_number", "cwd")).getField("cwd").alias("file_cwd"))
-    )
-    return (
-        rows.join(first_cwd, "file_path", "left")
-        .withColumn("project_path", F.when((F.col("project_path") == F.col("fallback_path")) & F.col("file_cwd").isNotNull(),
-                                           F.col("file_cwd")).otherwise(F.col("project_path")))
-    )
-
-
 def normalise(lines: DataFrame, source: str = "claude") -> DataFrame:
-    """lines (non-blank, numbered; see :mod:`sessionlake.sources.raw`) →
-    conversations (29 columns)."""
-    cwd_rows = parse_lines(lines.where(J.may_contain("value", '"cwd"')), source)
-    return align(backfill_cwd(parse_lines(lines, source), cwd_rows), CONVERSATIONS)
+    """Stream → conversations (29 columns). One pre-pass counts lines and finds
+    each file's first ``cwd`` (parsing only lines that can carry one); it replaces
+    every ``project_path`` of the file equal to the decoded directory name."""
+    lines = as_stream(lines)
+    may = lines.withColumn("value", F.when(J.may_contain("value", '"cwd"'), F.col("value")))
+    table = state_table(parse_lines(may, source), first={"file_cwd": F.col("cwd")})
+    rows = attach(parse_lines(lines.where(not_blank()), source), table)
+    return align(rows.withColumn("project_path", F.when(
+        (F.col("project_path") == F.col("fallback_path")) & F.col("file_cwd").isNotNull(), F.col("file_cwd"))
+        .otherwise(F.col("project_path"))), CONVERSATIONS)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sessionlake.functions import json as J
-from sessionlake.operators.carry import carry_forward
+from sessionlake.operators.blocks import KEY, as_stream, attach, not_blank, state_table
 from sessionlake.schemas import CONVERSATIONS, align
 
 
@@ -29,14 +29,15 @@ def session_from_file(file_path: Column) -> Column:
 def _parsed(lines: DataFrame) -> DataFrame:
     v = F.col("v")
     valid = J.all_ok(v.isNotNull(), J.is_string(J.field(v, "$.type")), J.opt_string_ok(J.field(v, "$.timestamp")))
-    return (J.parse_lines(lines, "file_path", "line_number")
+    return (J.parse_lines(lines, *[k for k in (*KEY, "ord", "line_number") if k in lines.columns])
             .select("*", valid.alias("valid"), J.field(v, "$.payload").alias("p"), J.get_string(v, "$.type").alias("typ")))
 
 
 def normalise(lines: DataFrame) -> DataFrame:
     v, p = F.col("v"), F.col("p")
     typ = F.col("typ")
-    parsed = _parsed(lines)
+    lines = as_stream(lines)
+    parsed = _parsed(lines.where(not_blank()))
     ok = F.col("valid")
     git = J.field(p, "$.git")
     # an absent or null payload decodes to nothing and keeps the state
@@ -47,17 +48,10 @@ def normalise(lines: DataFrame) -> DataFrame:
                        *[J.opt_string_ok(J.field(p, f"$.git.{f}")) for f in ("branch", "commit_hash", "repository_url")])
     is_meta = ok & (typ == "session_meta") & meta_ok
     is_ctx = ok & (typ == "turn_context") & J.is_object(p) & J.opt_string_ok(J.field(p, "$.model")) & J.opt_string_ok(J.field(p, "$.cwd"))
-    # state lines come from a second parse of only the lines that can be state lines
-    markers = _parsed(lines.where(J.may_contain("value", "session_meta", "turn_context"))).where(
-        is_meta | (is_ctx & J.is_string(J.field(p, "$.model")))).select(
-        "file_path", "line_number",
-        # a session_meta replaces the whole struct, so carry it as one value
-        F.when(is_meta, F.struct(J.get_string(p, "$.cwd").alias("cwd"),
-                                 J.get_string(p, "$.git.branch").alias("branch"),
-                                 J.get_string(p, "$.git.repository_url").alias("repo"),
-                                 J.get_string(p, "$.cli_version").alias("version"))).alias("m_meta"),
-        F.when(is_ctx, J.get_string(p, "$.model")).alias("m_model"),
-    )
+    # a session_meta replaces the whole struct, so it is carried as one value
+    m_meta = F.when(is_meta, F.struct(J.get_string(p, "$.cwd").alias("cwd"), J.get_string(p, "$.git.branch").alias("branch"),
+                                      J.get_string(p, "$.git.repository_url").alias("repo"), J.get_string(p, "$.cli_version").alias("version")))
+    m_model = F.when(is_ctx, J.get_string(p, "$.model"))
 
     # response_item payload decoding; the members and flags used by several
     # rules are computed once, in their own projection
@@ -96,22 +90,20 @@ def normalise(lines: DataFrame) -> DataFrame:
         # the guard keeps the row filter below from being pushed under this
         # projection (which would evaluate the row rules twice)
         return flags(df).select(F.spark_partition_id().alias("_part"),
-            "file_path", "line_number", "valid",
+            *[k for k in (*KEY, "ord", "line_number") if k in df.columns], "valid",
             mtype.alias("message_type"), mrole.alias("message_role"), content.alias("message_content"),
             F.when(ok, J.get_string(v, "$.timestamp")).alias("timestamp"),
             F.when(fc, J.get_string(p, "$.name")).alias("tool_name"), tool_use_id.alias("tool_use_id"),
             F.when(fc, J.json_text(J.field(p, "$.arguments"))).alias("tool_input"),
             is_ev.alias("is_fallback"),
-            (is_item & (itype == "message")).alias("is_resp_msg"),
         ).where(F.col("message_type").isNotNull())
 
     rows = row_view(parsed)
-    # per-file: does any response_item message exist? (from the lines that can be one)
-    facts = (flags(_parsed(lines.where(J.may_contain("value", "response_item"))))
-             .where(is_item & (itype == "message")).groupBy("file_path").agg(F.lit(1).alias("has_resp")))
-    rows = rows.join(facts, "file_path", "left")
-    rows = rows.where(~F.col("is_fallback") | (F.coalesce(F.col("has_resp"), F.lit(0)) == 0))
-    rows = carry_forward(rows, markers, ["m_meta", "m_model"])
+    # one pre-pass, which parses only lines that can carry state or be a response_item message
+    may = lines.withColumn("value", F.when(J.may_contain("value", "session_meta", "turn_context", "response_item"), F.col("value")))
+    table = state_table(flags(_parsed(may)), anywhere={"has_resp": is_item & (itype == "message")},
+                        carried={"m_meta": m_meta, "m_model": m_model})
+    rows = attach(rows, table).where(~F.col("is_fallback") | ~F.col("has_resp"))
     meta = F.col("m_meta")
     out = rows.select(
         F.lit("codex").alias("source"),

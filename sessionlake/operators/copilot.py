@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sessionlake.functions import json as J
-from sessionlake.operators.carry import carry_forward
+from sessionlake.operators.blocks import KEY, as_stream, attach, not_blank, state_table
 from sessionlake.schemas import CONVERSATIONS, align
 
 # Event type → (message_type, message_role).
@@ -67,8 +67,9 @@ def _parsed(lines: DataFrame) -> DataFrame:
     valid = J.all_ok(v.isNotNull(), J.is_string(J.field(v, "$.type")),
                      *[J.opt_string_ok(J.field(v, f"$.{f}")) for f in ("id", "timestamp", "parentId")])
 
-    parsed = J.parse_lines(lines, "file_path", "line_number") \
-        .select("file_path", "line_number", typ.alias("typ"), valid.alias("valid"),
+    place = [k for k in (*KEY, "ord", "line_number") if k in lines.columns]
+    parsed = J.parse_lines(lines, *place) \
+        .select(*place, typ.alias("typ"), valid.alias("valid"),
                 J.get_string(v, "$.id").alias("id"), J.get_string(v, "$.parentId").alias("parent_id"),
                 J.get_string(v, "$.timestamp").alias("ts"), J.field(v, "$.data").alias("d"))
     # each member is read only on the event types that use it
@@ -105,18 +106,17 @@ def _parsed(lines: DataFrame) -> DataFrame:
 def normalise(lines: DataFrame, workspace: DataFrame | None = None) -> DataFrame:
     c, d = F.col, F.col("d")
     typ = c("typ")
-    parsed = _parsed(lines)
-    # markers come from a second parse of only the lines that can be markers
-    markers = _parsed(lines.where(J.may_contain("value", "session.start", "session.model_change"))).where(c("is_start") | c("is_model")).select(
-        "file_path", "line_number",
-        F.when(c("is_start"), J.as_string(c("d_sid"))).alias("m_sid"),
-        F.when(c("is_start"), J.as_string(c("d_ver"))).alias("m_version"),
-        F.when(c("is_start"), J.as_string(c("d_cwd"))).alias("m_cwd"),
-        F.when(c("is_start"), J.as_string(c("d_branch"))).alias("m_branch"),
-        F.when(c("is_start"), J.as_string(c("d_repo"))).alias("m_repo"),
-        F.when(c("is_model"), J.as_string(c("d_model"))).alias("m_model"),
-    )
-    rows = carry_forward(parsed, markers, ["m_sid", "m_version", "m_cwd", "m_branch", "m_repo", "m_model"])
+    lines = as_stream(lines)
+    # one pre-pass, which parses only lines that can change the state
+    may = lines.withColumn("value", F.when(J.may_contain("value", "session.start", "session.model_change"), F.col("value")))
+    table = state_table(_parsed(may), carried={
+        "m_sid": F.when(c("is_start"), J.as_string(c("d_sid"))),
+        "m_version": F.when(c("is_start"), J.as_string(c("d_ver"))),
+        "m_cwd": F.when(c("is_start"), J.as_string(c("d_cwd"))),
+        "m_branch": F.when(c("is_start"), J.as_string(c("d_branch"))),
+        "m_repo": F.when(c("is_start"), J.as_string(c("d_repo"))),
+        "m_model": F.when(c("is_model"), J.as_string(c("d_model")))})
+    rows = attach(_parsed(lines.where(not_blank())), table)
     rows = rows.withColumn("_dir", session_dir(F.col("file_path")))
     start_ok = c("start_ok")
     if workspace is not None:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from sessionlake.functions import json as J
 from sessionlake.functions.paths import url_decode
 from sessionlake.functions.time import date_prefix, epoch_s_to_iso
+from sessionlake.operators.blocks import numbered
 from sessionlake.schemas import CONVERSATIONS, PLANS, STATS, align
 
 # Chat line types, the update kinds kept on the timeline, and the
@@ -142,6 +143,7 @@ def align_times(line_types: DataFrame, upd: DataFrame) -> DataFrame:
 # ── conversations ────────────────────────────────────────────────────────────
 def normalise(chat: DataFrame, updates: DataFrame, files: DataFrame) -> DataFrame:
     c, v = F.col, F.col("v")
+    chat, updates = numbered(chat), numbered(updates)
     parsed = J.parse_lines(chat.where(c("file_path").rlike(_CHAT)), "file_path", "line_number")
     t = J.get_string(v, "$.type")
     calls = F.try_variant_get(v, "$.tool_calls", "array<variant>")

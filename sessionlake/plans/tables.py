@@ -170,7 +170,7 @@ def from_roots(spark: SparkSession, claude: str | None = None, copilot: str | No
 
     b: dict[str, Callable[[], DataFrame]] = {}
     if claude:
-        b["conv_claude"] = lambda: cl.normalise(R.raw_lines(spark, [R.join(claude, "projects/*/*.jsonl"),
+        b["conv_claude"] = lambda: cl.normalise(R.line_stream(spark, [R.join(claude, "projects/*/*.jsonl"),
                                                                      R.join(claude, "projects/*/*/subagents/*.jsonl")]))
         b["history_claude"] = lambda: side.claude_history(R.raw_lines(spark, [R.join(claude, "history.jsonl")]))
         b["todos_claude"] = lambda: side.claude_todos(R.raw_files(spark, [R.join(claude, "todos/*.json")]))
@@ -180,25 +180,25 @@ def from_roots(spark: SparkSession, claude: str | None = None, copilot: str | No
         # recursive listing skips hidden directories, so the ".claude" folders are found first, at any depth
         pats = [R.join(d, "projects", sub) for d in R.folders_named(spark, R.join(claude_desktop, "local-agent-mode-sessions"), ".claude")
                 for sub in ("*/*.jsonl", "*/*/subagents/*.jsonl")]
-        b["conv_claude_desktop"] = lambda: cl.normalise(R.raw_lines(spark, pats), source="claude-desktop")
+        b["conv_claude_desktop"] = lambda: cl.normalise(R.line_stream(spark, pats), source="claude-desktop")
     if copilot:
         ws = lambda: R.workspace_yaml(R.raw_files(spark, [R.join(copilot, "session-state/*/workspace.yaml"),
                                                           R.join(copilot, "session-state/workspace.yaml")]))
-        b["conv_copilot"] = lambda: cp.normalise(R.raw_lines(spark, [R.join(copilot, "session-state/*/events.jsonl"),
+        b["conv_copilot"] = lambda: cp.normalise(R.line_stream(spark, [R.join(copilot, "session-state/*/events.jsonl"),
                                                                       R.join(copilot, "session-state/*.jsonl")]), ws())
         b["plans_copilot"] = lambda: side.copilot_plans(R.raw_files(spark, [R.join(copilot, "session-state/*/plan.md")]), ws())
         b["todos_copilot"] = lambda: side.copilot_todos(R.raw_lines(spark, [R.join(copilot, "session-state/*/checkpoints/*.md")]))
         b["history_copilot"] = lambda: side.copilot_history(R.raw_files(spark, [R.join(copilot, "command-history-state.json")]))
     if codex:
-        b["conv_codex"] = lambda: cx.normalise(R.raw_lines(spark, [R.join(codex, "sessions")], below="rollout-*.jsonl"))
+        b["conv_codex"] = lambda: cx.normalise(R.line_stream(spark, [R.join(codex, "sessions")], below="rollout-*.jsonl"))
     if gemini:
         b["conv_gemini"] = lambda: ge.normalise(R.raw_files(spark, [R.join(gemini, "tmp/*/chats/session-*.json")]),
                                                 R.raw_files(spark, [R.join(gemini, "projects.json")]))
     if grok:
-        chat = lambda: R.raw_lines(spark, [R.join(grok, "sessions/*/*/chat_history.jsonl")])
+        chat = lambda: R.line_stream(spark, [R.join(grok, "sessions/*/*/chat_history.jsonl")])
         side_files = lambda: R.raw_files(spark, [R.join(grok, "sessions/*/*", f) for f in (
             "summary.json", "signals.json", "plan.md", "subagents/*/meta.json")])
-        updates = lambda: R.raw_lines(spark, [R.join(grok, "sessions/*/*/updates.jsonl")])
+        updates = lambda: R.line_stream(spark, [R.join(grok, "sessions/*/*/updates.jsonl")])
         b["conv_grok"] = lambda: gr.normalise(chat(), updates(), side_files())
         b["plans_grok"] = lambda: gr.plans(chat(), side_files())
         b["stats_grok"] = lambda: gr.stats(chat(), side_files())

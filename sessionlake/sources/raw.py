@@ -6,12 +6,10 @@
 * :func:`raw_files` — whole files as ``(file_path, content, file_size)``.
 * :func:`sqlite_kv` — the key/value table of SQLite files (Cursor state).
 
-Line numbers without a window over the file: a text file is split into
-blocks (input splits) that are read in order, one task each. A tiny table of
-per-block row counts gives each block's first line number (a running sum over
-the blocks of a file — a few rows per file), and it is joined back on
-``(file_path, block_start)``: AQE broadcasts it when its measured size is
-small and otherwise runs a shuffle join. No task ever needs a whole file.
+A text file is split into blocks (input splits) that are read in order, one task
+each, so a line's place is its block and its order there. The normalisers turn
+places into line numbers from one small record a block
+(:mod:`sessionlake.operators.blocks`); no task ever needs a whole file.
 
 Missing roots give empty frames (no error), as a missing history directory
 simply means "no sessions"."""
@@ -20,14 +18,16 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-LINES = StructType([StructField("file_path", StringType()), StructField("line_number", LongType()),
-                    StructField("value", StringType())])
+from sessionlake.operators.blocks import numbered
+
 FILES = StructType([StructField("file_path", StringType()), StructField("content", StringType()),
                     StructField("file_size", LongType())])
+STREAM = StructType([StructField("file_path", StringType()), StructField("block", LongType()), StructField("ord", LongType()),
+                     StructField("value", StringType())])
 KV = StructType([StructField("key", StringType()), StructField("value", StringType())])
 
 
@@ -65,31 +65,31 @@ def folders_named(spark: SparkSession, root: str, name: str) -> list[str]:
     return sorted(out)
 
 
-def raw_lines(spark: SparkSession, paths: list[str], below: str | None = None) -> DataFrame:
-    """Numbered lines of the files that the patterns match or, with ``below``,
-    of the files of that name at any depth below the folders they match."""
+def line_stream(spark: SparkSession, paths: list[str], below: str | None = None) -> DataFrame:
+    """The lines of the files that the patterns match or, with ``below``, of the
+    files of that name at any depth below the folders they match, as a stream of
+    blocks (see :mod:`sessionlake.operators.blocks`)."""
     paths = _existing(spark, paths)
     if not paths:
-        return spark.createDataFrame([], LINES)
+        return spark.createDataFrame([], STREAM)
     reader = spark.read.option("lineSep", "\n")
     if below:
         reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", below)
-    return number_lines(reader.text(paths).select("value", "_metadata"))
+    return text_stream(reader.text(paths).select("value", "_metadata"))
 
 
-def number_lines(text: DataFrame) -> DataFrame:
-    """``text(value, _metadata)`` as read by the text source → numbered,
-    non-blank lines (see the module notes)."""
-    text = text.select(decode_path(F.col("_metadata.file_path")).alias("file_path"),
+def text_stream(text: DataFrame) -> DataFrame:
+    """``text(value, _metadata)`` as read by the text source, as a stream. The
+    non-deterministic place keeps later filters above it, so that both passes
+    over a file see the same places."""
+    return text.select(decode_path(F.col("_metadata.file_path")).alias("file_path"),
                        F.col("_metadata.file_block_start").alias("block"),
-                       F.monotonically_increasing_id().alias("rid"), "value")
-    blocks = text.groupBy("file_path", "block").agg(F.min("rid").alias("rid0"), F.count("*").alias("n"))
-    w = Window.partitionBy("file_path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = blocks.select("file_path", "block", "rid0", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("first"))
-    value = F.regexp_replace("value", "\r$", "")
-    return (text.join(offsets, ["file_path", "block"])
-            .select("file_path", (F.col("first") + F.col("rid") - F.col("rid0") + 1).alias("line_number"), value.alias("value"))
-            .where(F.col("value").rlike(r"(?U)\S")))
+                       F.monotonically_increasing_id().alias("ord"), F.regexp_replace("value", "\r$", "").alias("value"))
+
+
+def raw_lines(spark: SparkSession, paths: list[str], below: str | None = None) -> DataFrame:
+    """Numbered, non-blank lines of the same files."""
+    return numbered(line_stream(spark, paths, below))
 
 
 def raw_files(spark: SparkSession, paths: list[str]) -> DataFrame:

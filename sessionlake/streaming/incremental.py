@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from sessionlake.session import checkpoint_dir
-from sessionlake.sources.raw import number_lines
+from sessionlake.sources.raw import text_stream
 
 
 def ingest_transcripts(spark: SparkSession, input_glob: str, output: str, normalise: Callable[[DataFrame], DataFrame],
@@ -31,7 +31,7 @@ def ingest_transcripts(spark: SparkSession, input_glob: str, output: str, normal
               .option("recursiveFileLookup", "true").load(input_glob).select("value", "_metadata"))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = normalise(number_lines(batch))
+        rows = normalise(text_stream(batch))
         rows.write.mode("overwrite").partitionBy("source").parquet(f"{output.rstrip('/')}/batch={batch_id}")
 
     w = (stream.writeStream.foreachBatch(write_batch)
