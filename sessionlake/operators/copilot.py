@@ -120,8 +120,9 @@ def normalise(lines: DataFrame, workspace: DataFrame | None = None) -> DataFrame
     rows = rows.withColumn("_dir", session_dir(F.col("file_path")))
     start_ok = c("start_ok")
     if workspace is not None:
-        ws = workspace.select(F.col("dir_path").alias("_dir"), F.col("id").alias("w_id"), F.col("cwd").alias("w_cwd"),
-                              F.col("branch").alias("w_branch"), F.col("repository").alias("w_repo"))
+        # one row a folder, stated as an aggregation so that Catalyst may drop the join
+        ws = workspace.groupBy(F.col("dir_path").alias("_dir")).agg(*[F.first(k, ignorenulls=True).alias(f"w_{n}") for k, n in (
+            ("id", "id"), ("cwd", "cwd"), ("branch", "branch"), ("repository", "repo"))])
         rows = rows.join(ws, "_dir", "left")
     else:
         rows = rows.select("*", *[F.lit(None).cast("string").alias(x) for x in ("w_id", "w_cwd", "w_branch", "w_repo")])

@@ -5,8 +5,9 @@
 ``bubbleId:<composer>:<bubble>`` holds one message. Every header with a bubble
 id is a row at ``line_number = header position`` (id-less headers are skipped
 but still counted), joined to its bubble when one exists; ``parent_uuid`` is
-the previous emitted bubble id. The previous id is computed inside the header
-array of each composer, so no window or extra shuffle is needed."""
+the previous emitted bubble id. It comes from shifting the composer's array of
+emitted ids by one, so the work grows with the headers and no window or extra
+shuffle is needed."""
 
 from __future__ import annotations
 
@@ -18,10 +19,23 @@ from sessionlake.functions.time import epoch_ms_to_iso
 from sessionlake.schemas import CONVERSATIONS, align
 
 
+def keys(kv: DataFrame) -> DataFrame:
+    """``key`` with its ``kind`` (composer, bubble; null for others), ``composer``
+    and ``bubble``; decided on the key text alone, before anything is parsed."""
+    c = F.col
+    parts = F.split(c("key"), ":", 3)
+    head, rest = "composerData:", F.substring(c("key"), len("composerData:") + 1, 1 << 30)
+    is_bubble = c("key").startswith("bubbleId:") & (F.size(parts) == 3)
+    kind = F.when(c("key").startswith(head), "composer").when(is_bubble, "bubble")
+    return kv.select("key", kind.alias("kind"), F.when(c("key").startswith(head), rest).when(is_bubble, F.get(parts, 1)).alias("composer"),
+                     F.when(is_bubble, F.get(parts, 2)).alias("bubble"), *[x for x in kv.columns if x != "key"])
+
+
 def normalise(kv: DataFrame, file_name: str = "state.vscdb") -> DataFrame:
     c = F.col
-    parsed = J.parse_lines(kv.select("key", F.col("value").cast("string").alias("value")), "key")
+    known = keys(kv.select("key", F.col("value").cast("string").alias("value")))
     v = c("v")
+    parsed = lambda kind: J.parse_lines(known.where(c("kind") == kind), "composer", "bubble")
     headers = F.try_variant_get(v, "$.fullConversationHeadersOnly", "array<variant>")
     comp_ok = J.all_ok(
         v.isNotNull(), J.is_object(v), J.opt_string_ok(J.field(v, "$.composerId")), J.opt_int_ok(J.field(v, "$.createdAt")),
@@ -29,19 +43,16 @@ def normalise(kv: DataFrame, file_name: str = "state.vscdb") -> DataFrame:
         F.coalesce(F.forall(headers, lambda h: J.is_object(h) & J.opt_string_ok(J.field(h, "$.bubbleId"))
                             & J.opt_int_ok(J.field(h, "$.type"))), F.lit(True)),
         J.opt_object_ok(J.field(v, "$.modelConfig")), J.opt_string_ok(J.field(v, "$.modelConfig.modelName")))
-    composers = parsed.where(c("key").startswith("composerData:") & comp_ok).select(
-        F.substring(c("key"), len("composerData:") + 1, 1 << 30).alias("composer"),
-        J.get_string(v, "$.modelConfig.modelName").alias("model"),
-        F.coalesce(headers, F.array().cast("array<variant>")).alias("hs"))
-    ids = F.transform(c("hs"), lambda h: J.get_string(h, "$.bubbleId"))
-    rows = composers.select(
-        "composer", "model",
-        F.posexplode(F.transform(c("hs"), lambda h, i: F.struct(
-            J.get_string(h, "$.bubbleId").alias("bubble"), J.get_long(h, "$.type").alias("btype"),
-            # previous emitted bubble: last non-null id before this header
-            F.get(F.filter(F.slice(ids, 1, i), lambda x: x.isNotNull()),
-                  F.size(F.filter(F.slice(ids, 1, i), lambda x: x.isNotNull())) - 1).alias("prev")))).alias("pos", "h"),
-    ).select("composer", "model", "pos", "h.*").where(c("bubble").isNotNull())
+    # headers with an id, in order and with their positions; the one before in this array is the predecessor
+    emitted = F.filter(F.transform(F.coalesce(headers, F.array().cast("array<variant>")), lambda h, i: F.struct(
+        i.alias("pos"), J.get_string(h, "$.bubbleId").alias("bubble"), J.get_long(h, "$.type").alias("btype"))), lambda x: x["bubble"].isNotNull())
+    composers = parsed("composer").where(comp_ok).select(
+        "composer", J.get_string(v, "$.modelConfig.modelName").alias("model"),
+        # materialised once, not once an element
+        F.when(F.spark_partition_id() >= 0, emitted).alias("hs"))
+    rows = composers.select("composer", "model", F.explode(F.arrays_zip(
+        c("hs").alias("h"), F.concat(F.array(F.lit(None).cast("string")), c("hs.bubble")).alias("prev"))).alias("x")) \
+        .where(c("x.h").isNotNull()).select("composer", "model", "x.h.*", "x.prev")
 
     b_ok = J.all_ok(
         v.isNotNull(), J.is_object(v), J.opt_string_ok(J.field(v, "$.text")), J.opt_int_ok(J.field(v, "$.createdAt")),
@@ -50,11 +61,10 @@ def normalise(kv: DataFrame, file_name: str = "state.vscdb") -> DataFrame:
         J.opt_int_ok(J.field(v, "$.tokenCount.outputTokens")), J.opt_object_ok(J.field(v, "$.timingInfo")),
         J.opt_int_ok(J.field(v, "$.timingInfo.clientStartTime")), J.opt_object_ok(J.field(v, "$.toolFormerData")),
         *[J.opt_string_ok(J.field(v, f"$.toolFormerData.{k}")) for k in ("tool", "name", "toolCallId")])
-    parts = F.split(c("key"), ":", 3)
     tool = J.field(v, "$.toolFormerData")
     args = F.coalesce(J.json_text(J.field(tool, "$.rawArgs")), J.json_text(J.field(tool, "$.params")))
-    bubbles = parsed.where(c("key").startswith("bubbleId:") & (F.size(parts) == 3) & b_ok).select(
-        F.get(parts, 1).alias("composer"), F.get(parts, 2).alias("bubble"),
+    bubbles = parsed("bubble").where(b_ok).select(
+        "composer", "bubble",
         J.get_string(v, "$.text").alias("message_content"),
         F.coalesce(J.get_long(v, "$.createdAt"), J.get_long(v, "$.timingInfo.clientStartTime")).alias("ms"),
         F.try_variant_get(v, "$.isAgentic", "boolean").alias("agentic"),

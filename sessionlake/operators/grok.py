@@ -56,8 +56,8 @@ def summaries(files: DataFrame) -> DataFrame:
     cfv = s("chat_format_version")
     return (J.parse_lines(files.where(F.col("file_path").endswith("/summary.json"))
                           .select("file_path", F.col("content").alias("value")), "file_path")
-            .where(ok)
-            .select(_dir(F.col("file_path")).alias("sdir"),
+            .where(ok).groupBy(_dir(F.col("file_path")).alias("sdir")).agg(F.first("v").alias("v"))
+            .select("sdir",
                     *[J.get_string(v, f"$.{k}").alias(f"s_{k}") for k in (
                         "created_at", "updated_at", "last_active_at", "current_model_id", "head_branch", "git_root_dir",
                         "generated_title", "reasoning_effort")],

@@ -64,12 +64,18 @@ x_claude AS (
   FROM x_claude_b WHERE t = 0
 )"""
 
+# a user's events start at line 2, and a blank line follows every event_id % 29 = 5
+LN = """1 + row_number() OVER (PARTITION BY user_id ORDER BY event_id) + coalesce(sum(CASE WHEN event_id % 29 = 5 THEN 1 ELSE 0 END)
+      OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ln,"""
+# session.start without a cwd or branch leaves the workspace's
+PROJ = """CASE WHEN user_id % 10 <> 3 THEN '/work/repo' || (user_id % 4) WHEN user_id % 4 <> 1 THEN '/work/ws' || (user_id % 5) ELSE '' END"""
+BRANCH = "CASE WHEN u % 6 <> 5 THEN 'main' WHEN u % 4 <> 1 THEN 'ws-main' END"
 S_COPILOT = "printf('%08d-c0c0-4000-8000-%012d', {0}, {0})"
 X_COPILOT = f"""
 x_copilot_b AS (
   SELECT event_id AS e, user_id AS u, event_type AS ty, ts,
     (event_type = 'error' AND event_id % 50 = 7) AS bad,
-    CASE WHEN user_id % 10 <> 3 THEN '/work/repo' || (user_id % 4) ELSE '' END AS proj,
+    {PROJ} AS proj, {LN}
     last_value(CASE WHEN event_type = 'signup' THEN 'gpt-' || (event_id % 3) END IGNORE NULLS)
       OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cur_model
   FROM events
@@ -77,7 +83,7 @@ x_copilot_b AS (
 x_copilot AS (
   SELECT 'copilot' AS source, {S_COPILOT.format('u')} AS session_id,
     CASE WHEN bad THEN '' ELSE proj END AS project_path, '' AS project_dir, 'events.jsonl' AS file_name,
-    false AS is_agent, CAST(e + 2 AS BIGINT) AS line_number,
+    false AS is_agent, CAST(ln AS BIGINT) AS line_number,
     CASE WHEN bad THEN '_parse_error'
          WHEN ty = 'signup' THEN 'model_change'
          WHEN ty = 'view' AND e % 2 = 0 THEN 'user' WHEN ty = 'view' THEN 'assistant'
@@ -107,7 +113,7 @@ x_copilot AS (
     CASE WHEN NOT bad AND ty = 'error' AND e % 4 = 0 THEN CAST(e % 500 + 500 AS BIGINT) END AS output_tokens,
     CAST(NULL AS BIGINT) AS cache_creation_tokens, CAST(NULL AS BIGINT) AS cache_read_tokens,
     CAST(NULL AS BIGINT) AS reasoning_tokens, CAST(NULL AS VARCHAR) AS slug,
-    CASE WHEN NOT bad AND u % 6 <> 5 THEN 'main' END AS git_branch,
+    CASE WHEN NOT bad THEN {BRANCH} END AS git_branch,
     CASE WHEN NOT bad THEN NULLIF(proj, '') END AS cwd,
     CASE WHEN NOT bad THEN '0.0.' || (u % 5) END AS version,
     CAST(NULL AS VARCHAR) AS stop_reason, CAST(NULL AS VARCHAR) AS reasoning_effort,
@@ -116,8 +122,8 @@ x_copilot AS (
   UNION ALL
   SELECT 'copilot', {S_COPILOT.format('u')}, proj, '', 'events.jsonl', false, CAST(1 AS BIGINT), 'session_start',
     's' || u, NULL, {ISO.format('t0')}, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
-    CASE WHEN u % 6 <> 5 THEN 'main' END, NULLIF(proj, ''), '0.0.' || (u % 5), NULL, NULL, 'org/repo' || (u % 4)
-  FROM (SELECT user_id AS u, min(ts) AS t0, CASE WHEN user_id % 10 <> 3 THEN '/work/repo' || (user_id % 4) ELSE '' END AS proj
+    {BRANCH}, NULLIF(proj, ''), '0.0.' || (u % 5), NULL, NULL, 'org/repo' || (u % 4)
+  FROM (SELECT user_id AS u, min(ts) AS t0, {PROJ} AS proj
         FROM events GROUP BY user_id)
 )"""
 
@@ -125,7 +131,7 @@ S_CODEX = "printf('%08d-c0de-4000-8000-%012d', {0}, {0})"
 X_CODEX = f"""
 x_codex_b AS (
   SELECT event_id AS e, user_id AS u, event_type AS ty, ts,
-    (user_id % 7 = 0) AS only_ev,
+    (user_id % 7 = 0) AS only_ev, {LN}
     (event_type = 'click' AND event_id % 40 = 3) AS bad,
     (user_id % 7 <> 0 AND count(*) FILTER (WHERE event_type = 'view') OVER (PARTITION BY user_id) > 0) AS has_resp,
     last_value(CASE WHEN event_type = 'signup' AND event_id % 2 = 0 THEN 'codex-' || (event_id % 3) END IGNORE NULLS)
@@ -149,7 +155,7 @@ x_codex AS (
   SELECT 'codex' AS source, {S_CODEX.format('u')} AS session_id,
     CASE WHEN bad THEN '' ELSE '/src/proj' || (u % 3) END AS project_path, '' AS project_dir,
     'rollout-2024-01-01T00-00-00-' || {S_CODEX.format('u')} || '.jsonl' AS file_name, false AS is_agent,
-    CAST(e + 2 AS BIGINT) AS line_number, mtype AS message_type, CAST(NULL AS VARCHAR) AS uuid,
+    CAST(ln AS BIGINT) AS line_number, mtype AS message_type, CAST(NULL AS VARCHAR) AS uuid,
     CAST(NULL AS VARCHAR) AS parent_uuid,
     CASE WHEN NOT bad THEN {ISO.format('ts')} END AS timestamp,
     CASE WHEN mtype IN ('user', 'assistant') THEN mtype WHEN mtype = 'reasoning' THEN 'assistant'
@@ -324,6 +330,8 @@ x_grok_stats AS (
   FROM x_grok_sessions GROUP BY 2
 )"""
 
+X_DESKTOP = "x_claude_desktop AS (SELECT * REPLACE ('claude-desktop' AS source) FROM x_claude)"
+
 X_SIDE = f"""
 x_history AS (
   SELECT 'claude' AS source, CAST(c * 1000 + t + 1 AS BIGINT) AS line_number,
@@ -335,6 +343,9 @@ x_history AS (
   FROM (SELECT conv_id AS c, turn AS t, text AS x, CASE WHEN conv_id % 6 = 5 THEN conv_id - 1 ELSE conv_id END AS sc,
                (conv_id % 10 = 9 AND turn = 1) AS bad
         FROM conversations WHERE role = 'user')
+  UNION ALL
+  SELECT 'copilot', row_number() OVER (PARTITION BY user_id ORDER BY event_id), NULL, NULL, NULL, 'run ' || event_id, NULL
+  FROM events WHERE event_type = 'click' AND user_id % 11 <> 4
 ),
 x_todo_files AS (
   SELECT conv_id AS c, turn AS t,
@@ -353,6 +364,11 @@ x_todos AS (
   SELECT 'claude', {S_CLAUDE.format('sc')}, 'a' || c || 't' || t, {S_CLAUDE.format('sc')} || '-agent-a' || c || 't' || t || '.json',
     CAST(-1 AS BIGINT), 'Parse error: invalid todo file', '_parse_error', NULL
   FROM x_todo_files WHERE bad
+  UNION ALL
+  SELECT 'copilot', {S_COPILOT.format('user_id')}, NULL, '001.md', row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1,
+    CASE event_type WHEN 'purchase' THEN 'order ' WHEN 'click' THEN 'follow ' ELSE 'join ' END || event_id,
+    CASE WHEN event_type = 'click' THEN 'pending' ELSE 'completed' END, NULL
+  FROM events WHERE event_type IN ('purchase', 'click', 'signup')
 ),
 x_plans AS (
   SELECT 'claude' AS source, CAST(NULL AS VARCHAR) AS session_id, 'plan-' || doc_id AS plan_name,
@@ -360,6 +376,11 @@ x_plans AS (
     text AS content, CAST(strlen(text) AS BIGINT) AS file_size
   FROM documents
   UNION ALL SELECT * FROM x_grok_plans
+  UNION ALL
+  SELECT 'copilot', {S_COPILOT.format('u')}, CASE WHEN u % 4 <> 1 AND u % 3 <> 0 THEN 'Work of user ' || u ELSE {S_COPILOT.format('u')} END,
+    'plan.md', '/lake/copilot/session-state/' || {S_COPILOT.format('u')} || '/plan.md', body, CAST(strlen(body) AS BIGINT)
+  FROM (SELECT user_id AS u, '# Plan of ' || user_id || chr(10) || chr(10) || count(*) || ' steps' || chr(10) AS body
+        FROM events WHERE user_id % 5 <> 2 GROUP BY user_id)
 ),
 x_stats AS (
   SELECT 'claude' AS source, strftime(CAST(ts AS DATE), '%Y-%m-%d') AS date, CAST(count(*) AS BIGINT) AS message_count,
@@ -368,11 +389,11 @@ x_stats AS (
   FROM events GROUP BY user_id % 4, CAST(ts AS DATE)
   UNION ALL SELECT * FROM x_grok_stats
 ),
-x_conv_all AS (SELECT * FROM x_claude UNION ALL SELECT * FROM x_copilot UNION ALL SELECT * FROM x_codex
+x_conv_all AS (SELECT * FROM x_claude UNION ALL SELECT * FROM x_claude_desktop UNION ALL SELECT * FROM x_copilot UNION ALL SELECT * FROM x_codex
   UNION ALL SELECT * FROM x_gemini UNION ALL SELECT * FROM x_cursor UNION ALL SELECT * FROM x_grok),
 x_conv AS (SELECT * FROM x_conv_all)"""
 
-PRELUDE = "WITH " + ",".join(s.strip() for s in (X_CLAUDE, X_COPILOT, X_CODEX, X_GEMINI, X_CURSOR, X_GROK, X_SIDE))
+PRELUDE = "WITH " + ",".join(s.strip() for s in (X_CLAUDE, X_COPILOT, X_CODEX, X_GEMINI, X_CURSOR, X_GROK, X_DESKTOP, X_SIDE))
 
 
 def sql(body: str) -> str:

@@ -27,6 +27,8 @@ def not_err() -> Column:
     return c("message_type") != "_parse_error"
 
 TIMELINE_ORDER = ["line_number", "is_agent", "file_name"]
+#: A session: ids of two assistants may be equal.
+SESSION = ["source", "session_id"]
 
 
 def _sum0(col: str) -> Column:
@@ -112,9 +114,9 @@ def q_top_tools(t: Tables, limit: int = 15) -> DataFrame:
 
 
 def q_tools_per_session(t: Tables, limit: int = 20) -> DataFrame:
-    return (t.conv.groupBy("session_id").agg(F.countDistinct("tool_name").alias("unique_tools"),
-                                             F.count("tool_name").alias("total_tool_calls"))
-            .orderBy(c("total_tool_calls").desc(), c("session_id")).limit(limit))
+    return (t.conv.groupBy(*SESSION).agg(F.countDistinct("tool_name").alias("unique_tools"),
+                                         F.count("tool_name").alias("total_tool_calls"))
+            .orderBy(c("total_tool_calls").desc(), *SESSION).limit(limit))
 
 
 def q_session_overview(t: Tables, limit: int = 50) -> DataFrame:
@@ -137,19 +139,22 @@ def q_models_used(t: Tables) -> DataFrame:
 
 
 def q_having(t: Tables, n: int = 6) -> DataFrame:
-    return t.conv.groupBy("session_id").agg(F.count("*").alias("n")).where(c("n") == n)
+    return t.conv.groupBy(*SESSION).agg(F.count("*").alias("n")).where(c("n") == n)
 
 
 # ── session index (A15 + W1 + J9) ────────────────────────────────────────────
+def _prompt() -> Column:
+    """The first (by timeline order) user message that is not a local command,
+    with its place and cut to 200 characters: a partial aggregate, so a huge
+    session is combined map-side, never gathered in one task."""
+    m = ((c("message_type") == "user") & c("message_content").isNotNull()
+         & ~c("message_content").startswith("<local-command") & ~c("message_content").startswith("<command-name>"))
+    return F.min(F.when(m, F.struct(*TIMELINE_ORDER, F.left(c("message_content"), F.lit(200)).alias("text"))))
+
+
 def first_user_messages(conv: DataFrame) -> DataFrame:
-    """Per session, the first (by timeline order) user message that is not a
-    local command, cut to 200 characters. ``min_by`` is a partial aggregate:
-    a huge session is combined map-side, never gathered in one task."""
-    m = conv.where((c("message_type") == "user") & c("message_content").isNotNull()
-                   & ~c("message_content").startswith("<local-command")
-                   & ~c("message_content").startswith("<command-name>"))
-    return m.groupBy("session_id").agg(
-        F.left(F.min_by("message_content", F.struct(*TIMELINE_ORDER)), F.lit(200)).alias("first_user_message"))
+    return (conv.groupBy(*SESSION).agg(_prompt().alias("p")).where(c("p").isNotNull())
+            .select(*SESSION, c("p.text").alias("first_user_message")))
 
 
 def q_first_user_message(t: Tables) -> DataFrame:
@@ -157,14 +162,18 @@ def q_first_user_message(t: Tables) -> DataFrame:
 
 
 def session_index(conv: DataFrame) -> DataFrame:
-    sessions = conv.where(not_err()).groupBy("source", "session_id", "project_path", "slug").agg(
+    """One pass: each group keeps its own first prompt, and the session's is the
+    least of its few groups'."""
+    groups = conv.where(not_err()).groupBy(*SESSION, "project_path", "slug").agg(
         F.min("timestamp").alias("first_ts"), F.max("timestamp").alias("last_ts"),
         F.count("*").alias("event_count"),
         F.count(c("tool_name")).alias("tool_calls"),
-        _sum0("input_tokens").alias("total_input_tokens"), _sum0("output_tokens").alias("total_output_tokens"))
-    return sessions.join(first_user_messages(conv), "session_id", "left").select(
+        _sum0("input_tokens").alias("total_input_tokens"), _sum0("output_tokens").alias("total_output_tokens"),
+        _prompt().alias("_prompt"))
+    return groups.select(
         "source", "session_id", "project_path", "slug", "first_ts", "last_ts", "event_count", "tool_calls",
-        "total_input_tokens", "total_output_tokens", "first_user_message")
+        "total_input_tokens", "total_output_tokens",
+        F.min("_prompt").over(Window.partitionBy(*SESSION)).getField("text").alias("first_user_message"))
 
 
 def q_session_index(t: Tables) -> DataFrame:
@@ -341,9 +350,29 @@ def q_stats_totals(t: Tables) -> DataFrame:
 
 
 # ── joins (J1–J8) ────────────────────────────────────────────────────────────
+#: Joined rows of one session that one task should make at most.
+PAIRS_A_TASK = 1_000_000
+
+
+def conv_history(conv: DataFrame, history: DataFrame, pairs_a_task: int = PAIRS_A_TASK) -> DataFrame:
+    """Rows of both sides with the same session, many to many. Sessions are
+    measured first; one whose pairs exceed ``pairs_a_task`` is dealt over salts:
+    its conversation rows by hash, its history rows to every salt. Both sides are
+    exchanged once by their own rows, and the small table of hot sessions tells
+    the salts (AQE broadcasts it when its measured size is small)."""
+    x = conv.select(*SESSION, "uuid", "file_name", "line_number").where(c("session_id").isNotNull())
+    h = history.where(c("session_id").isNotNull()).select(*SESSION, "display")
+    sizes = x.groupBy(*SESSION).agg(F.count("*").alias("_n")).join(h.groupBy(*SESSION).agg(F.count("*").alias("_m")), SESSION)
+    hot = (sizes.select(*SESSION, F.ceil(c("_n") * c("_m") / pairs_a_task).alias("_salts")).where(c("_salts") > 1)
+           .groupBy(*SESSION).agg(F.max("_salts").alias("_salts")))
+    salts = F.coalesce(c("_salts"), F.lit(1))
+    x = x.join(hot, SESSION, "left").select(*SESSION, "uuid", F.pmod(F.xxhash64("file_name", "line_number"), salts).alias("_salt"))
+    h = h.join(hot, SESSION, "left").select(*SESSION, "display", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("_salt"))
+    return x.join(h, [*SESSION, "_salt"]).select("session_id", "uuid", "display")
+
+
 def q_conv_history(t: Tables) -> DataFrame:
-    h = t.history.where(c("session_id").isNotNull()).select("source", "session_id", "display")
-    return t.conv.select("source", "session_id", "uuid").join(h, ["source", "session_id"], "inner").drop("source")
+    return conv_history(t.conv, t.history)
 
 
 def q_conv_history_project(t: Tables) -> DataFrame:
@@ -394,36 +423,66 @@ def q_orphan_todos(t: Tables) -> DataFrame:
 
 
 # ── windows over a session timeline (W2–W4) ──────────────────────────────────
+#: Lines of a timeline that one window may hold.
+TIMELINE_BUCKET = 4096
+
+
+def _with_neighbours(x: DataFrame, value: str, bucket_lines: int = TIMELINE_BUCKET) -> DataFrame:
+    """Adds ``_prev`` (the last non-null ``value`` before the row in its session's
+    timeline) and ``_first`` (the session's first one).
+
+    A timeline is cut into buckets of line numbers, its first order key. A window
+    holds one bucket; what a bucket inherits comes from one row a bucket. Both
+    read the same exchange, so a session of any length spreads over tasks and
+    nothing is parsed twice."""
+    order = F.struct(*TIMELINE_ORDER)
+    x = x.withColumn("_bucket", F.floor(c("line_number") / bucket_lines)).repartition(*SESSION, "_bucket")
+    at = F.when(c(value).isNotNull(), order)
+    per = x.groupBy(*SESSION, "_bucket").agg(F.max_by(value, at).alias("_last_in"), F.min_by(value, at).alias("_first_in"))
+    w = Window.partitionBy(*SESSION).orderBy("_bucket")
+    per = per.select(*SESSION, "_bucket",
+                     F.last("_last_in", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("_entry"),
+                     F.first("_first_in", ignorenulls=True).over(
+                         w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_first"))
+    inside = Window.partitionBy(*SESSION, "_bucket").orderBy(*TIMELINE_ORDER).rowsBetween(Window.unboundedPreceding, -1)
+    return (x.join(per, [*SESSION, "_bucket"])
+            .withColumn("_prev", F.coalesce(F.last(value, ignorenulls=True).over(inside), c("_entry"))))
+
+
 def _timed(conv: DataFrame) -> DataFrame:
-    return conv.where(not_err()).select("session_id", *TIMELINE_ORDER, epoch_millis(c("timestamp")).alias("ts_ms"))
+    return conv.where(not_err()).select(*SESSION, *TIMELINE_ORDER, epoch_millis(c("timestamp")).alias("ts_ms"))
 
 
-def q_timeline_deltas(t: Tables) -> DataFrame:
+def timeline_deltas(conv: DataFrame, bucket_lines: int = TIMELINE_BUCKET) -> DataFrame:
     """Milliseconds since the previous timed event and since the first timed
     event of the session (untimed rows: NULL; first timed row: delta 0)."""
-    x = _timed(t.conv)
-    w = Window.partitionBy("session_id").orderBy(*TIMELINE_ORDER)
-    prev = F.last("ts_ms", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    first = F.first("ts_ms", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    return x.select("session_id", "file_name", "line_number",
-                    F.when(c("ts_ms").isNotNull(), F.coalesce(c("ts_ms") - prev, F.lit(0))).alias("delta_ms"),
-                    F.when(c("ts_ms").isNotNull(), c("ts_ms") - first).alias("offset_ms"))
+    x = _with_neighbours(_timed(conv), "ts_ms", bucket_lines)
+    return x.select(*SESSION, "file_name", "line_number",
+                    F.when(c("ts_ms").isNotNull(), F.coalesce(c("ts_ms") - c("_prev"), F.lit(0))).alias("delta_ms"),
+                    F.when(c("ts_ms").isNotNull(), c("ts_ms") - c("_first")).alias("offset_ms"))
+
+
+def q_timeline_deltas(t: Tables) -> DataFrame:
+    return timeline_deltas(t.conv)
 
 
 def q_session_duration(t: Tables) -> DataFrame:
     """Last minus first timed event in timeline order: two partial aggregates."""
     x = _timed(t.conv).where(c("ts_ms").isNotNull())
     o = F.struct(*TIMELINE_ORDER)
-    return x.groupBy("session_id").agg((F.max_by("ts_ms", o) - F.min_by("ts_ms", o)).alias("duration_ms"))
+    return x.groupBy(*SESSION).agg((F.max_by("ts_ms", o) - F.min_by("ts_ms", o)).alias("duration_ms"))
+
+
+def day_breaks(conv: DataFrame, bucket_lines: int = TIMELINE_BUCKET) -> DataFrame:
+    # a struct around the day, so that a day that cannot be read still counts as the row before
+    x = conv.where(not_err() & c("timestamp").isNotNull()).select(*SESSION, *TIMELINE_ORDER, F.struct(day_of(c("timestamp")).alias("day")).alias("_d"))
+    x = _with_neighbours(x, "_d", bucket_lines)
+    return x.select(*SESSION, "file_name", "line_number", c("_d.day").alias("day"),
+                    F.coalesce(c("_prev.day") != c("_d.day"), F.lit(True)).alias("is_new_day"))
 
 
 def q_day_breaks(t: Tables) -> DataFrame:
-    x = t.conv.where(not_err() & c("timestamp").isNotNull()).select("session_id", *TIMELINE_ORDER,
-                                                                   day_of(c("timestamp")).alias("day"))
-    w = Window.partitionBy("session_id").orderBy(*TIMELINE_ORDER)
-    prev = F.lag("day").over(w)
-    return x.select("session_id", "file_name", "line_number", "day",
-                    (prev.isNull() | (prev != c("day"))).alias("is_new_day"))
+    return day_breaks(t.conv)
 
 
 # ── set operations across all providers (U1–U3) ──────────────────────────────
@@ -456,21 +515,28 @@ def q_builder(t: Tables, table: str = "conversations", columns: tuple[str, ...]
 
 
 # ── data quality (A18) ───────────────────────────────────────────────────────
-def _checks(table: str, df: DataFrame, checks: dict[str, Column]) -> DataFrame:
-    return _label_counts(df, checks).select(F.lit(table).alias("table"), c("label").alias("check"), c("n").alias("violations"))
+def _report(table: str, df: DataFrame, rows: dict[str, Column], by: list[str] | None = None,
+            measures: dict[str, Column] | None = None, groups: dict[str, Column] | None = None) -> DataFrame:
+    """Violations per check in one pass. Row checks are counted per group of
+    ``by`` along with the group's ``measures``; the second level adds the counts
+    up and applies the ``groups`` checks to the measures."""
+    per = df.groupBy(*(by or [])).agg(*[F.count_if(F.coalesce(x, F.lit(False))).alias(k) for k, x in rows.items()],
+                                      *[x.alias(k) for k, x in (measures or {}).items()])
+    total = per.agg(*[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in rows],
+                    *[F.count_if(F.coalesce(x, F.lit(False))).alias(k) for k, x in (groups or {}).items()])
+    names = [*rows, *(groups or {})]
+    return total.select(F.explode(F.array(*[F.struct(F.lit(k).alias("check"), c(k).alias("violations")) for k in names])).alias("x")) \
+        .select(F.lit(table).alias("table"), "x.check", "x.violations")
 
 
 def q_quality_report(t: Tables) -> DataFrame:
-    """Invariant violations per table, each table in one aggregate pass."""
-    conv = t.conv_all
-    tok = [c(x) < 0 for x in ("input_tokens", "output_tokens", "cache_creation_tokens", "cache_read_tokens", "reasoning_tokens")]
-    neg = tok[0]
-    for x in tok[1:]:
-        neg = neg | x
-    files = conv.groupBy("source", "session_id", "project_dir", "file_name").agg(
-        F.min("line_number").alias("lo"), F.max("line_number").alias("hi"), F.count("*").alias("n"))
+    """Invariant violations, each table read once."""
+    neg = F.lit(False)
+    for k in ("input_tokens", "output_tokens", "cache_creation_tokens", "cache_read_tokens", "reasoning_tokens"):
+        neg = neg | (F.coalesce(c(k), F.lit(0)) < 0)
+    n = F.count("*")
     parts = [
-        _checks("conversations", conv, {
+        _report("conversations", t.conv_all, {
             "empty_session_id": c("session_id") == "",
             "negative_tokens": neg,
             "line_number_below_1": c("line_number") < 1,
@@ -478,17 +544,16 @@ def q_quality_report(t: Tables) -> DataFrame:
             "timestamp_not_iso": c("timestamp").isNotNull() & ~c("timestamp").rlike(ISO_RE),
             "parse_errors": c("message_type") == "_parse_error",
             "role_without_type": c("message_role").isNotNull() & c("message_type").isNull(),
-        }),
-        _checks("conversations", files, {"file_min_line_not_1": c("lo") != 1, "file_max_line_not_count": c("hi") != c("n")}),
-        _checks("plans", t.plans, {"empty_content": c("content") == "", "non_positive_size": c("file_size") <= 0}),
-        _checks("plans", t.plans.groupBy("source", "plan_name").agg(F.count("*").alias("k")),
-                {"duplicate_plan_name": c("k") > 1}),
-        _checks("todos", t.todos, {"empty_content": c("content") == "",
+        }, [*SESSION, "project_dir", "file_name"], {"lo": F.min("line_number"), "hi": F.max("line_number"), "n": n},
+            {"file_min_line_not_1": c("lo") != 1, "file_max_line_not_count": c("hi") != c("n")}),
+        _report("plans", t.plans, {"empty_content": c("content") == "", "non_positive_size": c("file_size") <= 0},
+                ["source", "plan_name"], {"k": n}, {"duplicate_plan_name": c("k") > 1}),
+        _report("todos", t.todos, {"empty_content": c("content") == "",
                                    "unknown_status": ~c("status").isin("pending", "in_progress", "completed")}),
-        _checks("history", t.history, {"null_display": c("display").isNull(), "null_timestamp": c("timestamp_ms").isNull()}),
-        _checks("stats", t.stats, {"negative_counts": (c("message_count") < 0) | (c("session_count") < 0)
-                                   | (c("tool_call_count") < 0), "empty_date": c("date") == ""}),
-        _checks("stats", t.stats.groupBy("source", "date").agg(F.count("*").alias("k")), {"duplicate_date": c("k") > 1}),
+        _report("history", t.history, {"null_display": c("display").isNull(), "null_timestamp": c("timestamp_ms").isNull()}),
+        _report("stats", t.stats, {"negative_counts": (c("message_count") < 0) | (c("session_count") < 0)
+                                   | (c("tool_call_count") < 0), "empty_date": c("date") == ""},
+                ["source", "date"], {"k": n}, {"duplicate_date": c("k") > 1}),
     ]
     out = parts[0]
     for p in parts[1:]:
@@ -513,7 +578,7 @@ def x_parse_ts(t: Tables) -> DataFrame:
 
 def x_duration_labels(t: Tables) -> DataFrame:
     d = q_session_duration(t)
-    return d.select("session_id", "duration_ms", LB.duration_label(c("duration_ms")).alias("duration"),
+    return d.select(*SESSION, "duration_ms", LB.duration_label(c("duration_ms")).alias("duration"),
                     LB.delta_label(c("duration_ms")).alias("delta"))
 
 

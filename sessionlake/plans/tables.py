@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sessionlake.schemas import CONVERSATIONS, HISTORY, PLANS, STATS, TODOS, empty
 
@@ -84,7 +85,9 @@ class Tables:
     @classmethod
     def _build_benchmark(cls, spark: SparkSession, sf_dir: str) -> "Tables":
         from sessionlake.operators import claude, codex, copilot, cursor, gemini, grok, side
+        from sessionlake.operators.blocks import numbered
         from sessionlake.sources import adapters as A
+        from sessionlake.sources.raw import workspace_yaml
 
         def read(name: str) -> DataFrame:
             return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -95,17 +98,28 @@ class Tables:
         conv_lines = lambda: lake("claude_lines", lambda: A.claude_lines(read("conversations")))
         ev_copilot = lambda: lake("copilot_lines", lambda: A.copilot_lines(read("events")))
         ev_codex = lambda: lake("codex_lines", lambda: A.codex_lines(read("events")))
+        cursor_kv = lambda: lake("cursor_kv", lambda: A.cursor_kv(read("conversations")))
+        copilot_side = lambda: lake("copilot_side", lambda: A.copilot_side_files(read("events")))
+        workspaces = lambda: workspace_yaml(copilot_side().where(F.col("file_path").endswith("/workspace.yaml")))
         grok_chat = lambda: lake("grok_chat", lambda: A.grok_chat_lines(read("conversations")))
         grok_upd = lambda: lake("grok_updates", lambda: A.grok_update_lines(read("conversations")))
         grok_side = lambda: lake("grok_side", lambda: A.grok_side_files(read("conversations")))
         b = {
             "conv_claude": lambda: claude.normalise(conv_lines()),
-            "conv_copilot": lambda: copilot.normalise(ev_copilot()),
+            "conv_claude_desktop": lambda: claude.normalise(
+                lake("desktop_lines", lambda: A.claude_desktop_lines(read("conversations"))), source="claude-desktop"),
+            "conv_copilot": lambda: copilot.normalise(ev_copilot(), workspaces()),
             "conv_codex": lambda: codex.normalise(ev_codex()),
             "conv_gemini": lambda: gemini.normalise(lake("gemini_files", lambda: A.gemini_files(read("conversations"))),
                                                     lake("gemini_projects", lambda: A.gemini_projects(read("conversations")))),
-            "conv_cursor": lambda: cursor.normalise(lake("cursor_kv", lambda: A.cursor_kv(read("conversations")))),
+            "conv_cursor": lambda: cursor.normalise(cursor_kv()),
+            "cursor_keys": lambda: cursor.keys(cursor_kv()),
+            "line_numbers": lambda: _union([numbered(x()).select(F.substring_index("file_path", "/", -2).alias("file"), "line_number") for x in
+                                            (conv_lines, ev_copilot, ev_codex)], spark, None),
             "conv_grok": lambda: grok.normalise(grok_chat(), grok_upd(), grok_side()),
+            "plans_copilot": lambda: side.copilot_plans(copilot_side(), workspaces()),
+            "todos_copilot": lambda: side.copilot_todos(numbered(lake("copilot_checkpoints", lambda: A.copilot_checkpoint_lines(read("events"))))),
+            "history_copilot": lambda: side.copilot_history(lake("copilot_history", lambda: A.copilot_history_files(read("events")))),
             "plans_grok": lambda: grok.plans(grok_chat(), grok_side()),
             "stats_grok": lambda: grok.stats(grok_chat(), grok_side()),
             "history_claude": lambda: side.claude_history(lake("claude_history", lambda: A.claude_history_lines(read("conversations")))),

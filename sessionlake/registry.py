@@ -20,17 +20,17 @@ COPILOT_SESSION = "00000007-c0c0-4000-8000-000000000007"
 TL = "line_number, is_agent, file_name"
 DAY = "strftime(TRY_CAST(left(timestamp, 10) AS DATE), '%Y-%m-%d')"
 TS_MS = "epoch_ms(TRY_CAST(replace(timestamp, 'Z', '') AS TIMESTAMP))"
-FIRST_MSG = """(SELECT session_id, left(arg_min(message_content, (line_number, is_agent, file_name)), 200) AS first_user_message
+FIRST_MSG = """(SELECT source, session_id, left(arg_min(message_content, (line_number, is_agent, file_name)), 200) AS first_user_message
   FROM x_conv WHERE message_type = 'user' AND message_content IS NOT NULL
     AND message_content NOT LIKE '<local-command%' AND message_content NOT LIKE '<command-name>%'
-  GROUP BY session_id)"""
+  GROUP BY source, session_id)"""
 INDEX = f"""(SELECT s.*, f.first_user_message FROM (
   SELECT source, session_id, project_path, slug, min(timestamp) AS first_ts, max(timestamp) AS last_ts,
     count(*) AS event_count, count(tool_name) AS tool_calls,
     CAST(sum(coalesce(input_tokens, 0)) AS BIGINT) AS total_input_tokens,
     CAST(sum(coalesce(output_tokens, 0)) AS BIGINT) AS total_output_tokens
   FROM x_conv WHERE message_type <> '_parse_error' GROUP BY ALL) s
-  LEFT JOIN {FIRST_MSG} f USING (session_id))"""
+  LEFT JOIN {FIRST_MSG} f USING (source, session_id))"""
 
 
 def _contains(term: str) -> str:
@@ -57,6 +57,10 @@ _Q: dict[str, tuple[Callable[[Tables], DataFrame], str | None]] = {
     "ingest_cursor": (lambda t: t.get("conv_cursor"), f"SELECT {O.CONV_COLS} FROM x_cursor"),
     "ingest_grok": (lambda t: t.get("conv_grok"), f"SELECT {O.CONV_COLS} FROM x_grok"),
     "ingest_claude_subagents": (lambda t: t.get("conv_claude").where("is_agent"), f"SELECT {O.CONV_COLS} FROM x_claude WHERE is_agent"),
+    "ingest_claude_desktop": (lambda t: t.get("conv_claude_desktop"), f"SELECT {O.CONV_COLS} FROM x_claude_desktop"),
+    "ingest_plans_copilot": (lambda t: t.get("plans_copilot"), "SELECT * FROM x_plans WHERE source = 'copilot'"),
+    "ingest_todos_copilot": (lambda t: t.get("todos_copilot"), "SELECT * FROM x_todos WHERE source = 'copilot'"),
+    "ingest_history_copilot": (lambda t: t.get("history_copilot"), "SELECT * FROM x_history WHERE source = 'copilot'"),
     "ingest_plans_claude": (lambda t: t.get("plans_claude"), "SELECT * FROM x_plans WHERE source = 'claude'"),
     "ingest_todos_claude": (lambda t: t.get("todos_claude"), "SELECT * FROM x_todos WHERE source = 'claude'"),
     "ingest_history_claude": (lambda t: t.get("history_claude"), "SELECT * FROM x_history WHERE source = 'claude'"),
@@ -69,6 +73,18 @@ _Q: dict[str, tuple[Callable[[Tables], DataFrame], str | None]] = {
     "ingest_plans_all": (lambda t: t.plans, "SELECT * FROM x_plans"),
     "ingest_stats_all": (lambda t: t.stats, "SELECT * FROM x_stats"),
     # ── normalisation operators, each as the columns it produces ──
+    "norm_line_numbers": (
+        lambda t: t.get("line_numbers"),
+        "SELECT CASE WHEN is_agent THEN 'subagents' ELSE project_dir END || '/' || file_name AS file, line_number FROM x_claude "
+        "UNION ALL SELECT session_id || '/' || file_name, line_number FROM x_copilot "
+        f"UNION ALL SELECT '01/rollout-2024-01-01T00-00-00-' || {O.S_CODEX.format('u')} || '.jsonl', CAST(ln AS BIGINT) FROM x_codex_b "
+        f"UNION ALL SELECT DISTINCT '01/rollout-2024-01-01T00-00-00-' || {O.S_CODEX.format('u')} || '.jsonl', CAST(1 AS BIGINT) FROM x_codex_b"),
+    "norm_cursor_keys": (
+        lambda t: t.get("cursor_keys").select("key", "kind", "composer", "bubble"),
+        f"SELECT 'bubbleId:' || {O.S_CURSOR.format('conv_id')} || ':b' || conv_id || '-' || turn AS key, 'bubble' AS kind, "
+        f"{O.S_CURSOR.format('conv_id')} AS composer, 'b' || conv_id || '-' || turn AS bubble FROM conversations WHERE turn % 5 <> 4 "
+        f"UNION ALL SELECT DISTINCT 'composerData:' || {O.S_CURSOR.format('conv_id')}, 'composer', {O.S_CURSOR.format('conv_id')}, NULL FROM conversations "
+        f"UNION ALL SELECT 'checkpointId:' || {O.S_CURSOR.format('conv_id')}, NULL, NULL, NULL FROM conversations WHERE turn = 0"),
     "norm_parse_errors": (
         lambda t: t.conv_all.where(F.col("message_type") == "_parse_error").select(
             "source", "session_id", "file_name", "line_number", "project_path", "message_content"),
@@ -192,8 +208,8 @@ _Q: dict[str, tuple[Callable[[Tables], DataFrame], str | None]] = {
                     "SELECT tool_name, count(*) AS uses FROM x_conv WHERE tool_name IS NOT NULL AND tool_name <> '' GROUP BY 1 "
                     "ORDER BY uses DESC, tool_name LIMIT 15"),
     "q_tools_per_session": (Q.q_tools_per_session,
-                            "SELECT session_id, count(DISTINCT tool_name) AS unique_tools, count(tool_name) AS total_tool_calls "
-                            "FROM x_conv GROUP BY 1 ORDER BY total_tool_calls DESC, session_id LIMIT 20"),
+                            "SELECT source, session_id, count(DISTINCT tool_name) AS unique_tools, count(tool_name) AS total_tool_calls "
+                            "FROM x_conv GROUP BY 1, 2 ORDER BY total_tool_calls DESC, source, session_id LIMIT 20"),
     "q_session_overview": (Q.q_session_overview,
                            "SELECT source, session_id, project_path, count(*) AS msg_count, min(timestamp) AS started, "
                            "max(timestamp) AS ended FROM x_conv WHERE message_type <> '_parse_error' GROUP BY ALL "
@@ -206,7 +222,7 @@ _Q: dict[str, tuple[Callable[[Tables], DataFrame], str | None]] = {
     "q_models_used": (Q.q_models_used,
                       "SELECT model, count(*) AS messages, CAST(sum(coalesce(input_tokens, 0)) AS BIGINT) AS input_tokens, "
                       "CAST(sum(coalesce(output_tokens, 0)) AS BIGINT) AS output_tokens FROM x_conv WHERE model IS NOT NULL GROUP BY 1"),
-    "q_having": (Q.q_having, "SELECT session_id, count(*) AS n FROM x_conv GROUP BY 1 HAVING count(*) = 6"),
+    "q_having": (Q.q_having, "SELECT source, session_id, count(*) AS n FROM x_conv GROUP BY 1, 2 HAVING count(*) = 6"),
     # ── session index and browser ──
     "q_first_user_message": (Q.q_first_user_message, f"SELECT * FROM {FIRST_MSG}"),
     "q_session_index": (Q.q_session_index, f"SELECT * FROM {INDEX}"),
@@ -307,19 +323,19 @@ _Q: dict[str, tuple[Callable[[Tables], DataFrame], str | None]] = {
                        "WHERE c.source = t.source AND c.session_id = t.session_id)"),
     # ── timeline windows ──
     "q_timeline_deltas": (Q.q_timeline_deltas,
-                          f"SELECT session_id, file_name, line_number, CASE WHEN ts_ms IS NOT NULL THEN coalesce(ts_ms - "
-                          f"last_value(ts_ms IGNORE NULLS) OVER (PARTITION BY session_id ORDER BY {TL} ROWS BETWEEN UNBOUNDED "
+                          f"SELECT source, session_id, file_name, line_number, CASE WHEN ts_ms IS NOT NULL THEN coalesce(ts_ms - "
+                          f"last_value(ts_ms IGNORE NULLS) OVER (PARTITION BY source, session_id ORDER BY {TL} ROWS BETWEEN UNBOUNDED "
                           f"PRECEDING AND 1 PRECEDING), 0) END AS delta_ms, CASE WHEN ts_ms IS NOT NULL THEN ts_ms - "
-                          f"first_value(ts_ms IGNORE NULLS) OVER (PARTITION BY session_id ORDER BY {TL} ROWS BETWEEN UNBOUNDED "
-                          f"PRECEDING AND UNBOUNDED FOLLOWING) END AS offset_ms FROM (SELECT session_id, file_name, line_number, "
+                          f"first_value(ts_ms IGNORE NULLS) OVER (PARTITION BY source, session_id ORDER BY {TL} ROWS BETWEEN UNBOUNDED "
+                          f"PRECEDING AND UNBOUNDED FOLLOWING) END AS offset_ms FROM (SELECT source, session_id, file_name, line_number, "
                           f"is_agent, {TS_MS} AS ts_ms FROM x_conv WHERE message_type <> '_parse_error')"),
     "q_session_duration": (Q.q_session_duration,
-                           f"SELECT session_id, arg_max(ts_ms, ({TL})) - arg_min(ts_ms, ({TL})) AS duration_ms FROM ("
-                           f"SELECT session_id, file_name, line_number, is_agent, {TS_MS} AS ts_ms FROM x_conv "
-                           "WHERE message_type <> '_parse_error') WHERE ts_ms IS NOT NULL GROUP BY 1"),
+                           f"SELECT source, session_id, arg_max(ts_ms, ({TL})) - arg_min(ts_ms, ({TL})) AS duration_ms FROM ("
+                           f"SELECT source, session_id, file_name, line_number, is_agent, {TS_MS} AS ts_ms FROM x_conv "
+                           "WHERE message_type <> '_parse_error') WHERE ts_ms IS NOT NULL GROUP BY 1, 2"),
     "q_day_breaks": (Q.q_day_breaks,
-                     f"SELECT session_id, file_name, line_number, day, coalesce(lag(day) OVER (PARTITION BY session_id ORDER BY {TL}) "
-                     f"<> day, true) AS is_new_day FROM (SELECT session_id, file_name, line_number, is_agent, {DAY} AS day "
+                     f"SELECT source, session_id, file_name, line_number, day, coalesce(lag(day) OVER (PARTITION BY source, session_id ORDER BY {TL}) "
+                     f"<> day, true) AS is_new_day FROM (SELECT source, session_id, file_name, line_number, is_agent, {DAY} AS day "
                      "FROM x_conv WHERE message_type <> '_parse_error' AND timestamp IS NOT NULL)"),
     # ── set operations ──
     "q_union_counts": (Q.q_union_counts, "SELECT source, count(*) AS n FROM x_conv_all GROUP BY source"),
@@ -373,7 +389,7 @@ _Q.update({
                       "SELECT source, session_id, file_name, line_number, CASE WHEN regexp_matches(timestamp, '^.{4}-.{2}-.{2}') "
                       "THEN left(timestamp, 10) END AS date FROM x_conv_all"),
     "x_parse_ts": (Q.x_parse_ts, f"SELECT source, session_id, file_name, line_number, {TS_MS} AS ts_ms FROM x_conv_all"),
-    "x_duration_labels": (Q.x_duration_labels, """SELECT session_id, duration_ms,
+    "x_duration_labels": (Q.x_duration_labels, """SELECT source, session_id, duration_ms,
   CASE WHEN duration_ms IS NULL OR duration_ms <= 0 THEN ''
        WHEN duration_ms < 60000 THEN printf('%.1f', duration_ms / 1000.0) || 's'
        WHEN duration_ms < 3600000 THEN (duration_ms // 60000) || 'm ' || lpad(CAST((duration_ms % 60000) // 1000 AS VARCHAR), 2, '0') || 's'
@@ -382,9 +398,9 @@ _Q.update({
        WHEN duration_ms < 1000 THEN '+' || duration_ms || 'ms'
        WHEN duration_ms < 60000 THEN '+' || printf('%.1f', duration_ms / 1000.0) || 's'
        ELSE '+' || (duration_ms // 60000) || 'm ' || lpad(CAST((duration_ms % 60000) // 1000 AS VARCHAR), 2, '0') || 's' END AS delta
-FROM (""" + f"SELECT session_id, arg_max(ts_ms, ({TL})) - arg_min(ts_ms, ({TL})) AS duration_ms FROM ("
-        f"SELECT session_id, file_name, line_number, is_agent, {TS_MS} AS ts_ms FROM x_conv "
-        "WHERE message_type <> '_parse_error') WHERE ts_ms IS NOT NULL GROUP BY 1)"),
+FROM (""" + f"SELECT source, session_id, arg_max(ts_ms, ({TL})) - arg_min(ts_ms, ({TL})) AS duration_ms FROM ("
+        f"SELECT source, session_id, file_name, line_number, is_agent, {TS_MS} AS ts_ms FROM x_conv "
+        "WHERE message_type <> '_parse_error') WHERE ts_ms IS NOT NULL GROUP BY 1, 2)"),
     "x_event_summary": (Q.x_event_summary, """SELECT source, session_id, file_name, line_number,
   CASE WHEN length(s) > 300 THEN left(s, 300) || '…' ELSE s END AS summary FROM (
   SELECT *, CASE

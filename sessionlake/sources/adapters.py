@@ -6,9 +6,10 @@ real normalisers parse it exactly as they parse files from disk. Nothing is
 sampled or capped: every row of the source table becomes input, so the work of
 every query grows with the tables.
 
-Output contracts match :mod:`sessionlake.sources.raw`:
-``lines(file_path, line_number, value)``, ``files(file_path, content, file_size)``
-and ``kv(key, value)``.
+Output contracts match :mod:`sessionlake.sources.raw`: streams
+``(file_path, block, ord, value)``, ``files(file_path, content, file_size)`` and
+``kv(key, value)``. Streams are cut into blocks of BLOCK_LINES lines and give no
+line numbers, as files read in splits do not; some files hold blank lines.
 
 The mapping rules are fixed so the expected answers can be stated in closed
 form straight from the tables (the DuckDB oracle in ``sessionlake.plans.oracle``
@@ -16,7 +17,7 @@ mirrors every rule below)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionlake.functions.time import epoch, iso_millis
@@ -27,6 +28,10 @@ BASE_EPOCH_S = 1704067200  # 2024-01-01T00:00:00Z
 CLAUDE_ROOT = "/lake/claude"
 COPILOT_ROOT = "/lake/copilot"
 CODEX_ROOT = "/lake/codex"
+DESKTOP_ROOT = "/lake/desktop/local-agent-mode-sessions"
+#: Lines a block, and events after which a blank line follows (``event_id % 29 == 5``).
+BLOCK_LINES = 16
+BLANK_EVERY, BLANK_AT = 29, 5
 
 
 def _materialised(df: DataFrame, text_col: str) -> DataFrame:
@@ -38,6 +43,26 @@ def _materialised(df: DataFrame, text_col: str) -> DataFrame:
                        for c in df.columns])
 
 
+def _placed(lines: DataFrame) -> DataFrame:
+    """``(file_path, line_number, value)`` as a stream: blocks start at some byte,
+    and a block's lines have rising places that begin anywhere."""
+    n = F.col("line_number") - 1
+    block = F.floor(n / BLOCK_LINES).cast("long")
+    return _materialised(lines.select("file_path", (block * 4096).alias("block"), (n + block * 1000 + F.pmod(F.hash("file_path"), F.lit(977))).cast("long").alias("ord"),
+                                      "value"), "value")
+
+
+def _event_lines(events: DataFrame, path: Column, value: Column) -> DataFrame:
+    """A user's events as lines from the second on, with blank lines between."""
+    w = Window.partitionBy("user_id").orderBy("event_id")
+    blank = F.col("event_id") % BLANK_EVERY == BLANK_AT
+    at = 1 + F.row_number().over(w) + F.coalesce(F.count_if(blank).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rows = events.select("event_id", path.alias("file_path"), at.cast("long").alias("at"), value.alias("value"))
+    own = F.struct(F.col("at").alias("line_number"), "value")
+    empty = F.struct((F.col("at") + 1).alias("line_number"), F.lit("").alias("value"))
+    return rows.select("file_path", F.explode(F.when(blank, F.array(own, empty)).otherwise(F.array(own))).alias("l")).select("file_path", "l.*")
+
+
 def _fmt(pattern: str, *cols: Column) -> Column:
     return F.format_string(pattern, *cols)
 
@@ -124,7 +149,17 @@ def _claude_lines(conversations: DataFrame) -> DataFrame:
 
 
 def claude_lines(conversations: DataFrame) -> DataFrame:
-    return _materialised(_claude_lines(conversations), "value")
+    return _placed(_claude_lines(conversations))
+
+
+def claude_desktop_lines(conversations: DataFrame) -> DataFrame:
+    """The same transcripts below a hidden ``.claude`` folder of each desktop
+    session; session ids equal those of the command line's transcripts."""
+    lines = _claude_lines(conversations)
+    below = F.regexp_replace("file_path", "^" + CLAUDE_ROOT, "")
+    folder = F.concat(F.lit(DESKTOP_ROOT + "/local_"), F.pmod(F.hash("file_path"), F.lit(3)).cast("string"), F.lit("/.claude"))
+    return _placed(lines.select(F.concat(folder, below).alias("file_path"), "line_number", "value"))
+
 
 def _iso_ts(ts: Column) -> Column:
     return iso_millis(ts.cast("timestamp_ntz"))
@@ -137,8 +172,7 @@ def copilot_session_id(u: Column) -> Column:
 def _copilot_lines(events: DataFrame) -> DataFrame:
     """One ``session-state/<id>/events.jsonl`` per user: line 1 is a
     ``session.start`` (from the user's first event time), then one event line
-    per row at ``line = event_id + 2`` (event ids grow with time, so line order
-    is event order; the gaps read like blank lines). signup → model change;
+    per row in event order, with blank lines between. signup → model change;
     view → user / assistant message; click → tool start; purchase → reasoning
     or tool result; error → truncation / turn start / error, and every 50th
     (``event_id % 50 == 7``) is written malformed."""
@@ -179,8 +213,7 @@ def _copilot_lines(events: DataFrame) -> DataFrame:
     j = F.to_json(F.struct(etype.alias("type"), F.concat(F.lit("e"), e).alias("id"), _iso_ts(F.col("ts")).alias("timestamp"),
                            F.concat(F.lit("s"), u.cast("string")).alias("parentId"), data.alias("data")))
     value = F.when((ty == "error") & (E % 50 == 7), F.expr("substring(__j, 1, length(__j) - 2)")).otherwise(F.col("__j"))
-    ev = events.select(path.alias("file_path"), (E + 2).cast("bigint").alias("line_number"), j.alias("__j"), ty, E) \
-        .select("file_path", "line_number", value.alias("value"))
+    ev = _event_lines(events.select("user_id", "event_id", "event_type", j.alias("__j")), path, value)
     starts = events.groupBy("user_id").agg(F.min("ts").alias("t0")).select(
         path.alias("file_path"), F.lit(1).cast("bigint").alias("line_number"),
         F.to_json(F.struct(
@@ -195,15 +228,61 @@ def _copilot_lines(events: DataFrame) -> DataFrame:
 
 
 def copilot_lines(events: DataFrame) -> DataFrame:
-    return _materialised(_copilot_lines(events), "value")
+    return _placed(_copilot_lines(events))
+
+
+def _copilot_dir(u: Column) -> Column:
+    return F.concat(F.lit(COPILOT_ROOT + "/session-state/"), copilot_session_id(u))
+
+
+def copilot_side_files(events: DataFrame) -> DataFrame:
+    """Per user: ``workspace.yaml`` (not for ``user_id % 4 == 1``; its summary not
+    for ``user_id % 3 == 0``) and ``plan.md`` (not for ``user_id % 5 == 2``)."""
+    u = F.col("user_id")
+    us = u.cast("string")
+    per = events.groupBy("user_id").agg(F.count("*").alias("n"))
+    yaml = F.concat(F.lit("id: "), copilot_session_id(u), F.lit("\ncwd: /work/ws"), (u % 5).cast("string"), F.lit("\nbranch: ws-main\n"),
+                    F.when(u % 3 != 0, F.concat(F.lit('summary: "Work of user '), us, F.lit('"\n'))).otherwise(F.lit("")))
+    plan = F.concat(F.lit("# Plan of "), us, F.lit("\n\n"), F.col("n").cast("string"), F.lit(" steps\n"))
+    f = lambda name, content: F.struct(F.concat(_copilot_dir(u), F.lit(f"/{name}")).alias("file_path"), content.alias("content"))
+    files = F.array(f("workspace.yaml", F.when(u % 4 != 1, yaml)), f("plan.md", F.when(u % 5 != 2, plan)))
+    rows = per.select(F.explode(files).alias("f")).where(F.col("f.content").isNotNull()).select("f.file_path", "f.content")
+    return _materialised(rows.withColumn("file_size", F.octet_length("content").cast("bigint")), "content")
+
+
+def copilot_checkpoint_lines(events: DataFrame) -> DataFrame:
+    """``checkpoints/001.md`` per user: a checklist with one line per event after
+    a title (purchases done, clicks open, signups done and indented, the rest no
+    items), and an ``index.md`` that counts for nothing."""
+    u, E, ty = F.col("user_id"), F.col("event_id").cast("string"), F.col("event_type")
+    value = (F.when(ty == "purchase", F.concat(F.lit("- [x] order "), E)).when(ty == "click", F.concat(F.lit("- [ ] follow "), E))
+             .when(ty == "signup", F.concat(F.lit("  - [X] join "), E, F.lit(" "))).otherwise(F.concat(F.lit("note "), E)))
+    items = _event_lines(events, F.concat(_copilot_dir(u), F.lit("/checkpoints/001.md")), value)
+    users = events.select("user_id").distinct()
+    one = F.lit(1).cast("long").alias("line_number")
+    title = users.select(F.concat(_copilot_dir(u), F.lit("/checkpoints/001.md")).alias("file_path"), one, F.lit("# Steps").alias("value"))
+    index = users.select(F.concat(_copilot_dir(u), F.lit("/checkpoints/index.md")).alias("file_path"), one, F.lit("- [ ] 001").alias("value"))
+    return _placed(items.unionByName(title).unionByName(index))
+
+
+def copilot_history_files(events: DataFrame) -> DataFrame:
+    """``command-history-state.json`` of each user's root: the user's clicks as
+    commands, in order; malformed for ``user_id % 11 == 4``."""
+    u = F.col("user_id")
+    per = events.where(F.col("event_type") == "click").groupBy("user_id").agg(F.sort_array(F.collect_list("event_id")).alias("es"))
+    j = F.to_json(F.struct(F.transform("es", lambda e: F.concat(F.lit("run "), e.cast("string"))).alias("commandHistory")))
+    content = F.when(u % 11 == 4, F.lit('{"commandHistory": [1]}')).otherwise(j)
+    return _materialised(per.select(F.concat(F.lit(COPILOT_ROOT + "/u"), u.cast("string"), F.lit("/command-history-state.json")).alias("file_path"),
+                                    content.alias("content")), "content")
+
 
 def codex_session_id(u: Column) -> Column:
     return _fmt("%08d-c0de-4000-8000-%012d", u, u)
 
 
 def _codex_lines(events: DataFrame) -> DataFrame:
-    """One rollout file per user: line 1 ``session_meta``; then per event at
-    ``line = event_id + 2``: signup → turn context (even ids) or reasoning;
+    """One rollout file per user: line 1 ``session_meta``; then per event (in
+    order, with blank lines between): signup → turn context (even ids) or reasoning;
     view → ``response_item`` message, or for users with ``user_id % 7 == 0``
     only ``event_msg`` messages; click → function call (every 40th malformed);
     purchase → function output; error → ``event_msg`` (agent message, dropped
@@ -242,8 +321,7 @@ def _codex_lines(events: DataFrame) -> DataFrame:
     )
     j = F.to_json(F.struct(_iso_ts(F.col("ts")).alias("timestamp"), kind.alias("type"), payload.alias("payload")))
     value = F.when((ty == "click") & (E % 40 == 3), F.expr("substring(__j, 1, length(__j) - 2)")).otherwise(F.col("__j"))
-    ev = events.select(path.alias("file_path"), (E + 2).cast("bigint").alias("line_number"), j.alias("__j"), ty, E) \
-        .select("file_path", "line_number", value.alias("value"))
+    ev = _event_lines(events.select("user_id", "event_id", "event_type", j.alias("__j")), path, value)
     metas = events.groupBy("user_id").agg(F.min("ts").alias("t0")).select(
         path.alias("file_path"), F.lit(1).cast("bigint").alias("line_number"),
         F.to_json(F.struct(
@@ -257,7 +335,7 @@ def _codex_lines(events: DataFrame) -> DataFrame:
 
 
 def codex_lines(events: DataFrame) -> DataFrame:
-    return _materialised(_codex_lines(events), "value")
+    return _placed(_codex_lines(events))
 
 def _claude_history_lines(conversations: DataFrame) -> DataFrame:
     """``history.jsonl``: one prompt line per user turn at
@@ -506,7 +584,7 @@ def _grok_chat_lines(conversations: DataFrame) -> DataFrame:
 
 
 def grok_chat_lines(conversations: DataFrame) -> DataFrame:
-    return _materialised(_grok_chat_lines(conversations), "value")
+    return _placed(_grok_chat_lines(conversations))
 
 def _grok_update_lines(conversations: DataFrame) -> DataFrame:
     """``updates.jsonl``: per turn, at lines ``3 * turn + 1..3``: the update
@@ -537,7 +615,7 @@ def _grok_update_lines(conversations: DataFrame) -> DataFrame:
 
 
 def grok_update_lines(conversations: DataFrame) -> DataFrame:
-    return _materialised(_grok_update_lines(conversations), "value")
+    return _placed(_grok_update_lines(conversations))
 
 def _grok_side_files(conversations: DataFrame) -> DataFrame:
     """Per session: ``summary.json``, ``signals.json`` (not for
