@@ -23,30 +23,38 @@ from __future__ import annotations
 
 import contextlib
 import gc
+import hashlib
 import heapq
 import re
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, IntegerType, StringType, StructType
+from pyspark.sql.types import ArrayType, DataType, IntegerType, LongType, StringType, StructType
 
 from sessionlake.llm.common import ship
 
 MARK = "▁"
 #: Chunks in each of the two generations of a worker's cache, and the longest
 #: chunk that is kept there.
-CACHE_CHUNKS = 160_000
+CACHE_CHUNKS = 220_000
 CHECK_EVERY = 16
 CACHE_CHARS = 48
 #: Characters of text that are turned to Arrow arrays at a time.
 SLICE_CHARS = 1_000_000
 
 
+class _Index(dict):
+    """Chunk to place; a chunk not met yet gets the next one."""
+
+    def __missing__(self, chunk: str) -> int:
+        self[chunk] = k = len(self)
+        return k
+
+
 class Vocabulary:
     """Pieces, scores and byte ids of a model file; encodes and decodes."""
 
@@ -101,8 +109,14 @@ class Vocabulary:
                        for p, i in self.ids.items() for k in range(1, len(p)) if p[:k] in self.ids and p[k:] in self.ids)
         self.pair_keys, self.pair_ranks, self.pair_ids = (np.array(x, np.int64) for x in zip(*pairs))
         self.size = len(model.pieces)
-        self.cache: dict[str, tuple[int, ...]] = {}
+        #: Whether a blank-free stretch between single spaces is a chunk, so that splitting finds them.
+        self.splits = not inner and not feeds
         self.older: dict[str, tuple[int, ...]] = {}
+        self._begin()
+
+    def _begin(self) -> None:
+        """A new generation: place of each chunk, its ids, and its ids as text."""
+        self.index, self.chunk_ids, self.chunk_texts = _Index(), [], []
 
     def merge(self, chunk: str) -> tuple[int, ...]:
         """The ids of one chunk, by the agenda."""
@@ -199,36 +213,56 @@ class Vocabulary:
             rank[:-1] = np.where(row[:-1] == row[1:], r, _NONE)
         return rank, into
 
-    def learn(self, chunks: set[str]) -> list[str]:
-        """Bring chunks into the cache; returns those that were encoded anew."""
-        new = []
-        for c in chunks:
-            ids = self.older.get(c)
-            if ids is None:
-                new.append(c)
-            else:
-                self.cache[c] = ids
+    def cut(self, text: str) -> list[str]:
+        """The chunks of a text with its leading mark."""
+        if self.splits and text[0] != " " and "  " not in text and MARK not in text:
+            marked = (MARK + text.replace(" ", " " + MARK))
+            return list(filter(None, marked.replace("\n", " \n ").split(" "))) if "\n" in text else marked.split(" ")
+        return self.cutter.findall(MARK + text.replace(" ", MARK))
+
+    def learn(self, chunks: list[str]) -> list[str]:
+        """Adds chunks, in the order of their places; returns those that were encoded anew."""
+        new = [c for c in chunks if c not in self.older]
         short = [c for c in new if len(c) <= CACHE_CHARS]
-        self.cache.update(zip(short, self.merge_all(short), strict=True))
-        self.cache.update((c, self.merge(c)) for c in new if len(c) > CACHE_CHARS)
+        known = dict(zip(short, self.merge_all(short), strict=True))
+        known.update((c, self.merge(c)) for c in new if len(c) > CACHE_CHARS)
+        ids = [known[c] if c in known else self.older[c] for c in chunks]
+        self.chunk_ids += ids
+        self.chunk_texts += [" " + " ".join(map(str, i)) for i in ids]
         return new
 
     def forget(self) -> None:
         """A full generation becomes the older one."""
-        if len(self.cache) > CACHE_CHUNKS:
-            self.older = {c: i for c, i in self.cache.items() if len(c) <= CACHE_CHARS}
-            self.cache = {}
+        if len(self.index) > CACHE_CHUNKS:
+            self.older = {c: i for c, i in zip(self.index, self.chunk_ids) if len(c) <= CACHE_CHARS}
+            self._begin()
+
+    def _encoded(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """Places of each text's chunks, and its ids, the end id last; checked
+        against the library."""
+        index, known = self.index, len(self.index)
+        places = [[index[c] for c in self.cut(t)] if t else [] for t in texts]
+        new = self.learn(list(islice(index, known, None)))
+        get = self.chunk_ids.__getitem__
+        out = [[*chain.from_iterable(map(get, p)), self.eos] for p in places]
+        self.check(new[::CHECK_EVERY], texts[0], out[0])
+        return places, out
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        """Ids of each text, the end id last; checked against the library."""
-        cut = [self.cutter.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        new = self.learn(set(chain.from_iterable(cut)) - self.cache.keys())
-        get = self.cache.__getitem__
-        out = [[*chain.from_iterable(map(get, c)), self.eos] for c in cut]
-        self.check(new[::CHECK_EVERY], texts[0], out[0])
+        """Ids of each text, the end id last."""
+        out = self._encoded(texts)[1]
         self.forget()
         return out
 
+    def digests(self, texts: list[str]) -> tuple[list[int], list[str], list[str]]:
+        """Number of ids, digest of the ids as text, and digest of the decoded text."""
+        places, ids = self._encoded(texts)
+        get, end = self.chunk_texts.__getitem__, f" {self.eos}"
+        written = [("".join(map(get, p)) + end)[1:] for p in places]
+        self.forget()
+        return ([len(i) for i in ids], [hashlib.sha256(w.encode()).hexdigest() for w in written],
+                [hashlib.sha256(self.decode(i).encode()).hexdigest() for i in ids])
+
     def decode(self, ids: list[int]) -> str:
         raw = b"".join(map(self.surface.__getitem__, ids))
         if raw[:1] == b" ":
@@ -247,7 +281,7 @@ class Vocabulary:
         lead = len(self.library.encode("\n"))
         for c, f, got in zip(chunks, fed, self.library.encode(fed, num_threads=1), strict=True):
             want = got if c[0] == MARK else got[lead:]
-            if f and list(self.cache[c]) != want:
+            if f and list(self.chunk_ids[self.index[c]]) != want:
                 raise ValueError(f"the library encodes {c!r} as {want}")
         if self.library.encode(text, add_eos=True) != ids or self.library.decode(ids) != self.decode(ids):
             raise ValueError(f"the library encodes or decodes this text differently: {text[:200]!r}")
@@ -335,8 +369,17 @@ def _with(df: DataFrame, name: str, kind: DataType) -> StructType:
 
 
 def digest(docs: DataFrame, model_path: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256."""
-    both = decode(encode(docs.select("doc_id", "text"), model_path).select("doc_id", "ids"), model_path)
-    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-                       F.sha2("decoded", 256).alias("decoded_sha256"))
+    """doc_id, n_tokens, ids_sha256, decoded_sha256: a text is encoded, its ids are
+    decoded and both are digested in one Arrow pass, so no ids leave the worker."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v = vocabulary(model_path)
+        for batch in batches:
+            for start, part in _slices(batch.column(1)):
+                with _uncollected():
+                    sizes, ids, texts = v.digests([t or "" for t in part.to_pylist()])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(part)), pa.array(sizes, pa.int64()), pa.array(ids), pa.array(texts)],
+                                                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    docs = docs.select("doc_id", "text")
+    out = StructType([docs.schema["doc_id"]]).add("n_tokens", LongType()).add("ids_sha256", StringType()).add("decoded_sha256", StringType())
+    return ship(docs).mapInArrow(run, out)
