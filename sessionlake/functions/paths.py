@@ -39,17 +39,7 @@ PATH_RULES = [
     ("codex", "conversations", r"/sessions/(.+/)?rollout-[^/]*\.jsonl$"),
     ("grok", "conversations", r"/sessions/[^/]+/[^/]+/chat_history\.jsonl$"),
     ("grok", "plans", r"/sessions/[^/]+/[^/]+/plan\.md$"),
-    ("grok", "metadata", r"/sessions/[^/]+/[^/]+/(summary|signals|meta)\.json$|/updates\.jsonl$"),
+    ("grok", "metadata", r"/sessions/[^/]+/[^/]+/((subagents/[^/]+/)?meta|summary|signals)\.json$|/sessions/[^/]+/[^/]+/updates\.jsonl$"),
     ("gemini", "conversations", r"/tmp/[^/]+/chats/session-[^/]*\.json$"),
     ("gemini", "metadata", r"/projects\.json$"),
 ]
-
-
-def classify(path: Column) -> tuple[Column, Column]:
-    """``(source, kind)`` of a file path by the first matching rule; NULL when
-    no rule matches."""
-    src = kind = None
-    for s, k, rx in reversed(PATH_RULES):
-        src = F.when(path.rlike(rx), F.lit(s)) if src is None else F.when(path.rlike(rx), F.lit(s)).otherwise(src)
-        kind = F.when(path.rlike(rx), F.lit(k)) if kind is None else F.when(path.rlike(rx), F.lit(k)).otherwise(kind)
-    return src, kind

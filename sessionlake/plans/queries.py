@@ -350,6 +350,14 @@ def q_stats_totals(t: Tables) -> DataFrame:
 
 
 # ── joins (J1–J8) ────────────────────────────────────────────────────────────
+#: Only these assistants have history, todos or plans; the other branches of the union need no reading.
+WITH_HISTORY, WITH_TODOS, WITH_PLANS = ("claude", "copilot"), ("claude", "copilot"), ("claude", "copilot", "grok")
+
+
+def _of(conv: DataFrame, sources: tuple[str, ...]) -> DataFrame:
+    return conv.where(c("source").isin(*sources))
+
+
 #: Joined rows of one session that one task should make at most.
 PAIRS_A_TASK = 1_000_000
 
@@ -357,55 +365,58 @@ PAIRS_A_TASK = 1_000_000
 def conv_history(conv: DataFrame, history: DataFrame, pairs_a_task: int = PAIRS_A_TASK) -> DataFrame:
     """Rows of both sides with the same session, many to many. Sessions are
     measured first; one whose pairs exceed ``pairs_a_task`` is dealt over salts:
-    its conversation rows by hash, its history rows to every salt. Both sides are
-    exchanged once by their own rows, and the small table of hot sessions tells
-    the salts (AQE broadcasts it when its measured size is small)."""
-    x = conv.select(*SESSION, "uuid", "file_name", "line_number").where(c("session_id").isNotNull())
+    its conversation rows by hash, its history rows to every salt. The small table
+    of hot sessions tells the salts (AQE broadcasts it when its measured size is
+    small)."""
+    place = F.xxhash64("file_name", "line_number")
+    # one exchange that no hot session unbalances serves the counts and the join
+    x = (conv.select(*SESSION, "uuid", place.alias("_place")).where(c("session_id").isNotNull())
+         .withColumn("_part", F.pmod("_place", F.lit(64))).repartition(*SESSION, "_part"))
     h = history.where(c("session_id").isNotNull()).select(*SESSION, "display")
-    sizes = x.groupBy(*SESSION).agg(F.count("*").alias("_n")).join(h.groupBy(*SESSION).agg(F.count("*").alias("_m")), SESSION)
+    sizes = x.groupBy(*SESSION, "_part").agg(F.count("*").alias("_k")).groupBy(*SESSION).agg(F.sum("_k").alias("_n")).join(h.groupBy(*SESSION).agg(F.count("*").alias("_m")), SESSION)
     hot = (sizes.select(*SESSION, F.ceil(c("_n") * c("_m") / pairs_a_task).alias("_salts")).where(c("_salts") > 1)
            .groupBy(*SESSION).agg(F.max("_salts").alias("_salts")))
     salts = F.coalesce(c("_salts"), F.lit(1))
-    x = x.join(hot, SESSION, "left").select(*SESSION, "uuid", F.pmod(F.xxhash64("file_name", "line_number"), salts).alias("_salt"))
+    x = x.join(hot, SESSION, "left").select(*SESSION, "uuid", F.pmod(c("_place"), salts).alias("_salt"))
     h = h.join(hot, SESSION, "left").select(*SESSION, "display", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("_salt"))
     return x.join(h, [*SESSION, "_salt"]).select("session_id", "uuid", "display")
 
 
 def q_conv_history(t: Tables) -> DataFrame:
-    return conv_history(t.conv, t.history)
+    return conv_history(_of(t.conv, WITH_HISTORY), t.history)
 
 
 def q_conv_history_project(t: Tables) -> DataFrame:
     h = t.history.where(c("project").isNotNull()).select("source", c("project").alias("project_path")).distinct()
-    return t.conv.select("source", "project_path").distinct().join(h, ["source", "project_path"], "inner").select("project_path").distinct()
+    return _of(t.conv, WITH_HISTORY).select("source", "project_path").distinct().join(h, ["source", "project_path"], "inner").select("project_path").distinct()
 
 
 def q_conv_todos(t: Tables) -> DataFrame:
     key = ["source", "session_id"]
-    return t.conv.select(*key).distinct().join(t.todos.select(*key).distinct(), key, "inner").select("session_id").distinct()
+    return _of(t.conv, WITH_TODOS).select(*key).distinct().join(t.todos.select(*key).distinct(), key, "inner").select("session_id").distinct()
 
 
-def _sessions_todos(t: Tables) -> DataFrame:
+def _sessions_todos(t: Tables, conv: DataFrame) -> DataFrame:
     """COUNT(DISTINCT uuid) and COUNT(DISTINCT todo content) per session,
     computed on each side *before* the join: the same answer as joining rows
     first, without the messages × todos blow-up."""
-    msgs = t.conv.groupBy("source", "session_id", "project_path").agg(F.countDistinct("uuid").alias("messages"))
+    msgs = conv.groupBy("source", "session_id", "project_path").agg(F.countDistinct("uuid").alias("messages"))
     todos = t.todos.groupBy("source", "session_id").agg(F.countDistinct("content").alias("todos"))
     return msgs.join(todos, ["source", "session_id"], "left").select(
         "source", "session_id", "project_path", "messages", F.coalesce(c("todos"), F.lit(0)).alias("todos"))
 
 
 def q_sessions_with_todos(t: Tables) -> DataFrame:
-    return _sessions_todos(t).where(c("todos") > 0)
+    return _sessions_todos(t, _of(t.conv, WITH_TODOS)).where(c("todos") > 0)
 
 
 def q_cross_source_summary(t: Tables) -> DataFrame:
-    return _sessions_todos(t)
+    return _sessions_todos(t, t.conv)
 
 
 def q_sessions_with_plans(t: Tables) -> DataFrame:
     p = t.plans.select("source", c("plan_name"), "file_size")
-    return (t.conv.where(c("slug").isNotNull()).groupBy("source", "session_id", "slug").agg(F.count("*").alias("messages"))
+    return (_of(t.conv, WITH_PLANS).where(c("slug").isNotNull()).groupBy("source", "session_id", "slug").agg(F.count("*").alias("messages"))
             .join(p.withColumnRenamed("plan_name", "slug").withColumn("plan_name", c("slug")), ["source", "slug"], "inner")
             .select("source", "session_id", "slug", "plan_name", "file_size", "messages"))
 
@@ -413,13 +424,13 @@ def q_sessions_with_plans(t: Tables) -> DataFrame:
 def q_orphan_projects(t: Tables) -> DataFrame:
     """History projects that no conversation of the same source ran in."""
     h = t.history.where(c("project").isNotNull()).select("source", "project").distinct()
-    ran = t.conv.select("source", c("project_path").alias("project")).distinct()
+    ran = _of(t.conv, WITH_HISTORY).select("source", c("project_path").alias("project")).distinct()
     return h.join(ran, ["source", "project"], "left_anti").select("project").distinct()
 
 
 def q_orphan_todos(t: Tables) -> DataFrame:
     key = ["source", "session_id"]
-    return t.todos.select(*key).distinct().join(t.conv.select(*key).distinct(), key, "left_anti").select("session_id").distinct()
+    return t.todos.select(*key).distinct().join(_of(t.conv, WITH_TODOS).select(*key).distinct(), key, "left_anti").select("session_id").distinct()
 
 
 # ── windows over a session timeline (W2–W4) ──────────────────────────────────
@@ -627,10 +638,9 @@ def x_event_json(t: Tables) -> DataFrame:
 
 
 # ── sources (S17, S18) ───────────────────────────────────────────────────────
-def classify_paths(files: DataFrame) -> DataFrame:
-    from sessionlake.functions.paths import classify
-    src, kind = classify(c("file_path"))
-    return files.select("file_path", src.alias("source"), kind.alias("kind"))
+def classify_paths(files: DataFrame, source: str | None = None) -> DataFrame:
+    from sessionlake.operators.detect import classify
+    return classify(files, source)
 
 
 def benchmark_file_listing(spark, sf_dir: str) -> DataFrame:
@@ -640,7 +650,8 @@ def benchmark_file_listing(spark, sf_dir: str) -> DataFrame:
     conv, ev, docs = read("conversations"), read("events"), read("documents")
     parts = [A.claude_lines(conv), A.copilot_lines(ev), A.codex_lines(ev), A.claude_history_lines(conv),
              A.claude_todo_files(conv), A.claude_plan_files(docs), A.claude_stats_files(ev), A.gemini_files(conv),
-             A.gemini_projects(conv)]
+             A.gemini_projects(conv), A.gemini_marks(conv), A.claude_desktop_lines(conv), A.copilot_side_files(ev),
+             A.copilot_checkpoint_lines(ev), A.copilot_history_files(ev), A.grok_chat_lines(conv), A.grok_side_files(conv)]
     out = None
     for p in parts:
         q = p.select("file_path")

@@ -443,27 +443,39 @@ FROM (""" + f"SELECT source, session_id, arg_max(ts_ms, ({TL})) - arg_min(ts_ms,
 
 
 def _classify_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.classify_paths(Q.benchmark_file_listing(spark, sf_dir))
+    # desktop folders are named by a hash that SQL does not have; tests cover them
+    files = Q.benchmark_file_listing(spark, sf_dir)
+    return Q.classify_paths(files).where(~F.col("file_path").contains("local-agent-mode-sessions"))
 
 
-_CLASSIFY_SQL = """SELECT DISTINCT file_path, source, kind FROM (
-  SELECT CASE WHEN conv_id % 6 = 5 THEN '/lake/claude/projects/-home-dev-my-app' || ((conv_id - 1) % 7) || '/'
-      || printf('%08d-0000-4000-8000-000000000000', conv_id - 1) || '/subagents/agent-a' || conv_id || '.jsonl'
-    ELSE '/lake/claude/projects/-home-dev-my-app' || (conv_id % 7) || '/' || printf('%08d-0000-4000-8000-000000000000', conv_id)
-      || '.jsonl' END AS file_path, 'claude' AS source, 'conversations' AS kind FROM conversations
-  UNION ALL SELECT '/lake/copilot/session-state/' || printf('%08d-c0c0-4000-8000-%012d', user_id, user_id) || '/events.jsonl',
-    'copilot', 'conversations' FROM events
-  UNION ALL SELECT '/lake/codex/sessions/2024/01/01/rollout-2024-01-01T00-00-00-' || printf('%08d-c0de-4000-8000-%012d', user_id, user_id)
-    || '.jsonl', 'codex', 'conversations' FROM events
-  UNION ALL SELECT '/lake/claude/history.jsonl', 'claude', 'history' FROM conversations WHERE role = 'user'
-  UNION ALL SELECT '/lake/claude/todos/' || printf('%08d-0000-4000-8000-000000000000', CASE WHEN conv_id % 8 = 3 THEN conv_id + 2000000
-    WHEN conv_id % 6 = 5 THEN conv_id - 1 ELSE conv_id END) || '-agent-a' || conv_id || 't' || turn || '.json', 'claude', 'todos' FROM conversations
-    WHERE role = 'assistant'
-  UNION ALL SELECT '/lake/claude/plans/plan-' || doc_id || '.md', 'claude', 'plans' FROM documents
-  UNION ALL SELECT '/lake/claude/u' || (user_id % 4) || '/stats-cache.json', 'claude', 'stats' FROM events
-  UNION ALL SELECT '/lake/gemini/tmp/' || CASE WHEN conv_id % 4 <> 3 THEN 'proj' || (conv_id % 5) ELSE 'h' || conv_id END
-    || '/chats/session-' || conv_id || '.json', 'gemini', 'conversations' FROM conversations
-  UNION ALL SELECT '/lake/gemini/projects.json', 'gemini', 'metadata' FROM conversations WHERE conv_id % 4 <> 3)"""
+_GROK_DIR = "'/lake/grok/sessions/%2Fhome%2Fdev%2Fgrok' || ({0} % 3) || '/' || " + O.S_GROK.format("{0}")
+_CLASSIFY_SQL = O.sql(f"""SELECT DISTINCT file_path, source, kind, root, project_dir, session_id, is_agent FROM (
+  SELECT '/lake/claude/projects/' || project_dir || CASE WHEN is_agent THEN '/' || session_id || '/subagents/' ELSE '/' END || file_name AS file_path,
+    'claude' AS source, 'conversations' AS kind, '/lake/claude' AS root, project_dir, session_id, is_agent FROM x_claude
+  UNION ALL SELECT '/lake/copilot/session-state/' || session_id || '/events.jsonl', 'copilot', 'conversations', '/lake/copilot', NULL, session_id, false FROM x_copilot
+  UNION ALL SELECT '/lake/copilot/session-state/' || session_id || '/plan.md', 'copilot', 'plans', '/lake/copilot', NULL, session_id, false
+    FROM x_plans WHERE source = 'copilot'
+  UNION ALL SELECT '/lake/copilot/session-state/' || {O.S_COPILOT.format('user_id')} || '/workspace.yaml', 'copilot', 'metadata', '/lake/copilot', NULL,
+    {O.S_COPILOT.format('user_id')}, false FROM events WHERE user_id % 4 <> 1
+  UNION ALL SELECT '/lake/copilot/session-state/' || {O.S_COPILOT.format('user_id')} || '/checkpoints/' || f, 'copilot', 'todos', '/lake/copilot', NULL,
+    {O.S_COPILOT.format('user_id')}, false FROM events, (SELECT unnest(['001.md', 'index.md']) AS f) k
+  UNION ALL SELECT '/lake/copilot/u' || user_id || '/command-history-state.json', NULL, NULL, NULL, NULL, NULL, false FROM events WHERE event_type = 'click'
+  UNION ALL SELECT '/lake/codex/sessions/2024/01/01/' || file_name, 'codex', 'conversations', '/lake/codex', NULL, session_id, false FROM (
+    SELECT 'rollout-2024-01-01T00-00-00-' || {O.S_CODEX.format('user_id')} || '.jsonl' AS file_name, {O.S_CODEX.format('user_id')} AS session_id FROM events)
+  UNION ALL SELECT '/lake/claude/history.jsonl', 'claude', 'history', '/lake/claude', NULL, NULL, false FROM conversations WHERE role = 'user'
+  UNION ALL SELECT '/lake/claude/todos/' || file_name, 'claude', 'todos', '/lake/claude', NULL, session_id, false FROM x_todos WHERE source = 'claude'
+  UNION ALL SELECT '/lake/claude/plans/plan-' || doc_id || '.md', 'claude', 'plans', '/lake/claude', NULL, NULL, false FROM documents
+  UNION ALL SELECT '/lake/claude/u' || (user_id % 4) || '/stats-cache.json', NULL, NULL, NULL, NULL, NULL, false FROM events
+  UNION ALL SELECT '/lake/gemini/tmp/' || dir || '/chats/session-' || c || '.json', 'gemini', 'conversations', '/lake/gemini', dir, NULL, false FROM x_gemini_b
+  UNION ALL SELECT '/lake/gemini/' || f, 'gemini', 'metadata', '/lake/gemini', NULL, NULL, false FROM (SELECT unnest(['projects.json', 'installation_id']) AS f)
+  UNION ALL SELECT {_GROK_DIR.format('conv_id')} || '/chat_history.jsonl', 'grok', 'conversations', '/lake/grok', '%2Fhome%2Fdev%2Fgrok' || (conv_id % 3),
+    {O.S_GROK.format('conv_id')}, false FROM conversations
+  UNION ALL SELECT {_GROK_DIR.format('conv_id')} || '/' || f, 'grok', CASE WHEN f = 'plan.md' THEN 'plans' ELSE 'metadata' END, '/lake/grok',
+    '%2Fhome%2Fdev%2Fgrok' || (conv_id % 3), {O.S_GROK.format('conv_id')}, false
+    FROM conversations, (SELECT unnest(['summary.json', 'signals.json', 'plan.md']) AS f) k WHERE f <> 'signals.json' OR conv_id % 7 <> 3
+  UNION ALL SELECT {_GROK_DIR.format('conv_id - 1').replace('(conv_id - 1 % 3)', '((conv_id - 1) % 3)')} || '/subagents/' || {O.S_GROK.format('conv_id')} || '/meta.json', 'grok', 'metadata',
+    '/lake/grok', '%2Fhome%2Fdev%2Fgrok' || ((conv_id - 1) % 3), {O.S_GROK.format('(conv_id - 1)')}, false FROM conversations WHERE conv_id % 6 = 5)
+WHERE NOT contains(file_path, 'local-agent-mode-sessions')""")
 
 
 def _runner(fn: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

@@ -483,6 +483,11 @@ def _gemini_projects(conversations: DataFrame) -> DataFrame:
 def gemini_projects(conversations: DataFrame) -> DataFrame:
     return _materialised(_gemini_projects(conversations), "content")
 
+def gemini_marks(conversations: DataFrame) -> DataFrame:
+    """The marker file of the root."""
+    return conversations.select(F.lit(GEMINI_ROOT + "/installation_id").alias("file_path"), F.lit("").alias("content")).distinct()
+
+
 def cursor_composer_id(c: Column) -> Column:
     return _fmt("%08d-cc00-4000-8000-%012d", c, c)
 
