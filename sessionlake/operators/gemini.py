@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sessionlake.functions import json as J
+from sessionlake.operators.json_split import split_array
 from sessionlake.schemas import CONVERSATIONS, align
 
 _PATH = r"/tmp/([^/]+)/chats/(session-[^/]*\.json)$"
@@ -38,36 +39,69 @@ def _msg_ok(m: Column) -> Column:
         J.opt_array_ok(J.field(m, "$.toolCalls")), F.coalesce(F.forall(calls, call_ok), F.lit(True)))
 
 
+def _head(v: Column) -> list[Column]:
+    """Checks of a document besides its messages."""
+    return [v.isNotNull(), J.is_object(v), *[J.opt_string_ok(J.field(v, f"$.{k}")) for k in ("sessionId", "startTime", "kind")]]
+
+
+def _placed(docs: DataFrame, projects: DataFrame | None) -> DataFrame:
+    """Documents with what their path tells."""
+    c = F.col
+    docs = docs.select("*", F.regexp_extract("file_path", _PATH, 1).alias("project_dir"), F.regexp_extract("file_path", _PATH, 2).alias("file_name"),
+                       F.regexp_replace("file_path", _PATH, "").alias("file_root"))
+    if projects is None:
+        return docs.withColumn("abs_path", F.lit(None).cast("string"))
+    return docs.join(alias_map(projects), (c("project_dir") == c("alias")) & (c("file_root") == c("root")), "left")
+
+
 def normalise(files: DataFrame, projects: DataFrame | None = None) -> DataFrame:
+    """Whole documents, one a row."""
     c = F.col
     docs = J.parse_lines(files.withColumnRenamed("content", "value"), "file_path")
     msgs = F.try_variant_get(c("v"), "$.messages", "array<variant>")
-    valid = J.all_ok(c("v").isNotNull(), J.is_object(c("v")), msgs.isNotNull(), F.forall(msgs, _msg_ok),
-                     *[J.opt_string_ok(J.field(c("v"), f"$.{k}")) for k in ("sessionId", "startTime", "kind")])
-    docs = docs.select(
-        "v", F.regexp_extract("file_path", _PATH, 1).alias("project_dir"),
-        F.regexp_extract("file_path", _PATH, 2).alias("file_name"), valid.alias("ok"),
-        F.regexp_replace("file_path", _PATH, "").alias("file_root"))
-    if projects is not None:
-        docs = docs.join(alias_map(projects),
-                         (c("project_dir") == c("alias")) & (c("file_root") == c("root")), "left")
-    else:
-        docs = docs.withColumn("abs_path", F.lit(None).cast("string"))
+    valid = J.all_ok(*_head(c("v")), msgs.isNotNull(), F.forall(msgs, _msg_ok))
+    docs = _placed(docs.select("file_path", "v", valid.alias("ok"), F.lit(False).alias("large")), projects)
+    return _rows(docs, lambda good: good.select("*", F.posexplode(msgs).alias("pos", "m")))
+
+
+#: Characters of one message that a VARIANT certainly takes.
+LARGEST_MESSAGE = 16_000_000
+
+
+def normalise_pieces(pieces: DataFrame, projects: DataFrame | None = None, largest: int = LARGEST_MESSAGE) -> DataFrame:
+    """Documents of any size, as a stream of the pieces between their commas
+    (:mod:`sessionlake.operators.json_split`): only one message at a time is a
+    row. A file with a message beyond ``largest`` says so in its error row."""
+    c = F.col
+    elements, rest = split_array(pieces, "messages")
+    msgs = J.parse_lines(elements.select("file_path", "pos", F.when(F.length("value") <= largest, c("value")).alias("value"),
+                                         (F.length("value") > largest).alias("large")), "file_path", "pos", "large").withColumnRenamed("v", "m")
+    facts = msgs.groupBy("file_path").agg(F.min(F.coalesce(c("m").isNotNull() & _msg_ok(c("m")), F.lit(False))).alias("msgs_ok"),
+                                          F.max("large").alias("large"))
+    none = J.present(J.field(c("v"), "$.messages"))  # a messages member that is no array stays in the rest
+    docs = (J.parse_lines(rest, "file_path", "whole").join(facts, "file_path", "left")
+            .join(pieces.groupBy("file_path").agg(F.max(c("value").rlike(r'(?s)"messages"\s*:\s*\[')).alias("has")), "file_path"))
+    valid = J.all_ok(c("whole"), c("has"), ~none, *_head(c("v")), F.coalesce(c("msgs_ok"), F.lit(True)))
+    docs = _placed(docs.select("file_path", "v", valid.alias("ok"), F.coalesce("large", F.lit(False)).alias("large")), projects)
+    return _rows(docs, lambda good: good.join(msgs.select("file_path", "pos", "m"), "file_path"))
+
+
+def _rows(docs: DataFrame, with_messages) -> DataFrame:
+    c = F.col
     project = F.coalesce(c("abs_path"), F.lit(""))
     cwd = F.nullif(project, F.lit(""))
 
     bad = docs.where(~c("ok")).select(
         F.lit("gemini").alias("source"), c("project_dir").alias("session_id"), F.lit("").alias("project_path"),
         "project_dir", "file_name", F.lit(1).cast("bigint").alias("line_number"), F.lit("_parse_error").alias("message_type"),
-        F.lit("Parse error: invalid session file").alias("message_content"))
+        F.when(c("large"), F.lit("Parse error: a message is too large")).otherwise(F.lit("Parse error: invalid session file")).alias("message_content"))
 
     v = c("v")
-    good = docs.where(c("ok")).select(
+    good = with_messages(docs.where(c("ok"))).select(
         "project_dir", "file_name", project.alias("project_path"), cwd.alias("cwd"),
         F.coalesce(J.get_string(v, "$.sessionId"), c("project_dir")).alias("session_id"),
         F.coalesce(J.get_string(v, "$.kind") == "subagent", F.lit(False)).alias("is_agent"),
-        J.get_string(v, "$.startTime").alias("start_time"),
-        F.posexplode(msgs).alias("pos", "m"))
+        J.get_string(v, "$.startTime").alias("start_time"), "pos", "m")
     m = c("m")
     mtype = J.get_string(m, "$.type")
     mts = J.get_string(m, "$.timestamp")

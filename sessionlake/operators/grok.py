@@ -8,7 +8,7 @@ root), ``updates.jsonl`` (timed update stream with per-turn usage),
 ``subagents/<child>/meta.json``. Sidecars become small per-session tables
 joined to the lines. Timestamps come from aligning chat lines with the update
 stream — an order-dependent greedy fold, the one step run as a grouped-map
-Python function over two narrow columns per session."""
+Python function, over a few bytes per line and update of a session."""
 
 from __future__ import annotations
 
@@ -108,36 +108,56 @@ def subagent_parents(files: DataFrame) -> DataFrame:
 
 # ── timeline alignment (N28) ─────────────────────────────────────────────────
 def align_times(line_types: DataFrame, upd: DataFrame) -> DataFrame:
-    """Timestamp of each chat line from the session's update stream."""
-    candidates = {k: tuple(v) for k, v in CANDIDATES.items()}
+    """Timestamp of each chat line from the session's update stream. Only numbers
+    travel to the fold: a line's place and type, an update's place, kind and
+    seconds. Updates no line type takes are dropped before the shuffle."""
+    types = [t for t in CANDIDATES if t != "system"]
+    takes = [[TIMELINE_KINDS.index(k) for k in CANDIDATES[t]] for t in types]
+
+    def code(name: str, values: list[str]) -> Column:
+        out = F.lit(-1)
+        for i, x in enumerate(values):
+            out = F.when(F.col(name) == x, F.lit(i)).otherwise(out)
+        return out.cast("byte")
 
     # Defined here so it travels to the Python workers by value (with its
     # lookup table) and needs nothing from this package installed there.
     def fold(lines: pd.DataFrame, events: pd.DataFrame) -> pd.DataFrame:
-        """Greedy cursor over one session: each non-system line takes the next
-        update whose kind fits its type; updates passed over are consumed, so a
-        line whose type fits nothing consumes the rest of the stream."""
-        lines = lines.sort_values("line_number")
-        events = events.sort_values("line_number")
-        kinds, times = events["kind"].tolist(), events["iso"].tolist()
-        i, out = 0, []
-        for t in lines["peek"].tolist():
-            ts = None
-            if t != "system":
-                cands = candidates.get(t, ())
-                while i < len(kinds):
-                    k, i = kinds[i], i + 1
-                    if k in cands:
-                        ts = times[i - 1]
-                        break
-            out.append(ts)
+        """Greedy cursor over one session: each line takes the next update whose
+        kind fits its type; updates passed over are consumed, so a line whose
+        type fits nothing consumes the rest of the stream. Each type walks its own
+        rising list of places once, so the work is that of both streams."""
+        import numpy as np
+
+        lines, events = lines.sort_values("line_number"), events.sort_values("line_number")
+        kinds, secs = events["kind"].to_numpy(), events["secs"].to_numpy()
+        places = [np.flatnonzero(np.isin(kinds, t)).tolist() for t in takes]
+        at, cursor, end = [0] * len(places), 0, len(kinds)
+        out = np.full(len(lines), -1, np.int64)
+        for row, t in enumerate(lines["peek"].to_numpy().tolist()):
+            if t < 0:
+                cursor = end
+                continue
+            mine, i = places[t], at[t]
+            while i < len(mine) and mine[i] < cursor:
+                i += 1
+            at[t] = i
+            if i < len(mine):
+                out[row], cursor = mine[i], mine[i] + 1
+            else:
+                cursor = end
+        hit = out >= 0
         sdir = lines["sdir"].iloc[0] if len(lines) else None
-        return pd.DataFrame({"sdir": sdir, "line_number": lines["line_number"].to_numpy(), "matched": out})
+        return pd.DataFrame({"sdir": sdir, "line_number": lines["line_number"].to_numpy()[hit], "secs": secs[out[hit]]})
 
     events = upd.where(F.col("secs").isNotNull() & F.col("kind").isin(*TIMELINE_KINDS)).select(
-        "sdir", "line_number", "kind", epoch_s_to_iso(F.col("secs")).alias("iso"))
-    return (line_types.groupBy("sdir").cogroup(events.groupBy("sdir"))
-            .applyInPandas(fold, "sdir string, line_number long, matched string"))
+        "sdir", "line_number", code("kind", TIMELINE_KINDS).alias("kind"), "secs")
+    lines = line_types.where(F.col("peek") != "system").select("sdir", "line_number", code("peek", types).alias("peek"))
+    matched = (lines.groupBy("sdir").cogroup(events.groupBy("sdir"))
+               .applyInPandas(fold, "sdir string, line_number long, secs long"))
+    # one row a line, stated as an aggregation so that Catalyst may drop the join
+    return matched.groupBy("sdir", "line_number").agg(F.first("secs").alias("secs")).select(
+        "sdir", "line_number", epoch_s_to_iso(F.col("secs")).alias("matched"))
 
 
 # ── conversations ────────────────────────────────────────────────────────────

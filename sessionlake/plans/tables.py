@@ -112,6 +112,8 @@ class Tables:
             "conv_codex": lambda: codex.normalise(ev_codex()),
             "conv_gemini": lambda: gemini.normalise(lake("gemini_files", lambda: A.gemini_files(read("conversations"))),
                                                     lake("gemini_projects", lambda: A.gemini_projects(read("conversations")))),
+            "gemini_pieces": lambda: gemini.normalise_pieces(lake("gemini_pieces", lambda: A.gemini_pieces(read("conversations"))),
+                                                             lake("gemini_projects", lambda: A.gemini_projects(read("conversations")))),
             "conv_cursor": lambda: cursor.normalise(cursor_kv()),
             "cursor_keys": lambda: cursor.keys(cursor_kv()),
             "line_numbers": lambda: _union([numbered(x()).select(F.substring_index("file_path", "/", -2).alias("file"), "line_number") for x in
@@ -206,8 +208,9 @@ def from_roots(spark: SparkSession, claude: str | None = None, copilot: str | No
     if codex:
         b["conv_codex"] = lambda: cx.normalise(R.line_stream(spark, [R.join(codex, "sessions")], below="rollout-*.jsonl"))
     if gemini:
-        b["conv_gemini"] = lambda: ge.normalise(R.raw_files(spark, [R.join(gemini, "tmp/*/chats/session-*.json")]),
-                                                R.raw_files(spark, [R.join(gemini, "projects.json")]))
+        chats, aliases = [R.join(gemini, "tmp/*/chats/session-*.json")], lambda: R.raw_files(spark, [R.join(gemini, "projects.json")])
+        b["conv_gemini"] = lambda: ge.normalise(R.raw_files(spark, chats, largest=R.LARGEST_DOCUMENT), aliases()).unionByName(
+            ge.normalise_pieces(R.piece_stream(spark, chats, R.LARGEST_DOCUMENT), aliases()))
     if grok:
         chat = lambda: R.line_stream(spark, [R.join(grok, "sessions/*/*/chat_history.jsonl")])
         side_files = lambda: R.raw_files(spark, [R.join(grok, "sessions/*/*", f) for f in (

@@ -54,6 +54,7 @@ _Q: dict[str, tuple[Callable[[Tables], DataFrame], str | None]] = {
     "ingest_copilot": (lambda t: t.get("conv_copilot"), f"SELECT {O.CONV_COLS} FROM x_copilot"),
     "ingest_codex": (lambda t: t.get("conv_codex"), f"SELECT {O.CONV_COLS} FROM x_codex"),
     "ingest_gemini": (lambda t: t.get("conv_gemini"), f"SELECT {O.CONV_COLS} FROM x_gemini"),
+    "ingest_gemini_pieces": (lambda t: t.get("gemini_pieces"), f"SELECT {O.CONV_COLS} FROM x_gemini"),
     "ingest_cursor": (lambda t: t.get("conv_cursor"), f"SELECT {O.CONV_COLS} FROM x_cursor"),
     "ingest_grok": (lambda t: t.get("conv_grok"), f"SELECT {O.CONV_COLS} FROM x_grok"),
     "ingest_claude_subagents": (lambda t: t.get("conv_claude").where("is_agent"), f"SELECT {O.CONV_COLS} FROM x_claude WHERE is_agent"),
@@ -162,8 +163,8 @@ _Q: dict[str, tuple[Callable[[Tables], DataFrame], str | None]] = {
                                            "reasoning_tokens").distinct(),
         "SELECT DISTINCT session_id, input_tokens, output_tokens, cache_read_tokens, reasoning_tokens FROM x_grok"),
     "norm_grok_timeline": (
-        lambda t: t.get("conv_grok").select("session_id", "line_number", "message_type", "timestamp").distinct(),
-        "SELECT DISTINCT session_id, line_number, message_type, timestamp FROM x_grok"),
+        lambda t: t.get("conv_grok").select("session_id", "line_number", "message_type", "timestamp"),
+        "SELECT session_id, line_number, message_type, timestamp FROM x_grok"),
     "norm_grok_subagents": (
         lambda t: t.get("conv_grok").select("session_id", "is_agent", "parent_uuid").distinct(),
         "SELECT DISTINCT session_id, is_agent, parent_uuid FROM x_grok"),

@@ -483,6 +483,12 @@ def _gemini_projects(conversations: DataFrame) -> DataFrame:
 def gemini_projects(conversations: DataFrame) -> DataFrame:
     return _materialised(_gemini_projects(conversations), "content")
 
+def gemini_pieces(conversations: DataFrame) -> DataFrame:
+    """The same documents as the pieces between their commas, in blocks."""
+    pieces = _gemini_files(conversations).select("file_path", F.posexplode(F.split("content", ",", -1)).alias("at", "value"))
+    return _placed(pieces.select("file_path", (F.col("at") + 1).cast("long").alias("line_number"), "value"))
+
+
 def gemini_marks(conversations: DataFrame) -> DataFrame:
     """The marker file of the root."""
     return conversations.select(F.lit(GEMINI_ROOT + "/installation_id").alias("file_path"), F.lit("").alias("content")).distinct()
@@ -592,10 +598,10 @@ def grok_chat_lines(conversations: DataFrame) -> DataFrame:
     return _placed(_grok_chat_lines(conversations))
 
 def _grok_update_lines(conversations: DataFrame) -> DataFrame:
-    """``updates.jsonl``: per turn, at lines ``3 * turn + 1..3``: the update
-    that times the turn's chat line (none for system lines), a
+    """``updates.jsonl``: per turn, at lines ``4 * turn + 1..4``: before user
+    lines of ``turn % 4 == 2`` a thought that no line takes, the update that times the turn's chat line (none for system lines), a
     ``turn_completed`` with usage after assistant turns, and an unrelated
-    update kind."""
+    update kind; what a turn lacks is a blank line."""
     C, T, R, X = F.col("conv_id"), F.col("turn"), F.col("role"), F.col("text")
     kind = _grok_kind(T, R)
     ev = (F.when(kind == "user", F.lit("user_message_chunk")).when(kind == "reasoning", F.lit("agent_thought_chunk"))
@@ -610,13 +616,13 @@ def _grok_update_lines(conversations: DataFrame) -> DataFrame:
         return F.to_json(F.struct(secs.alias("timestamp"), F.struct(u.alias("update")).alias("params")))
 
     items = F.array(
+        F.struct(F.lit(0).alias("k"), F.when((kind == "user") & (T % 4 == 2), upd(F.lit("agent_thought_chunk"))).alias("v")),
         F.struct(F.lit(1).alias("k"), F.when(ev.isNotNull(), upd(ev)).alias("v")),
         F.struct(F.lit(2).alias("k"), F.when(kind.isin("assistant", "reasoning"), upd(F.lit("turn_completed"), True)).alias("v")),
         F.struct(F.lit(3).alias("k"), upd(F.lit("available_commands_update")).alias("v")))
     return conversations.select(F.concat(_grok_dir(C), F.lit("/updates.jsonl")).alias("file_path"), T,
                                 F.explode(items).alias("x")) \
-        .where(F.col("x.v").isNotNull()) \
-        .select("file_path", (T * 3 + F.col("x.k")).cast("bigint").alias("line_number"), F.col("x.v").alias("value"))
+        .select("file_path", (T * 4 + F.col("x.k") + 1).cast("bigint").alias("line_number"), F.coalesce(F.col("x.v"), F.lit("")).alias("value"))
 
 
 def grok_update_lines(conversations: DataFrame) -> DataFrame:

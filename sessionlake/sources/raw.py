@@ -92,13 +92,30 @@ def raw_lines(spark: SparkSession, paths: list[str], below: str | None = None) -
     return numbered(line_stream(spark, paths, below))
 
 
-def raw_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+#: Bytes of a document that is still read as one row.
+LARGEST_DOCUMENT = 8_000_000
+
+
+def raw_files(spark: SparkSession, paths: list[str], largest: int | None = None) -> DataFrame:
+    """Whole files as ``(file_path, content, file_size)``; with ``largest`` only
+    those of at most that size (a file filter, so the others are not opened)."""
     paths = _existing(spark, paths)
     if not paths:
         return spark.createDataFrame([], FILES)
-    return spark.read.text(paths, wholetext=True).select(
-        decode_path(F.col("_metadata.file_path")).alias("file_path"), F.col("value").alias("content"),
-        F.col("_metadata.file_size").alias("file_size"))
+    text = spark.read.text(paths, wholetext=True)
+    if largest is not None:
+        text = text.where(F.col("_metadata.file_size") <= largest)
+    return text.select(decode_path(F.col("_metadata.file_path")).alias("file_path"), F.col("value").alias("content"),
+                       F.col("_metadata.file_size").alias("file_size"))
+
+
+def piece_stream(spark: SparkSession, paths: list[str], larger_than: int = 0) -> DataFrame:
+    """Files beyond a size as streams of the pieces between their commas."""
+    paths = _existing(spark, paths)
+    if not paths:
+        return spark.createDataFrame([], STREAM)
+    text = spark.read.option("lineSep", ",").text(paths).where(F.col("_metadata.file_size") > larger_than)
+    return text_stream(text.select("value", "_metadata"))
 
 
 def sqlite_kv(spark: SparkSession, paths: list[str], table: str = "cursorDiskKV") -> DataFrame:
