@@ -27,12 +27,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructType
 
-from sessionlake.llm.common import cut, fresh, ship
+from sessionlake.llm.common import cut, ship
 
 DIM = 4096
 CLUSTERS = 4
@@ -275,6 +276,14 @@ def digest(docs: DataFrame) -> DataFrame:
 
 
 def identified(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are not rejected, all columns."""
-    names = tuple(fresh(docs, "lang_pred", "score", "rejected"))
-    return predict(docs, learn(docs), names=names).filter(~F.col(names[2])).drop(*names)
+    """The rows of ``docs`` that are not rejected, all columns. Only texts go to
+    the workers and only the verdict comes back."""
+    model = learn(docs)
+
+    @F.pandas_udf(BooleanType())
+    def stays(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            parts = [model.predict(texts.iloc[at:at + ROWS].tolist())[2] for at in range(0, len(texts), ROWS)]
+            yield pd.Series(~np.concatenate(parts)) if parts else pd.Series([], dtype=bool)
+
+    return ship(docs).filter(stays(F.col("text")))
