@@ -135,16 +135,6 @@ def extract_text(x: Column) -> Column:
     )
 
 
-def with_fields(df, src: str, paths: dict[str, str]):
-    """Add one VARIANT column per ``{name: path}`` below column ``src``.
-
-    Pulling the members out in their own projection keeps the later per-type
-    logic small (it refers to plain columns), so each stage stays well inside
-    whole-stage codegen's method-size limit; Catalyst does not re-inline the
-    extraction because its results are referenced several times."""
-    return df.select("*", *[F.try_variant_get(F.col(src), p, "variant").alias(n) for n, p in paths.items()])
-
-
 def parse_lines(lines, *keep: str):
     """``lines(..., value)`` → ``(*keep, v)`` with ``v`` the parsed VARIANT.
 
