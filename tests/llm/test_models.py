@@ -182,6 +182,45 @@ def test_wrapped_licence_notices(spark):
     assert got == want
 
 
+def test_licences_of_one_kin_and_foreign_ones(spark):
+    known = {
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public\nLicense as "
+        "published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.": "lgpl",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as "
+        "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.": "agpl",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+        "published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.": "gpl",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided "
+        "that the above copyright notice and this permission notice appear in all copies.": "isc",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0": "epl",
+        "SPDX-License-Identifier: LGPL-2.1-or-later": "lgpl", "// SPDX-License-Identifier: AGPL-3.0-only": "agpl",
+        "SPDX-License-Identifier: ISC": "isc", "SPDX-License-Identifier: CC-BY-NC-SA-4.0": "cc-by-nc-sa",
+        "Licensed under CC BY-ND 4.0.": "cc-by-nd", "Licensed under CC BY-NC-SA 4.0.": "cc-by-nc-sa",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.": "cc-by-nd",
+    }
+    # Not among the notices that the classifier learns as foreign.
+    foreign = ["Licensed under the Zope Public License, Version 2.0.", "SPDX-License-Identifier: Zlib", "Released under the Vim License.",
+               "Licensed under the Solderpad Hardware License, Version 2.1 (the \"License\"); you may not use this file.",
+               "This Source Code Form is subject to the terms of the Nokia Open Source License, v. 1.0.",
+               "This work is licensed under the Free Art License, version 1.3.",
+               # Of the kin of a learned foreign notice.
+               "Permission to use, copy, modify, and distribute this software and its documentation for any purpose and without fee is hereby "
+               "granted, provided that the above copyright notice appear in all copies.",
+               *[t for i, t in enumerate(license_scan.FOREIGN) if i % license_scan.LEFT_OUT == 0]]
+    texts = [*known, *foreign]
+    docs = spark.createDataFrame([(i, f"Some words.\n{t}\nMore words.") for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {texts[r.doc_id]: [x.family for x in r.licences] for r in license_scan.scan(docs).collect()}
+    assert got == {t: [f] for t, f in known.items()} | {t: [] for t in foreign}
+
+
+def test_marking_words_touch_every_match():
+    for t in (t for ts in license_scan.TEMPLATES.values() for t in ts):
+        w = license_scan.re.findall(r"[\w]+(?:[.-][\w]+)*", t.lower())
+        pairs = set(zip(w, w[1:]))
+        free = [p for p in pairs if not set(p) & set(license_scan.marking_words())]
+        assert len(free) < license_scan.MIN_MATCH * len(pairs), t
+
+
 def test_unseen_language_is_rejected(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text", "lang").filter("text RLIKE '[A-Za-z]{3}'").cache()
     for unseen in ("de", "en"):
