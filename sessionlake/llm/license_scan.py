@@ -315,24 +315,16 @@ def _probabilities(gram: DataFrame, key: list[str], weights: DataFrame, temperat
 def likely(rows: DataFrame, weights: DataFrame, temperature: float) -> DataFrame:
     """The classifier's first pass over (row, text): the cells (row, cell) of STEP
     words covered by a window in which ``unknown`` is less likely than
-    MAX_UNKNOWN. A window of n words starts at every n / 2 words; only windows
-    with an n-gram that has a weight exist."""
-    words = numbered_words(F.col("text"))["word"]
-    placed = rows.select("row", F.posexplode(F.zip_with(
-        F.zip_with(words, F.slice(words, 2, F.size(words)), lambda a, b: F.struct(a.alias("a"), b.alias("b"))),
-        F.slice(words, 3, F.size(words)), lambda ab, c: F.struct(ab["a"].alias("a"), ab["b"].alias("b"), c.alias("c")))).alias("p", "x"))
-    made = [F.struct(F.xxhash64(*[F.col(f"x.{c}") for c in "abc"[:n]]).alias("h"), F.lit(n).alias("n"), F.col(f"x.{'abc'[n - 1]}").isNotNull().alias("there"))
-            for n in range(1, MAX_GRAM + 1)]
-    hits = (placed.select("row", "p", F.explode(F.array(*made)).alias("g")).filter("g.there")
-            .select("row", "p", "g.n", F.pmod("g.h", F.lit(BUCKETS)).cast("int").alias("bucket"))
-            .join(F.broadcast(weights.select("bucket")), "bucket", "left_semi"))
-    of = [F.struct(F.lit(size).alias("size"), (F.floor(F.col("p") / (size // 2)) - back).alias("j"))
-          for size in SCALES for back in (0, 1)]
-    inside = (hits.select("row", "p", "n", "bucket", F.explode(F.array(*of)).alias("w"))
-              .filter("w.j >= 0 AND p + n <= w.j * (w.size / 2) + w.size")
-              .select("row", "w.size", "w.j", "bucket").distinct())
+    MAX_UNKNOWN. A window of n words starts at every n / 2 words; windows without
+    a marking word can't hold a match and are not made. A window's n-grams
+    come from one row, so its sums are whole before they are shuffled."""
+    marked = F.filter(F.transform("words", lambda w, i: F.when(w.isin(marking_words()), i)), lambda i: i.isNotNull())
+    at = F.array_distinct(F.flatten(F.transform(marked, lambda p: F.array(*[
+        F.struct(F.lit(size).alias("size"), (F.floor(p / (size // 2)) - back).cast("int").alias("j")) for size in SCALES for back in (0, 1)]))))
+    placed = (rows.select("row", numbered_words(F.col("text"))["word"].alias("words")).select("row", "words", F.explode(at).alias("w"))
+              .filter("w.j >= 0").select("row", "w.size", "w.j", F.slice("words", F.col("w.j") * (F.col("w.size") / 2).cast("int") + 1, F.col("w.size")).alias("words")))
     key = ["row", "size", "j"]
-    z = _probabilities(inside.unionByName(inside.select(*key).distinct().withColumn("bucket", F.lit(-1))), key, weights, temperature)
+    z = _probabilities(placed.select(*key, F.explode(F.concat(F.array(F.lit(-1)), grams(F.col("words")))).alias("bucket")), key, weights, temperature)
     top = F.array_max("z")
     unknown = F.exp(F.get("z", F.lit(UNKNOWN)) - top) / F.aggregate("z", F.lit(0.0), lambda a, v: a + F.exp(v - top))
     first = (F.col("j") * (F.col("size") / 2) / STEP).cast("int")
