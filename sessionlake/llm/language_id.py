@@ -12,7 +12,7 @@ Document frequencies are counted over all labelled rows.
 
 Learned only from text and lang of rows whose crc32(doc_id as text) mod 4 is
 not 2; a prediction reads nothing but the text. Sample: ``SAMPLE`` rows of each
-of the ``MAX_LANGUAGES`` most frequent languages, chosen by a hash of the id.
+language, chosen by a hash of the id; more than ``max_languages`` are an error.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0
 and rejected; so is every text if no row is labelled; a null id is not learned
@@ -160,10 +160,13 @@ def cluster(v: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return centres.astype(np.float32)
 
 
-def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
+def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+          max_languages: int = MAX_LANGUAGES) -> Model:
     labelled = (docs.filter(learnable(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
                 .select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")))
-    sizes = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    sizes = labelled.groupBy("lang").count().limit(max_languages + 1).collect()
+    if len(sizes) > max_languages:
+        raise ValueError(f"more than {max_languages} languages: raise max_languages (the driver holds {SAMPLE} rows of each)")
     languages = sorted(r["lang"] for r in sizes)
     if not languages:
         return Model([], np.ones(DIM, np.float32), np.zeros((0, DIM), np.float32), np.zeros(0, int), [])

@@ -13,8 +13,8 @@ to as many numbers as there are pairs of domains; rates stay distributed.
 
 Classifier: softmax regression on the presence of the ``VOCABULARY`` words that
 tell domains apart best and on a few measures of style, fitted on at most
-``SAMPLE`` labelled rows of each of at most ``MAX_DOMAINS`` domains, chosen by a
-hash of the id; their real shares correct the posteriors.
+``SAMPLE`` labelled rows of each domain, chosen by a hash of the id (more than
+``max_domains`` domains are an error); their real shares correct the posteriors.
 
 Defined results: a null or empty text has no tokens, gets the posterior of an
 empty text and never counts; a domain without mass can't be met and is left
@@ -132,12 +132,14 @@ def fit(x: np.ndarray, y: np.ndarray, classes: int, rounds: int = 300, rate: flo
     return w
 
 
-def learn(docs: DataFrame, domains_of: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
+def learn(docs: DataFrame, domains_of: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_domains: int = MAX_DOMAINS) -> Model:
     """Fit the classifier. ``domains_of``: doc_id and domain of labelled rows,
     each id once. The sample is chosen from that table, so only its ids, at most
-    MAX_DOMAINS * SAMPLE of them, are broadcast and no text is shuffled."""
+    max_domains * SAMPLE of them, are broadcast and no text is shuffled."""
     known_rows = domains_of.select("doc_id", "domain").filter("doc_id IS NOT NULL AND domain IS NOT NULL")
-    sizes = known_rows.groupBy("domain").count().orderBy(F.desc("count"), "domain").limit(MAX_DOMAINS).collect()
+    sizes = known_rows.groupBy("domain").count().limit(max_domains + 1).collect()
+    if len(sizes) > max_domains:
+        raise ValueError(f"more than {max_domains} domains: raise max_domains (the driver holds {SAMPLE} rows of each)")
     domains = sorted(r["domain"] for r in sizes)
     if len(domains) < 2:
         return Model(domains or ["all"], np.zeros(0, np.uint64), np.zeros((N_STYLE + 1, 1), np.float32))

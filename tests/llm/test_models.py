@@ -229,6 +229,15 @@ def test_unseen_language_is_rejected(spark, small):
         assert share[True] >= 0.9 and share[False] <= 0.05, (unseen, share)
 
 
+def test_too_many_classes_are_an_error(spark):
+    docs = spark.createDataFrame([(i, f"some words {i}", f"l{i % 40}", f"d{i % 40}") for i in range(400)], "doc_id long, text string, lang string, domain string")
+    with pytest.raises(ValueError, match="30 languages"):
+        language_id.learn(docs, max_languages=30)
+    with pytest.raises(ValueError, match="39 domains"):
+        mixing.learn(docs, docs.select("doc_id", "domain"), max_domains=39)
+    assert len(mixing.learn(docs, docs.select("doc_id", "domain"), max_domains=40).domains) == 40
+
+
 def test_limits_of_rounds_are_told(spark, monkeypatch):
     from sessionlake.llm import components
 
