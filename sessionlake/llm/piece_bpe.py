@@ -364,6 +364,21 @@ def decode(tokens: DataFrame, model_path: str, ids_col: str = "ids", text_col: s
     return ship(tokens).mapInArrow(_decoder(model_path, ids_col, text_col), _with(tokens, text_col, StringType()))
 
 
+def encode_decode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:
+    """``docs`` with the ids of its texts and the text of those ids instead of the
+    texts, in one Arrow pass: one worker and one vocabulary a task."""
+    docs = docs.drop(*[c for c in docs.columns if c.lower() in (ids_col.lower(), decoded_col.lower())])
+    names = [c for c in docs.columns if c != text_col] + [ids_col, decoded_col]
+    encoder, decoder = _encoder(model_path, text_col, ids_col), _decoder(model_path, ids_col, decoded_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in decoder(encoder(batches)):
+            yield batch.select(names)
+
+    kept = StructType([f for f in docs.schema.fields if f.name != text_col])
+    return ship(docs).mapInArrow(run, kept.add(ids_col, ArrayType(IntegerType())).add(decoded_col, StringType()))
+
+
 def _with(df: DataFrame, name: str, kind: DataType) -> StructType:
     return StructType([*df.schema.fields]).add(name, kind)
 

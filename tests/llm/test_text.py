@@ -4,6 +4,8 @@ import hashlib
 import re
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from sessionlake.llm import exact_dedup, line_dedup, piece_bpe, quality_rules as q
 from sessionlake.llm.queries import tokenizer_path
 
@@ -146,6 +148,14 @@ def test_tokeniser_matches_library(spark, small, llm_queries, small_docs, edge,
     assert piece_bpe.digest(nothing, tokenizer_path()).count() == 0
 
 
+def test_one_pass_equals_encode_then_decode(spark, edge, nothing):
+    model = tokenizer_path()
+    for docs in (edge, nothing, edge.withColumn("IDS", F.lit(1))):
+        want = piece_bpe.decode(piece_bpe.encode(docs, model), model).drop("text")
+        got = piece_bpe.encode_decode(docs, model)
+        assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
 def test_tokeniser_on_awkward_texts():
     v = piece_bpe.Vocabulary(tokenizer_path())
     texts = ["", " ", "  a  b ", "\n", "\n\n x\n  y", "a\0b", "<s> </s> <unk> <0x41>", "▁a ▁ b", "é́", "A​B", "😀 x",
