@@ -42,8 +42,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SentencePiece ids, their count, and digests of ids and decoded text."""
-    model = tokenizer_path()
-    both = piece_bpe.decode(piece_bpe.encode(docs.select("doc_id", "lang", "source", "text"), model).drop("text"), model)
+    both = piece_bpe.encode_decode(docs.select("doc_id", "lang", "source", "text"), tokenizer_path())
     return both.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
