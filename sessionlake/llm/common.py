@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 import zipfile
@@ -60,6 +61,31 @@ def kept_table(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def lower_batches(spark: SparkSession, rows: int) -> str | None:
+    """Let no more than ``rows`` rows go to a Python worker at a time in this
+    session; the setting before. Lower settings stay."""
+    before = spark.conf.get(BATCH_ROWS, None)
+    if before is None or not 0 < int(before) <= rows:
+        spark.conf.set(BATCH_ROWS, str(rows))
+    return before
+
+
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int):
+    """``lower_batches`` for what runs inside."""
+    before = lower_batches(spark, rows)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(BATCH_ROWS)
+        else:
+            spark.conf.set(BATCH_ROWS, before)
+
+
 def ship(df: DataFrame) -> DataFrame:
     """Hand this package's modules to the Python workers of ``df``'s session,
     once per application, through Spark's own file service; ``df`` itself."""

@@ -46,7 +46,7 @@ OWN, FOREIGN = 0.01, 0.95
 #: Without an own row to measure, a text is rejected below this share of the one row's cosine.
 REJECT = 0.3
 UNKNOWN = "und"
-PIECE = 1 << 20
+PIECE = 1 << 18
 ROWS = 128
 
 _LETTER = np.arange(256, dtype=np.uint32)

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are hashed at a time (a longer word makes a longer piece).
-PIECE = 1 << 19
+PIECE = 1 << 18
 
 _rng = np.random.default_rng(20240229)
 _VALUE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
