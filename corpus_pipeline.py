@@ -11,15 +11,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessionlake.llm import exact_dedup, jaccard_join, language_id, mixing, piece_bpe
-from sessionlake.llm.common import cut
+from sessionlake.llm.common import cut, lower_batches
 from sessionlake.llm.queries import tokenizer_path
 
 #: No document more often than once; clean prose is used up, junk and toxic text is thinned.
 MAX_RATE = 1.0
+#: Rows that go to a Python worker at a time. Stages are lazy, so the session keeps the setting.
+BATCH = 1000
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language ID: rejected documents go."""
+    lower_batches(spark, BATCH)
     return language_id.identified(docs)
 
 
@@ -35,6 +38,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mixing to target weights, with domains learned from the labelled table."""
+    lower_batches(spark, BATCH)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = mixing.learn(docs, mixing.domains_of(labels))
     return mixing.mix(docs, model, mixing.WEIGHTS, MAX_RATE)
@@ -42,6 +46,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SentencePiece ids, their count, and digests of ids and decoded text."""
+    lower_batches(spark, BATCH)
     both = piece_bpe.encode_decode(docs.select("doc_id", "lang", "source", "text"), tokenizer_path())
     return both.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
