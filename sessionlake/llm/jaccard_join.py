@@ -11,9 +11,12 @@ class from the start; classes are joined exactly:
 * First round: neighbours in each list (in an order of its own) are compared.
   That takes a number of pairs linear in the entries, and ties groups of near
   copies together.
-* Families: neighbours whose prefixes share a good part. Within a family the members are dealt to blocks by component; blocks of one and the
-  same component are skipped, the others are multiplied block by block, and only
-  links come out, so no list of all pairs of a group of copies is ever made.
+* Families: neighbours whose prefixes share a good part. Within a family the
+  members are dealt to blocks and all of them are multiplied block by block. Out
+  come the number of links of every class and, for each two components that a
+  link joins, one link, so no list of all pairs of a group of copies is ever
+  made. Only where nobody asks for numbers of links (``one_of_each``) are the
+  blocks of one and the same component left alone: they are connected already.
 * Second round: lists that hold several families are joined in full, and only
   entries of different families.
 * Skipping answers: a class linked in the first round has an anchor. Its overlap
@@ -217,10 +220,12 @@ def _sets(ids: DataFrame, classes: DataFrame, docs: DataFrame, width: int) -> Da
     return cut(texts.mapInArrow(as_sets, "cid long, set array<long>").dropDuplicates(["cid"]))
 
 
-def _overlaps(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+def _both(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid")))
+
+
+def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs with the exact intersection of their sets, checkpointed."""
-    ids = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
-    sets = _sets(ids, classes, docs, width)
     rows = (pairs.join(sets.select(F.col("cid").alias("a"), F.col("set").alias("sa")), "a")
             .join(sets.select(F.col("cid").alias("b"), F.col("set").alias("sb")), "b"))
 
@@ -234,10 +239,12 @@ def _overlaps(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int)
     return cut(rows.mapInArrow(run, "a long, b long, na long, nb long, overlap long"))
 
 
-def classes_of(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(rows, classes, links): rows doc_id, text_hash, n, s1, s2; classes cid, rep (least
-    id), n, s1, s2; links a, b, na, nb, overlap, enough to connect whatever
-    linked pairs connect."""
+def classes_of(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
+               count: bool = True) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame | None]:
+    """(rows, classes, links, degrees): rows doc_id, text_hash, n, s1, s2; classes cid,
+    rep (least id), n, s1, s2; links a, b, na, nb, overlap, enough to connect
+    whatever linked pairs connect; degrees cid, n_links: the number of all classes
+    that a class is linked with, if any (None without ``count``)."""
     docs = docs.select("doc_id", "text")
     frequent = frequent_shingles(docs, width)
     rows = cut(sketches(docs, frequent, width, percent))
@@ -259,12 +266,13 @@ def classes_of(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> t
                     F.when(F.col("cid") < F.col("before.cid"), F.col("n")).otherwise(F.col("before.n")).alias("na"),
                     F.when(F.col("cid") < F.col("before.cid"), F.col("before.n")).otherwise(F.col("n")).alias("nb")).distinct())
     near = cut(_prefix_test(near, classes, frequent, percent))
-    first = _overlaps(near.filter("possible").select("a", "b", "na", "nb"), classes, docs, width)
+    sets = _sets(_both(near).distinct(), classes, docs, width)
+    first = _overlaps(near.filter("possible").select("a", "b", "na", "nb"), sets)
     links = linked(first)
     roots = components(links)
 
     families = components(near.filter("alike").select("a", "b").unionByName(links.select("a", "b")))
-    inner = _within_families(families, roots, classes, docs, width, percent)
+    inner, degrees = _within_families(families, roots, classes, sets, percent, count)
 
     # Second round: entries of different families in blocks of sizes.
     tagged = cut(lists.select("shingle", "cid", "n", "reach").join(families.withColumnRenamed("node", "cid"), "cid", "left")
@@ -284,12 +292,18 @@ def classes_of(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> t
                    F.when(F.col("x") < F.col("y"), F.col("ny")).otherwise(F.col("nx")).alias("nb")).distinct())
     met = cut(_prefix_test(met.join(near.select("a", "b"), ["a", "b"], "left_anti"), classes, frequent, percent)
               .filter("possible").select("a", "b", "na", "nb"))
-    found = _through_anchors(met, links, first, classes, docs, width, percent)
-    return rows.drop("prefix"), classes.drop("prefix"), links.unionByName(inner).unionByName(linked(found))
-
-
-def _within_families(families: DataFrame, roots: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links (a, b, na, nb, overlap) between different components of a family."""
+    across = linked(_through_anchors(met, links, first, classes, docs, width, percent))
+    if count:  # links are either within a family or between two
+        degrees = (degrees.unionByName(_both(across).withColumn("n_links", F.lit(1).cast("long")))
+                   .groupBy("cid").agg(F.sum("n_links").alias("n_links")))
+    return rows.drop("prefix"), classes.drop("prefix"), links.unionByName(inner).unionByName(across), degrees
+
+
+def _within_families(families: DataFrame, roots: DataFrame, classes: DataFrame, sets: DataFrame, percent: int,
+                     count: bool) -> tuple[DataFrame, DataFrame | None]:
+    """Links (a, b, na, nb, overlap) that join the components of a family, at least
+    one for each two that are linked, and with ``count`` the numbers of all
+    links within the family (cid, n_links; several rows a class)."""
     everyone = families.withColumnRenamed("root", "family").unionByName(
         families.select(F.col("root").alias("node"), F.col("root").alias("family")).distinct())
     members = cut(everyone.withColumnRenamed("node", "cid").join(roots.withColumnRenamed("node", "cid"), "cid", "left")
@@ -298,7 +312,8 @@ def _within_families(families: DataFrame, roots: DataFrame, classes: DataFrame,
     sizes = members.groupBy("family", "root").agg(
         F.greatest(F.count(F.lit(1)) / F.lit(BLOCK), F.sum("n") / F.lit(BLOCK_SHINGLES)).alias("size"))
     rest = sizes.groupBy("family").agg(F.count(F.lit(1)).alias("n_roots"), F.sum(F.when(F.col("size") < 1, F.col("size"))).alias("shared"))
-    rest = rest.filter("n_roots > 1")
+    if not count:
+        rest = rest.filter("n_roots > 1")
     dealt = (members.join(sizes, ["family", "root"]).join(rest, "family")
              .withColumn("own", F.when(F.col("size") >= 1, F.col("root")))
              .withColumn("part", F.pmod(F.xxhash64("cid"), F.ceil(F.coalesce(F.when(F.col("own").isNotNull(), F.col("size")),
@@ -307,10 +322,10 @@ def _within_families(families: DataFrame, roots: DataFrame, classes: DataFrame,
     dealt = cut(dealt)
     blocks = dealt.select("family", "block").distinct()
     left, right = blocks.withColumnRenamed("block", "x"), blocks.withColumnRenamed("block", "y")
-    # Two blocks of one large component need no comparison.
-    meet = left.join(right, "family").filter("x <= y AND (x.own IS NULL OR y.own IS NULL OR x.own <> y.own)")
+    meet = left.join(right, "family").filter("x <= y")
+    if not count:  # two blocks of one large component are connected
+        meet = meet.filter("x.own IS NULL OR y.own IS NULL OR x.own <> y.own")
     sides = meet.select("family", "x", "y", F.explode(F.array_distinct(F.array("x", "y"))).alias("block"))
-    sets = _sets(dealt.select("cid").distinct(), classes, docs, width)
     rows = (dealt.join(sides, ["family", "block"]).join(sets, "cid")
             .select(F.xxhash64("family", "x", "y").alias("task"), (F.col("block") == F.col("x")).alias("first"),
                     (F.col("x") == F.col("y")).alias("same"), "cid", "n", "root", "set"))
@@ -331,15 +346,27 @@ def _within_families(families: DataFrame, roots: DataFrame, classes: DataFrame,
             overlap += x[a] @ x[b].T
         overlap = overlap.astype(np.int64)
         na, nb = n[a][:, None], n[b][None, :]
-        i, j = np.nonzero((overlap * 100 >= (na + nb - overlap) * percent) & (root[a][:, None] != root[b][None, :]))
+        link = (overlap * 100 >= (na + nb - overlap) * percent) & (cid[a][:, None] != cid[b][None, :])
+        degree = np.zeros(len(cid), np.int64)
+        degree[a] += link.sum(axis=1)
+        if not same[0]:
+            degree[b] += link.sum(axis=0)
+        i, j = np.nonzero(link & (root[a][:, None] < root[b][None, :] if same[0] else root[a][:, None] != root[b][None, :]))
         x, y, o = a[i], b[j], overlap[i, j]
+        # one link for two components is enough to join them
+        _, one = np.unique(np.stack((np.minimum(root[x], root[y]), np.maximum(root[x], root[y]))), axis=1, return_index=True)
+        x, y, o = x[one], y[one], o[one]
         swap = cid[x] > cid[y]
         x, y = np.where(swap, y, x), np.where(swap, x, y)
-        return pa.table({"a": pa.array(cid[x], pa.int64()), "b": pa.array(cid[y], pa.int64()), "na": pa.array(n[x], pa.int64()),
-                         "nb": pa.array(n[y], pa.int64()), "overlap": pa.array(o, pa.int64())})
+        some = np.flatnonzero(degree) if count else np.zeros(0, np.int64)
+        k, m = len(x), len(some)
+        return pa.table({"a": pa.array(np.concatenate((cid[x], cid[some])), pa.int64()), "b": pa.array([*cid[y].tolist(), *[None] * m], pa.int64()),
+                         "na": pa.array([*n[x].tolist(), *[None] * m], pa.int64()), "nb": pa.array([*n[y].tolist(), *[None] * m], pa.int64()),
+                         "overlap": pa.array([*o.tolist(), *[None] * m], pa.int64()), "n_links": pa.array([*[None] * k, *degree[some].tolist()], pa.int64())})
 
-    found = rows.groupBy("task").applyInArrow(multiply, "a long, b long, na long, nb long, overlap long")
-    return cut(found.dropDuplicates(["a", "b"]))
+    found = cut(rows.groupBy("task").applyInArrow(multiply, "a long, b long, na long, nb long, overlap long, n_links long"))
+    links = found.filter("n_links IS NULL").drop("n_links")
+    return links, found.filter("n_links IS NOT NULL").select(F.col("a").alias("cid"), "n_links") if count else None
 
 
 def _through_anchors(met: DataFrame, links: DataFrame, first: DataFrame, classes: DataFrame, docs: DataFrame,
@@ -354,7 +381,10 @@ def _through_anchors(met: DataFrame, links: DataFrame, first: DataFrame, classes
         F.least("anchor", "b").alias("a"), F.greatest("anchor", "b").alias("b"),
         F.when(F.col("anchor") < F.col("b"), F.col("n_anchor")).otherwise(F.col("nb")).alias("na"),
         F.when(F.col("anchor") < F.col("b"), F.col("nb")).otherwise(F.col("n_anchor")).alias("nb")).distinct()
-    answers = _overlaps(through, classes, docs, width)
+    def overlaps(pairs: DataFrame) -> DataFrame:
+        return _overlaps(pairs, _sets(_both(pairs).distinct(), classes, docs, width))
+
+    answers = overlaps(through)
     known = answers.unionByName(first).dropDuplicates(["a", "b"]).select(F.col("a").alias("ka"), F.col("b").alias("kb"),
                                                                        F.col("overlap").alias("anchor_overlap"))
     rest = (asked.join(known, (F.col("ka") == F.least("anchor", "b")) & (F.col("kb") == F.greatest("anchor", "b")), "left")
@@ -362,32 +392,35 @@ def _through_anchors(met: DataFrame, links: DataFrame, first: DataFrame, classes
                 (F.col("anchor_overlap") + F.col("lacks")) * (100 + percent) >= (F.col("na") + F.col("nb")) * percent))
             .select("a", "b", "na", "nb"))
     rest = rest.join(answers.select("a", "b"), ["a", "b"], "left_anti")
-    return answers.unionByName(_overlaps(cut(rest), classes, docs, width))
+    return answers.unionByName(overlaps(cut(rest)))
 
 
-def groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id (least id that links reach), n_links
-    (links of the row's class that were needed to connect), text_hash and
+def groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text",
+           count: bool = True) -> DataFrame:
+    """doc_id, n_shingles, component_id (least id that links reach), n_links (the
+    number of other sets that the row's set is linked with; rows of equal sets
+    are one class and count once; null without ``count``), text_hash and
     component_key (null for an empty set)."""
     # Rows with sets are large; everything that runs Python here is checkpointed inside.
     with small_batches(docs.sparkSession, BATCH):
-        rows, classes, links = classes_of(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), width, percent)
+        rows, classes, links, degrees = classes_of(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), width, percent, count)
     roots = components(links)
     tagged = classes.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     least = tagged.groupBy("root").agg(F.min("rep").alias("component_id"))
-    degree = (links.select(F.col("a").alias("cid")).unionByName(links.select(F.col("b").alias("cid")))
-              .groupBy("cid").agg(F.count(F.lit(1)).alias("n_links")))
-    named = cut(tagged.join(least, "root").join(degree, "cid", "left").select("s1", "s2", "n", "component_id", "n_links", "root"))
+    if count:
+        tagged = tagged.join(degrees, "cid", "left")
+    number = F.coalesce("n_links", F.lit(0).cast("long")) if count else F.lit(None).cast("long")
+    named = cut(tagged.join(least, "root").select("s1", "s2", "n", "component_id", number.alias("n_links"), "root"))
     return rows.join(named, ["s1", "s2", "n"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"), "text_hash", F.col("root").alias("component_key"))
+        F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links") if count else "n_links", "text_hash", F.col("root").alias("component_key"))
 
 
 def one_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each component (the least id) and every row with
     an empty set. Rows that repeat both id and text stay or go together."""
-    found = cut(groups(docs, width, percent, id_col, text_col).select("doc_id", "text_hash", "component_key"))
+    found = cut(groups(docs, width, percent, id_col, text_col, count=False).select("doc_id", "text_hash", "component_key"))
     best = found.filter("component_key IS NOT NULL").groupBy("component_key").agg(
         F.min(F.struct("doc_id", "text_hash")).alias("best")).select("best.*")
     stay = found.filter("component_key IS NULL").select("doc_id", "text_hash").unionByName(best).distinct().select(
@@ -396,8 +429,8 @@ def one_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id."""
-    return groups(docs).select("doc_id", "n_shingles", "component_id")
+    """doc_id, n_shingles, component_id, n_links."""
+    return groups(docs).select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 SQL = r"""
@@ -414,7 +447,8 @@ p AS (SELECT a.cid AS a, b.cid AS b, any_value(a.n) AS na, any_value(b.n) AS nb,
 l AS (SELECT a, b FROM p WHERE 100 * o >= 85 * (na + nb - o)),
 edges AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
 r(node, root) AS (SELECT cid, cid FROM c UNION SELECT edges.b, r.root FROM r JOIN edges ON edges.a = r.node),
-k AS (SELECT node, min(root) AS root FROM r GROUP BY node)
-SELECT s.doc_id, len(s.g) AS n_shingles, coalesce(k.root, s.doc_id) AS component_id
-FROM s LEFT JOIN c ON s.g = c.g LEFT JOIN k ON k.node = c.cid
+k AS (SELECT node, min(root) AS root FROM r GROUP BY node),
+d AS (SELECT a, count(*) AS n_links FROM edges GROUP BY a)
+SELECT s.doc_id, len(s.g) AS n_shingles, coalesce(k.root, s.doc_id) AS component_id, coalesce(d.n_links, 0) AS n_links
+FROM s LEFT JOIN c ON s.g = c.g LEFT JOIN k ON k.node = c.cid LEFT JOIN d ON d.a = c.cid
 """

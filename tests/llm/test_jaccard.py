@@ -80,6 +80,33 @@ def test_hot_groups_common_passages_and_short_texts(spark):
     assert sorted(r.doc_id for r in left.collect()) == sorted({c for n, c in want.values() if n} | {800, 801, 802})
 
 
+def brute_links(rows, percent=85):
+    """doc_id → number of other sets that the row's set is linked with."""
+    sets = {i: shingles(t) for i, t in rows}
+    degree = {s: sum(s != o and 100 * len(s & o) >= percent * len(s | o) for o in set(sets.values())) if s else 0 for s in set(sets.values())}
+    return {i: degree[s] for i, s in sets.items()}
+
+
+def test_every_link_counts(spark, monkeypatch):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choices("abcdefgh", k=5))
+    rows = []
+    for first, size, changes in ((0, 60, 2), (100, 40, 4), (200, 12, 1)):  # groups of near copies, the second only partly linked
+        base = [word() for _ in range(90)]
+        for i in range(size):
+            w = list(base)
+            for _ in range(rng.randint(0, changes)):
+                w[rng.randrange(len(w))] = word()
+            rows.append((first + i, " ".join(w)))
+    rows += [(300, rows[0][1].upper()), (301, None), (302, "a b"), (303, " ".join(word() for _ in range(50)))]
+    want = brute_links(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for block in (500, 7):  # a group in one block, and in many
+        monkeypatch.setattr(jaccard_join, "BLOCK", block)
+        assert {r.doc_id: r.n_links for r in jaccard_join.groups(docs).collect()} == want
+    assert {r.doc_id: r.component_id for r in jaccard_join.groups(docs, count=False).collect()} == {i: c for i, (_, c) in brute(rows).items()}
+
+
 def test_edge_cases(spark, edge, nothing):
     got = jaccard_join.groups(edge).collect()
     assert len(got) == edge.count()
