@@ -38,3 +38,11 @@ def test_grok_timeline_folds_many_sessions_a_call(spark):
     assert "InPandas" not in plan and "MapInArrow" in plan
     assert {(r.sdir, r.line_number): r.matched for r in rows} == {
         k: datetime.fromtimestamp(v, timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ") for k, v in _greedy(lines, events).items()}
+
+
+def test_lines_and_updates_without_a_number_come_last(spark):
+    lines = [("s", None, "user"), ("s", 1, "user"), ("s", 2, "user")]
+    events = [("s", None, "user_message_chunk", 30), ("s", 1, "user_message_chunk", 10), ("s", 2, "user_message_chunk", 20)]
+    got = grok.align_times(spark.createDataFrame(lines, "sdir string, line_number long, peek string"),
+                           spark.createDataFrame(events, "sdir string, line_number long, kind string, secs long"))
+    assert {r.line_number: r.matched[-3:] for r in got.collect()} == {1: "10Z", 2: "20Z", None: "30Z"}
