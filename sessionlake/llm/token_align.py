@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from sessionlake.llm.common import cut, kept_table, ship
+from sessionlake.llm.common import cut, kept_table, lower_batches, ship
 
 #: Chunks that a worker keeps, and the characters that they may hold together.
 CACHE_CHUNKS = 120_000
@@ -56,6 +56,8 @@ SLICE_CHARS = 1_000_000
 RUN_CHARS = 4_000
 CHECK_EVERY = 64
 SHARD_PAIRS = 4_000_000
+#: Rows that go to a Python worker at a time: a row holds all id pairs of its text.
+BATCH = 1000
 #: B's ids take so many bits of a pair's key.
 B_BITS = 24
 #: Texts where a plain space touches other white space are cut with care.
@@ -315,6 +317,12 @@ def _chunks(path_a: str, path_b: str) -> Chunks:
     return Chunks(_pair(path_a, path_b))
 
 
+def _forget() -> None:
+    """Frees what a worker kept for the pass over the texts."""
+    _chunks.cache_clear()
+    _pair.cache_clear()
+
+
 def _slices(column: pa.Array) -> Iterator[tuple[list[int], list[str]]]:
     """Places and texts of the rows that have a text, a bounded slice at a time."""
     rows, out, size = [], [], 0
@@ -394,6 +402,7 @@ def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def pair_counts(measured: DataFrame) -> DataFrame:
     """``pair, n``: how many links of the corpus hold the pair."""
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _forget()
         keys, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in batches:
             k, m = _sums(_flat(batch.column(0))[0], _flat(batch.column(1))[0].astype(np.int64))
@@ -421,6 +430,7 @@ def add_shard(rows: DataFrame, shard: tuple[np.ndarray, np.ndarray, np.ndarray])
     places = {c: rows.columns.index(c) for c in ("pairs", "times", "n_best", "count_sum")}
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _forget()
         keys, counts, best = sent.value
         for batch in batches:
             pairs, size = _flat(batch.column(places["pairs"]))
@@ -438,7 +448,9 @@ def add_shard(rows: DataFrame, shard: tuple[np.ndarray, np.ndarray, np.ndarray])
 
 
 def alignment(docs: DataFrame, path_a: str, path_b: str, shard_pairs: int = SHARD_PAIRS) -> DataFrame:
-    """One row per document, see SCHEMA."""
+    """One row per document, see SCHEMA. The last step is lazy, so the session keeps
+    the smaller batches."""
+    lower_batches(docs.sparkSession, BATCH)
     rows = kept_table(measure(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), path_a, path_b))
     counts = cut(pair_counts(rows))
     b = F.col("pair").bitwiseAND((1 << B_BITS) - 1)

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from sessionlake.llm import token_align, url_filter, whitening
+from sessionlake.llm.common import BATCH_ROWS
 
 
 # ── embedding whitening ──────────────────────────────────────────────────────
@@ -248,3 +249,22 @@ def test_ranks_give_the_ids_of_the_tokenizers_library():
     own = [e.ids for e in pair.own_a.encode_batch(texts, add_special_tokens=False)]
     bad = [t for t, ids in zip(texts, own) if ids != pair.ids_a(t)]
     assert not bad, (len(bad), bad[:3])
+
+
+def test_later_steps_hold_little_in_a_worker(spark):
+    """Rows with all id pairs of their texts go to a worker in small batches, and
+    what the pass over the texts kept there is freed before."""
+    import public_tokenizers as p
+
+    paths = p.path("byte_bpe_50k.json"), p.path("piece_bpe_32k.model")
+    before = spark.conf.get(BATCH_ROWS, None)
+    spark.conf.unset(BATCH_ROWS)
+    try:
+        docs = spark.createDataFrame([(k, f"some words {k}") for k in range(20)], "doc_id long, text string")
+        assert token_align.alignment(docs, *paths).count() == 20
+        assert 0 < int(spark.conf.get(BATCH_ROWS)) <= 1000
+    finally:
+        spark.conf.unset(BATCH_ROWS) if before is None else spark.conf.set(BATCH_ROWS, before)
+    token_align._chunks(*paths)
+    token_align._forget()
+    assert not token_align._chunks.cache_info().currsize and not token_align._pair.cache_info().currsize
