@@ -111,12 +111,15 @@ class Vocabulary:
         self.size = len(model.pieces)
         #: Whether a blank-free stretch between single spaces is a chunk, so that splitting finds them.
         self.splits = not inner and not feeds
-        self.older: dict[str, tuple[int, ...]] = {}
+        #: Each id as it stands in the text of a document's ids.
+        self.id_texts = [f" {i}" for i in range(self.size)]
+        self.index, self.chunk_ids = _Index(), []
         self._begin()
 
     def _begin(self) -> None:
-        """A new generation: place of each chunk, its ids, and its ids as text."""
-        self.index, self.chunk_ids, self.chunk_texts = _Index(), [], []
+        """A new generation: place of each chunk and its ids; the one before is the older one."""
+        self.older, self.older_ids = self.index, self.chunk_ids
+        self.index, self.chunk_ids = _Index(), []
 
     def merge(self, chunk: str) -> tuple[int, ...]:
         """The ids of one chunk, by the agenda."""
@@ -222,45 +225,46 @@ class Vocabulary:
 
     def learn(self, chunks: list[str]) -> list[str]:
         """Adds chunks, in the order of their places; returns those that were encoded anew."""
-        new = [c for c in chunks if c not in self.older]
-        short = [c for c in new if len(c) <= CACHE_CHARS]
-        known = dict(zip(short, self.merge_all(short), strict=True))
-        known.update((c, self.merge(c)) for c in new if len(c) > CACHE_CHARS)
-        ids = [known[c] if c in known else self.older[c] for c in chunks]
-        self.chunk_ids += ids
-        self.chunk_texts += [" " + " ".join(map(str, i)) for i in ids]
+        before = list(map(self.older.get, chunks))
+        new = [c for c, k in zip(chunks, before) if k is None]
+        fresh = iter(self.merge_all(new) if max(map(len, new), default=0) <= CACHE_CHARS else self._merge_each(new))
+        self.chunk_ids += [next(fresh) if k is None else self.older_ids[k] for k in before]
         return new
 
+    def _merge_each(self, chunks: list[str]) -> list[tuple[int, ...]]:
+        """The ids of chunks of any length."""
+        short = iter(self.merge_all([c for c in chunks if len(c) <= CACHE_CHARS]))
+        return [next(short) if len(c) <= CACHE_CHARS else self.merge(c) for c in chunks]
+
     def forget(self) -> None:
         """A full generation becomes the older one."""
         if len(self.index) > CACHE_CHUNKS:
-            self.older = {c: i for c, i in zip(self.index, self.chunk_ids) if len(c) <= CACHE_CHARS}
+            for c in [c for c in self.index if len(c) > CACHE_CHARS]:
+                self.chunk_ids[self.index.pop(c)] = ()
             self._begin()
 
-    def _encoded(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Places of each text's chunks, and its ids, the end id last; checked
-        against the library."""
+    def _encoded(self, texts: list[str]) -> list[list[int]]:
+        """Ids of each text, the end id last; checked against the library."""
         index, known = self.index, len(self.index)
         places = [[index[c] for c in self.cut(t)] if t else [] for t in texts]
         new = self.learn(list(islice(index, known, None)))
         get = self.chunk_ids.__getitem__
         out = [[*chain.from_iterable(map(get, p)), self.eos] for p in places]
         self.check(new[::CHECK_EVERY], texts[0], out[0])
-        return places, out
+        return out
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         """Ids of each text, the end id last."""
-        out = self._encoded(texts)[1]
+        out = self._encoded(texts)
         self.forget()
         return out
 
     def digests(self, texts: list[str]) -> tuple[list[int], list[str], list[str]]:
         """Number of ids, digest of the ids as text, and digest of the decoded text."""
-        places, ids = self._encoded(texts)
-        get, end = self.chunk_texts.__getitem__, f" {self.eos}"
-        written = [("".join(map(get, p)) + end)[1:] for p in places]
+        ids = self._encoded(texts)
         self.forget()
-        return ([len(i) for i in ids], [hashlib.sha256(w.encode()).hexdigest() for w in written],
+        get = self.id_texts.__getitem__
+        return ([len(i) for i in ids], [hashlib.sha256("".join(map(get, i))[1:].encode()).hexdigest() for i in ids],
                 [hashlib.sha256(self.decode(i).encode()).hexdigest() for i in ids])
 
     def decode(self, ids: list[int]) -> str:

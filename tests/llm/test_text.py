@@ -168,3 +168,20 @@ def test_tokeniser_on_awkward_texts():
         assert v.decode(ids) == v.library.decode(ids)
     for c in ("▁the", "▁unbelievable", "abcabcabc", "▁▁▁"):
         assert v.merge(c) == v.merge_all([c])[0]
+
+
+def test_a_full_cache_is_handed_on_as_it_is(monkeypatch):
+    """The older generation is the same table, not a copy, without chunks too long to keep, and gives the same ids."""
+    import public_tokenizers
+
+    from sessionlake.llm import piece_bpe
+
+    monkeypatch.setattr(piece_bpe, "CACHE_CHUNKS", 3)
+    v = piece_bpe.Vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    texts = ["one two three four " + "x" * 60, "two new", "one " + "x" * 60 + " ñ😀 two", ""]
+    first = v.index
+    got = [v.encode([texts[0]])[0]]
+    assert v.older is first and not any(len(c) > piece_bpe.CACHE_CHARS for c in first)
+    got += v.encode(texts[1:])
+    assert got == [v.library.encode(t, add_eos=True) for t in texts]
+    assert not hasattr(v, "chunk_texts")
